@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, secrets, sharding
+from . import langid, mixing, quality, secrets, sharding, token_files, word_bpe
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,16 +17,32 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_docs(spark, sf_dir))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(_docs(spark, sf_dir))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_docs(spark, sf_dir))
 
 
+def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.encode_decode(_docs(spark, sf_dir))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_docs(spark, sf_dir))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate(_docs(spark, sf_dir))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_docs(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_secret_scans, op4_sharding, op7_mixing)}
+    return {f.__name__: f for f in (op2_secret_scans, op3_token_files, op4_sharding, op5_word_bpe, op7_mixing, op8_quality_rules, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
