@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, mixing, quality, secrets, sharding, token_files, word_bpe
+from . import langid, mixing, quality, secrets, sharding, simhash, token_files, word_bpe
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.encode_decode(_docs(spark, sf_dir))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_docs(spark, sf_dir))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_docs(spark, sf_dir))
 
@@ -42,7 +46,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_secret_scans, op3_token_files, op4_sharding, op5_word_bpe, op7_mixing, op8_quality_rules, op10_language_id)}
+    return {f.__name__: f for f in (op2_secret_scans, op3_token_files, op4_sharding, op5_word_bpe, op6_simhash, op7_mixing, op8_quality_rules, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
