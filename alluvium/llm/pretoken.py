@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from array import array
 from functools import cache
 
 import numpy as np
@@ -17,7 +18,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Longer words are encoded each time instead of being kept.
-KEEP_CHARS, KEEP_WORDS = 64, 300_000
+KEEP_CHARS, KEEP_WORDS = 64, 600_000
 
 
 def default_path(name: str) -> str:
@@ -37,6 +38,16 @@ SPACE = r"\t-\r\x20\x85\xa0"
 UNUSUAL = re.compile(r"[^\t-\r\x20-\x7e\x85\xa0-įı-ȹ‐-‧‰-⁞€]")
 
 
+def _byte_spelling() -> dict[int, str]:
+    """Byte -> character: printable Latin-1 characters stand for themselves, the others, in order, for U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
+BYTE_SPELLING = _byte_spelling()
+
+
 @cache
 def load(path: str):
     from tokenizers import Tokenizer
@@ -54,12 +65,15 @@ class ByteLevelWords:
 
     def __init__(self, path: str, dtype: str):
         self.tok, self.dtype = load(path), dtype
+        self.model, self.code = self.tok.model, {"<u2": "H", "<u4": "I"}[dtype]
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         words = self
 
         class Known(dict):
             def __missing__(self, word):
-                ids = words._ids(word)
+                # a word of this pattern needs the model alone, in the vocabulary's spelling of bytes
+                spelt = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(BYTE_SPELLING)
+                ids = array(words.code, [t.id for t in words.model.tokenize(spelt)]).tobytes()
                 if len(word) <= KEEP_CHARS:
                     if len(self) >= KEEP_WORDS:
                         self.clear()
@@ -77,6 +91,12 @@ class ByteLevelWords:
         return b"".join(map(self.known.__getitem__, self.PATTERN.findall(text)))
 
 
+@cache
+def byte_level_words(path: str, dtype: str) -> ByteLevelWords:
+    """One for all tasks of a Python worker, so that words known from earlier tasks stay known."""
+    return ByteLevelWords(path, dtype)
+
+
 class CaselessWords:
     """Words of the tokenizer that lower-cases, drops white space and marks word ends."""
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import elias_fano
 from .common import scratch_path, shuffle_partitions, text_of
-from .pretoken import ByteLevelWords, default_path, load
+from .pretoken import byte_level_words, default_path, load
 
 MAGIC = "<4sBBQ"
 #: A shard holds about so many bytes of text, or less where the cluster asks for more parts.
@@ -41,7 +41,7 @@ def _encode(path: str, end_id: int, dtype: str, cuts: np.ndarray):
     """(doc_id, text) -> (shard, doc_id, ids). Equal doc_ids that fill several shards are dealt to them in turn."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, turn, end = ByteLevelWords(path, dtype), 0, np.array([end_id], dtype).tobytes()
+        words, turn, end = byte_level_words(path, dtype), 0, np.array([end_id], dtype).tobytes()
         for batch in batches:
             ids = [words.encode(t or "") + end for t in batch.column(1).to_pylist()]
             doc = batch.column(0)
