@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, mixing, quality, secrets, sharding, simhash, token_files, word_bpe
+from . import embed_dedup, langid, mixing, quality, secrets, sharding, simhash, suffix_dedup, token_files, word_bpe
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(_docs(spark, sf_dir))
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_docs(spark, sf_dir))
 
@@ -41,12 +45,28 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(_docs(spark, sf_dir))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_docs(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_secret_scans, op3_token_files, op4_sharding, op5_word_bpe, op6_simhash, op7_mixing, op8_quality_rules, op10_language_id)}
+    ops = (
+        op1_suffix_dedup,
+        op2_secret_scans,
+        op3_token_files,
+        op4_sharding,
+        op5_word_bpe,
+        op6_simhash,
+        op7_mixing,
+        op8_quality_rules,
+        op9_embedding_dedup,
+        op10_language_id,
+    )
+    return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
