@@ -270,10 +270,12 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), *cols], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, lo, n: windows lo .. lo + n - 1 (bytes) of the document occur earlier."""
-    buckets = shuffle_partitions(docs.sparkSession)
-    rows = keyed(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID))).select("doc_id", "text_key", "text")
+def _rows(docs: DataFrame) -> DataFrame:
+    return keyed(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text_key", "text")
+
+
+def _repeats(rows: DataFrame) -> DataFrame:
+    buckets = shuffle_partitions(rows.sparkSession)
     sampled = rows.where(F.octet_length("text") >= LENGTH).mapInArrow(_sampled(buckets), _ROWS)
     named = materialize(sampled.repartitionById(buckets, F.col("bucket")).mapInArrow(_compared(True), _SPANS), "suffix-runs")
     unsettled = named.where("kind = 1").groupBy(F.col("doc_id").alias("u_id"), F.col("text_key").alias("u_key")).agg(F.collect_list(F.struct("lo", "n")).alias("u"))
@@ -282,15 +284,21 @@ def repeats(docs: DataFrame) -> DataFrame:
     return named.where("kind = 0").unionByName(merged).select("doc_id", "text_key", "lo", "n")
 
 
+def repeats(docs: DataFrame) -> DataFrame:
+    """doc_id (a null one as NULL_ID), text_key, lo, n: windows lo .. lo + n - 1 (bytes) of the document occur earlier."""
+    return _repeats(_rows(docs))
+
+
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of docs.
 
     Earlier means a smaller doc_id (null: before all), or the same document at an earlier start; documents that
     share a doc_id but not the text stand in the order of their text's hash; rows repeated in full are one document
     and get the same result each. A null or short text loses nothing; an empty table gives no rows; other columns
-    are ignored.
+    are ignored. Both joins take the texts from the same exchange, so they are shuffled once.
     """
-    found = repeats(docs).groupBy(F.col("doc_id").alias("r_id"), F.col("text_key").alias("r_key")).agg(F.collect_list(F.struct("lo", "n")).alias("r"))
-    rows = keyed(docs)
-    joined = rows.join(found, (F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("r_id")) & (F.col("text_key") == F.col("r_key")), "left")
-    return joined.select("doc_id", "text", F.col("r.lo").alias("los"), F.col("r.n").alias("ns")).mapInArrow(_finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    rows = _rows(docs)
+    found = _repeats(rows).groupBy(F.col("doc_id").alias("r_id"), F.col("text_key").alias("r_key")).agg(F.collect_list(F.struct("lo", "n")).alias("r"))
+    joined = rows.join(found, (F.col("doc_id") == F.col("r_id")) & (F.col("text_key") == F.col("r_key")), "left")
+    doc_id = F.nullif(F.col("doc_id"), F.lit(NULL_ID)).alias("doc_id")
+    return joined.select(doc_id, "text", F.col("r.lo").alias("los"), F.col("r.n").alias("ns")).mapInArrow(_finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
