@@ -7,13 +7,19 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 HIDDEN = frozenset(("script", "style", "noscript"))
 
-PAGE = "struct<title:string,h1:string,text:string,clean:string,links:array<string>,metas:map<string,string>,ld_json:array<string>,paragraphs:array<string>,images:array<string>>"
+_STRINGS = T.ArrayType(T.StringType())
+PAGE = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("title", "h1", "text", "clean")]
+    + [T.StructField("links", _STRINGS), T.StructField("metas", T.MapType(T.StringType(), T.StringType()))]
+    + [T.StructField(n, _STRINGS) for n in ("ld_json", "paragraphs", "images")]
+)
 
 
 class _Page(HTMLParser):

@@ -8,6 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Unit patterns in their order; the first that matches decides. (?U) gives Unicode classes.
 UNIT_PATTERNS = (
@@ -63,7 +64,7 @@ def title_without_site(c: Column) -> Column:
     return strip(F.regexp_replace(c, r"(?iU)\s*[|\-–—]\s*(NPY|Noticias del Paraguay).*$", ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _fold(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
 

@@ -8,6 +8,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Fixed values.
 TRACKING = (
@@ -77,7 +78,7 @@ def request_key(url: Column, params: Column, headers: Column | None = None) -> C
     return F.concat_ws("\n", url, sorted_json(params), sorted_json(headers if headers is not None else empty))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def join(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series([None if h is None else urljoin(b or "", h) for b, h in zip(base, href)])
 

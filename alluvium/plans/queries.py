@@ -5,15 +5,310 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import text as X
+from ..functions import url as U
+from ..functions import values as V
+from ..functions.html import page
+from ..operators import frontier, gold, store
 
-def gold_fact_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def _query(sql: str | None = None):
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: events stand in for silver products.
+_S = """WITH s AS (SELECT event_id AS id, event_type AS source,
+  CASE WHEN user_id % 10 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS sku,
+  CAST(floor(value / 50) * 50 AS DECIMAL(12,2)) AS price, date_trunc('day', ts) AS created_at FROM events) """
+
+
+def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"),
+        F.col("event_type").alias("source"),
+        F.when(F.col("user_id") % 10 != 0, F.col("user_id").cast("string")).alias("sku"),
+        (F.floor(F.col("value") / 50) * 50).cast("decimal(12,2)").alias("price"),
+        F.date_trunc("day", "ts").alias("created_at"),
+    )
+
+
+@_query(_S + """SELECT source, sku, arg_max(price, (created_at, id)) AS latest_price, min(created_at) AS first_seen_at,
+  max(created_at) AS last_seen_at FROM s WHERE sku IS NOT NULL GROUP BY source, sku""")
+def gold_dim_product(spark, sf_dir):
+    return gold.dim_product(_silver(spark, sf_dir), ("price",)).withColumnRenamed("price", "latest_price")
+
+
+_CHANGES = """SELECT *, lag(price) OVER (PARTITION BY source, sku ORDER BY created_at, id) AS prev,
+  row_number() OVER (PARTITION BY source, sku ORDER BY created_at, id) AS n FROM s WHERE sku IS NOT NULL AND price IS NOT NULL"""
+
+
+@_query(_S + f"SELECT source, sku, id, price, created_at FROM ({_CHANGES}) WHERE n = 1 OR price IS DISTINCT FROM prev")
+def gold_price_changes(spark, sf_dir):
+    return gold.price_changes(_silver(spark, sf_dir)).select("source", "sku", "id", "price", "created_at")
+
+
+@_query(_S + f"""SELECT source, sku, id, price, created_at AS observed_at FROM (SELECT *, row_number() OVER (PARTITION BY source, sku, created_at ORDER BY id) AS rn
+  FROM ({_CHANGES}) WHERE n = 1 OR price IS DISTINCT FROM prev) WHERE rn = 1""")
+def gold_fact_price(spark, sf_dir):
+    return gold.fact_price(_silver(spark, sf_dir)).select("source", "sku", "id", "price", "observed_at")
+
+
+@_query(_S + "SELECT source, count(*) AS facts FROM (SELECT DISTINCT source, sku FROM s WHERE sku IS NOT NULL) GROUP BY source")
+def gold_keyed_dim(spark, sf_dir):
+    silver = _silver(spark, sf_dir)
+    dim = gold.with_product_keys(gold.dim_product(silver, ("price",)))
+    return dim.groupBy("source").agg(F.countDistinct("product_key").alias("facts"))
+
+
+@_query(_S + "SELECT count(*) FILTER (WHERE sku IS NULL) AS null_skus FROM s")
+def gold_null_sku_count(spark, sf_dir):
+    return _silver(spark, sf_dir).agg(F.count_if(F.col("sku").isNull()).alias("null_skus"))
+
+
+def _pages(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.when(F.col("page_id") % 2 == 0, "a").otherwise("b").alias("source"), "url")
+
+
+def _parsed(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").where("doc_id % 3 = 0").select(F.col("doc_id").alias("bronze_id"), F.when(F.col("doc_id") % 4 < 2, "a").otherwise("b").alias("source"))
+
+
+_UNPARSED = """WITH b AS (SELECT page_id AS id, CASE WHEN page_id % 2 = 0 THEN 'a' ELSE 'b' END AS source, url FROM pages),
+  s AS (SELECT doc_id AS bronze_id, CASE WHEN doc_id % 4 < 2 THEN 'a' ELSE 'b' END AS source FROM documents WHERE doc_id % 3 = 0)
+  SELECT id, source, url FROM b WHERE source = 'a' AND NOT EXISTS (SELECT 1 FROM s WHERE s.bronze_id = b.id AND s.source = 'a')"""
+
+
+@_query(_UNPARSED)
+def bronze_unparsed(spark, sf_dir):
+    return store.unparsed(_pages(spark, sf_dir), _parsed(spark, sf_dir), "a").select("id", "source", "url")
+
+
+@_query("""SELECT DISTINCT event_type || '/' || CAST(user_id AS VARCHAR) AS request_url, CAST(user_id % 7 AS VARCHAR) AS page FROM events
+  WHERE event_type = 'click' AND ts >= TIMESTAMP '2024-01-01' AND user_id % 5 <> 0""")
+def bronze_visited(spark, sf_dir):
+    b = _t(spark, sf_dir, "events").select(
+        F.col("event_type").alias("source"),
+        F.concat_ws("/", "event_type", F.col("user_id").cast("string")).alias("request_url"),
+        F.create_map(F.lit("page"), (F.col("user_id") % 7).cast("string")).alias("request_params"),
+        F.when(F.col("user_id") % 5 == 0, 503).otherwise(200).alias("status_code"),
+        F.col("ts").alias("created_at"),
+    )
+    return store.visited(b, "click", F.lit("2024-01-01").cast("timestamp")).select("request_url", F.col("request_params")["page"].alias("page"))
+
+
+@_query("""SELECT event_id, CASE WHEN user_id % 4 = 0 THEN 'failed' WHEN event_type <> 'click' THEN 'html' END AS target FROM events""")
+def bronze_route_snapshots(spark, sf_dir):
+    status = F.when(F.col("user_id") % 4 == 0, 503).otherwise(200)
+    return _t(spark, sf_dir, "events").select("event_id", store.route(status, F.col("event_type") != "click", "html").alias("target"))
+
+
+@_query("SELECT * FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey = 3")
+def store_fetch_filtered(spark, sf_dir):
+    return store.fetch(_t(spark, sf_dir, "customer"), c_mktsegment="BUILDING", c_nationkey=3)
+
+
+@_query(_S + "SELECT id, source, price FROM s WHERE sku IS NULL")
+def store_fetch_null(spark, sf_dir):
+    return store.fetch(_silver(spark, sf_dir), sku=None).select("id", "source", "price")
+
+
+@_query("SELECT p_partkey, coalesce(CASE WHEN p_size > 25 THEN 'USD' END, 'PYG') AS currency FROM part")
+def store_append_defaults(spark, sf_dir):
+    rows = _t(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_size") > 25, "USD").alias("currency"))
+    return store.with_defaults(rows, {"currency": F.lit("PYG")})
+
+
+@_query("""WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 3 <> 0),
+  r AS (SELECT c_custkey, 'new' AS c_name, c_acctbal + 1 AS c_acctbal FROM customer WHERE c_custkey % 2 = 0)
+  SELECT coalesce(t.c_custkey, r.c_custkey) AS c_custkey, CASE WHEN t.c_custkey IS NULL THEN r.c_name ELSE t.c_name END AS c_name,
+  CASE WHEN r.c_custkey IS NULL THEN t.c_acctbal ELSE r.c_acctbal END AS c_acctbal FROM t FULL JOIN r ON t.c_custkey = r.c_custkey""")
+def store_upsert_update(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer")
+    t = c.where("c_custkey % 3 <> 0").select("c_custkey", "c_name", "c_acctbal")
+    r = c.where("c_custkey % 2 = 0").select("c_custkey", F.lit("new").alias("c_name"), (F.col("c_acctbal") + 1).alias("c_acctbal"))
+    return store.upsert_update(t, r, ["c_custkey"], ["c_acctbal"])
+
+
+@_query("""WITH t AS (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_custkey % 2 = 0 GROUP BY o_custkey),
+  r AS (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_orderkey % 3 = 0 GROUP BY o_custkey)
+  SELECT * FROM t UNION ALL SELECT * FROM r WHERE o_custkey NOT IN (SELECT o_custkey FROM t)""")
+def store_upsert_nothing(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders")
+    t = o.where("o_custkey % 2 = 0").groupBy("o_custkey").agg(F.min("o_orderkey").alias("o_orderkey"))
+    return store.upsert_nothing(t, o.where("o_orderkey % 3 = 0").select("o_custkey", "o_orderkey"), ["o_custkey"], ["o_orderkey"])
+
+
+@_query("SELECT event_id, coalesce(json_extract_string(props, '$.k'), '') AS content_type FROM events")
+def header_backfill(spark, sf_dir):
+    headers = F.from_json("props", "map<string,string>")
+    return _t(spark, sf_dir, "events").select("event_id", F.coalesce(F.try_element_at(headers, F.lit("k")), F.lit("")).alias("content_type"))
+
+
+_ENQ = "CASE WHEN regexp_matches(p, '(?i)\\.(jpg|jpeg|png|gif|webp|svg|ico|pdf|zip|mp3|mp4|avi|css|js|woff|woff2|ttf|xml)$') THEN FALSE WHEN len(sg) <> len(list_distinct(sg)) THEN FALSE ELSE len(sg) > 0 END"
+
+
+@_query(f"""SELECT page_id, {_ENQ} AS enqueue FROM (SELECT page_id, p, list_filter(string_split(p, '/'), lambda x: x <> '') AS sg
+  FROM (SELECT page_id, regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1) AS p FROM pages))""")
+def frontier_enqueue(spark, sf_dir):
+    u = F.col("url")
+    return _t(spark, sf_dir, "pages").select("page_id", (~U.extension(u).isin(*U.SKIP_EXTENSIONS) & ~U.repeats_segment(u) & (F.size(U.segments(u)) > 0)).alias("enqueue"))
+
+
+@_query("SELECT page_id, regexp_matches(url, '[13579]$') OR regexp_matches(url, 'utm_') AS persist FROM pages")
+def frontier_persist(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", U.should_persist(F.col("url"), ("[13579]$", "utm_")).alias("persist"))
+
+
+@_query("""WITH RECURSIVE e AS (SELECT c_custkey AS src, c_custkey * 2 AS dst FROM customer UNION ALL SELECT c_custkey, CAST(c_custkey * 3 % 101 AS BIGINT) FROM customer),
+  r(node) AS (SELECT CAST(1 AS BIGINT) UNION SELECT e.dst FROM r JOIN e ON e.src = r.node) SELECT node FROM r""")
+def frontier_bfs(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer")
+    edges = c.select(F.col("c_custkey").alias("src"), (F.col("c_custkey") * 2).alias("dst")).union(c.select("c_custkey", (F.col("c_custkey") * 3 % 101).alias("dst")))
+    return frontier.reachable(edges, spark.range(1, 2).withColumnRenamed("id", "node"), lambda df, level: df.checkpoint() if spark.sparkContext.getCheckpointDir() else df.cache()).select("node")
+
+
+@_query()
+def url_canonicalize(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", U.canonical(F.col("url")).alias("canonical"))
+
+
+@_query()
+def page_links(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", "url", F.posexplode(page("html")["links"]).alias("nth", "href")).select("page_id", "nth", U.join("url", "href").alias("link"))
+
+
+@_query()
+def pages_text(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", page("html").alias("p")).select("page_id", "p.title", "p.h1", "p.text")
+
+
+@_query()
+def pages_clean(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", page("html")["clean"].alias("clean"))
+
+
+@_query("SELECT r_regionkey, unnest(generate_series(2, r_regionkey * 2)) AS page FROM region")
+def pagination_pages(spark, sf_dir):
+    total = (F.col("r_regionkey") * 2).cast("int")
+    return _t(spark, sf_dir, "region").select("r_regionkey", F.explode((frontier.pages_after_first(total, F.lit(1))).cast("array<bigint>")).alias("page"))
+
+
+@_query("SELECT r_regionkey, unnest(range(50, r_regionkey * 60, 50)) AS skip FROM region")
+def pagination_offsets(spark, sf_dir):
+    count = (F.col("r_regionkey") * 60).cast("int")
+    return _t(spark, sf_dir, "region").select("r_regionkey", F.explode((frontier.offsets_by_count(count, F.lit(0), 50)).cast("array<bigint>")).alias("skip"))
+
+
+@_query("SELECT r_regionkey, o FROM (SELECT r_regionkey, unnest(list_transform(range(1, 6), lambda k: 9200 + r_regionkey * 100 + k * 100)) AS o FROM region) WHERE o + 100 <= 10000")
+def pagination_speculative(spark, sf_dir):
+    at = (F.lit(9200) + F.col("r_regionkey") * 100).cast("int")
+    return _t(spark, sf_dir, "region").select("r_regionkey", F.explode((frontier.speculative_offsets(at, F.lit(100), 100, 5, 10_000)).cast("array<bigint>")).alias("o"))
+
+
+_NAME = "p_name || ' ' || CAST(p_size AS VARCHAR) || CASE p_partkey % 7 WHEN 0 THEN ' KG' WHEN 1 THEN 'lt' WHEN 2 THEN ' ml' WHEN 3 THEN 'GRS' WHEN 4 THEN 'cc' WHEN 5 THEN 'UN' ELSE ' L' END"
+
+
+@_query("SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN 'kg' WHEN 1 THEN 'l' WHEN 2 THEN 'ml' WHEN 3 THEN 'g' WHEN 4 THEN 'cc' WHEN 6 THEN 'l' END AS unit FROM part")
+def unit_from_name(spark, sf_dir):
+    return _t(spark, sf_dir, "part").select("p_partkey", X.unit_from_name(F.expr(_NAME.replace("VARCHAR", "STRING"))).alias("unit"))
+
+
+@_query("SELECT p_partkey, CAST(CAST(floor(p_retailprice * 1000) AS BIGINT) AS DECIMAL(12,2)) AS price FROM part")
+def price_from_text(spark, sf_dir):
+    dotted = F.regexp_replace(F.floor(F.col("p_retailprice") * 1000).cast("string"), r"(?<=\d)(?=(\d{3})+$)", ".")
+    return _t(spark, sf_dir, "part").select("p_partkey", V.price_from_text(F.concat(F.lit("Precio ₲. "), dotted, F.lit(" c/u"))).alias("price"))
+
+
+@_query("SELECT p_partkey, CAST(CAST(p_size AS DECIMAL(20,6)) / CASE p_partkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 10 ELSE 100 END AS DECIMAL(12,2)) AS price FROM part")
+def price_minor_units(spark, sf_dir):
+    return _t(spark, sf_dir, "part").select("p_partkey", V.price_minor_units(F.col("p_size").cast("string"), F.col("p_partkey") % 3).alias("price"))
+
+
+@_query("SELECT p_partkey, CAST(nullif(trunc(CASE WHEN p_partkey % 2 = 0 AND p_size % 3 <> 0 THEN p_size ELSE p_retailprice END), 0) AS DECIMAL(12,2)) AS price FROM part")
+def price_offer_rule(spark, sf_dir):
+    offer = F.when(F.col("p_size") % 3 != 0, F.col("p_size").cast("double")).otherwise(F.lit(0.0))
+    return _t(spark, sf_dir, "part").select("p_partkey", V.price_offer(F.col("p_retailprice"), offer, F.col("p_partkey") % 2 == 0).alias("price"))
+
+
+@_query("SELECT p_partkey, CAST(coalesce(CASE WHEN p_partkey % 2 = 0 THEN p_size % 5 END, p_size) AS DECIMAL(12,2)) AS price FROM part")
+def price_promo_rule(spark, sf_dir):
+    promo = F.when(F.col("p_partkey") % 2 == 0, F.col("p_size") % 5)
+    return _t(spark, sf_dir, "part").select("p_partkey", V.price_promo(F.col("p_size"), promo).alias("price"))
+
+
+@_query("SELECT p_partkey, trim(regexp_replace(lower(strip_accents(p_name || ' Ñandú')), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM part")
+def slugify_name(spark, sf_dir):
+    return _t(spark, sf_dir, "part").select("p_partkey", X.slugify(F.concat("p_name", F.lit(" Ñandú"))).alias("slug"))
+
+
+@_query("SELECT o_orderkey, date_trunc('day', o_orderdate) + INTERVAL 15 HOUR + INTERVAL 5 MINUTE AS published_at FROM orders")
+def spanish_date(spark, sf_dir):
+    d = F.col("o_orderdate")
+    month = F.element_at(F.array(*[F.lit(m.capitalize()) for m in V.MONTHS]), F.month(d))
+    shown = F.concat(F.lit("Publicado: "), month, F.lit(" "), F.dayofmonth(d).cast("string"), F.lit(", "), F.year(d).cast("string"), F.lit(" 03:05 p. m."))
+    return _t(spark, sf_dir, "orders").select("o_orderkey", V.spanish_date(shown).alias("published_at"))
+
+
+@_query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '2020-01-02 06:04:05' ELSE date_trunc('day', o_orderdate) END AS published_at FROM orders")
+def date_coalesce(spark, sf_dir):
+    first = F.when(F.col("o_orderkey") % 3 == 0, "2020-01-02T03:04:05-03:00").otherwise("not a date")
+    second = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return _t(spark, sf_dir, "orders").select("o_orderkey", F.coalesce(V.iso_timestamp(first), V.iso_timestamp(second)).alias("published_at"))
+
+
+@_query("SELECT l_orderkey, l_partkey, l_quantity FROM lineitem")
+def json_items_explode(spark, sf_dir):
+    item = F.struct("l_partkey", "l_quantity")
+    bodies = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("body"))
+    items = F.from_json("body", "items array<struct<l_partkey:bigint,l_quantity:double>>")["items"]
+    return bodies.select("l_orderkey", F.inline(items))
+
+
+@_query("SELECT p_partkey, CASE WHEN p_partkey % 3 = 2 THEN NULL ELSE p_brand END AS brand FROM part")
+def json_polymorphic_brand(spark, sf_dir):
+    body = F.when(F.col("p_partkey") % 3 == 0, F.to_json(F.struct(F.struct(F.col("p_brand").alias("name")).alias("brand")))).when(F.col("p_partkey") % 3 == 1, F.to_json(F.struct(F.col("p_brand").alias("brand")))).otherwise('{"brand": [1]}')
+    v = F.try_parse_json(body)
+    kind = F.schema_of_variant(F.try_variant_get(v, "$.brand", "variant"))
+    brand = F.when(kind == "STRING", F.try_variant_get(v, "$.brand", "string")).when(kind.startswith("OBJECT"), F.try_variant_get(v, "$.brand.name", "string"))
+    return _t(spark, sf_dir, "part").select("p_partkey", X.strip_or_null(brand).alias("brand"))
+
+
+@_query("SELECT event_id, array_to_string(CASE WHEN user_id % 3 = event_id % 2 THEN ['http://i/' || (user_id % 3)] ELSE ['http://i/' || (user_id % 3), 'http://i/' || (event_id % 2)] END, ' ') AS images FROM events")
+def images_dedup(spark, sf_dir):
+    u = lambda c: F.concat(F.lit("http://i/"), c.cast("string"))
+    inline, promo = F.array(u(F.col("user_id") % 3), F.lit("")), F.array(u(F.col("event_id") % 2), u(F.col("user_id") % 3))
+    return _t(spark, sf_dir, "events").select("event_id", F.array_join(U.ordered_distinct(inline, promo), " ").alias("images"))
+
+
+@_query("SELECT doc_id, array_to_string(list_filter(list_transform(string_split(source || ', ,' || coalesce(lang, ''), ','), lambda x: trim(x)), lambda x: x <> ''), '|') AS tags FROM documents")
+def keywords_split(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", F.array_join(X.keywords(F.concat("source", F.lit(", ,"), F.coalesce("lang", F.lit("")))), "|").alias("tags"))
+
+
+@_query("SELECT source, count(*) AS processed, count(*) FILTER (WHERE n_chars < 200) AS skipped, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY source")
+def run_counters(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("processed"), F.count_if(F.col("n_chars") < 200).alias("skipped"), F.sum("n_chars").alias("chars"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)

@@ -1,23 +1,21 @@
-"""Table schemas of the bronze, silver and gold layers."""
+"""Table schemas of the bronze, silver and gold layers, as DDL."""
 
-from pyspark.sql import types as T
-
-SNAPSHOT = T.StructType.fromDDL(
+SNAPSHOT = (
     "id BIGINT NOT NULL, source STRING NOT NULL, request_url STRING NOT NULL, request_headers MAP<STRING,STRING> NOT NULL, "
     "request_params MAP<STRING,STRING> NOT NULL, status_code INT NOT NULL, response_headers MAP<STRING,STRING> NOT NULL, "
     "content_type STRING NOT NULL, body STRING NOT NULL, created_at TIMESTAMP_NTZ NOT NULL"
 )
-ARTICLE = T.StructType.fromDDL(
+ARTICLE = (
     "id BIGINT, bronze_id BIGINT, source STRING, source_url STRING, title STRING, body STRING, authors ARRAY<STRING>, "
     "published_at TIMESTAMP_NTZ, section STRING, tags ARRAY<STRING>, image_urls ARRAY<STRING>, created_at TIMESTAMP_NTZ"
 )
-PRODUCT = T.StructType.fromDDL(
+PRODUCT = (
     "id BIGINT, bronze_id BIGINT, source STRING, source_url STRING, sku STRING, name STRING, brand STRING, "
     "price DECIMAL(12,2), currency STRING, unit STRING, image_urls ARRAY<STRING>, created_at TIMESTAMP_NTZ"
 )
-DIM_PRODUCT = T.StructType.fromDDL(
+DIM_PRODUCT = (
     "product_key BIGINT, source STRING, sku STRING, name STRING, brand STRING, unit STRING, currency STRING, "
     "image_urls ARRAY<STRING>, first_seen_at TIMESTAMP_NTZ, last_seen_at TIMESTAMP_NTZ"
 )
-FACT_PRICE = T.StructType.fromDDL("id BIGINT, product_key BIGINT, price DECIMAL(12,2), currency STRING, observed_at TIMESTAMP_NTZ, bronze_id BIGINT")
+FACT_PRICE = ("id BIGINT, product_key BIGINT, price DECIMAL(12,2), currency STRING, observed_at TIMESTAMP_NTZ, bronze_id BIGINT")
 DEFAULT_CURRENCY = "PYG"
