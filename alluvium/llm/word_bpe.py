@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,14 @@ from .pretoken import CaselessWords, default_path
 BLOCKS = 2
 
 
+def _packed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def _unpacked(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def _by_bucket(words: set[str], buckets: int) -> dict[int, list[str]]:
     """The same lists in the same order wherever the same texts meet."""
     out: dict[int, list[str]] = {}
@@ -41,7 +50,7 @@ def _distinct(path: str, buckets: int):
         for block in sorted(found):
             rows = _by_bucket(found.pop(block), buckets)
             yield pa.record_batch(
-                [pa.array(list(rows), pa.int32()), pa.array([block] * len(rows), pa.int32()), pa.array(["\n".join(w) for w in rows.values()], pa.large_string()).cast(pa.string())],
+                [pa.array(list(rows), pa.int32()), pa.array([block] * len(rows), pa.int32()), pa.array([_packed("\n".join(w).encode("utf-8", "surrogatepass")) for w in rows.values()], pa.binary())],
                 ["bucket", "block", "words"],
             )
 
@@ -54,7 +63,7 @@ def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, rows = CaselessWords(path), []
         for batch in batches:
-            rows += zip(*(batch.column(i).to_pylist() for i in range(3)))
+            rows += [(a, b, _unpacked(w).decode("utf-8", "surrogatepass")) for a, b, w in zip(*(batch.column(i).to_pylist() for i in range(3)))]
         by_bucket: dict[int, list] = {}
         for bucket, block, words in rows:
             by_bucket.setdefault(bucket, []).append((block, words))
@@ -71,7 +80,7 @@ def _encode(path: str):
                 packed = np.frombuffer(b"".join(ids), "<u4")
                 small = lambda a: a.astype("<u2").tobytes() if not len(a) or a.max() < 65536 else b"\0" + a.tobytes()
                 yield pa.record_batch(
-                    [pa.array([block], pa.int32()), pa.array([bucket], pa.int32()), pa.array([small(counts)], pa.binary()), pa.array([small(packed)], pa.binary())],
+                    [pa.array([block], pa.int32()), pa.array([bucket], pa.int32()), pa.array([_packed(small(counts))], pa.binary()), pa.array([_packed(small(packed))], pa.binary())],
                     ["block", "bucket", "counts", "ids"],
                 )
 
@@ -91,7 +100,7 @@ def _assemble(path: str, buckets: int, texts_out: bool):
         ids_of: dict[str, bytes] = {}
         text_of_word: dict[str, str] = {}
         for bucket, counts, ids in zip(*(answers.column(c).to_pylist() for c in ("bucket", "counts", "ids"))):
-            counts, ids = _wide(counts).tolist(), _wide(ids)
+            counts, ids = _wide(_unpacked(counts)).tolist(), _wide(_unpacked(ids))
             flat, raw, at = ids.tolist(), ids.tobytes(), 0
             for w, n in zip(words[bucket], counts, strict=True):
                 ids_of[w] = raw[at * 4 : (at + n) * 4]
@@ -127,7 +136,7 @@ def encode_decode(docs: DataFrame, tokenizer: str | None = None, outputs: bool =
     parts = shuffle_partitions(spark)
     block = F.pmod(F.xxhash64(F.lit("block"), F.col("doc_id"), F.xxhash64(text_of())), F.lit(parts * BLOCKS)).cast("int")
     dealt = docs.select(block.alias("block"), F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).repartition(parts, "block")
-    words = dealt.mapInArrow(_distinct(path, parts), "bucket int, block int, words string")
+    words = dealt.mapInArrow(_distinct(path, parts), "bucket int, block int, words binary")
     answers = words.repartitionById(parts, F.col("bucket")).mapInArrow(_encode(path), "block int, bucket int, counts binary, ids binary")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * outputs
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_assemble(path, parts, outputs), schema)
