@@ -12,12 +12,12 @@ from pyspark.sql.types import StringType
 
 # Unit patterns in their order; the first that matches decides. (?U) gives Unicode classes.
 UNIT_PATTERNS = (
-    (r"(?iU)(\d+[.,]?\d*\s*|x\s*)(kg|kilos?)\b|\bkilo\b", "kg"),
-    (r"(?iU)\d+[.,]?\d*\s*(lts?|litros?)\b", "l"),
-    (r"(?iU)\d+[.,]?\d*\s*l\b", "l"),
-    (r"(?iU)\d+[.,]?\d*\s*ml\b", "ml"),
-    (r"(?iU)\d+[.,]?\d*\s*(g|gr|grs|gramos)\b", "g"),
-    (r"(?iU)\d+[.,]?\d*\s*cc\b", "cc"),
+    (r"(?iU)\b(?:x\s*kg|kilos?|\d+\s*kg)\b\.?", "kg"),
+    (r"(?iU)\b\d+(?:[.,]\d+)?\s*lts?\b\.?", "l"),
+    (r"(?iU)\b\d+(?:[.,]\d+)?\s*l\b\.?", "l"),
+    (r"(?iU)\b\d+(?:[.,]\d{1,3})?\s*ml\b\.?", "ml"),
+    (r"(?iU)\b\d+\s*(?:gramos?|gr?s?)\b\.?", "g"),
+    (r"(?iU)\b\d+\s*cc\b\.?", "cc"),
 )
 
 

@@ -12,13 +12,13 @@ from pyspark.sql.types import StringType
 
 # Fixed values.
 TRACKING = (
-    "utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "utm_id", "gclid", "fbclid",
-    "msclkid", "mc_cid", "mc_eid", "igshid", "ref", "ref_src", "_ga", "yclid",
+    "utm_source", "utm_medium", "utm_campaign", "utm_content", "utm_term", "utm_id", "utm_name", "utm_reader",
+    "fbclid", "gclid", "mc_eid", "mc_cid", "yclid", "msclkid", "_ga", "_gl",
 )
 SKIP_EXTENSIONS = (
-    ".jpg", ".jpeg", ".png", ".gif", ".webp", ".svg", ".ico", ".pdf", ".zip", ".mp3", ".mp4", ".avi", ".css", ".js", ".woff", ".woff2", ".ttf", ".xml",
+    ".pdf", ".jpg", ".jpeg", ".png", ".gif", ".svg", ".webp", ".css", ".js", ".zip", ".mp4", ".mp3", ".ico", ".woff", ".woff2", ".rss", ".xml", ".atom",
 )
-IMAGE_BLACKLIST = ("logo", "icon", "avatar", "placeholder", "sprite", "banner", "pixel", "blank", "default")
+IMAGE_BLACKLIST = ("logo", "icon", "avatar", "emoji", "gravatar", "sprite", "pixel", "tracking", "badge")
 
 _PARTS = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 

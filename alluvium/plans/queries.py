@@ -160,7 +160,7 @@ def header_backfill(spark, sf_dir):
     return _t(spark, sf_dir, "events").select("event_id", F.coalesce(F.try_element_at(headers, F.lit("k")), F.lit("")).alias("content_type"))
 
 
-_ENQ = "CASE WHEN regexp_matches(p, '(?i)\\.(jpg|jpeg|png|gif|webp|svg|ico|pdf|zip|mp3|mp4|avi|css|js|woff|woff2|ttf|xml)$') THEN FALSE WHEN len(sg) <> len(list_distinct(sg)) THEN FALSE ELSE len(sg) > 0 END"
+_ENQ = "CASE WHEN regexp_matches(p, '(?i)\\.(pdf|jpg|jpeg|png|gif|svg|webp|css|js|zip|mp4|mp3|ico|woff|woff2|rss|xml|atom)$') THEN FALSE WHEN len(sg) <> len(list_distinct(sg)) THEN FALSE ELSE len(sg) > 0 END"
 
 
 @_query(f"""SELECT page_id, {_ENQ} AS enqueue FROM (SELECT page_id, p, list_filter(string_split(p, '/'), lambda x: x <> '') AS sg
