@@ -8,7 +8,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 # Fixed values.
 TRACKING = (
@@ -83,9 +83,18 @@ def join(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series([None if h is None else urljoin(b or "", h) for b, h in zip(base, href)])
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def join_all(base: pd.Series, hrefs: pd.Series) -> pd.Series:
+    return pd.Series([[] if hs is None else [urljoin(b or "", h) for h in hs] for b, hs in zip(base, hrefs)], dtype=object)
+
+
+def images_kept_any(urls: Column) -> Column:
+    """Without logos, icons and the like; nulls go."""
+    return F.filter(urls, lambda u: u.isNotNull() & ~F.lower(u).rlike("|".join(IMAGE_BLACKLIST)))
+
+
 def images_kept(urls: Column) -> Column:
-    bad = "|".join(IMAGE_BLACKLIST)
-    return F.filter(urls, lambda u: u.startswith("http") & ~F.lower(u).rlike(bad))
+    return F.filter(images_kept_any(urls), lambda u: u.startswith("http"))
 
 
 def ordered_distinct(*arrays: Column) -> Column:

@@ -49,7 +49,7 @@ def iso_timestamp(c: Column) -> Column:
 
 def spanish_date(c: Column) -> Column:
     """`Mes d, yyyy [hh:mm [a. m.|p. m.]]`; null where it names no date."""
-    p = r"(?i)(" + "|".join(MONTHS) + r")\s+(\d{1,2}),\s*(\d{4})(?:\s+(\d{1,2}):(\d{2})(?:\s*([ap])\.?\s*m\.?)?)?"
+    p = r"(?iU)\b(" + "|".join(MONTHS) + r")\s+(\d{1,2}),\s+(\d{4})(?:\s+(\d{1,2}):(\d{2})(?:\s*([ap])\.?\s*m\.?)?)?"
     g = lambda n: F.regexp_extract(c, p, n)
     month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(g(1)))
     hour, half = F.coalesce(g(4).try_cast("int"), F.lit(0)), F.lower(g(6))
