@@ -88,6 +88,24 @@ def join_all(base: pd.Series, hrefs: pd.Series) -> pd.Series:
     return pd.Series([[] if hs is None else [urljoin(b or "", h) for h in hs] for b, hs in zip(base, hrefs)], dtype=object)
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def join_site(page: pd.Series, site: pd.Series, hrefs: pd.Series) -> pd.Series:
+    """Links as a browser sees them from the page, but bare relative ones from the site's root; blank ones go."""
+
+    def joined(p: str, s: str, href: str) -> str | None:
+        rooted = href[0] in "/?#" or ":" in href.split("/", 1)[0]
+        try:
+            return urljoin(p if rooted else s.rstrip("/") + "/", href)
+        except ValueError:
+            return None
+
+    def all_of(p, s, hs) -> list[str]:
+        found = (joined(p or "", s, h.strip()) for h in hs if h and h.strip())
+        return [u for u in found if u]
+
+    return pd.Series([[] if hs is None else all_of(p, s, hs) for p, s, hs in zip(page, site, hrefs)], dtype=object)
+
+
 def images_kept_any(urls: Column) -> Column:
     """Without logos, icons and the like; nulls go."""
     return F.filter(urls, lambda u: u.isNotNull() & ~F.lower(u).rlike("|".join(IMAGE_BLACKLIST)))
