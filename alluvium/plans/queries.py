@@ -11,7 +11,9 @@ from ..functions import text as X
 from ..functions import url as U
 from ..functions import values as V
 from ..functions.html import page
+from ..functions.select import Pick, cleaned, pick
 from ..operators import frontier, gold, store
+from . import parsing
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -86,11 +88,11 @@ def _pages(spark, sf_dir):
 
 
 def _parsed(spark, sf_dir):
-    return _t(spark, sf_dir, "documents").where("doc_id % 3 = 0").select(F.col("doc_id").alias("bronze_id"), F.when(F.col("doc_id") % 4 < 2, "a").otherwise("b").alias("source"))
+    return _t(spark, sf_dir, "documents").select((F.col("doc_id") * 3).alias("bronze_id"), F.when(F.col("doc_id") % 4 < 2, "a").otherwise("b").alias("source"))
 
 
 _UNPARSED = """WITH b AS (SELECT page_id AS id, CASE WHEN page_id % 2 = 0 THEN 'a' ELSE 'b' END AS source, url FROM pages),
-  s AS (SELECT doc_id AS bronze_id, CASE WHEN doc_id % 4 < 2 THEN 'a' ELSE 'b' END AS source FROM documents WHERE doc_id % 3 = 0)
+  s AS (SELECT doc_id * 3 AS bronze_id, CASE WHEN doc_id % 4 < 2 THEN 'a' ELSE 'b' END AS source FROM documents)
   SELECT id, source, url FROM b WHERE source = 'a' AND NOT EXISTS (SELECT 1 FROM s WHERE s.bronze_id = b.id AND s.source = 'a')"""
 
 
@@ -134,24 +136,22 @@ def store_append_defaults(spark, sf_dir):
     return store.with_defaults(rows, {"currency": F.lit("PYG")})
 
 
-@_query("""WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 3 <> 0),
-  r AS (SELECT c_custkey, 'new' AS c_name, c_acctbal + 1 AS c_acctbal FROM customer WHERE c_custkey % 2 = 0)
+@_query("""WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer),
+  r AS (SELECT s_suppkey * 40 AS c_custkey, s_name AS c_name, s_acctbal AS c_acctbal FROM supplier)
   SELECT coalesce(t.c_custkey, r.c_custkey) AS c_custkey, CASE WHEN t.c_custkey IS NULL THEN r.c_name ELSE t.c_name END AS c_name,
   CASE WHEN r.c_custkey IS NULL THEN t.c_acctbal ELSE r.c_acctbal END AS c_acctbal FROM t FULL JOIN r ON t.c_custkey = r.c_custkey""")
 def store_upsert_update(spark, sf_dir):
-    c = _t(spark, sf_dir, "customer")
-    t = c.where("c_custkey % 3 <> 0").select("c_custkey", "c_name", "c_acctbal")
-    r = c.where("c_custkey % 2 = 0").select("c_custkey", F.lit("new").alias("c_name"), (F.col("c_acctbal") + 1).alias("c_acctbal"))
+    t = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    r = _t(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 40).alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_acctbal").alias("c_acctbal"))
     return store.upsert_update(t, r, ["c_custkey"], ["c_acctbal"])
 
 
-@_query("""WITH t AS (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_custkey % 2 = 0 GROUP BY o_custkey),
-  r AS (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_orderkey % 3 = 0 GROUP BY o_custkey)
+@_query("""WITH t AS (SELECT c_custkey * 2 AS o_custkey, c_custkey AS o_orderkey FROM customer),
+  r AS (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders GROUP BY o_custkey)
   SELECT * FROM t UNION ALL SELECT * FROM r WHERE o_custkey NOT IN (SELECT o_custkey FROM t)""")
 def store_upsert_nothing(spark, sf_dir):
-    o = _t(spark, sf_dir, "orders")
-    t = o.where("o_custkey % 2 = 0").groupBy("o_custkey").agg(F.min("o_orderkey").alias("o_orderkey"))
-    return store.upsert_nothing(t, o.where("o_orderkey % 3 = 0").select("o_custkey", "o_orderkey"), ["o_custkey"], ["o_orderkey"])
+    t = _t(spark, sf_dir, "customer").select((F.col("c_custkey") * 2).alias("o_custkey"), F.col("c_custkey").alias("o_orderkey"))
+    return store.upsert_nothing(t, _t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), ["o_custkey"], ["o_orderkey"])
 
 
 @_query("SELECT event_id, coalesce(json_extract_string(props, '$.k'), '') AS content_type FROM events")
@@ -200,7 +200,13 @@ def pages_text(spark, sf_dir):
 
 @_query()
 def pages_clean(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", page("html")["clean"].alias("clean"))
+    return _t(spark, sf_dir, "pages").select("page_id", cleaned(F.col("html")).alias("clean"))
+
+
+@_query("""SELECT page_id, replace(replace(replace(replace(replace(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), '&lt;', '<'), '&gt;', '>'),
+  '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&') AS title FROM pages""")
+def page_titles(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", F.coalesce(F.get(pick(F.col("html"), title=Pick("title", first=True))["title"], F.lit(0)), F.lit("")).alias("title"))
 
 
 @_query("SELECT r_regionkey, unnest(generate_series(2, r_regionkey * 2)) AS page FROM region")
@@ -307,8 +313,8 @@ def run_counters(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | parsing.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | parsing.oracle_sql()
