@@ -13,7 +13,7 @@ leftmost of equals), so equal windows sample the same offset and about one posit
    borders of repeats. They are named by their 100 bytes, merged and sorted among themselves.
 4. Equal neighbours in either order are repeats of the earliest.
 
-Names are 64-bit hashes of the bytes, in any order that puts equals together. Each task drops its own repeats before
+Names are 128-bit hashes of the bytes, in any order that puts equals together. Each task drops its own repeats before
 the shuffle, so a string that all documents hold reaches its bucket once a task.
 """
 
@@ -38,6 +38,7 @@ _SPANS = "doc_id long, text_key long, lo long, n int, kind int"
 _ROWS = "bucket int, kind int, names binary, samples binary, doc_ids binary, text_keys binary, los binary, ns binary"
 _C = np.uint64(0x9E3779B97F4A7C15)
 _D = np.uint64(0xD6E8FEB86659FD93)
+_E = np.uint64(0xA0761D6478BD642F)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -62,17 +63,36 @@ def _hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return four, h
 
 
-def _whole(four: np.ndarray, gram: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Of the 100-byte strings at the positions `at`."""
-    h = _mix(gram[at] * _D + gram[at + 32])
-    h = _mix(h * _D + gram[at + 64])
-    return _mix(h * _D + four[at + 96])
+def _names(parts: list[np.ndarray]) -> np.ndarray:
+    """Two 64-bit hashes, mixed apart, of each row of the parts."""
+    halves = []
+    for by, seed in ((_D, np.uint64(0)), (_E, np.uint64(0x589965CC75374CC3))):
+        h = parts[0] ^ seed
+        for part in parts[1:]:
+            h = _mix(h * by + part)
+        halves.append(_mix(h))
+    return np.stack(halves, axis=1)
+
+
+def _parts(four: np.ndarray, gram: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """What the 100-byte strings at the positions `at` are made of."""
+    return [gram[at], gram[at + 32], gram[at + 64], four[at + 96]]
+
+
+def _changes(name: np.ndarray) -> np.ndarray:
+    """Which rows of sorted names differ from the one before; the first does."""
+    return np.concatenate([[True], (name[1:] != name[:-1]).any(axis=1)])
+
+
+def _order(name: np.ndarray, *then: np.ndarray) -> np.ndarray:
+    """By name, then by the others, the first of them foremost."""
+    return np.lexsort((*then[::-1], name[:, 1], name[:, 0]))
 
 
 def sample_runs(data: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, ...]:
     """(first window, windows, name, sample) of each run; data: bytes, valid: which positions start a window."""
     if len(data) < LENGTH or not valid.any():
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint32))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.uint64), np.zeros(0, np.uint32)
     four, gram = _hashes(data)
     least = (gram >> np.uint64(24) << np.uint64(24)) | np.arange(len(gram), dtype=np.uint64)
     for by in (1, 2, 4, 8, 16, 32):
@@ -83,7 +103,7 @@ def sample_runs(data: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, ...]:
     new = np.flatnonzero(np.concatenate([[True], (chosen[1:] != chosen[:-1]) | (at[1:] != at[:-1] + 1)]))
     lo, hi = at[new], at[np.concatenate([new[1:], [len(at)]]) - 1]
     n = hi - lo + 1
-    name = _mix(_mix(_whole(four, gram, lo) * _D + _whole(four, gram, hi)) * _D + n.astype(np.uint64))
+    name = _names([*_parts(four, gram, lo), *_parts(four, gram, hi), n.astype(np.uint64)])
     sample = (_mix(gram[chosen[new]] * _D + np.uint64(7)) >> np.uint64(32)).astype(np.uint32)
     return lo, n, name, sample
 
@@ -103,10 +123,10 @@ class _Found:
             return
         name, sample, doc_id, text_key, lo, n = (np.concatenate(c) for c in zip(*self.columns))
         self.columns.clear()
-        order = np.lexsort((lo, text_key, doc_id, name))
-        first = np.concatenate([[True], name[order][1:] != name[order][:-1]])
+        order = _order(name, doc_id, text_key, lo)
+        first = _changes(name[order])
         for kind, rows in ((0, order[first]), (1, order[~first])):
-            key = (sample[rows] if by_sample else name[rows]) if kind == 0 else text_key[rows].view(np.uint64)
+            key = (sample[rows] if by_sample else name[rows, 0]) if kind == 0 else text_key[rows].view(np.uint64)
             bucket = (key % np.asarray(buckets, key.dtype)).astype(np.int32)
             rows = rows[np.lexsort((lo[rows], text_key[rows], doc_id[rows], bucket))]
             bucket = np.sort(bucket)
@@ -168,7 +188,7 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[list[np.ndarray], list
         for row in zip(*(c.to_pylist() for c in batch.columns[1:])):
             n = len(row[6])
             cols = [np.frombuffer(x, t or f"<i{len(x) // max(n, 1)}") for x, t in zip(row[1:], types)]
-            cols[4] = cols[4].astype(np.int64)
+            cols[0], cols[4] = cols[0].reshape(-1, 2), cols[4].astype(np.int64)
             kept[row[0]].append(cols)
     merge = lambda rows, at: [np.concatenate([r[i] for r in rows]) if rows else np.zeros(0, types[i] or np.int64) for i in at]
     return merge(kept[0], range(6)), merge(kept[1], range(2, 6))
@@ -188,9 +208,9 @@ def _compared(unsettled: bool):
         yield from _spans(*known, 0)
         if not len(name):
             return
-        order = np.lexsort((lo, text_key, doc_id, name))
+        order = _order(name, doc_id, text_key, lo)
         name, sample, doc_id, text_key, lo, n = (c[order] for c in (name, sample, doc_id, text_key, lo, n))
-        first = np.concatenate([[True], name[1:] != name[:-1]])
+        first = _changes(name)
         head = np.flatnonzero(first)[np.cumsum(first) - 1]
         again = ~first & ~((doc_id == doc_id[head]) & (text_key == text_key[head]) & (lo == lo[head]))  # not the same place of a repeated row
         yield from _spans(doc_id[again], text_key[again], lo[again], n[again], 0)
@@ -219,7 +239,7 @@ def _windows(buckets: int):
                 d, k, lo, n = (np.array(x) for x in zip(*place))
                 start = np.cumsum(sizes) - sizes
                 step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                name = _whole(four, gram, np.repeat(start, n) + step)
+                name = _names(_parts(four, gram, np.repeat(start, n) + step))
                 found.add(name, np.zeros(len(name), np.uint32), np.repeat(d, n), np.repeat(k, n), np.repeat(lo, n) + step, np.ones(len(name), np.int64))
 
             for i, (d, k, text, los, ns) in enumerate(zip(*(c.to_pylist() for c in batch.columns))):
