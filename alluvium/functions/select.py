@@ -6,8 +6,9 @@ lists. There are no child or sibling combinators and no pseudo-classes.
 
 from __future__ import annotations
 
+import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -92,6 +93,7 @@ def tree(html: str | None) -> Node:
     return builder.root
 
 
+@functools.cache
 def compile_selector(selector: str) -> list[list[list[tuple]]]:
     """Alternatives, each a chain of compounds, outermost first."""
     chains = []
@@ -142,9 +144,9 @@ def _chain_fits(node: Node, chain: list[list[tuple]]) -> bool:
     return left < 0
 
 
-def select(root: Node, chains: list[list[list[tuple]]]) -> Iterator[Node]:
-    """Nodes that match, in document order."""
-    return (n for n in root.walk() if isinstance(n, Node) and any(_chain_fits(n, c) for c in chains))
+def select(nodes: Iterable[Node | str], chains: list[list[list[tuple]]]) -> Iterator[Node]:
+    """Those of the nodes that match, in their order."""
+    return (n for n in nodes if isinstance(n, Node) and any(_chain_fits(n, c) for c in chains))
 
 
 @dataclass(frozen=True)
@@ -162,14 +164,14 @@ class Pick:
     raw: bool = False
 
 
-def read(html: str | None, picks: dict[str, Pick], compiled: dict[str, list] | None = None) -> dict[str, list[str]]:
+def read(html: str | None, picks: dict[str, Pick]) -> dict[str, list[str]]:
     root = tree(html)
-    compiled = compiled if compiled is not None else {}
-    of = lambda s: compiled.setdefault(s, compile_selector(s))
+    below = [n for n in root.walk() if isinstance(n, Node)]  # walked once, not once a pick
     out = {}
     for name, p in picks.items():
-        start = next(select(root, of(p.within)), None) if p.within else root
-        nodes = iter(()) if start is None else select(start, of(p.selector)) if p.selector else iter((start,))
+        start = next(select(below, compile_selector(p.within)), None) if p.within else root
+        inside = below if start is root else () if start is None else start.walk()
+        nodes = iter(()) if start is None else select(inside, compile_selector(p.selector)) if p.selector else iter((start,))
         if p.first:
             nodes = iter([n for n in [next(nodes, None)] if n is not None])
         if p.attr:
@@ -180,17 +182,18 @@ def read(html: str | None, picks: dict[str, Pick], compiled: dict[str, list] | N
 
 
 def pick(html: Column, **picks: Pick) -> Column:
-    """A struct with an array of strings for each pick; an empty array where nothing matches or the page is null."""
+    """A struct with an array of strings for each pick; an empty array where nothing matches or the page is null.
+
+    Declared as not deterministic, so a filter on what was read isn't moved below it and no page is parsed twice."""
     for p in picks.values():
         for s in filter(None, (p.selector, p.within)):
             compile_selector(s)
 
     @F.pandas_udf(T.StructType([T.StructField(n, _STRINGS) for n in picks]))
     def run(pages: pd.Series) -> pd.DataFrame:
-        compiled: dict[str, list] = {}
-        return pd.DataFrame([read(h, picks, compiled) for h in pages], columns=list(picks))
+        return pd.DataFrame([read(h, picks) for h in pages], columns=list(picks))
 
-    return run(html)
+    return run.asNondeterministic()(html)
 
 
 def fragment_texts(htmls: Column, sep: str = " ") -> Column:

@@ -26,6 +26,14 @@ def read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(plain).parquet(path) if exists(spark, path) else empty(spark, plain)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """A scan of fewer splits than cores, dealt to all cores before costly work on each row; any other scan as it is.
+
+    For scans and what has no shuffle in it. Spark can't split a file within a row group, so a small file is one task."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     fs, p = _folder(spark, path)
     if not fs.exists(p):

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import tables
 from ..sources import parsers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,7 +16,7 @@ ARTICLE_COLUMNS = ("bronze_id", "source_url", "title", "body", "authors", "publi
 
 
 def _snapshots(rows: DataFrame, key: str, source: str, url: Column, body: Column) -> DataFrame:
-    return rows.select(F.col(key).alias("id"), F.lit(source).alias("source"), url.alias("request_url"), body.alias("body"), F.lit("2024-01-01").cast("timestamp_ntz").alias("created_at"))
+    return tables.spread(rows).select(F.col(key).alias("id"), F.lit(source).alias("source"), url.alias("request_url"), body.alias("body"), F.lit("2024-01-01").cast("timestamp_ntz").alias("created_at"))
 
 
 def _parsed(bronze: DataFrame, source: str) -> DataFrame:
