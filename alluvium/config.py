@@ -105,10 +105,15 @@ def from_mapping(body: dict, store: str) -> Config:
     return _made(Config, {k: v for k, v in body.items() if k not in _BLOCKS} | children, "configuration")
 
 
-def load(path: str | Path) -> Config:
+def store_path() -> str:
     store = os.environ.get(STORE_VARIABLE)
     if not store:
         raise ConfigError(f"{STORE_VARIABLE} is not set")
+    return store
+
+
+def load(path: str | Path) -> Config:
+    store = store_path()
     try:
         import yaml
     except ImportError as e:

@@ -13,7 +13,7 @@ from alluvium.errors import ConfigError, PipelineError
 from alluvium.operators import tables
 from alluvium.plans import pipeline
 from alluvium.schemas import DIM_PRODUCT, FACT_PRICE
-from alluvium.sources import crawl
+from alluvium.sources import crawl, parsers, sites
 from alluvium.sources.http import Response
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the workers can't import this file
@@ -140,3 +140,15 @@ def test_command_line(tmp_path, monkeypatch):
     assert cli.main(["--config", "none.yaml"]) == 2
     monkeypatch.setenv(config.STORE_VARIABLE, str(tmp_path))
     assert cli.main(["--config", "none.yaml"]) == 2
+    assert cli.main(["--source", "none"]) == 2
+
+
+def test_sites(spark):
+    assert set(sites.SITES) == set(parsers())
+    for name, site in sites.SITES.items():
+        cfg = sites.site_config(name, "/s", {"ALLUVIUM_REALONLINE_KEY": "k"})
+        assert [stage for stage, _ in pipeline.stages(spark, cfg)] == ["extract", "transform", "load"]
+        assert cfg.extract.allowed_domains[0] in cfg.extract.base_url and (cfg.load is not None) == site.shop
+    assert sites.site_config("realonline", "/s", {"ALLUVIUM_REALONLINE_KEY": "k"}).extract.headers == {"Apikey": "k"}
+    with pytest.raises(ConfigError):
+        sites.site_config("realonline", "/s", {})
