@@ -42,9 +42,18 @@ def currency(c: Column) -> Column:
     return F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(DEFAULT_CURRENCY))
 
 
+# Forms beside ISO, tried in turn once the weekday is cut off; day/month is read only where month/day is no date.
+DAYS = ("MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "M/d/yyyy", "d/M/yyyy", "yyyy/M/d", "yyyyMMdd")
+CLOCKS = ("[ H:mm[:ss]][ z][ Z]", "[ h:mm[:ss] a]")
+
+
 def iso_timestamp(c: Column) -> Column:
-    """An ISO time in UTC without zone; null where it can't be read."""
-    return F.try_to_timestamp(c).cast("timestamp_ntz")
+    """A time in UTC without zone, from ISO or one of the forms above in English; null where it can't be read."""
+    plain = F.regexp_replace(F.trim(c), r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
+    plain = F.regexp_replace(plain, r"(?i)\b([ap])\.m\.$", "$1m")
+    # Bound by a lambda, so the text is made once and only for what isn't ISO.
+    other = F.transform(F.array(plain), lambda t: F.coalesce(*[F.try_to_timestamp(t, F.lit(d + k)) for d in DAYS for k in CLOCKS]))
+    return F.coalesce(F.try_to_timestamp(c), F.get(other, F.lit(0))).cast("timestamp_ntz")
 
 
 def spanish_date(c: Column) -> Column:

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 
+from alluvium.functions.values import iso_timestamp
 from alluvium.schemas import SNAPSHOT
 from alluvium.sources import parsers
 
@@ -175,3 +176,10 @@ def test_realonline(spark):
 
 def test_all_sixteen():
     assert len(parsers()) == 16
+
+
+def test_free_form_dates(spark):
+    same = ["2026-01-02T10:30:00Z", "2026-01-02T07:30:00-0300", "Fri, 02 Jan 2026 07:30:00 -0300", "Friday, 2 January 2026 10:30 GMT", "jan 2, 2026 10:30 a.m.", "1/2/2026 10:30", "2026/1/2 10:30"]
+    cases = {t: "2026-01-02 10:30:00" for t in same} | {"31/12/2026": "2026-12-31 00:00:00", "20260102": "2026-01-02 00:00:00", "": None, "2026-02-31": None, "soon": None}
+    rows = spark.createDataFrame([(t,) for t in [*cases, None]], "t string")
+    assert {r.t: r.d for r in rows.select("t", iso_timestamp(rows["t"]).cast("string").alias("d")).collect()} == cases | {None: None}
