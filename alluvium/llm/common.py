@@ -86,3 +86,10 @@ def keyed(docs: DataFrame, *others: str) -> DataFrame:
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = 100_000) -> DataFrame:
     """A broadcast hint only behind a check of the size; otherwise Spark chooses at run time."""
     return F.broadcast(df) if rows <= limit else df
+
+
+def each_copy(df: DataFrame, count: str, name: str, chunk: int = 1 << 16) -> DataFrame:
+    """`count` rows for each row, numbered from 0 in `name`; made chunk by chunk, so no array grows with the count."""
+    n, part = F.col(count), F.col("__part")
+    parts = df.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk))))
+    return parts.withColumn(name, F.explode(F.sequence(part * chunk, F.least(n, (part + 1) * chunk) - 1))).drop("__part")

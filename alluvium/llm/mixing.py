@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, broadcast_if_small, materialize
+from .common import WORD, broadcast_if_small, each_copy, materialize
 
 BUCKET_BITS = 12
 SEED = "mix-1"
@@ -46,16 +46,10 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most
 
 def _placed(docs: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
     """Every document's key, the words of its source before it, the whole epochs and its words in the last, cut one."""
-    base = materialize(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            *_source(),
-            word_count().alias("size"),
-            mix_key().alias("key"),
-        ).withColumn("bucket", F.shiftright(F.col("key"), 64 - BUCKET_BITS)),
-        "mix-sizes",
-    )
-    buckets = base.groupBy("src", "src_null", "bucket").agg(F.sum("size").alias("n"))
+    sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_source(), word_count().alias("size"), mix_key().alias("key"))
+    # Rows alike are counted before the shuffle, so a doc_id that many rows share doesn't fill one bucket.
+    base = materialize(sizes.groupBy(*sizes.columns).agg(F.count("*").alias("copies")).withColumn("bucket", F.shiftright(F.col("key"), 64 - BUCKET_BITS)), "mix-sizes")
+    buckets = base.groupBy("src", "src_null", "bucket").agg(F.sum(F.col("size") * F.col("copies")).alias("n"))
     targets = source_targets(buckets.groupBy("src", "src_null").agg(F.sum("n").alias("source_size")), weights, most)
     offsets = (
         buckets.selectExpr(
@@ -65,10 +59,11 @@ def _placed(docs: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
         .join(targets, ["src", "src_null"])
         .select("src", "src_null", "bucket", "before", "source_size", "target")
     )
-    placed = base.selectExpr(
+    alike = base.selectExpr(
         "*",
-        "coalesce(sum(size) OVER (PARTITION BY src, src_null, bucket ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS inside",
+        "coalesce(sum(size * copies) OVER (PARTITION BY src, src_null, bucket ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS inside",
     ).join(offsets, ["src", "src_null", "bucket"])
+    placed = each_copy(alike, "copies", "copy").withColumn("inside", F.col("inside") + F.col("copy") * F.col("size"))
     budget = F.least(F.round(F.col("target")).cast("long"), F.lit(most) * F.col("source_size"))
     return (
         placed.withColumn("start", F.col("before") + F.col("inside"))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import each_copy, materialize, text_of
 
 #: Rows of a shard are numbered within so many sub-buckets; the offsets table has shards x this many rows at most.
 SLOT_BUCKETS = 1024
@@ -106,37 +106,35 @@ def shard_documents(docs: DataFrame, shards: int = 16, tree: tuple[Region, ...]
 
     Law `key`: doc_id and the tree decide the shard. A null doc_id is a key of its own; rows that share a doc_id
     share a shard and get different slots; a null text counts as empty (size 1, crc 0); an empty table gives no
-    rows; other columns are ignored. Slots number the rows of a shard from 0 without gaps: rows are numbered in
-    SLOT_BUCKETS hash buckets a shard, each shifted by the rows of the buckets before it, so no task ever holds a
-    shard. The offsets that are broadcast have shards x SLOT_BUCKETS rows at most.
+    rows; other columns are ignored. Slots number the rows of a shard from 0 without gaps: equal rows are counted
+    before the shuffle, and what is left is numbered in SLOT_BUCKETS hash buckets a shard, each shifted by the rows
+    of the buckets before it, so neither a shard nor a key that many rows share has to fit in a task. The offsets
+    that are broadcast have shards x SLOT_BUCKETS rows at most.
     """
     tree = tree or uniform_tree(shards)
     more = with_shard(tree, 1 + max(s for r in tree for k in r.racks for s, _ in k.shards))
-    ids = docs.select(
+    counted = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(F.col("text")), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.encode(text_of(), "UTF-8")).cast("long").alias("text_crc32"),
-    )
-
-    def placed(df: DataFrame) -> DataFrame:
-        bucket = F.pmod(F.xxhash64(F.lit("slot"), F.col("doc_id")), F.lit(SLOT_BUCKETS)).cast("int")
-        return descend(df, F.col("doc_id"), tree, "shard").withColumn("bucket", bucket)
-
-    counts = placed(docs.select(F.col("doc_id").cast("long").alias("doc_id"))).groupBy("shard", "bucket").agg(F.count("*").alias("n"))
-    offsets = counts.selectExpr(
+    ).groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n"))
+    bucket = F.pmod(F.xxhash64(F.lit("slot"), F.col("doc_id"), F.col("size"), F.col("text_crc32")), F.lit(SLOT_BUCKETS)).cast("int")
+    groups = materialize(descend(counted, F.col("doc_id"), tree, "shard").withColumn("bucket", bucket), "shard-groups")
+    offsets = groups.groupBy("shard", "bucket").agg(F.sum("n").alias("n")).selectExpr(
         "shard AS o_shard",
         "bucket AS o_bucket",
         "coalesce(sum(n) OVER (PARTITION BY shard ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before",
     )
-    rows = descend(placed(ids), F.col("doc_id"), more, "grown_shard").selectExpr(
-        "*", "row_number() OVER (PARTITION BY shard, bucket ORDER BY doc_id, text_crc32, size) AS nth"
+    rows = descend(groups, F.col("doc_id"), more, "grown_shard").selectExpr(
+        "*", "coalesce(sum(n) OVER (PARTITION BY shard, bucket ORDER BY doc_id, text_crc32, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS inside"
     )
-    return rows.join(F.broadcast(offsets), (F.col("shard") == F.col("o_shard")) & (F.col("bucket") == F.col("o_bucket"))).select(
+    placed = rows.join(F.broadcast(offsets), (F.col("shard") == F.col("o_shard")) & (F.col("bucket") == F.col("o_bucket")))
+    return each_copy(placed, "n", "copy").select(
         "doc_id",
         "size",
         "text_crc32",
         F.lit("key").alias("law"),
         "shard",
-        (F.col("before") + F.col("nth") - 1).cast("long").alias("slot"),
+        (F.col("before") + F.col("inside") + F.col("copy")).cast("long").alias("slot"),
         "grown_shard",
     )

@@ -231,3 +231,22 @@ def test_pipeline(spark):
     want = sorted((r["doc_id"], sha(r["text"])) for r in kept)
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert sorted((r["doc_id"], r["ids_sha256"]) for r in got) == want
+
+
+def test_one_id_on_many_rows(spark):
+    """More equal rows than a chunk of copies holds, under one doc_id and under none."""
+    n = 70_000
+    schema = "doc_id long, text string, source string"
+    same = spark.range(n).selectExpr("7L AS doc_id", "'one two three' AS text", "'a' AS source")
+    none = spark.range(500).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "CAST(NULL AS STRING) AS text", "CAST(NULL AS STRING) AS source")
+    docs = same.unionByName(none).unionByName(spark.createDataFrame([(i, "w " * i, "b") for i in range(50)], schema))
+    slots = sharding.shard_documents(docs).groupBy("shard").agg({"slot": "max", "*": "count"}).collect()
+    assert sum(r["count(1)"] for r in slots) == n + 550
+    assert all(r["max(slot)"] == r["count(1)"] - 1 for r in slots)
+    assert sharding.shard_documents(docs).select("shard", "slot").distinct().count() == n + 550
+    mixed = mixing.mix(docs)
+    assert mixed.count() == n + 550
+    of = {r["source_size"]: (r["taken"], r["target"]) for r in mixed.groupBy("source_size").agg({"taken": "sum", "target": "max"}).toDF("source_size", "taken", "target").collect()}
+    assert set(of) == {3 * n, 50 * 49 // 2, 0} and all(abs(taken - target) <= 1 for taken, target in of.values())
+    starts = [r["start"] for r in mixed.where("doc_id = 7 AND source_size > 10000").select("start").collect()]
+    assert sorted(starts) == list(range(0, 3 * n, 3))
