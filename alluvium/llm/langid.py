@@ -30,7 +30,6 @@ HELD_OUT_QUANTILE = 0.005
 UNDETERMINED = "und"
 
 _OTHER = re.compile(r"[\W\d_]+")
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def bucket_counts(text: str) -> np.ndarray:
@@ -111,7 +110,7 @@ def _predict(model: Model):
             texts = batch.column(1).to_pylist()
             for at in range(0, len(texts), 128):
                 part = texts[at : at + 128]
-                some = [t is not None and bool(_LETTER.search(t)) and bool(model.langs) for t in part]
+                some = [t is not None and any(map(str.isalpha, t)) and bool(model.langs) for t in part]
                 p = model.probabilities(np.stack([bucket_counts(t) if s else np.zeros(BUCKETS, np.int64) for t, s in zip(part, some)])) if model.langs else None
                 for i, s in enumerate(some):
                     langs.append(model.langs[int(p[i].argmax())] if s else UNDETERMINED)
@@ -142,7 +141,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     for r in counts:
         share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, sample / r["count"]))).otherwise(share)
     chosen = known.withColumn("draw", draw).where(F.col("draw") < share).where(F.col("text").rlike(r"\p{L}"))
-    picked = chosen.orderBy("draw", "doc_id", "lang").limit(2 * sample * len(counts)).select("text", "lang").collect()
+    picked = chosen.orderBy("draw", "doc_id", "lang", F.xxhash64("text")).limit(2 * sample * len(counts)).select("text", "lang").collect()
     return fit([r["text"] for r in picked], [r["lang"] for r in picked])
 
 

@@ -233,6 +233,12 @@ def test_pipeline(spark):
     assert sorted((r["doc_id"], r["ids_sha256"]) for r in got) == want
 
 
+def test_language_needs_a_letter(spark):
+    docs = spark.createDataFrame([(i, "das ist gut" if i % 2 else "this is good", "de" if i % 2 else "en") for i in range(60)] + [(100, "½ ² Ⅷ 12 _", "en"), (101, "é", "en")], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs).where("doc_id >= 100").collect()}
+    assert got[100] == "und" and got[101] in ("de", "en")
+
+
 def test_one_id_on_many_rows(spark):
     """More equal rows than a chunk of copies holds, under one doc_id and under none."""
     n = 70_000
