@@ -5,6 +5,11 @@ distance of two points is at most their Hamming distance. For 64 bits and distan
 groups: a Manhattan distance of 4 leaves at least two groups equal, so the grid cells of each of the 15 pairs of
 groups, joined, hold every pair that can link. In a cell, pairs over the Manhattan bound (of byte segments) go
 first, then the bits are compared. Equal fingerprints are one point; links become components, never pairs of rows.
+
+keep_one links by the Jaccard similarity of distinct five-word shingles, 0.8 or more, and the fingerprint only sorts out
+candidates. Segment popcounts can't retrieve at its distance (64 of 256 bits: any cover by equal groups has cells that
+most points share), so points meet by prefixes instead: put in one order, the first n // 5 + 1 of n shingles of two such
+sets have one in common, whatever the order. Shingles that a sample finds often come last, so cells stay small.
 """
 
 from __future__ import annotations
@@ -16,11 +21,11 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cells import dealt, meeting, runs, stars
-from .common import keyed, materialize, text_of
+from .common import broadcast_if_small, keyed, materialize, text_of
 from .components import components
 
 SEED = 42
@@ -28,23 +33,22 @@ SEED = 42
 
 @dataclass(frozen=True)
 class Scheme:
-    """words in a shingle, 64-bit words in a fingerprint, most differing bits, and how cells are made: `exact` by
-    groups of two-bit segments (any distance up to 4 on 64 bits), else by `tables` draws of `bits` one-bit segments."""
+    """words in a shingle, 64-bit words in a fingerprint, most differing bits; grid cells hold up to 4 of 64 bits."""
 
     shingle: int = 4
     width: int = 1
     distance: int = 4
-    exact: bool = True
-    tables: int = 0
-    bits: int = 0
 
 
 #: Links at 4 or fewer of 64 bits, each of them found.
 LINKS = Scheme()
-#: Similarity 0.8 or more on five-word shingles. Shingle sets of Jaccard J have a cosine near 2J / (1 + J), so 256 bits
-#: differ in 256 * acos(cos) / pi: 39 bits at 0.8. A pair at just 0.8 meets in some of the 24 tables nine times in ten,
-#: one at 0.9 always but for one in two thousand.
-SIMILAR = Scheme(shingle=5, width=4, distance=40, exact=False, tables=24, bits=14)
+#: Candidates for similarity 0.8 on five-word shingles. Shingle sets of Jaccard J have a cosine near 2J / (1 + J), so
+#: 256 bits differ in 256 * acos(cos) / pi: 39 bits at 0.8 with a deviation under 6, and 64 lie over four of these away.
+SIMILAR = Scheme(shingle=5, width=4, distance=64)
+
+#: Distinct texts that the sample of frequent shingles aims at, and the most shingles it names.
+SAMPLE = 4000
+FREQUENT = 200_000
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -57,24 +61,32 @@ def _mix(h: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: str, shingle: int = 4, width: int = 1) -> bytes:
-    """Big-endian bits, each 1 if set in over half of the hashes of the word shingles, repeats included."""
+def shingles(text: str, shingle: int) -> np.ndarray:
+    """The hashes of the word shingles, repeats included; a shorter text is one shingle, one without words has none."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return bytes(8 * width)
+        return np.zeros(0, np.uint64)
     if len(words) < shingle:
         grams = [b" ".join(words)]
     else:
         grams = list(map(b" ".join, zip(*[words[i:] for i in range(shingle)])))
-    h = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64, len(grams))
+    return np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64, len(grams))
+
+
+def _majority(h: np.ndarray, width: int) -> bytes:
     out = b""
     for k in range(width):
         octets = (_mix(h, k) if k else h).astype(">u8").view(np.uint8).reshape(-1, 8)
         ones = np.concatenate([np.bincount(octets[:, b], minlength=256) @ _BITS for b in range(8)])
-        out += np.packbits(2 * ones > len(grams)).tobytes()
+        out += np.packbits(2 * ones > len(h)).tobytes()
     return out
 
 
+def fingerprint(text: str, shingle: int = 4, width: int = 1) -> bytes:
+    """Big-endian bits, each 1 if set in over half of the hashes of the word shingles, repeats included."""
+    return _majority(shingles(text, shingle), width)
+
+
 def _fingerprints(scheme: Scheme):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,14 +100,9 @@ def _matrix(column, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 8 * width)
 
 
-def cell_keys(octets: np.ndarray, scheme: Scheme) -> np.ndarray:
+def cell_keys(octets: np.ndarray) -> np.ndarray:
     """points x tables: which cell of each table's grid a fingerprint lies in."""
     bits = np.unpackbits(octets, axis=1)
-    if not scheme.exact:
-        rng = np.random.default_rng(SEED)
-        picks = [rng.choice(bits.shape[1], scheme.bits, replace=False) for _ in range(scheme.tables)]
-        power = 1 << np.arange(scheme.bits)
-        return np.stack([(t << 40) + bits[:, p].astype(np.int64) @ power for t, p in enumerate(picks)], axis=1)
     counts = (bits[:, ::2] + bits[:, 1::2]).astype(np.int64)  # ones in each two-bit segment
     groups = [g @ (3 ** np.arange(g.shape[1])) for g in np.array_split(counts, 6, axis=1)]
     return np.stack([(t << 40) + groups[a] * 729 + groups[b] for t, (a, b) in enumerate(combinations(range(6), 2))], axis=1)
@@ -106,7 +113,7 @@ def _cells(scheme: Scheme):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = cell_keys(_matrix(batch.column(0), scheme.width), scheme)
+            keys = cell_keys(_matrix(batch.column(0), scheme.width))
             rows = np.repeat(np.arange(len(keys)), keys.shape[1])
             yield pa.record_batch([pa.array(keys.reshape(-1)), batch.column(0).take(pa.array(rows))], ["cell", "node"])
 
@@ -142,19 +149,18 @@ def fingerprints(docs: DataFrame, scheme: Scheme = LINKS) -> DataFrame:
 
 
 def linked(prints: DataFrame, scheme: Scheme = LINKS) -> DataFrame:
-    """node, root: the component of every distinct fingerprint; a fingerprint without links is its own root."""
+    """node, root: the component of every distinct fingerprint that links to another; roots are left out."""
     points = prints.select("node").distinct()
     cells = points.mapInArrow(_cells(scheme), "cell long, node binary")
     stars_found = dealt(cells).mapInArrow(_links(scheme), "u binary, v binary")
-    roots = components(stars_found, "simhash-links")
-    return points.join(roots.select(F.col("node").alias("r_node"), "root"), F.col("node") == F.col("r_node"), "left").select("node", F.coalesce("root", "node").alias("root"))
+    return components(stars_found, "simhash-links")
 
 
-def _classes(prints: DataFrame, scheme: Scheme, least) -> DataFrame:
-    """c_node, found: each fingerprint and the least `least` of the documents of its component."""
+def _classes(prints: DataFrame, links: DataFrame, least) -> DataFrame:
+    """c_node, found: each node and the least `least` of the documents of its component in links (node, root)."""
     by_node = prints.groupBy("node").agg(F.min(least).alias("least"))
-    roots = linked(prints, scheme).select(F.col("node").alias("l_node"), "root")
-    tied = materialize(by_node.join(roots, F.col("node") == F.col("l_node")).select("node", "root", "least"), "simhash-classes")
+    roots = links.select(F.col("node").alias("l_node"), "root")
+    tied = materialize(by_node.join(roots, F.col("node") == F.col("l_node"), "left").select("node", F.coalesce("root", "node").alias("root"), "least"), "simhash-classes")
     by_root = tied.groupBy(F.col("root").alias("b_root")).agg(F.min("least").alias("found"))
     return tied.join(by_root, F.col("root") == F.col("b_root")).select(F.col("node").alias("c_node"), "found")
 
@@ -167,19 +173,202 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = LINKS) -> DataFrame:
     ignored.
     """
     prints = fingerprints(docs, scheme)
-    classes = _classes(prints, scheme, F.col("doc_id"))
+    classes = _classes(prints, linked(prints, scheme), F.col("doc_id"))
     return prints.join(classes, F.col("node") == F.col("c_node")).select("doc_id", F.lower(F.hex("node")).alias("fingerprint"), F.col("found").alias("component_id"))
 
 
+def _signed(h: np.ndarray) -> pa.Array:
+    return pa.array(h.view(np.int64))
+
+
+def _set_of(text: str | None, scheme: Scheme) -> tuple[np.ndarray, int]:
+    """The distinct shingles in rising order and the set's 64-bit name."""
+    found = np.unique(shingles(text or "", scheme.shingle))
+    name = xxhash.xxh3_64_intdigest(found.tobytes(), SEED)
+    return found, name - (name >> 63 << 64)
+
+
+def _frequent(docs: DataFrame, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that three or more of the sampled texts hold, in rising order, and in how many: only the order of
+    prefixes, and so the size of cells, hangs on them."""
+    k = max(1, docs.count() // SAMPLE)
+    texts = keyed(docs).where(F.pmod(F.xxhash64(F.lit("sample"), "text_key"), F.lit(k)) == 0).dropDuplicates(["text_key"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                yield pa.record_batch([_signed(_set_of(text, scheme)[0])], ["h"])
+
+    counts = texts.select("text").mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n >= 3")
+    rows = counts.orderBy(F.desc("n"), "h").limit(FREQUENT).collect()
+    h, n = (np.array([r[c] for r in rows], np.int64) for c in ("h", "n"))
+    h = h.view(np.uint64)
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def prefix(found: np.ndarray, often: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Of n distinct shingles the first n // 5 + 1, rare before frequent. Two sets with Jaccard 0.8 or more share at
+    least ceil(0.8 n) shingles of either, so the first they share lies in both prefixes."""
+    rank = np.zeros(len(found), np.int64)
+    if len(often):
+        at = np.minimum(np.searchsorted(often, found), len(often) - 1)
+        rank = np.where(often[at] == found, times[at], 0)
+    return found[np.lexsort((found, rank))[: len(found) // 5 + 1]]
+
+
+def _sketches(scheme: Scheme, often: np.ndarray, times: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, sizes, fps, cells = [], [], [], []
+            for text in batch.column(2).to_pylist():
+                found, name = _set_of(text, scheme)
+                nodes.append(name)
+                sizes.append(len(found))
+                fps.append(_majority(found, scheme.width))
+                cells.append(prefix(found, often, times).tobytes())
+            longs = np.frombuffer(b"".join(fps), np.int64).reshape(-1, scheme.width)
+            parts = [pa.array(np.ascontiguousarray(longs[:, k])) for k in range(scheme.width)]
+            columns = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), *parts, pa.array(cells, pa.binary())]
+            yield pa.record_batch(columns, ["doc_id", "text_key", "node", "size", *_bits(scheme), "cells"])
+
+    return run
+
+
+def _bits(scheme: Scheme) -> list[str]:
+    return [f"f{k}" for k in range(scheme.width)]
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            held = part.column(1).to_pylist()
+            rows = np.repeat(np.arange(len(held)), [len(x) // 8 for x in held])
+            yield pa.record_batch([pa.array(np.frombuffer(b"".join(held), np.int64)), part.column(0).take(pa.array(rows))], ["cell", "node"])
+
+
+def _sets(scheme: Scheme):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [_set_of(t, scheme)[0] for t in part.column(1).to_pylist()]
+                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+                yield pa.record_batch([part.column(0), pa.ListArray.from_arrays(pa.array(ends), _signed(np.concatenate(sets)))], ["node", "members"])
+
+    return run
+
+
+def crossing(run: np.ndarray, label: np.ndarray, chunk: np.ndarray, block: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of one run with unlike labels, in bounded blocks: in a part of two chunks only across them. Rows
+    are in order of run and label."""
+    n = len(run)
+    fresh = np.concatenate([[True], (run[1:] != run[:-1]) | (label[1:] != label[:-1])]) if n else np.zeros(0, bool)
+    starts = np.append(np.flatnonzero(fresh), n)
+    after = starts[np.cumsum(fresh)]  # the first row past each row's own label
+    end = np.searchsorted(run, run, "right")
+    first = np.searchsorted(run, run, "left")
+    bounds = np.flatnonzero(np.arange(n) == first)
+    low, high = (f.reduceat(chunk, bounds) if n else chunk for f in (np.minimum, np.maximum))
+    two = (low != high)[np.searchsorted(bounds, first)]
+    left = end - after
+    total = np.cumsum(left)
+    at = 0
+    while at < n:
+        base = total[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(total, base + block, "right")))
+        i = np.repeat(np.arange(at, to), left[at:to])
+        if len(i):
+            j = np.arange(len(i)) - np.repeat(np.cumsum(left[at:to]) - left[at:to], left[at:to]) + after[i]
+            keep = ~two[i] | (chunk[i] != chunk[j])
+            yield i[keep], j[keep]
+        at = to
+
+
+def _candidates(scheme: Scheme):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, number in runs(batches):
+            columns = {c: table.column(c).to_numpy() for c in ("node", "label", "chunk", "size", *_bits(scheme))}
+            order = np.lexsort((columns["label"], number))
+            c = {k: v[order] for k, v in columns.items()}
+            longs = np.stack([c[f] for f in _bits(scheme)], axis=1).view(np.uint64)
+            for i, j in crossing(number[order], c["label"], c["chunk"]):
+                fits = 5 * np.minimum(c["size"][i], c["size"][j]) >= 4 * np.maximum(c["size"][i], c["size"][j])
+                i, j = i[fits], j[fits]
+                near = np.bitwise_count(longs[i] ^ longs[j]).sum(1) <= scheme.distance
+                u, v = c["node"][i[near]], c["node"][j[near]]
+                pairs = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1), axis=0)
+                yield pa.record_batch([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], ["u", "v"])
+
+    return run
+
+
+def _similar(pairs: DataFrame, prints: DataFrame, docs: DataFrame, scheme: Scheme) -> DataFrame:
+    """The pairs (u, v) of nodes whose sets have Jaccard 0.8 or more. Sets are made anew from one text of each node."""
+    pairs = materialize(pairs.distinct(), "simhash-pairs")
+    nodes = pairs.select(F.col("u").alias("s_node")).unionByName(pairs.select(F.col("v").alias("s_node"))).distinct()
+    one = prints.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key")).alias("of"))
+    named = materialize(one.join(nodes, F.col("node") == F.col("s_node")).select("node", F.col("of.doc_id").alias("n_id"), F.col("of.text_key").alias("n_key")), "simhash-named")
+    few = broadcast_if_small(named, named.count())
+    texts = keyed(docs).join(few, F.col("doc_id").eqNullSafe(F.col("n_id")) & (F.col("text_key") == F.col("n_key"))).select("node", "text")
+    sets = materialize(texts.mapInArrow(_sets(scheme), "node long, members array<long>").dropDuplicates(["node"]), "simhash-sets")
+    left = sets.select(F.col("node").alias("a_node"), F.col("members").alias("a"))
+    right = sets.select(F.col("node").alias("b_node"), F.col("members").alias("b"))
+    both = pairs.join(left, F.col("u") == F.col("a_node")).join(right, F.col("v") == F.col("b_node"))
+    shared = both.select("u", "v", (F.size("a") + F.size("b")).alias("total"), F.size(F.array_intersect("a", "b")).alias("common"))
+    return materialize(shared.where("5 * common >= 4 * (total - common)").select("u", "v"), "simhash-similar")
+
+
+def similar(prints: DataFrame, docs: DataFrame, scheme: Scheme = SIMILAR) -> DataFrame:
+    """node, root of every set that has Jaccard 0.8 or more with another, through any chain; roots are left out.
+
+    First each set is held against the nearest of its cells' centers, one a cell; then all pairs of a cell that are
+    not yet in one component are, so a large group of near copies is not compared pair by pair.
+    """
+    points = prints.dropDuplicates(["node"]).select("node", "size", *_bits(scheme), "cells")
+    points = materialize(points, "simhash-points")
+    cells = points.select("node", "cells").mapInArrow(_prefixes, "cell long, node long")
+    # a node XOR the cell is an order of the cell's own, so centers differ from cell to cell
+    mixed = F.col("node").bitwiseXOR(F.col("cell"))
+    counts = cells.groupBy("cell").agg(F.count("*").alias("n"), F.min(mixed).alias("m")).where("n > 1")
+    counts = counts.select(F.col("cell").alias("c_cell"), F.col("m").bitwiseXOR(F.col("cell")).alias("center"))
+    shared = materialize(cells.join(counts, F.col("cell") == F.col("c_cell")).select("cell", "node", "center"), "simhash-shared")
+
+    info = points.select("node", "size", *_bits(scheme))
+    other = info.select(*[F.col(c).alias("o_" + c) for c in info.columns])
+    spokes = shared.where("node <> center").select(F.col("node").alias("s_node"), "center").distinct()
+    apart = sum((F.bit_count(F.col(f).bitwiseXOR(F.col("o_" + f))) for f in _bits(scheme)), F.lit(0))
+    fits = 5 * F.least("size", "o_size") >= 4 * F.greatest("size", "o_size")
+    met = spokes.join(info, F.col("s_node") == F.col("node")).join(other, F.col("center") == F.col("o_node")).where(fits)
+    near = met.select("node", "center", apart.alias("apart")).where(F.col("apart") <= scheme.distance)
+    nearest = near.withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("apart", "center"))).where("nth <= 3")
+    first = _similar(nearest.select(F.least("node", "center").alias("u"), F.greatest("node", "center").alias("v")), prints, docs, scheme)
+
+    roots = components(first, "simhash-first").select(F.col("node").alias("r_node"), "root")
+    labelled = shared.select("cell", "node").join(roots, F.col("node") == F.col("r_node"), "left").select("cell", "node", F.coalesce("root", "node").alias("label"))
+    labelled = materialize(labelled, "simhash-labelled")
+    split = labelled.groupBy("cell").agg(F.min("label").alias("a"), F.max("label").alias("z")).where("a <> z").select(F.col("cell").alias("m_cell"))
+    rest = labelled.join(split, F.col("cell") == F.col("m_cell"), "left_semi").join(info.withColumnRenamed("node", "i_node"), F.col("node") == F.col("i_node"))
+    rest = materialize(rest.select("cell", "node", "label", "size", *_bits(scheme)), "simhash-rest")
+    pairs = dealt(rest, "label", "size", *_bits(scheme)).mapInArrow(_candidates(scheme), "u long, v long")
+    second = _similar(pairs, prints, docs, scheme)
+    return components(first.unionByName(second), "simhash-links")
+
+
 def keep_one(docs: DataFrame, scheme: Scheme = SIMILAR) -> DataFrame:
-    """docs with one document of each group: that with the smallest doc_id (nulls last), the same row repeated once.
+    """docs with one document of each group linked by Jaccard 0.8 or more: that with the smallest doc_id (nulls last),
+    the same row repeated once.
 
     The rows to take out, and the few keys whose row is repeated, are found on (doc_id, text) keys and joined with
     the documents once; the rest pass unchanged.
     """
-    prints = fingerprints(docs, scheme)
+    longs = ", ".join(f"{f} long" for f in _bits(scheme))
+    sketch = _sketches(scheme, *_frequent(docs, scheme))
+    kind = f"doc_id long, text_key long, node long, size int, {longs}, cells binary"
+    prints = materialize(keyed(docs).select("doc_id", "text_key", "text").mapInArrow(sketch, kind), "simhash-sketches")
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key")
-    classes = _classes(prints, scheme, place)
+    classes = _classes(prints, similar(prints, docs, scheme), place)
     rows = prints.join(classes, F.col("node") == F.col("c_node")).select("doc_id", "text_key", (place == F.col("found")).alias("stays"))
     acts = rows.groupBy(F.col("doc_id").alias("__d_id"), F.col("text_key").alias("__d_key")).agg(F.max("stays").alias("__d_stays"), F.count("*").alias("__d_n"))
     acts = materialize(acts.where("NOT __d_stays OR __d_n > 1"), "simhash-acts")
