@@ -60,3 +60,29 @@ def test_keep_one_on_few_frequent_shingles(spark, monkeypatch):
     monkeypatch.setattr(simhash, "FREQUENT", 3)
     kept = simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((r["doc_id"], r["text"] or "") for r in kept) == brute_kept(rows)
+
+
+@pytest.mark.parametrize("n", [1, 4, 5, 46, 90, 1000])
+def test_every_similar_pair_meets(n):
+    """The least overlap that 0.8 allows, in any order of frequency."""
+    rng = np.random.default_rng(n)
+    for _ in range(200):
+        new = int(rng.integers(0, n // 9 + 1))  # n - new in common of n + new
+        pool = rng.integers(0, 2**63, n + new).astype(np.uint64)
+        a, b = np.unique(pool[:n]), np.unique(pool[new:])
+        common = len(np.intersect1d(a, b))
+        assert 5 * common >= 4 * len(np.union1d(a, b))
+        often = np.sort(rng.choice(pool, len(pool) // 2, replace=False))
+        times = rng.integers(3, 9, len(often))
+        assert len(np.intersect1d(simhash.prefix(a, often, times), simhash.prefix(b, often, times)))
+
+
+def test_crossing_meets_each_pair_once():
+    rng = np.random.default_rng(2)
+    run, label, chunk = (np.sort(rng.integers(0, 9, 300)), rng.integers(0, 4, 300), rng.integers(0, 2, 300))
+    chunk[run < 4] = 1
+    order = np.lexsort((label, run))
+    run, label, chunk = run[order], label[order], chunk[order]
+    got = sorted((int(a), int(b)) for i, j in simhash.crossing(run, label, chunk, block=50) for a, b in zip(i, j))
+    want = [(i, j) for i in range(300) for j in range(i + 1, 300) if run[i] == run[j] and label[i] != label[j] and (run[i] < 4 or chunk[i] != chunk[j])]
+    assert got == want
