@@ -3,7 +3,8 @@
 Each text is split by the pattern of each kind; the lengths of the pieces and of the matches, summed along the
 text, give the spans. Every candidate's value is hashed, and the corpus says by how many owners and in how many
 repositories a hash occurs, both counted over distinct pairs, so a value that a third of all rows share is reduced
-before each shuffle. A value that few owners hold looks live; one that many hold is a copied example.
+before each shuffle. A value is a copied example if many owners hold it in many repositories, or if very many
+repositories do, whoever owns them; any other looks live. So copies of one text under many owners change nothing.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ TOKEN = ("live", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}+", 0, 24)
 ANY = "|".join([ASSIGN, r"AKIA[A-Z0-9]{14}", r"[0-9a-f]{16}", TOKEN[1]])
 
 MAX_OWNERS = 2
+#: The most repositories of a live value that more than MAX_OWNERS owners hold, and of one that fewer hold.
+MAX_REPOS = 2
+MANY_REPOS = 100
 
 
 def _hits(number: int, pattern: str, group: int) -> Column:
@@ -70,18 +74,22 @@ def ownership(spans: DataFrame) -> DataFrame:
     return owners.join(repos, "value_hash")
 
 
+def copied(max_owners: int = MAX_OWNERS) -> Column:
+    """The corpus's verdict on n_owners and n_repos."""
+    return ((F.col("n_owners") > max_owners) & (F.col("n_repos") > MAX_REPOS)) | (F.col("n_repos") > MANY_REPOS)
+
+
 def judged(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
-    """The spans of candidates(): all base ones, and of the added kind those that at most max_owners owners hold and
-    no base span of the text covers in part; with n_owners, n_repos and live."""
+    """The spans of candidates(): all base ones, and of the added kind the live ones; with n_owners, n_repos and live."""
     spans = materialize(candidates(docs, owner_col), "secret-spans")
     with_hash = spans.withColumn("value_hash", F.sha2("value", 256))
-    rated = with_hash.join(ownership(spans), "value_hash").withColumn("live", F.col("n_owners") <= max_owners)
+    rated = with_hash.join(ownership(spans), "value_hash").withColumn("live", ~copied(max_owners))
     return rated.where((F.col("kind") < len(BASE_KINDS)) | F.col("live"))
 
 
 def spans_by_document(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
-    """doc_id, text_key, spans: array of (start, kind, end, secret_start, live), by start and kind; only documents with one."""
-    one = F.struct("start", "kind", "end", (F.col("end") - F.length("value")).alias("secret_start"), "live", "n_owners")
+    """doc_id, text_key, spans: array of (start, kind, end, secret_start, live, n_owners, n_repos), by start and kind; only documents with one."""
+    one = F.struct("start", "kind", "end", (F.col("end") - F.length("value")).alias("secret_start"), "live", "n_owners", "n_repos")
     by_doc = judged(docs, owner_col, max_owners).groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(one)).alias("spans"))
     base = F.filter("spans", lambda s: s["kind"] < len(BASE_KINDS))
     clear = F.filter(
@@ -97,12 +105,17 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _joined_counts(name: str) -> Column:
+    return F.coalesce(F.array_join(F.transform("spans", lambda s: s[name].cast("string")), ","), F.lit(""))
+
+
 def scan(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied for every row of docs.
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, n_owners, n_repos for every row of docs.
 
     A null text counts as empty and has no span; a null owner is an owner; rows repeated in full get the same result
     and count once in the corpus; rows that repeat only the doc_id are documents of their own; an empty table gives
-    no rows; other columns are ignored. n_live and n_copied count the spans by the corpus's verdict.
+    no rows; other columns are ignored. n_live and n_copied count the spans by the corpus's verdict;
+    n_owners and n_repos have a count for each of the spans, in their order.
     """
     found = spans_by_document(docs, owner_col, max_owners).select(F.col("doc_id").alias("f_id"), F.col("text_key").alias("f_key"), "spans")
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key"))
@@ -119,6 +132,7 @@ def scan(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWNER
         F.coalesce(_joined(F.col("spans")), F.lit("")).alias("spans"),
         n(lambda s: s["live"]).alias("n_live"),
         n(lambda s: ~s["live"]).alias("n_copied"),
+        *[_joined_counts(c).alias(c) for c in ("n_owners", "n_repos")],
     )
 
 
