@@ -1,9 +1,9 @@
 """Quality rules with adaptive thresholds.
 
 Features of each whole text; per language and source a mergeable quantile sketch (KLL) of each feature; thresholds
-from the sketches' quartiles; then every document is held against the thresholds of its group. Sketches of small
-groups are merged with those of their language, and of small languages with all, so each threshold rests on at
-least MIN_GROUP documents where there are so many.
+from the sketches' quartiles; then every document is held against the thresholds of its group. At every size a
+group's quartiles are drawn toward its language's, and a language's toward those of all, by the same rule: n documents
+count against SHRINK. A source weighs n / (n + SHRINK) in its language, so no source has over one share of it.
 """
 
 from __future__ import annotations
@@ -32,7 +32,8 @@ FEATURES = {
     "shouts": (0.05, "above"),
 }
 FENCE = 3.0
-MIN_GROUP = 200
+#: So many documents of a group weigh as much as its language does.
+SHRINK = 200
 SKETCH_K = 400
 
 FEATURE_SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, " + ", ".join(f"{f} double" for f in FEATURES)
@@ -100,6 +101,16 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+def _drawn(n: Column, value: Column, toward_n: float, toward: Column) -> Column:
+    """The mean of a value that n speak for and of one that toward_n do."""
+    return F.when(n > 0, (n * value + toward_n * toward) / (n + toward_n)).otherwise(toward)
+
+
+def _evenly(rows: DataFrame, names, *by: str) -> DataFrame:
+    """The mean of each name by weight w, and the sum of w."""
+    return rows.groupBy(*by).agg(F.coalesce(F.sum("w"), F.lit(0.0)).alias("w"), *[(F.sum(F.col("w") * F.col(x)) / F.sum(F.when(F.col("w") > 0, F.col("w")))).alias(x) for x in names])
+
+
 def thresholds(feats: DataFrame) -> DataFrame:
     """t_lang, t_source, limits: one row a (lang, source), nulls a group of their own; limits: feature -> low, high.
 
@@ -107,22 +118,19 @@ def thresholds(feats: DataFrame) -> DataFrame:
     """
     sketches = feats.where(~base_failed()).groupBy("lang", "source").agg(F.count("*").alias("n"), *[F.expr(f"kll_sketch_agg_double({f}, {SKETCH_K})").alias(f) for f in FEATURES])
     groups = materialize(feats.select("lang", "source").distinct().join(sketches.withColumnsRenamed({"lang": "s_lang", "source": "s_source"}), F.col("lang").eqNullSafe(F.col("s_lang")) & F.col("source").eqNullSafe(F.col("s_source")), "left").drop("s_lang", "s_source"), "quality-sketches")
-    merge = [F.expr(f"kll_merge_agg_double({f})").alias(f) for f in FEATURES]
-    total = F.coalesce(F.sum("n"), F.lit(0)).alias("n")
-    by_lang = groups.groupBy("lang").agg(total, *merge).select(F.col("lang").alias("l_lang"), F.struct("n", *FEATURES).alias("l"))
-    overall = groups.agg(total, *merge).select(F.struct("n", *FEATURES).alias("a"))
-    chosen = (
-        groups.select("lang", "source", F.struct(F.coalesce("n", F.lit(0)).alias("n"), *FEATURES).alias("g"))
-        .join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")))
-        .join(F.broadcast(overall))  # one row
-        .withColumn("use", F.when(F.col("g.n") >= MIN_GROUP, F.col("g")).when(F.col("l.n") >= MIN_GROUP, F.col("l")).otherwise(F.col("a")))
-    )
+    n = F.coalesce("n", F.lit(0)).cast("double")
+    ends = {f"{f}_{p}": F.expr(f"IF(n > 0, kll_sketch_get_quantile_double({f}, 0.{p}D), NULL)") for f in FEATURES for p in (25, 75)}
+    own = groups.select("lang", "source", n.alias("n"), *[q.alias(name) for name, q in ends.items()])
+    by_lang = _evenly(own.withColumn("w", F.col("n") / (F.col("n") + SHRINK)), ends, "lang")
+    overall = _evenly(by_lang.withColumn("w", F.col("w") / (F.col("w") + 1)), ends)
+    by_lang = by_lang.select(F.col("lang").alias("l_lang"), F.struct("w", *ends).alias("l"))
+    overall = overall.select(F.struct("w", *ends).alias("a"))
+    chosen = own.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang"))).join(F.broadcast(overall))  # one row
     limits = []
     for f, (least, side) in FEATURES.items():
-        q = lambda p: F.when(F.col("use.n") > 0, F.expr(f"kll_sketch_get_quantile_double(use.{f}, {p}D)"))  # noqa: B023,E731
-        low, high = q(0.25), q(0.75)
+        low, high = (_drawn(F.col("n"), F.col(name), SHRINK, _drawn(F.col("l.w"), F.col(f"l.{name}"), 1, F.col(f"a.{name}"))) for name in (f"{f}_25", f"{f}_75"))
         spread = F.greatest(high - low, F.lit(least)) * FENCE
-        limits.append(F.struct((low - spread if side == "both" else F.lit(float("-inf"))).alias("low"), (high + spread).alias("high")).alias(f))
+        limits.append(F.struct((low - spread if side == "both" else F.when(low.isNotNull(), F.lit(float("-inf")))).alias("low"), (high + spread).alias("high")).alias(f))
     return chosen.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), F.struct(*limits).alias("limits"))
 
 
