@@ -2,7 +2,7 @@
 
 A text's letters, lower-cased and with every other run of characters as one blank, give byte n-grams of 2 to 4;
 each hashes to a bucket, each bucket has an embedding, and the mean of a text's embeddings goes through a linear
-softmax. Training sees a bounded sample (SAMPLE documents a language, by hash of doc_id); prediction sees whole
+softmax. Training sees a bounded sample of every language (SAMPLE documents, by hash of doc_id and text); prediction sees whole
 texts. A temperature fitted on a part of the sample calibrates the scores, and the score below which few of that
 part's documents lie is the rejection threshold.
 """
@@ -15,16 +15,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 BUCKETS = 1 << 13
 DIM = 16
 GRAMS = (2, 3, 4)
-#: Documents a language to learn from, at most twice this many in all cases; languages beyond LANGUAGES, rarest first, aren't learned.
+#: Documents a language to learn from; beyond MANY languages fewer of each, so that all fit the driver, FEWEST at least.
 SAMPLE = 600
-LANGUAGES = 64
+MANY = 64
+FEWEST = 20
 EPOCHS, RATE, BATCH, SEED = 12, 0.5, 32, 7
 HELD_OUT_QUANTILE = 0.005
 UNDETERMINED = "und"
@@ -47,6 +48,25 @@ def bucket_counts(text: str) -> np.ndarray:
     return total
 
 
+def _sparse(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that occur and their shares."""
+    counts = bucket_counts(text)
+    at = np.flatnonzero(counts)
+    return at.astype(np.uint16), (counts[at] / max(counts.sum(), 1)).astype(np.float32)
+
+
+def _dense(rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    out = np.zeros((len(rows), BUCKETS), np.float32)
+    for k, (at, share) in enumerate(rows):
+        out[k, at] = share
+    return out
+
+
+def softmax(z: np.ndarray) -> np.ndarray:
+    e = np.exp(z - z.max(1, keepdims=True))
+    return e / e.sum(1, keepdims=True)
+
+
 @dataclass
 class Model:
     langs: list[str]
@@ -58,10 +78,7 @@ class Model:
     def probabilities(self, counts: np.ndarray) -> np.ndarray:
         """counts: documents x BUCKETS."""
         mean = counts / np.maximum(counts.sum(1, keepdims=True), 1)
-        z = (mean @ self.logits + self.bias) / self.temperature
-        z -= z.max(1, keepdims=True)
-        e = np.exp(z)
-        return e / e.sum(1, keepdims=True)
+        return softmax((mean @ self.logits + self.bias) / self.temperature)
 
 
 def fit(texts: list[str], labels: list[str]) -> Model:
@@ -70,8 +87,7 @@ def fit(texts: list[str], labels: list[str]) -> Model:
     if not langs:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
     y = np.array([langs.index(x) for x in labels])
-    x = np.stack([bucket_counts(t) for t in texts]).astype(np.float32)
-    x /= np.maximum(x.sum(1, keepdims=True), 1)
+    x = [_sparse(t) for t in texts]
     rng = np.random.default_rng(SEED)
     emb, out, bias = rng.normal(0, 0.5, (BUCKETS, DIM)), np.zeros((DIM, len(langs))), np.zeros(len(langs))
     cal = np.arange(len(y)) % 5 == 4 if len(y) >= 50 else np.zeros(len(y), bool)
@@ -81,7 +97,8 @@ def fit(texts: list[str], labels: list[str]) -> Model:
         order = rng.permutation(train)
         for at in range(0, len(order), BATCH):
             b = order[at : at + BATCH]
-            hidden = x[b] @ emb
+            xb = _dense([x[k] for k in b])
+            hidden = xb @ emb
             z = hidden @ out + bias
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
@@ -89,17 +106,17 @@ def fit(texts: list[str], labels: list[str]) -> Model:
             grad_hidden = p @ out.T
             out -= rate * hidden.T @ p / len(b) * 4
             bias -= rate * p.mean(0)
-            emb -= rate * 40 * (x[b].T @ grad_hidden) / len(b) * 4
+            emb -= rate * 40 * (xb.T @ grad_hidden) / len(b) * 4
     model = Model(langs, (emb @ out), bias, 1.0, 0.0)
-    held = x[cal] if cal.any() else x
-    truth = y[cal] if cal.any() else y
+    held = np.flatnonzero(cal) if cal.any() else np.arange(len(y))
+    truth = y[held]
+    raw = np.concatenate([_dense([x[k] for k in held[at : at + 128]]) @ model.logits + bias for at in range(0, len(held), 128)])
 
     def loss(t: float) -> float:
-        model.temperature = t
-        return -np.log(np.maximum(model.probabilities(held)[np.arange(len(truth)), truth], 1e-12)).mean()
+        return -np.log(np.maximum(softmax(raw / t)[np.arange(len(truth)), truth], 1e-12)).mean()
 
     model.temperature = min(np.geomspace(0.05, 20, 60), key=loss)
-    model.reject_below = float(np.quantile(model.probabilities(held).max(1), HELD_OUT_QUANTILE))
+    model.reject_below = float(np.quantile(softmax(raw / model.temperature).max(1), HELD_OUT_QUANTILE))
     return model
 
 
@@ -126,22 +143,25 @@ def held_out_column():
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from at most 2 x sample whole documents of each of the LANGUAGES most frequent languages.
+    """A model of every language, from at most sample whole documents of each.
 
-    The documents are those whose hash of doc_id lies below the share that gives `sample` of the language. Texts
-    without a letter teach nothing.
+    The documents are those with the least hash of doc_id and text; rows repeated in full count once, so one hot row
+    or doc_id pushes no other out. Texts without a letter teach nothing.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), held_out_column().alias("held_out"))
-    known = rows.where("NOT held_out AND lang IS NOT NULL AND text IS NOT NULL")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    known = rows.where("NOT held_out AND lang IS NOT NULL AND text IS NOT NULL").where(F.col("text").rlike(r"\p{L}")).withColumn("text_key", F.xxhash64("text"))
+    known = known.withColumn("key", F.xxhash64(F.lit("langid"), "doc_id", "text_key"))
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).collect()
     if not counts:
         return fit([], [])
-    draw = F.pmod(F.xxhash64(F.lit("langid"), F.col("doc_id")), F.lit(1 << 40)).cast("double") / float(1 << 40)
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, sample / r["count"]))).otherwise(share)
-    chosen = known.withColumn("draw", draw).where(F.col("draw") < share).where(F.col("text").rlike(r"\p{L}"))
-    picked = chosen.orderBy("draw", "doc_id", "lang", F.xxhash64("text")).limit(2 * sample * len(counts)).select("text", "lang").collect()
+    each = min(sample, max(FEWEST, MANY * sample // len(counts)))
+    # half as many again as asked for pass, since n is an estimate; the exact bound follows
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 1.5 * each / max(r["n"], 1)))])
+    draw = F.pmod(F.xxhash64(F.lit("draw"), "key"), F.lit(1 << 40)).cast("double") / float(1 << 40)
+    chosen = known.withColumn("draw", draw).where(F.col("draw") < share[F.col("lang")]).dropDuplicates(["lang", "key"])
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "key"))
+    picked = chosen.withColumn("nth", nth).where(F.col("nth") <= each).select("text", "lang", "draw", "key").collect()
+    picked.sort(key=lambda r: (r["draw"], r["key"], r["lang"]))
     return fit([r["text"] for r in picked], [r["lang"] for r in picked])
 
 
