@@ -15,24 +15,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
+from .common import apart, shuffle_partitions
 
 CELL = 4096
-BUFFER = 1 << 16
+BUFFER, BUFFER_BYTES = 1 << 16, 1 << 25
+#: Runs of more rows are searched from point to point, smaller ones pair by pair.
+SMALL = 48
 
 
-def dealt(rows: DataFrame, *payload: str) -> DataFrame:
-    """rows (cell, node, ...) -> (cell, part, chunk, node, payload...), sorted by cell and part within partitions."""
-    counts = rows.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > CELL).select(F.col("cell").alias("h_cell"), F.ceil(F.col("n") / CELL).cast("int").alias("k"))
-    marked = rows.join(counts, F.col("cell") == F.col("h_cell"), "left")
-    k = F.coalesce("k", F.lit(1))
-    chunk = F.pmod(F.xxhash64(F.lit("chunk"), "node"), k).cast("int")
-    split = marked.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), k - 1)))
-    part = F.least("chunk", "other") * k + F.greatest("chunk", "other")
+def marked(rows: DataFrame, counted: DataFrame | None = None, weight: str | None = None, most: int = CELL) -> DataFrame:
+    """rows (cell, node, ...) with k, how many chunks their cell is cut into, and chunk. A chunk holds about `most`
+    rows, or rows of `most` weight. counted: the same rows with fewer columns, where that is cheaper to group."""
+    load = F.sum(weight) if weight else F.count("*")
+    counts = (rows if counted is None else counted).groupBy("cell").agg(load.alias("load")).where(F.col("load") > most)
+    counts = counts.select(apart("cell").alias("h_cell"), F.ceil(F.col("load") / most).cast("int").alias("h_k"))
+    out = rows.join(counts, F.col("cell") == F.col("h_cell"), "left").withColumn("k", F.coalesce("h_k", F.lit(1))).drop("h_cell", "h_k")
+    return out.withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "node"), F.col("k")).cast("int"))
+
+
+def spread(rows: DataFrame, *payload: str) -> DataFrame:
+    """Rows of marked() -> (cell, part, chunk, node, payload...), sorted by cell and part within partitions."""
+    split = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    part = F.least("chunk", "other") * F.col("k") + F.greatest("chunk", "other")
     out = split.select("cell", part.alias("part"), "chunk", "node", *payload)
     return out.repartition(shuffle_partitions(rows.sparkSession), "cell", "part").sortWithinPartitions("cell", "part")
 
 
+def dealt(rows: DataFrame, *payload: str, counted: DataFrame | None = None) -> DataFrame:
+    return spread(marked(rows, counted), *payload)
+
+
 def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of whole (cell, part) runs, with the number of each row's run."""
     held: list[pa.RecordBatch] = []
@@ -41,11 +53,12 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarr
         a, b = t.column("cell").to_numpy(), t.column("part").to_numpy()
         return np.concatenate([[0], np.cumsum((a[1:] != a[:-1]) | (b[1:] != b[:-1]))]) if len(a) else np.zeros(0, np.int64)
 
-    rows = 0
+    rows = size = 0
     for batch in batches:
         held.append(batch)
         rows += batch.num_rows
-        if rows < BUFFER:
+        size += batch.nbytes
+        if rows < BUFFER and size < BUFFER_BYTES:
             continue
         table = pa.Table.from_batches(held).combine_chunks()
         run = number(table)
@@ -53,7 +66,7 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarr
         if cut:
             yield table.slice(0, cut), run[:cut]
         held = table.slice(cut).to_batches()
-        rows = table.num_rows - cut
+        rows, size = table.num_rows - cut, sum(b.nbytes for b in held)
     if held:
         table = pa.Table.from_batches(held).combine_chunks()
         if table.num_rows:
@@ -101,4 +114,35 @@ def stars(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
             return label
 
 
-Compare = Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray]
+def grown(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Each of n points' least point among those that links connect. near(i, rest): which of rest link with i. A point
+    is held against those that no link has reached yet, so a group that hangs together costs little more than its size."""
+    lead, rest = np.arange(n), np.arange(n)
+    while len(rest):
+        first, rest = rest[0], rest[1:]
+        queue = [first]
+        while queue and len(rest):
+            hit = near(queue.pop(), rest)
+            if hit.any():
+                lead[rest[hit]] = first
+                queue.extend(rest[hit].tolist())
+                rest = rest[~hit]
+    return lead
+
+
+def connected(run: np.ndarray, near: Callable) -> np.ndarray:
+    """Each row's least row among those of its run that links connect. near(i, j): which rows i and j link."""
+    lead = np.arange(len(run))
+    start, end = np.searchsorted(run, run, "left"), np.searchsorted(run, run, "right")
+    few = np.flatnonzero(end - start <= SMALL)
+    zero = np.zeros(len(few), np.int64)
+    found = []
+    for i, j in meeting(run[few], zero, zero):
+        i, j = few[i], few[j]
+        hit = near(i, j)
+        found.append((i[hit], j[hit]))
+    lead = stars(len(run), found)
+    for a in np.unique(start[end - start > SMALL]):
+        b = end[a]
+        lead[a:b] = a + grown(b - a, lambda i, rest, a=a: near(np.full(len(rest), a + i), a + rest))
+    return lead

@@ -83,6 +83,12 @@ def keyed(docs: DataFrame, *others: str) -> DataFrame:
     )
 
 
+def apart(col: str) -> Column:
+    """The column as an expression of its own, so that a join on what was grouped by it deals both sides anew. Spark
+    splits a join's hot key only where each side comes straight from an exchange of the join."""
+    return F.when(F.col(col).isNotNull(), F.col(col))
+
+
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = 100_000) -> DataFrame:
     """A broadcast hint only behind a check of the size; otherwise Spark chooses at run time."""
     return F.broadcast(df) if rows <= limit else df

@@ -1,7 +1,7 @@
 """Connected components of an edge table by alternating large and small stars, in DataFrame joins.
 
-No neighbourhood is gathered: a node's least neighbour is a partial aggregate, and hubs are split by Spark's skewed
-joins. Every round is written to the shared folder, so the lineage stays short and a lost executor loses nothing.
+No neighbourhood is gathered: a node's least neighbour is a partial aggregate, dealt anew for the join with the edges,
+so that Spark can split a hub's edges over tasks. Every round is written to the shared folder, so the lineage stays short and a lost executor loses nothing.
 """
 
 from __future__ import annotations
@@ -9,17 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import apart, materialize
 
 
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select(apart("u").alias("w"), F.least("u", "m").alias("m"))
     return both.where("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), "m")
+    least = edges.groupBy("u").agg(F.min("v").alias("m")).select(apart("u").alias("w"), "m")
     joined = edges.join(least, F.col("u") == F.col("w"))
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select(F.col("w").alias("u"), F.col("m").alias("v")))
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cells import dealt, meeting, runs, stars
-from .common import materialize
+from .common import apart, materialize
 from .components import components
 
 COSINE = 0.98
@@ -144,7 +144,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     roots = components(found.select("u", "v"), "vector-components").select(F.col("node").alias("r_node"), "root")
     tied = points.select("node", "size", "least").join(roots, F.col("node") == F.col("r_node"), "left").join(links, F.col("node") == F.col("l_node"), "left")
     tied = materialize(tied.select("node", "size", "least", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "vector-tied")
-    by_root = tied.groupBy(F.col("root").alias("b_root")).agg(F.min("least").alias("component"))
+    by_root = tied.groupBy("root").agg(F.min("least").alias("component")).select(apart("root").alias("b_root"), "component")
     classes = tied.join(by_root, F.col("root") == F.col("b_root")).select(F.col("node").alias("c_node"), (F.col("links") + F.col("size") - 1).alias("n"), "component")
     out = rows.join(classes, F.col("node") == F.col("c_node"), "left")
     component = F.coalesce("component", "vec_id")

@@ -10,6 +10,7 @@ keep_one links by the Jaccard similarity of distinct five-word shingles, 0.8 or
 candidates. Segment popcounts can't retrieve at its distance (64 of 256 bits: any cover by equal groups has cells that
 most points share), so points meet by prefixes instead: put in one order, the first n // 5 + 1 of n shingles of two such
 sets have one in common, whatever the order. Shingles that a sample finds often come last, so cells stay small.
+Candidates are held together as groups, never as pairs, and each group's sets are compared exactly.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cells import dealt, meeting, runs, stars
-from .common import broadcast_if_small, keyed, materialize, text_of
+from .cells import connected, dealt, grown, marked, meeting, runs, spread, stars
+from .common import apart, broadcast_if_small, keyed, materialize, text_of
 from .components import components
 
 SEED = 42
@@ -49,6 +50,8 @@ SIMILAR = Scheme(shingle=5, width=4, distance=64)
 #: Distinct texts that the sample of frequent shingles aims at, and the most shingles it names.
 SAMPLE = 4000
 FREQUENT = 200_000
+#: Shingles in a chunk of a candidate group; a part holds two chunks.
+CHUNK = 1 << 20
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -161,7 +164,7 @@ def _classes(prints: DataFrame, links: DataFrame, least) -> DataFrame:
     by_node = prints.groupBy("node").agg(F.min(least).alias("least"))
     roots = links.select(F.col("node").alias("l_node"), "root")
     tied = materialize(by_node.join(roots, F.col("node") == F.col("l_node"), "left").select("node", F.coalesce("root", "node").alias("root"), "least"), "simhash-classes")
-    by_root = tied.groupBy(F.col("root").alias("b_root")).agg(F.min("least").alias("found"))
+    by_root = tied.groupBy("root").agg(F.min("least").alias("found")).select(apart("root").alias("b_root"), "found")
     return tied.join(by_root, F.col("root") == F.col("b_root")).select(F.col("node").alias("c_node"), "found")
 
 
@@ -248,112 +251,129 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(np.frombuffer(b"".join(held), np.int64)), part.column(0).take(pa.array(rows))], ["cell", "node"])
 
 
-def _sets(scheme: Scheme):
+def _near(size: np.ndarray, longs: np.ndarray, distance: int):
+    """Whether rows i and j can be similar by the sizes of their sets and the bits of their fingerprints."""
+
+    def near(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        fits = 5 * np.minimum(size[i], size[j]) >= 4 * np.maximum(size[i], size[j])
+        at = np.flatnonzero(fits)
+        fits[at] = np.bitwise_count(longs[i[at]] ^ longs[j[at]]).sum(1) <= distance
+        return fits
+
+    return near
+
+
+def _longs(table: pa.Table, scheme: Scheme) -> np.ndarray:
+    return np.stack([table.column(f).to_numpy() for f in _bits(scheme)], axis=1).view(np.uint64)
+
+
+def _star(nodes: np.ndarray, lead: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(nodes != nodes[lead])
+    return pa.record_batch([pa.array(nodes[at]), pa.array(nodes[lead[at]])], ["u", "v"])
+
+
+def _met(scheme: Scheme):
+    """Each set of a cell and the first that it could be similar to, directly or through others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, number in runs(batches):
+            near = _near(table.column("size").to_numpy(), _longs(table, scheme), scheme.distance)
+            yield _star(table.column("node").to_numpy(), connected(number, near))
+
+    return run
+
+
+def _sets(scheme: Scheme, *others: str):
+    """(text, node, others...) -> (others..., node, members), each node once a task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                sets = [_set_of(t, scheme)[0] for t in part.column(1).to_pylist()]
+                take = []
+                for i, node in enumerate(part.column(1).to_pylist()):
+                    if node not in seen:
+                        seen.add(node)
+                        take.append(i)
+                part = part.take(pa.array(take, pa.int64()))
+                sets = [_set_of(t, scheme)[0] for t in part.column(0).to_pylist()]
                 ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                yield pa.record_batch([part.column(0), pa.ListArray.from_arrays(pa.array(ends), _signed(np.concatenate(sets)))], ["node", "members"])
+                members = pa.ListArray.from_arrays(pa.array(ends), _signed(np.concatenate([np.zeros(0, np.uint64), *sets])))
+                yield pa.record_batch([*part.columns[2:], part.column(1), members], [*others, "node", "members"])
 
     return run
 
 
-def crossing(run: np.ndarray, label: np.ndarray, chunk: np.ndarray, block: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of one run with unlike labels, in bounded blocks: in a part of two chunks only across them. Rows
-    are in order of run and label."""
-    n = len(run)
-    fresh = np.concatenate([[True], (run[1:] != run[:-1]) | (label[1:] != label[:-1])]) if n else np.zeros(0, bool)
-    starts = np.append(np.flatnonzero(fresh), n)
-    after = starts[np.cumsum(fresh)]  # the first row past each row's own label
-    end = np.searchsorted(run, run, "right")
-    first = np.searchsorted(run, run, "left")
-    bounds = np.flatnonzero(np.arange(n) == first)
-    low, high = (f.reduceat(chunk, bounds) if n else chunk for f in (np.minimum, np.maximum))
-    two = (low != high)[np.searchsorted(bounds, first)]
-    left = end - after
-    total = np.cumsum(left)
-    at = 0
-    while at < n:
-        base = total[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(total, base + block, "right")))
-        i = np.repeat(np.arange(at, to), left[at:to])
-        if len(i):
-            j = np.arange(len(i)) - np.repeat(np.cumsum(left[at:to]) - left[at:to], left[at:to]) + after[i]
-            keep = ~two[i] | (chunk[i] != chunk[j])
-            yield i[keep], j[keep]
-        at = to
-
-
-def _candidates(scheme: Scheme):
+def _alike(size: np.ndarray, longs: np.ndarray, members: pa.ListArray, distance: int):
+    """Whether set i has Jaccard 0.8 or more with each of the sets `rest`, told from the sets' members."""
+    near = _near(size, longs, distance)
+    _, ids = np.unique(members.flatten().to_numpy(), return_inverse=True)
+    end = np.cumsum(size)
+    first, held = end - size, np.zeros(len(ids), bool)
+
+    def alike(i: int, rest: np.ndarray) -> np.ndarray:
+        out = near(np.full(len(rest), i), rest)
+        at = np.flatnonzero(out)
+        if len(at):
+            j, own = rest[at], ids[first[i] : end[i]]
+            starts = np.cumsum(size[j]) - size[j]
+            held[own] = True
+            common = np.add.reduceat(held[ids[np.arange(size[j].sum()) + np.repeat(first[j] - starts, size[j])]].astype(np.int64), starts)
+            held[own] = False
+            out[at] = 5 * common >= 4 * (size[i] + size[j] - common)
+        return out
+
+    return alike
+
+
+def _verified(scheme: Scheme):
+    """Of the sets that meet in a part, each and the first that it is similar to, directly or through others."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, number in runs(batches):
-            columns = {c: table.column(c).to_numpy() for c in ("node", "label", "chunk", "size", *_bits(scheme))}
-            order = np.lexsort((columns["label"], number))
-            c = {k: v[order] for k, v in columns.items()}
-            longs = np.stack([c[f] for f in _bits(scheme)], axis=1).view(np.uint64)
-            for i, j in crossing(number[order], c["label"], c["chunk"]):
-                fits = 5 * np.minimum(c["size"][i], c["size"][j]) >= 4 * np.maximum(c["size"][i], c["size"][j])
-                i, j = i[fits], j[fits]
-                near = np.bitwise_count(longs[i] ^ longs[j]).sum(1) <= scheme.distance
-                u, v = c["node"][i[near]], c["node"][j[near]]
-                pairs = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1), axis=0)
-                yield pa.record_batch([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], ["u", "v"])
+            cuts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1], [True]]))
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if b - a < 2:
+                    continue
+                part = table.slice(a, b - a)
+                part = part.take(pa.array(np.sort(np.unique(part.column("node").to_numpy(), return_index=True)[1])))
+                size = part.column("size").to_numpy().astype(np.int64)
+                alike = _alike(size, _longs(part, scheme), part.column("members").combine_chunks(), scheme.distance)
+                yield _star(part.column("node").to_numpy(), grown(len(size), alike))
 
     return run
 
 
-def _similar(pairs: DataFrame, prints: DataFrame, docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """The pairs (u, v) of nodes whose sets have Jaccard 0.8 or more. Sets are made anew from one text of each node."""
-    pairs = materialize(pairs.distinct(), "simhash-pairs")
-    nodes = pairs.select(F.col("u").alias("s_node")).unionByName(pairs.select(F.col("v").alias("s_node"))).distinct()
-    one = prints.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key")).alias("of"))
-    named = materialize(one.join(nodes, F.col("node") == F.col("s_node")).select("node", F.col("of.doc_id").alias("n_id"), F.col("of.text_key").alias("n_key")), "simhash-named")
-    few = broadcast_if_small(named, named.count())
-    texts = keyed(docs).join(few, F.col("doc_id").eqNullSafe(F.col("n_id")) & (F.col("text_key") == F.col("n_key"))).select("node", "text")
-    sets = materialize(texts.mapInArrow(_sets(scheme), "node long, members array<long>").dropDuplicates(["node"]), "simhash-sets")
-    left = sets.select(F.col("node").alias("a_node"), F.col("members").alias("a"))
-    right = sets.select(F.col("node").alias("b_node"), F.col("members").alias("b"))
-    both = pairs.join(left, F.col("u") == F.col("a_node")).join(right, F.col("v") == F.col("b_node"))
-    shared = both.select("u", "v", (F.size("a") + F.size("b")).alias("total"), F.size(F.array_intersect("a", "b")).alias("common"))
-    return materialize(shared.where("5 * common >= 4 * (total - common)").select("u", "v"), "simhash-similar")
-
-
 def similar(prints: DataFrame, docs: DataFrame, scheme: Scheme = SIMILAR) -> DataFrame:
     """node, root of every set that has Jaccard 0.8 or more with another, through any chain; roots are left out.
 
-    First each set is held against the nearest of its cells' centers, one a cell; then all pairs of a cell that are
-    not yet in one component are, so a large group of near copies is not compared pair by pair.
+    Sets that share a cell and pass by size and fingerprint hang together in candidate groups, found without listing a
+    pair. A set's members then go once to its group (to each part of a group beyond CHUNK shingles) and are compared
+    exactly there; what leaves the task is one row a set.
     """
-    points = prints.dropDuplicates(["node"]).select("node", "size", *_bits(scheme), "cells")
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key")
+    kept = ["size", *_bits(scheme), "cells"]
+    points = prints.groupBy("node").agg(F.min(place).alias("of"), *[F.first(c).alias(c) for c in kept])
     points = materialize(points, "simhash-points")
     cells = points.select("node", "cells").mapInArrow(_prefixes, "cell long, node long")
-    # a node XOR the cell is an order of the cell's own, so centers differ from cell to cell
-    mixed = F.col("node").bitwiseXOR(F.col("cell"))
-    counts = cells.groupBy("cell").agg(F.count("*").alias("n"), F.min(mixed).alias("m")).where("n > 1")
-    counts = counts.select(F.col("cell").alias("c_cell"), F.col("m").bitwiseXOR(F.col("cell")).alias("center"))
-    shared = materialize(cells.join(counts, F.col("cell") == F.col("c_cell")).select("cell", "node", "center"), "simhash-shared")
-
-    info = points.select("node", "size", *_bits(scheme))
-    other = info.select(*[F.col(c).alias("o_" + c) for c in info.columns])
-    spokes = shared.where("node <> center").select(F.col("node").alias("s_node"), "center").distinct()
-    apart = sum((F.bit_count(F.col(f).bitwiseXOR(F.col("o_" + f))) for f in _bits(scheme)), F.lit(0))
-    fits = 5 * F.least("size", "o_size") >= 4 * F.greatest("size", "o_size")
-    met = spokes.join(info, F.col("s_node") == F.col("node")).join(other, F.col("center") == F.col("o_node")).where(fits)
-    near = met.select("node", "center", apart.alias("apart")).where(F.col("apart") <= scheme.distance)
-    nearest = near.withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("apart", "center"))).where("nth <= 3")
-    first = _similar(nearest.select(F.least("node", "center").alias("u"), F.greatest("node", "center").alias("v")), prints, docs, scheme)
-
-    roots = components(first, "simhash-first").select(F.col("node").alias("r_node"), "root")
-    labelled = shared.select("cell", "node").join(roots, F.col("node") == F.col("r_node"), "left").select("cell", "node", F.coalesce("root", "node").alias("label"))
-    labelled = materialize(labelled, "simhash-labelled")
-    split = labelled.groupBy("cell").agg(F.min("label").alias("a"), F.max("label").alias("z")).where("a <> z").select(F.col("cell").alias("m_cell"))
-    rest = labelled.join(split, F.col("cell") == F.col("m_cell"), "left_semi").join(info.withColumnRenamed("node", "i_node"), F.col("node") == F.col("i_node"))
-    rest = materialize(rest.select("cell", "node", "label", "size", *_bits(scheme)), "simhash-rest")
-    pairs = dealt(rest, "label", "size", *_bits(scheme)).mapInArrow(_candidates(scheme), "u long, v long")
-    second = _similar(pairs, prints, docs, scheme)
-    return components(first.unionByName(second), "simhash-links")
+    counts = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").select(apart("cell").alias("c_cell"))
+    shared = materialize(cells.join(counts, F.col("cell") == F.col("c_cell")).select("cell", "node"), "simhash-shared")
+    info = points.select(F.col("node").alias("i_node"), "size", *_bits(scheme))
+    rows = shared.join(info, F.col("node") == F.col("i_node"))
+    met = dealt(rows, "size", *_bits(scheme), counted=shared).mapInArrow(_met(scheme), "u long, v long")
+    groups = components(met, "simhash-met").select(F.col("node").alias("g_node"), "root")
+
+    groups = materialize(groups.unionByName(groups.select(F.col("root").alias("g_node"), "root").distinct()), "simhash-groups")
+    named = points.join(groups, F.col("node") == F.col("g_node")).select(F.col("root").alias("cell"), "node", "size", *_bits(scheme), F.col("of.doc_id").alias("n_id"), F.col("of.text_key").alias("n_key"))
+    named = materialize(marked(named, weight="size", most=CHUNK), "simhash-named")
+    few = broadcast_if_small(named, named.count())
+    texts = keyed(docs).join(few, F.col("doc_id").eqNullSafe(F.col("n_id")) & (F.col("text_key") == F.col("n_key")))
+    others = ["cell", "k", "chunk", "size", *_bits(scheme)]
+    kinds = ", ".join(["cell long, k int, chunk int, size int", *[f"{f} long" for f in _bits(scheme)], "node long, members array<long>"])
+    sets = texts.select("text", "node", *others).mapInArrow(_sets(scheme, *others), kinds)
+    links = spread(sets, "size", *_bits(scheme), "members").mapInArrow(_verified(scheme), "u long, v long")
+    return components(links, "simhash-links")
 
 
 def keep_one(docs: DataFrame, scheme: Scheme = SIMILAR) -> DataFrame:

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from alluvium.llm import simhash
+from alluvium.llm import cells, simhash
 
 SCHEMA = "doc_id long, text string"
 
@@ -77,12 +77,23 @@ def test_every_similar_pair_meets(n):
         assert len(np.intersect1d(simhash.prefix(a, often, times), simhash.prefix(b, often, times)))
 
 
-def test_crossing_meets_each_pair_once():
+def test_connected_is_exact():
+    """Small and large runs, against a search from point to point."""
     rng = np.random.default_rng(2)
-    run, label, chunk = (np.sort(rng.integers(0, 9, 300)), rng.integers(0, 4, 300), rng.integers(0, 2, 300))
-    chunk[run < 4] = 1
-    order = np.lexsort((label, run))
-    run, label, chunk = run[order], label[order], chunk[order]
-    got = sorted((int(a), int(b)) for i, j in simhash.crossing(run, label, chunk, block=50) for a, b in zip(i, j))
-    want = [(i, j) for i in range(300) for j in range(i + 1, 300) if run[i] == run[j] and label[i] != label[j] and (run[i] < 4 or chunk[i] != chunk[j])]
-    assert got == want
+    run = np.sort(np.concatenate([rng.integers(0, 9, 60), np.full(200, 9)]))
+    place = rng.uniform(0, 40, len(run))
+    near = lambda i, j: np.abs(place[i] - place[j]) < 0.2
+    got = cells.connected(run, near)
+    want = np.arange(len(run))
+    for _ in run:
+        for i in range(len(run)):
+            want[i] = want[[j for j in range(len(run)) if run[i] == run[j] and near(i, j)]].min()
+    assert got.tolist() == want.tolist()
+
+
+def test_large_group_in_parts(spark, monkeypatch):
+    """A group beyond a chunk is compared part by part, with the same result."""
+    rows = near_rows()
+    monkeypatch.setattr(simhash, "CHUNK", 300)
+    kept = simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept) == brute_kept(rows)
