@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import apart, shuffle_partitions
 
-CELL = 4096
+CELL = 1024
 BUFFER, BUFFER_BYTES = 1 << 16, 1 << 25
 #: Runs of more rows are searched from point to point, smaller ones pair by pair.
 SMALL = 48
