@@ -14,7 +14,9 @@ leftmost of equals), so equal windows sample the same offset and about one posit
 4. Equal neighbours in either order are repeats of the earliest.
 
 Names are 128-bit hashes of the bytes, in any order that puts equals together. Each task drops its own repeats before
-the shuffle, so a string that all documents hold reaches its bucket once a task.
+the shuffle, so a string that all documents hold reaches its bucket once a task. Names are dealt by their sample, so
+that one bucket sees whether a sample has several; the names of a sample that a look at some documents finds in many
+runs, as of a short line that many documents share, are dealt one by one, since it is known to have several.
 """
 
 from __future__ import annotations
@@ -33,6 +35,9 @@ LENGTH, GRAM = 100, 32
 WINDOW = LENGTH - GRAM + 1  # 32-byte strings in a window
 PIECE = 1 << 20  # windows that are hashed at a time
 NULL_ID = -(2**63)
+#: Documents that the look for hot samples aims at, at least, and its share beyond; a sample is hot from so many names
+#: in it on, and at most so many samples are. Only the dealing hangs on them, never a result.
+LOOK, LOOK_SHARE, HOT, MOST_HOT = 4000, 256, 8, 200_000
 
 _SPANS = "doc_id long, text_key long, lo long, n int, kind int"
 _ROWS = "bucket int, kind int, names binary, samples binary, doc_ids binary, text_keys binary, los binary, ns binary"
@@ -117,8 +122,9 @@ class _Found:
     def add(self, name, sample, doc_id, text_key, lo, n):
         self.columns.append((name, sample, doc_id, text_key, lo, n))
 
-    def dealt(self, buckets: int, by_sample: bool) -> Iterator[pa.RecordBatch]:
-        """The first of each name by its bucket (kind 0); the task's own repeats by document (kind 1)."""
+    def dealt(self, buckets: int, hot: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        """The first of each name by its bucket (kind 0); the task's own repeats by document (kind 1). Buckets go by
+        name, or if `hot` is given, by sample for all but these samples."""
         if not self.columns:
             return
         name, sample, doc_id, text_key, lo, n = (np.concatenate(c) for c in zip(*self.columns))
@@ -126,8 +132,10 @@ class _Found:
         order = _order(name, doc_id, text_key, lo)
         first = _changes(name[order])
         for kind, rows in ((0, order[first]), (1, order[~first])):
-            key = (sample[rows] if by_sample else name[rows, 0]) if kind == 0 else text_key[rows].view(np.uint64)
-            bucket = (key % np.asarray(buckets, key.dtype)).astype(np.int32)
+            key = name[rows, 0] if kind == 0 else text_key[rows].view(np.uint64)
+            if kind == 0 and hot is not None:
+                key = np.where(np.isin(sample[rows], hot), key, sample[rows].astype(np.uint64))
+            bucket = (key % np.uint64(buckets)).astype(np.int32)
             rows = rows[np.lexsort((lo[rows], text_key[rows], doc_id[rows], bucket))]
             bucket = np.sort(bucket)
             cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(rows) else []
@@ -150,36 +158,59 @@ def _new_documents(batch: pa.RecordBatch, seen: set) -> list[int]:
     return out
 
 
-def _sampled(buckets: int):
+def _found_samples(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The runs of each batch of new documents: name, sample, doc_id, text_key, lo, n."""
+    seen: set = set()
+    for batch in batches:
+        take = _new_documents(batch, seen)
+        if len(take) < batch.num_rows:
+            batch = batch.take(pa.array(take, pa.int64()))
+        if not batch.num_rows:
+            continue
+        doc_id, text_key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(2).to_pylist()]
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        ends = np.cumsum([len(t) for t in texts])
+        starts = ends - [len(t) for t in texts]
+        del texts
+        for at in range(0, len(data), PIECE):
+            part = data[at : at + PIECE + LENGTH - 1]
+            valid = np.ones(min(PIECE, len(part)), bool)
+            for d in range(int(np.searchsorted(ends, at, "right")), len(ends)):
+                if starts[d] >= at + PIECE + LENGTH:
+                    break
+                valid[max(0, max(starts[d], ends[d] - LENGTH + 1) - at) : max(0, ends[d] - at)] = False
+            lo, n, name, sample = sample_runs(part, valid)
+            d = np.searchsorted(ends, lo + at, "right")
+            yield name, sample, doc_id[d], text_key[d], lo + at - starts[d], n
+
+
+def _sampled(buckets: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, seen = _Found(), set()
-        for batch in batches:
-            take = _new_documents(batch, seen)
-            if len(take) < batch.num_rows:
-                batch = batch.take(pa.array(take, pa.int64()))
-            if not batch.num_rows:
-                continue
-            doc_id, text_key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(2).to_pylist()]
-            data = np.frombuffer(b"".join(texts), np.uint8)
-            ends = np.cumsum([len(t) for t in texts])
-            starts = ends - [len(t) for t in texts]
-            del texts
-            for at in range(0, len(data), PIECE):
-                part = data[at : at + PIECE + LENGTH - 1]
-                valid = np.ones(min(PIECE, len(part)), bool)
-                for d in range(int(np.searchsorted(ends, at, "right")), len(ends)):
-                    if starts[d] >= at + PIECE + LENGTH:
-                        break
-                    valid[max(0, max(starts[d], ends[d] - LENGTH + 1) - at) : max(0, ends[d] - at)] = False
-                lo, n, name, sample = sample_runs(part, valid)
-                d = np.searchsorted(ends, lo + at, "right")
-                found.add(name, sample, doc_id[d], text_key[d], lo + at - starts[d], n)
-        yield from found.dealt(buckets, True)
+        found = _Found()
+        for columns in _found_samples(batches):
+            found.add(*columns)
+        yield from found.dealt(buckets, hot)
 
     return run
 
 
+def _names_of_samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for name, sample, *_ in _found_samples(batches):
+        pairs = np.unique(np.stack([sample.astype(np.uint64), name[:, 0]], axis=1), axis=0)
+        yield pa.record_batch([pa.array(pairs[:, 0].astype(np.int64)), pa.array(pairs[:, 1].astype(np.int64))], ["sample", "name"])
+
+
+def hot_samples(rows: DataFrame) -> np.ndarray:
+    """Samples with HOT names or more in some of the documents, in rising order."""
+    long = rows.where(F.octet_length("text") >= LENGTH)
+    share = max(1, min(long.count() // LOOK, LOOK_SHARE))
+    some = long.where(F.pmod(F.xxhash64(F.lit("look"), "text_key"), F.lit(share)) == 0)
+    names = some.mapInArrow(_names_of_samples, "sample long, name long").distinct().groupBy("sample").agg(F.count("*").alias("n"))
+    hot = names.where(F.col("n") >= HOT).orderBy(F.desc("n"), "sample").limit(MOST_HOT).collect()
+    return np.sort(np.array([r["sample"] for r in hot], np.uint32))
+
+
 def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """A bucket's rows: columns of firsts (name, sample, doc_id, text_key, lo, n), and of known repeats (the last four)."""
     types = (np.uint64, np.uint32, np.int64, np.int64, None, np.uint8)
@@ -200,8 +231,8 @@ def _spans(doc_id, text_key, lo, n, kind: int, size: int = 1 << 17) -> Iterator[
         yield pa.record_batch([*[pa.array(c) for c in cols], pa.array(np.full(len(cols[0]), kind, np.int32))], ["doc_id", "text_key", "lo", "n", "kind"])
 
 
-def _compared(unsettled: bool):
-    """Sorts a bucket's names: repeats of an earlier run are kind 0; with `unsettled`, first runs whose sample has another name kind 1."""
+def _compared(hot: np.ndarray | None = None):
+    """Sorts a bucket's names: repeats of an earlier run are kind 0; with `hot`, first runs whose sample has another name kind 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (name, sample, doc_id, text_key, lo, n), known = _gathered(batches)
@@ -214,10 +245,10 @@ def _compared(unsettled: bool):
         head = np.flatnonzero(first)[np.cumsum(first) - 1]
         again = ~first & ~((doc_id == doc_id[head]) & (text_key == text_key[head]) & (lo == lo[head]))  # not the same place of a repeated row
         yield from _spans(doc_id[again], text_key[again], lo[again], n[again], 0)
-        if unsettled:
+        if hot is not None:
             f = np.flatnonzero(first)
             _, number, count = np.unique(sample[f], return_inverse=True, return_counts=True)
-            f = f[count[number] > 1]
+            f = f[(count[number] > 1) | np.isin(sample[f], hot)]
             yield from _spans(doc_id[f], text_key[f], lo[f], n[f], 1)
 
     return run
@@ -256,7 +287,7 @@ def _windows(buckets: int):
                     cuts, sizes, place, total = [], [], [], 0
             if place:
                 hashed()
-        yield from found.dealt(buckets, False)
+        yield from found.dealt(buckets)
 
     return run
 
@@ -296,11 +327,12 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 def _repeats(rows: DataFrame) -> DataFrame:
     buckets = shuffle_partitions(rows.sparkSession)
-    sampled = rows.where(F.octet_length("text") >= LENGTH).mapInArrow(_sampled(buckets), _ROWS)
-    named = materialize(sampled.repartitionById(buckets, F.col("bucket")).mapInArrow(_compared(True), _SPANS), "suffix-runs")
+    hot = hot_samples(rows)
+    sampled = rows.where(F.octet_length("text") >= LENGTH).mapInArrow(_sampled(buckets, hot), _ROWS)
+    named = materialize(sampled.repartitionById(buckets, F.col("bucket")).mapInArrow(_compared(hot), _SPANS), "suffix-runs")
     unsettled = named.where("kind = 1").groupBy(F.col("doc_id").alias("u_id"), F.col("text_key").alias("u_key")).agg(F.collect_list(F.struct("lo", "n")).alias("u"))
     open_rows = rows.join(unsettled, (F.col("doc_id") == F.col("u_id")) & (F.col("text_key") == F.col("u_key"))).select("doc_id", "text_key", "text", "u.lo", "u.n")
-    merged = open_rows.mapInArrow(_windows(buckets), _ROWS).repartitionById(buckets, F.col("bucket")).mapInArrow(_compared(False), _SPANS)
+    merged = open_rows.mapInArrow(_windows(buckets), _ROWS).repartitionById(buckets, F.col("bucket")).mapInArrow(_compared(), _SPANS)
     return named.where("kind = 0").unionByName(merged).select("doc_id", "text_key", "lo", "n")
 
 
