@@ -1,10 +1,10 @@
 """SimHash near-dedup by segment popcounts.
 
 A fingerprint is cut into segments; the number of ones in each segment embeds it in a grid where the Manhattan
-distance of two points is at most their Hamming distance. For 64 bits and distance 4 the 32 two-bit segments form 6
-groups: a Manhattan distance of 4 leaves at least two groups equal, so the grid cells of each of the 15 pairs of
-groups, joined, hold every pair that can link. In a cell, pairs over the Manhattan bound (of byte segments) go
-first, then the bits are compared. Equal fingerprints are one point; links become components, never pairs of rows.
+distance of two points is at most their Hamming distance. For 64 bits and distance 4 the 32 two-bit segments form g
+groups, 6 to 10 by the number of points: a Manhattan distance of 4 leaves at least g - 4 groups equal, so the grid
+cells of each choice of g - 4 groups, joined, hold every pair that can link. In a cell, pairs over the Manhattan bound
+(of byte segments) go first, then the bits are compared. Equal fingerprints are one point; links become components, never pairs of rows.
 
 keep_one links by the Jaccard similarity of distinct five-word shingles, 0.8 or more, and the fingerprint only sorts out
 candidates. Segment popcounts can't retrieve at its distance (64 of 256 bits: any cover by equal groups has cells that
@@ -103,20 +103,27 @@ def _matrix(column, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 8 * width)
 
 
-def cell_keys(octets: np.ndarray) -> np.ndarray:
+def groups_for(points: int) -> int:
+    """Groups of segments: more for more points, so that cells stay small. With g groups, g - 4 are equal in a link, and
+    each of the tables keys on g - 4 of them: about 1.5 bits for each of the segments they hold."""
+    return min(10, 6 + max(0, points.bit_length() - 15) // 4)
+
+
+def cell_keys(octets: np.ndarray, groups: int = 6) -> np.ndarray:
     """points x tables: which cell of each table's grid a fingerprint lies in."""
     bits = np.unpackbits(octets, axis=1)
     counts = (bits[:, ::2] + bits[:, 1::2]).astype(np.int64)  # ones in each two-bit segment
-    groups = [g @ (3 ** np.arange(g.shape[1])) for g in np.array_split(counts, 6, axis=1)]
-    return np.stack([(t << 40) + groups[a] * 729 + groups[b] for t, (a, b) in enumerate(combinations(range(6), 2))], axis=1)
+    codes = [g @ (3 ** np.arange(g.shape[1])) for g in np.array_split(counts, groups, axis=1)]
+    base = 3 ** -(-counts.shape[1] // groups)
+    return np.stack([(t << 40) + sum(codes[g] * base**k for k, g in enumerate(some)) for t, some in enumerate(combinations(range(groups), groups - LINKS.distance))], axis=1)
 
 
-def _cells(scheme: Scheme):
+def _cells(scheme: Scheme, groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = cell_keys(_matrix(batch.column(0), scheme.width))
+            keys = cell_keys(_matrix(batch.column(0), scheme.width), groups)
             rows = np.repeat(np.arange(len(keys)), keys.shape[1])
             yield pa.record_batch([pa.array(keys.reshape(-1)), batch.column(0).take(pa.array(rows))], ["cell", "node"])
 
@@ -153,8 +160,8 @@ def fingerprints(docs: DataFrame, scheme: Scheme = LINKS) -> DataFrame:
 
 def linked(prints: DataFrame, scheme: Scheme = LINKS) -> DataFrame:
     """node, root: the component of every distinct fingerprint that links to another; roots are left out."""
-    points = prints.select("node").distinct()
-    cells = points.mapInArrow(_cells(scheme), "cell long, node binary")
+    points = materialize(prints.select("node").distinct(), "simhash-nodes")
+    cells = points.mapInArrow(_cells(scheme, groups_for(points.count())), "cell long, node binary")
     stars_found = dealt(cells).mapInArrow(_links(scheme), "u binary, v binary")
     return components(stars_found, "simhash-links")
 
