@@ -1,14 +1,18 @@
 """Embedding near-dedup by iterative quantisation.
 
-A rotation, learned from a bounded sample, turns unit vectors into balanced binary codes. Tables keyed by chosen
-bits of the code gather vectors that may be near; in each cell the original vectors are compared in double
+Rotations, learned from a bounded sample, turn unit vectors into balanced binary codes. A code is cut into disjoint
+substrings, each the key of a table, so two codes that differ in fewer bits than there are tables share a cell of at
+least one (multi-index Hamming tables, looked up exactly); in each cell the original vectors are compared in double
 precision. Equal vectors are one point. A pair that meets in several tables counts in the first. No pair leaves its
-task: a point emits the number of its links and the least point of its local component.
+task: a point emits the number of its links and the least point of its local component. Substrings grow with the
+logarithm of the number of vectors, and the number of tables with them, so cells keep their size.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,28 +27,49 @@ COSINE = 0.98
 #: The rotation is learned from at most so many vectors (those with the least hash of vec_id); all are indexed.
 SAMPLE = 8_000
 ROUNDS = 30
-#: Near vectors at cosine 0.98 differ in 6.4 % of the bits; 12 given bits agree with chance 0.45, in one of 10 tables with 0.997.
-TABLES, BITS, SEED = 10, 12, 11
+SEED = 11
+#: Near vectors at cosine 0.98 differ in 6.4 % of the bits (arccos / pi). Substrings have LEAST_BITS or more, and so many
+#: tables are made that such a pair agrees in none with a chance of MISSED at most, taking bits as independent.
+LEAST_BITS, MISSED = 12, 5e-4
 
 
-def learn_rotation(sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, projection) so that the signs of (x - mean) @ projection are the code: PCA, then alternate the nearest
-    binary codes and the rotation that fits them best. Codes have at least 64 bits; vectors of fewer dimensions get
-    random further directions."""
+@dataclass(frozen=True)
+class Tables:
+    """How codes are cut: `tables` disjoint substrings of `bits`."""
+
+    bits: int
+    tables: int
+
+    @property
+    def kind(self) -> str:
+        return "<i4" if self.bits < 32 else "<i8"
+
+
+def tables_for(points: int, cosine: float = COSINE) -> Tables:
+    """About 16 points of a random table's cell, whatever the number of points."""
+    bits = max(LEAST_BITS, max(points, 1).bit_length() - 4)
+    agree = (1 - math.acos(min(cosine, 1)) / math.pi) ** bits
+    return Tables(bits, max(1, math.ceil(math.log(MISSED) / math.log1p(-agree))) if agree < 1 else 1)
+
+
+def learn_rotation(sample: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, projection) so that the signs of (x - mean) @ projection are the code of `width` bits: PCA, then alternate
+    the nearest binary codes and the rotation that fits them best. A code longer than the vectors takes the bits of
+    several rotations, each learned from a start of its own."""
     dim = sample.shape[1]
     mean = sample.mean(0)
     x = sample - mean
     rng = np.random.default_rng(SEED)
     _, axes = np.linalg.eigh(x.T @ x)
     v = x @ axes
-    r, _ = np.linalg.qr(rng.normal(size=(dim, dim)))
-    for _ in range(ROUNDS):
-        u, _, wt = np.linalg.svd(np.where(v @ r >= 0, 1.0, -1.0).T @ v)
-        r = wt.T @ u.T
-    projection = axes @ r
-    if dim < 64:
-        projection = np.concatenate([projection, rng.normal(size=(dim, 64 - dim))], axis=1)
-    return mean, projection
+    parts = []
+    for _ in range(-(-width // dim)):
+        r, _ = np.linalg.qr(rng.normal(size=(dim, dim)))
+        for _ in range(ROUNDS):
+            u, _, wt = np.linalg.svd(np.where(v @ r >= 0, 1.0, -1.0).T @ v)
+            r = wt.T @ u.T
+        parts.append(axes @ r)
+    return mean, np.concatenate(parts, axis=1)[:, :width]
 
 
 def _unit(column, dim: int) -> np.ndarray:
@@ -55,51 +80,56 @@ def _unit(column, dim: int) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _codes(unit: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.ndarray:
-    """points x TABLES: the chosen bits of each table."""
+def _codes(unit: np.ndarray, mean: np.ndarray, projection: np.ndarray, cut: Tables) -> np.ndarray:
+    """points x tables: the substrings of each point's code."""
     bits = (unit - mean) @ projection >= 0
-    rng = np.random.default_rng(SEED)
-    power = 1 << np.arange(BITS)
-    picks = [rng.choice(bits.shape[1], BITS, replace=False) for _ in range(TABLES)]
-    return np.stack([bits[:, p] @ power for p in picks], axis=1).astype(np.int64)
+    return (bits.reshape(len(unit), cut.tables, cut.bits) @ (1 << np.arange(cut.bits))).astype(np.int64)
+
 
+def _cells(models: dict, cut: Tables):
+    """A row for each point and table, with all substrings of the point, so that no task makes them again."""
 
-def _cells(models: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column(1).to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                keys = _codes(_unit(part.column(3), int(dim)), *models[int(dim)])
-                at = pa.array(np.repeat(np.arange(len(keys)), TABLES))
-                table = np.tile(np.arange(TABLES), len(keys))
-                group = part.column(0).to_numpy()[np.repeat(np.arange(len(keys)), TABLES)]
+                keys = _codes(_unit(part.column(3), int(dim)), *models[int(dim)], cut)
+                at = np.repeat(np.arange(len(keys)), cut.tables)
+                table = np.tile(np.arange(cut.tables), len(keys))
+                codes = pa.array([k.tobytes() for k in keys.astype(cut.kind)], pa.binary()).take(pa.array(at))
                 yield pa.record_batch(
-                    [pa.array(group), pa.array(table.astype(np.int32)), pa.array(keys.reshape(-1)), *[part.column(i).take(at) for i in (1, 2, 3, 4)]],
-                    ["label_key", "t", "code", "dim", "node", "vector", "size"],
+                    [pa.array(table.astype(np.int32)), pa.array(keys.reshape(-1)), codes, *[part.column(i).take(pa.array(at)) for i in (0, 1, 2, 3, 4)]],
+                    ["t", "code", "codes", "label_key", "dim", "node", "vector", "size"],
                 )
 
     return run
 
 
-def _links(models: dict, cosine: float):
+def _links(cut: Tables, cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, number in runs(batches):
             for dim in np.unique(table.column("dim").to_numpy()):
                 here = table.column("dim").to_numpy() == dim
                 part, run_no = table.filter(pa.array(here)), number[here]
                 unit = _unit(part.column("vector"), int(dim))
-                codes = _codes(unit, *models[int(dim)])
-                which, size = part.column("t").to_numpy(), part.column("size").to_numpy()
+                codes = np.frombuffer(b"".join(part.column("codes").to_pylist()), cut.kind).reshape(len(unit), -1)
+                which, size, label = (part.column(c).to_numpy() for c in ("t", "size", "label_key"))
                 links, found = np.zeros(len(unit), np.int64), []
                 for i, j in meeting(run_no, part.column("chunk").to_numpy(), part.column("part").to_numpy(), 1 << 17):
+                    # a cell's number is a hash: the table, its substring and the label are held against each other
+                    here = (label[i] == label[j]) & (which[i] == which[j])
+                    i, j = i[here], j[here]
+                    same = codes[i] == codes[j]
+                    t = which[i]
+                    fits = same[np.arange(len(i)), t] if len(i) else np.zeros(0, bool)
+                    i, j, same, t = i[fits], j[fits], same[fits], t[fits]
                     near = np.einsum("ij,ij->i", unit[i], unit[j]) >= cosine
-                    i, j = i[near], j[near]
+                    i, j, same, t = i[near], j[near], same[near], t[near]
                     found.append((i, j))
-                    earlier = (codes[i] == codes[j]) & (np.arange(TABLES) < which[i][:, None])
-                    i, j = i[~earlier.any(1)], j[~earlier.any(1)]
-                    np.add.at(links, i, size[j])
-                    np.add.at(links, j, size[i])
+                    first = ~(same & (np.arange(codes.shape[1]) < t[:, None])).any(1)
+                    np.add.at(links, i[first], size[j[first]])
+                    np.add.at(links, j[first], size[i[first]])
                 root = stars(len(unit), found)
                 at = np.flatnonzero((root != np.arange(len(root))) | (links > 0))
                 nodes = part.column("node").combine_chunks()
@@ -130,16 +160,18 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         rows.where("fine").groupBy("node").agg(F.first("label").alias("label"), F.first("embedding").alias("vector"), F.count("*").alias("size"), F.min("vec_id").alias("least")),
         "vector-points",
     )
+    cut = tables_for(points.count(), cosine)
     models = {}
     for r in points.select(F.size("vector").alias("d")).distinct().collect():
         sample = points.where(F.size("vector") == r["d"]).orderBy(F.xxhash64("least"), "node").limit(SAMPLE).select("vector").toPandas()["vector"]
         x = np.stack(sample.to_list()).astype(np.float64)
         x /= np.abs(x).max(1, keepdims=True)
-        models[r["d"]] = learn_rotation(x / np.sqrt((x * x).sum(1, keepdims=True)))
+        models[r["d"]] = learn_rotation(x / np.sqrt((x * x).sum(1, keepdims=True)), cut.bits * cut.tables)
     shape = points.select(F.xxhash64("label").alias("label_key"), F.size("vector").alias("dim"), "node", "vector", "size")
-    cells = shape.mapInArrow(_cells(models), "label_key long, t int, code long, dim int, node string, vector array<double>, size long")
-    keyed = cells.withColumn("cell", F.xxhash64("label_key", "dim", "t", "code"))
-    found = materialize(dealt(keyed.select("cell", "node", "t", "dim", "vector", "size"), "t", "dim", "vector", "size").mapInArrow(_links(models, cosine), "u string, v string, links long"), "vector-links")
+    kinds = "t int, code long, codes binary, label_key long, dim int, node string, vector array<double>, size long"
+    cells = shape.mapInArrow(_cells(models, cut), kinds).withColumn("cell", F.xxhash64("label_key", "dim", "t", "code"))
+    payload = ("t", "dim", "vector", "size", "codes", "label_key")
+    found = materialize(dealt(cells.select("cell", "node", *payload), *payload).mapInArrow(_links(cut, cosine), "u string, v string, links long"), "vector-links")
     links = found.groupBy(F.col("u").alias("l_node")).agg(F.sum("links").alias("links"))
     roots = components(found.select("u", "v"), "vector-components").select(F.col("node").alias("r_node"), "root")
     tied = points.select("node", "size", "least").join(roots, F.col("node") == F.col("r_node"), "left").join(links, F.col("node") == F.col("l_node"), "left")
