@@ -63,19 +63,20 @@ class EliasFano:
     def _value(self, high: np.ndarray, low: np.ndarray) -> np.ndarray:
         return ((high.astype(np.uint64) << np.uint64(self.bits)) + low + np.uint64(self.first)).view(np.int64)
 
-    def select(self, i: int) -> int:
-        """The i-th value; reads one stretch between samples."""
-        if not 0 <= i < self.n:
-            raise IndexError(i)
-        s = i // SAMPLE
+    def select(self, i: int, to: int | None = None) -> np.ndarray | int:
+        """The i-th value, or those from the i-th to before the to-th; reads only the stretch between their samples."""
+        if to is None:
+            if not 0 <= i < self.n:
+                raise IndexError(i)
+            return int(self.select(i, i + 1)[0])
+        to = min(to, self.n)
+        if i >= to:
+            return np.zeros(0, np.int64)
+        s, e = i // SAMPLE, -(-to // SAMPLE)
         start = int(self.samples[s])
-        end = int(self.samples[s + 1]) if s + 1 < len(self.samples) else len(self.high) * 8
-        bits = np.unpackbits(self.high[start // 8 : end // 8 + 1], bitorder="little")
-        ones = np.flatnonzero(bits[start - start // 8 * 8 :])
-        place = start + int(ones[i - s * SAMPLE])
-        return int(self._value(np.array([place - i]), _unpack(self.low, self.bits, 1, i))[0])
-
-    def values(self) -> np.ndarray:
-        """All values in order."""
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        return self._value(ones - np.arange(self.n), _unpack(self.low, self.bits, self.n))
+        end = int(self.samples[e]) if e < len(self.samples) else len(self.high) * 8
+        bits = np.unpackbits(self.high[start // 8 : -(-end // 8)], bitorder="little")
+        ones = start // 8 * 8 + np.flatnonzero(bits)
+        first = int(np.searchsorted(ones, start)) + i - s * SAMPLE
+        places = ones[first : first + to - i]
+        return self._value(places - np.arange(i, to), _unpack(self.low, self.bits, to - i, i))

@@ -31,10 +31,26 @@ SHARD_TEXT = 64 << 20
 MOST_SHARDS = 1 << 17
 
 
+#: Documents whose boundaries are read at a time.
+BLOCK = 4096
+#: Schemes of Hadoop's file systems that pyarrow knows under another name.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme and host that Spark would write it to, so that tasks meet in the same place."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _fs(path: str):
+    """pyarrow's file system for a qualified path, and the path in it."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
 
 
 def _encode(path: str, end_id: int, dtype: str, cuts: np.ndarray):
@@ -102,7 +118,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
     """
     spark = docs.sparkSession
     path = tokenizer or default_path("byte_bpe_50k.json")
-    folder = folder or scratch_path(spark, "tokens")
+    folder = qualified(spark, folder or scratch_path(spark, "tokens"))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     total = ids.agg(F.sum(F.octet_length("text")).alias("n"), F.count("*").alias("rows")).first()
     if not total["rows"]:
@@ -117,7 +133,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
     return folder, sorted(tuple(r) for r in made.collect())
 
 
-def _read(folder: str):
+def _read(folder: str, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, at = _fs(folder)
         for batch in batches:
@@ -129,29 +145,33 @@ def _read(folder: str):
                     raise ValueError(f"{name}.ef is not a boundary file")
                 ends = elias_fano.EliasFano(head, struct.calcsize(MAGIC))
                 doc_ids = elias_fano.EliasFano(head, ends.end)
-                stops = ends.values()
-                starts = np.concatenate([[0], stops[:-1]]).astype(np.int64)
-                crcs = np.zeros(len(stops), np.int64)
+                last = 0
                 with fs.open_input_stream(f"{at}/{name}.ids") as f:
-                    for i, n in enumerate((stops - starts).tolist()):
-                        ids = np.frombuffer(f.read(n * width), f"<u{width}")
-                        if len(ids) != n:
-                            raise ValueError(f"{name}.ids ends early")
-                        crcs[i] = zlib.crc32(ids.astype("<u4").tobytes())
-                docs = pa.concat_arrays([pa.nulls(nulls, pa.int64()), pa.array(doc_ids.values(), pa.int64())])
-                yield pa.record_batch([docs, pa.array(starts + before), pa.array(stops - starts), pa.array(crcs)], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                    for i in range(0, ends.n, block):
+                        stops = ends.select(i, i + block)
+                        starts = np.concatenate([[last], stops[:-1]]).astype(np.int64)
+                        last = int(stops[-1])
+                        crcs = np.zeros(len(stops), np.int64)
+                        for k, n in enumerate((stops - starts).tolist()):
+                            ids = np.frombuffer(f.read(n * width), f"<u{width}")
+                            if len(ids) != n:
+                                raise ValueError(f"{name}.ids ends early")
+                            crcs[k] = zlib.crc32(ids.astype("<u4").tobytes())
+                        none = min(max(nulls - i, 0), len(stops))
+                        docs = pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array(doc_ids.select(max(i - nulls, 0), max(i + len(stops) - nulls, 0)), pa.int64())])
+                        yield pa.record_batch([docs, pa.array(starts + before), pa.array(stops - starts), pa.array(crcs)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return run
 
 
-def read_tokens(spark: SparkSession, folder: str, manifest: list[tuple]) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, from the files."""
+def read_tokens(spark: SparkSession, folder: str, manifest: list[tuple], block: int = BLOCK) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, from the files; boundaries by select, `block` at a time."""
     before, rows = 0, []
     for _, name, _, n in sorted(manifest):
         rows.append((name, before))
         before += n
     parts = spark.createDataFrame(rows, "name string, before long").repartition(max(1, len(rows)))
-    return parts.mapInArrow(_read(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return parts.mapInArrow(_read(qualified(spark, folder), block), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files(docs: DataFrame) -> DataFrame:
