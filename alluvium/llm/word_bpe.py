@@ -3,7 +3,8 @@
 Documents are dealt into blocks. Each block's distinct words go, packed, to buckets by a hash of the word; a bucket
 encodes each of its words once, whatever the number of blocks that have it, and answers every block with the ids.
 The block joins them back by position and decodes each word through the id-to-piece table. A word that all blocks
-share reaches its bucket once a block, so no bucket grows with the number of its occurrences.
+share reaches its bucket once a block, so no bucket grows with the number of its occurrences. Rows that repeat both
+doc_id and text are counted first, and where there are many of them one is encoded and its result repeated.
 """
 
 from __future__ import annotations
@@ -18,11 +19,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, text_of
+from .common import broadcast_if_small, each_copy, materialize, shuffle_partitions, text_of
 from .pretoken import CaselessWords, default_path
 
 #: Blocks per shuffle partition: more blocks deal more evenly, fewer share more words.
 BLOCKS = 2
+#: Rows with one doc_id and text, from so many on, are encoded once: a block would hold them all.
+MANY = 1000
 
 
 def _packed(data: bytes) -> bytes:
@@ -116,7 +119,7 @@ def _assemble(path: str, buckets: int, texts_out: bool):
             if texts_out:
                 id_out.append(np.frombuffer(raw, "<u4").astype(np.int32))
                 text_out.append(decoded)
-        out = {"doc_id": docs.column("doc_id"), "n_tokens": pa.array(n_tokens, pa.int64()), "ids_sha256": pa.array(id_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
+        out = {"doc_id": docs.column("doc_id"), "copies": docs.column("copies"), "n_tokens": pa.array(n_tokens, pa.int64()), "ids_sha256": pa.array(id_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
         if texts_out:
             out |= {"ids": pa.array(id_out, pa.list_(pa.int32())), "decoded": pa.array(text_out, pa.string())}
         return pa.table(out)
@@ -134,9 +137,26 @@ def encode_decode(docs: DataFrame, tokenizer: str | None = None, outputs: bool =
     spark = docs.sparkSession
     path = tokenizer or default_path("word_bpe_49k.json")
     parts = shuffle_partitions(spark)
-    block = F.pmod(F.xxhash64(F.lit("block"), F.col("doc_id"), F.xxhash64(text_of())), F.lit(parts * BLOCKS)).cast("int")
-    dealt = docs.select(block.alias("block"), F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).repartition(parts, "block")
+    rows = _counted(docs)
+    block = F.pmod(F.xxhash64(F.lit("block"), F.col("doc_id"), F.xxhash64("text")), F.lit(parts * BLOCKS)).cast("int")
+    dealt = rows.select(block.alias("block"), "doc_id", "text", "copies").repartition(parts, "block")
     words = dealt.mapInArrow(_distinct(path, parts), "bucket int, block int, words binary")
     answers = words.repartitionById(parts, F.col("bucket")).mapInArrow(_encode(path), "block int, bucket int, counts binary, ids binary")
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * outputs
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_assemble(path, parts, outputs), schema)
+    schema = "doc_id long, copies long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * outputs
+    done = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_assemble(path, parts, outputs), schema)
+    return each_copy(done, "copies", "copy").drop("copies", "copy")
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """doc_id, text, copies: rows as they are with copies 1, but one of each MANY or more equal ones with their number."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    counts = rows.groupBy(F.col("doc_id").alias("m_id"), F.xxhash64("text").alias("m_key")).agg(F.count("*").alias("copies"))
+    many = materialize(counts.where(F.col("copies") >= MANY), "bpe-many")
+    n = many.count()
+    if not n:
+        return rows.withColumn("copies", F.lit(1).cast("long"))
+    same = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.xxhash64("text") == F.col("m_key"))
+    joined = rows.join(broadcast_if_small(many, n), same, "left")
+    once = joined.where("copies IS NOT NULL").groupBy("m_id", "m_key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.first("copies").alias("copies"))
+    single = joined.where("copies IS NULL").select("doc_id", "text", F.lit(1).cast("long").alias("copies"))
+    return single.unionByName(once.select("doc_id", "text", "copies"))
