@@ -2,8 +2,8 @@
 
 A text's letters, lower-cased and with every other run of characters as one blank, give byte n-grams of 2 to 4;
 each hashes to a bucket, each bucket has an embedding, and the mean of a text's embeddings goes through a linear
-softmax. Training sees a bounded sample of every language (SAMPLE documents, by hash of doc_id and text); prediction sees whole
-texts. A temperature fitted on a part of the sample calibrates the scores, and the score below which few of that
+softmax. Training sees a bounded sample of every language (SAMPLE documents, by hash of doc_id and text), whose bucket
+counts, not texts, go to the driver; prediction sees whole texts. A temperature fitted on a part of the sample calibrates the scores, and the score below which few of that
 part's documents lie is the rejection threshold.
 """
 
@@ -23,8 +23,9 @@ BUCKETS = 1 << 13
 DIM = 16
 GRAMS = (2, 3, 4)
 #: Documents a language to learn from; beyond MANY languages fewer of each, so that all fit the driver, FEWEST at least.
+#: A document weighs 6 bytes a bucket it has, so 48 KB at most whatever its length: 230 MB for MANY * SAMPLE of them.
 SAMPLE = 600
-MANY = 64
+MANY = 8
 FEWEST = 20
 EPOCHS, RATE, BATCH, SEED = 12, 0.5, 32, 7
 HELD_OUT_QUANTILE = 0.005
@@ -81,13 +82,21 @@ class Model:
         return softmax((mean @ self.logits + self.bias) / self.temperature)
 
 
-def fit(texts: list[str], labels: list[str]) -> Model:
-    """Learn from a bounded list; every fifth document calibrates. One language or none learns nothing but its name."""
+def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, lang, draw, key) -> the buckets and their shares, packed, with the last three."""
+    for batch in batches:
+        rows = [_sparse(t) for t in batch.column(0).to_pylist()]
+        packed = [pa.array([x[i].tobytes() for x in rows], pa.binary()) for i in (0, 1)]
+        yield pa.record_batch([*packed, *batch.columns[1:]], ["buckets", "shares", *batch.schema.names[1:]])
+
+
+def fit(x: list[tuple[np.ndarray, np.ndarray]], labels: list[str]) -> Model:
+    """Learn from a bounded list of sparse rows (buckets, shares); every fifth document calibrates. One language or none
+    learns nothing but its name."""
     langs = sorted(set(labels))
     if not langs:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
     y = np.array([langs.index(x) for x in labels])
-    x = [_sparse(t) for t in texts]
     rng = np.random.default_rng(SEED)
     emb, out, bias = rng.normal(0, 0.5, (BUCKETS, DIM)), np.zeros((DIM, len(langs))), np.zeros(len(langs))
     cal = np.arange(len(y)) % 5 == 4 if len(y) >= 50 else np.zeros(len(y), bool)
@@ -160,9 +169,11 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     draw = F.pmod(F.xxhash64(F.lit("draw"), "key"), F.lit(1 << 40)).cast("double") / float(1 << 40)
     chosen = known.withColumn("draw", draw).where(F.col("draw") < share[F.col("lang")]).dropDuplicates(["lang", "key"])
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "key"))
-    picked = chosen.withColumn("nth", nth).where(F.col("nth") <= each).select("text", "lang", "draw", "key").collect()
-    picked.sort(key=lambda r: (r["draw"], r["key"], r["lang"]))
-    return fit([r["text"] for r in picked], [r["lang"] for r in picked])
+    few = chosen.withColumn("nth", nth).where(F.col("nth") <= each).select("text", "lang", "draw", "key")
+    rows = few.mapInArrow(_shares, "buckets binary, shares binary, lang string, draw double, key long").collect()
+    picked = sorted(rows, key=lambda r: (r["draw"], r["key"], r["lang"]))
+    x = [(np.frombuffer(r["buckets"], np.uint16), np.frombuffer(r["shares"], np.float32)) for r in picked]
+    return fit(x, [r["lang"] for r in picked])
 
 
 def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
