@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import each_copy, materialize, text_of
+from .common import broadcast_if_small, each_copy, materialize, text_of
 
 #: Rows of a shard are numbered within so many sub-buckets; the offsets table has shards x this many rows at most.
 SLOT_BUCKETS = 1024
@@ -109,10 +109,11 @@ def shard_documents(docs: DataFrame, shards: int = 16, tree: tuple[Region, ...]
     rows; other columns are ignored. Slots number the rows of a shard from 0 without gaps: equal rows are counted
     before the shuffle, and what is left is numbered in SLOT_BUCKETS hash buckets a shard, each shifted by the rows
     of the buckets before it, so neither a shard nor a key that many rows share has to fit in a task. The offsets
-    that are broadcast have shards x SLOT_BUCKETS rows at most.
+    have shards x SLOT_BUCKETS rows at most and are broadcast up to 100,000 rows.
     """
     tree = tree or uniform_tree(shards)
-    more = with_shard(tree, 1 + max(s for r in tree for k in r.racks for s, _ in k.shards))
+    leaves = [s for r in tree for k in r.racks for s, _ in k.shards]
+    more = with_shard(tree, 1 + max(leaves))
     counted = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(F.col("text")), F.lit(0)) + 1).cast("long").alias("size"),
@@ -128,7 +129,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, tree: tuple[Region, ...]
     rows = descend(groups, F.col("doc_id"), more, "grown_shard").selectExpr(
         "*", "coalesce(sum(n) OVER (PARTITION BY shard, bucket ORDER BY doc_id, text_crc32, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS inside"
     )
-    placed = rows.join(F.broadcast(offsets), (F.col("shard") == F.col("o_shard")) & (F.col("bucket") == F.col("o_bucket")))
+    placed = rows.join(broadcast_if_small(offsets, len(leaves) * SLOT_BUCKETS), (F.col("shard") == F.col("o_shard")) & (F.col("bucket") == F.col("o_bucket")))
     return each_copy(placed, "n", "copy").select(
         "doc_id",
         "size",
