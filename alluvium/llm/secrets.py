@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, materialize, text_of
+from .common import apart, keyed, materialize, text_of
 
 # Kinds in their order, with pattern, the group that holds the value, and the least characters.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -25,6 +25,8 @@ BASE_KINDS = (
 TOKEN = ("live", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}+", 0, 24)
 ANY = "|".join([ASSIGN, r"AKIA[A-Z0-9]{14}", r"[0-9a-f]{16}", TOKEN[1]])
 
+#: Documents and spans in them that are broadcast at most; about 60 bytes each.
+FEW = 200_000
 MAX_OWNERS = 2
 #: The most repositories of a live value that more than MAX_OWNERS owners hold, and of one that fewer hold.
 MAX_REPOS = 2
@@ -46,31 +48,34 @@ def _hits(number: int, pattern: str, group: int) -> Column:
     )
 
 
-def candidates(docs: DataFrame, owner_col: str = "source") -> DataFrame:
-    """One row a span: doc_id, text_key, owner, kind (0, 1, ...: base kinds, then the added one), start, end, value.
+def candidates(docs: DataFrame, owner_col: str = "source", repo_col: str | None = None) -> DataFrame:
+    """One row a span: doc_id, text_key, owner, repo, kind (0, 1, ...: base kinds, then the added one), start, end, value.
 
     Starts and ends are in code points, ends exclusive. Base kinds: leftmost matches that don't overlap, kept where
-    the value is long enough. Rows repeated in full count once.
+    the value is long enough. Rows repeated in full count once. A document's repository is repo_col, or without one
+    its text, so that copies of a text are one repository.
     """
     kinds = (*BASE_KINDS, TOKEN)
-    found = keyed(docs, owner_col).withColumnRenamed(owner_col, "owner").where(F.col("text").rlike(ANY))
+    named = docs.select("doc_id", "text", F.col(owner_col).cast("string").alias("owner"), F.lit(None).cast("string").alias("repo") if repo_col is None else F.col(repo_col).cast("string").alias("repo"))
+    found = keyed(named, "owner", "repo").where(F.col("text").rlike(ANY))
+    repo = (F.col("text_key") if repo_col is None else F.xxhash64("repo")).alias("repo")
     hits = F.concat(*[_hits(n, p, g) for n, (_, p, g, _) in enumerate(kinds)])
-    rows = found.select("doc_id", "text_key", F.col("owner").cast("string").alias("owner"), F.inline(hits)).dropDuplicates(["doc_id", "text_key", "owner", "kind", "nth"])
-    ended = rows.selectExpr("*", "sum(gap + len) OVER (PARTITION BY doc_id, text_key, owner, kind ORDER BY nth) AS end")
+    rows = found.select("doc_id", "text_key", "owner", repo, F.inline(hits)).dropDuplicates(["doc_id", "text_key", "owner", "repo", "kind", "nth"])
+    ended = rows.selectExpr("*", "sum(gap + len) OVER (PARTITION BY doc_id, text_key, owner, repo, kind ORDER BY nth) AS end")
     least = F.lit(None)
     for n, (_, _, _, few) in enumerate(kinds):
         least = F.when(F.col("kind") == n, few).otherwise(least)
     mixed = F.col("value").rlike("[A-Z]") & F.col("value").rlike("[a-z]") & F.col("value").rlike("[0-9]")
     return ended.where(F.length("value") >= least).where((F.col("kind") < len(BASE_KINDS)) | mixed).select(
-        "doc_id", "text_key", "owner", "kind", (F.col("end") - F.col("len")).cast("long").alias("start"), F.col("end").cast("long").alias("end"), "value"
+        "doc_id", "text_key", "owner", "repo", "kind", (F.col("end") - F.col("len")).cast("long").alias("start"), F.col("end").cast("long").alias("end"), "value"
     )
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """value_hash, n_owners, n_repos. The repository of a span is its document's text; a null owner counts as one."""
-    seen = spans.select(F.sha2("value", 256).alias("value_hash"), F.coalesce("owner", F.lit("\0")).alias("owner"), "text_key")
+    """value_hash, n_owners, n_repos, a row a value; a null owner counts as one."""
+    seen = spans.select(F.sha2("value", 256).alias("value_hash"), F.coalesce("owner", F.lit("\0")).alias("owner"), "repo")
     owners = seen.select("value_hash", "owner").distinct().groupBy("value_hash").agg(F.count("*").alias("n_owners"))
-    repos = seen.select("value_hash", "text_key").distinct().groupBy("value_hash").agg(F.count("*").alias("n_repos"))
+    repos = seen.select("value_hash", "repo").distinct().groupBy("value_hash").agg(F.count("*").alias("n_repos"))
     return owners.join(repos, "value_hash")
 
 
@@ -79,18 +84,19 @@ def copied(max_owners: int = MAX_OWNERS) -> Column:
     return ((F.col("n_owners") > max_owners) & (F.col("n_repos") > MAX_REPOS)) | (F.col("n_repos") > MANY_REPOS)
 
 
-def judged(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
+def judged(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWNERS, repo_col: str | None = None) -> DataFrame:
     """The spans of candidates(): all base ones, and of the added kind the live ones; with n_owners, n_repos and live."""
-    spans = materialize(candidates(docs, owner_col), "secret-spans")
+    spans = materialize(candidates(docs, owner_col, repo_col), "secret-spans")
     with_hash = spans.withColumn("value_hash", F.sha2("value", 256))
-    rated = with_hash.join(ownership(spans), "value_hash").withColumn("live", ~copied(max_owners))
+    counts = ownership(spans).select(apart("value_hash").alias("o_hash"), "n_owners", "n_repos")
+    rated = with_hash.join(counts, F.col("value_hash") == F.col("o_hash")).withColumn("live", ~copied(max_owners))
     return rated.where((F.col("kind") < len(BASE_KINDS)) | F.col("live"))
 
 
-def spans_by_document(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
+def spans_by_document(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWNERS, repo_col: str | None = None) -> DataFrame:
     """doc_id, text_key, spans: array of (start, kind, end, secret_start, live, n_owners, n_repos), by start and kind; only documents with one."""
     one = F.struct("start", "kind", "end", (F.col("end") - F.length("value")).alias("secret_start"), "live", "n_owners", "n_repos")
-    by_doc = judged(docs, owner_col, max_owners).groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(one)).alias("spans"))
+    by_doc = judged(docs, owner_col, max_owners, repo_col).groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(one)).alias("spans"))
     base = F.filter("spans", lambda s: s["kind"] < len(BASE_KINDS))
     clear = F.filter(
         "spans",
@@ -109,7 +115,7 @@ def _joined_counts(name: str) -> Column:
     return F.coalesce(F.array_join(F.transform("spans", lambda s: s[name].cast("string")), ","), F.lit(""))
 
 
-def scan(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
+def scan(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWNERS, repo_col: str | None = None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, n_owners, n_repos for every row of docs.
 
     A null text counts as empty and has no span; a null owner is an owner; rows repeated in full get the same result
@@ -117,7 +123,7 @@ def scan(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWNER
     no rows; other columns are ignored. n_live and n_copied count the spans by the corpus's verdict;
     n_owners and n_repos have a count for each of the spans, in their order.
     """
-    found = spans_by_document(docs, owner_col, max_owners).select(F.col("doc_id").alias("f_id"), F.col("text_key").alias("f_key"), "spans")
+    found = spans_by_document(docs, owner_col, max_owners, repo_col).select(F.col("doc_id").alias("f_id"), F.col("text_key").alias("f_key"), "spans")
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key"))
     joined = ids.join(found, F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("text_key") == F.col("f_key")), "left")
     count = lambda cond: F.coalesce(F.size(F.filter("spans", cond)), F.lit(0)).cast("long")
@@ -136,18 +142,22 @@ def scan(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWNER
     )
 
 
-def redact(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWNERS, mark: str = "<SECRET>") -> DataFrame:
+def redact(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWNERS, mark: str = "<SECRET>", repo_col: str | None = None) -> DataFrame:
     """docs with the value of every span of scan() replaced by `mark` and n_chars counted anew; all rows stay.
 
-    Values that overlap are replaced as one. Only documents whose text matches some pattern are joined with their
-    spans; the others pass without a shuffle. A null text stays null.
+    Values that overlap are replaced as one. A null text stays null and an empty one empty; rows repeated in full get
+    the same text each; an empty table gives no rows. Where the documents with spans are few, they are broadcast and
+    the texts stay where they are; otherwise only documents whose text matches some pattern are joined with them and
+    the others pass without a shuffle.
     """
-    found = spans_by_document(docs, owner_col, max_owners).select(F.col("doc_id").alias("__s_id"), F.col("text_key").alias("__s_key"), F.col("spans").alias("__s_spans"))
-    suspect = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
-    clean = docs.where(~suspect)
-    key = F.xxhash64(text_of())
-    hit = docs.where(suspect).withColumn("__s_text", key)
-    joined = hit.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__s_id")) & (F.col("__s_text") == F.col("__s_key")), "left")
+    found = spans_by_document(docs, owner_col, max_owners, repo_col).select(F.col("doc_id").alias("__s_id"), F.col("text_key").alias("__s_key"), F.col("spans").alias("__s_spans"))
+    found = materialize(found, "secret-found")
+    size = found.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("__s_spans")), F.lit(0)).alias("spans")).first()
+    few = size["n"] + size["spans"] <= FEW
+    suspect = F.lit(True) if few else F.coalesce(F.col("text").rlike(ANY), F.lit(False))
+    hit = docs.where(suspect).withColumn("__s_text", F.xxhash64(text_of()))
+    side = F.broadcast(found) if few else found
+    joined = hit.join(side, F.col("doc_id").cast("long").eqNullSafe(F.col("__s_id")) & (F.col("__s_text") == F.col("__s_key")), "left")
     parts = F.aggregate(
         F.sort_array(F.transform("__s_spans", lambda s: F.struct(s["secret_start"].alias("a"), s["end"].alias("b")))),
         F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
@@ -163,9 +173,9 @@ def redact(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWN
         lambda acc: F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.lit(2**31 - 1))),
     )
     new = F.when(F.col("__s_spans").isNull(), F.col("text")).otherwise(parts)
-    columns = [new.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    redacted = joined.select(*columns)
+    # n_chars in a second step: one projection that evaluates the fold twice was seen to give two lengths
+    redacted = joined.withColumn("text", new)
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        redacted = redacted.withColumn("n_chars", F.length("text").cast(kind))
-    return clean.unionByName(redacted)
+        redacted = redacted.withColumn("n_chars", F.when(F.col("__s_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    redacted = redacted.select(*docs.columns)
+    return redacted if few else docs.where(~suspect).unionByName(redacted)
