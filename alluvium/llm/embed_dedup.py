@@ -143,7 +143,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     A vector links with none if its label is null or it is null, empty, zero or has a null or non-finite component;
     it is then its own component. Vectors of different lengths never link. A null vec_id is never a component's id
-    where the component has another. Repeated rows are vectors of their own that link; an empty table gives no rows;
+    where the component has another. Ties at the cosine itself link. Repeated rows are vectors of their own that link; an empty table gives no rows;
     other columns are ignored.
     """
     fine = (

@@ -180,7 +180,7 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected for every row of docs.
 
     A null text or one without a letter is `und` with score 0, as is everything where no language could be learned;
-    a null doc_id is never held out; repeated rows get the same prediction; an empty table gives no rows; other
+    a text of any length counts whole; a null doc_id is never held out; repeated rows get the same prediction; an empty table gives no rows; other
     columns are ignored. `rejected`: the calibrated score lies below the threshold, or `und`.
     """
     model = train(docs, sample)

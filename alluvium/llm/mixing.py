@@ -105,7 +105,10 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
 
     The document that a cut meets is in if at least half of its words lie before the cut; rows that share its doc_id
     go with it. Documents without a word go with their key like the rest. A source's decision is its whole epochs
-    and the last key taken, so the texts are joined with one row a source and never shuffled.
+    and the last key taken, so the texts are joined with one row a source and never shuffled. A null source is a
+    source of its own; a null or empty text has size 0 and goes with its key, or with its source's whole epochs; rows
+    repeated in full each count; an empty table gives no rows; columns of any other name pass. Texts of any length are
+    counted in place. The shares of the sources are told in one task from one short row a source.
     """
     cuts = materialize(
         _placed(docs, weights, most)

@@ -147,7 +147,7 @@ def judged(feats: DataFrame, limits: DataFrame) -> DataFrame:
 def rate(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept for every row of docs.
 
-    A null or empty text has no words and fails; a null lang or source is a group of its own; repeated rows get the
+    A text of any length is read whole, in one task. A null or empty text has no words and fails; a null lang or source is a group of its own; repeated rows get the
     same verdict each; an empty table gives no rows; other columns are ignored.
     """
     feats = materialize(document_features(docs), "quality-features")
@@ -158,7 +158,9 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs that rate() keeps, with their columns.
 
     The rejected rows, by (doc_id, text), are the smaller side and are taken out by an anti join; rows repeated in
-    full go or stay together.
+    full go or stay together. A null or empty text has no words and goes; a null lang or source is a group of its own;
+    an empty table gives no rows; columns of any other name pass. A text is read whole by one task, which holds its
+    words: about ten times its bytes.
     """
     feats = materialize(document_features(docs), "quality-features")
     out = judged(feats, thresholds(feats)).where(~F.col("kept")).select(F.col("doc_id").alias("__q_id"), F.col("text_key").alias("__q_key")).distinct()

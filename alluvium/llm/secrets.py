@@ -120,7 +120,7 @@ def scan(docs: DataFrame, owner_col: str = "source", max_owners: int = MAX_OWNER
 
     A null text counts as empty and has no span; a null owner is an owner; rows repeated in full get the same result
     and count once in the corpus; rows that repeat only the doc_id are documents of their own; an empty table gives
-    no rows; other columns are ignored. n_live and n_copied count the spans by the corpus's verdict;
+    no rows; other columns are ignored. A text of any length is matched whole, in one task. n_live and n_copied count the spans by the corpus's verdict;
     n_owners and n_repos have a count for each of the spans, in their order.
     """
     found = spans_by_document(docs, owner_col, max_owners, repo_col).select(F.col("doc_id").alias("f_id"), F.col("text_key").alias("f_key"), "spans")

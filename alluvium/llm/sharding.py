@@ -104,7 +104,7 @@ def descend(df: DataFrame, key: Column, tree: tuple[Region, ...], out: str) -> D
 def shard_documents(docs: DataFrame, shards: int = 16, tree: tuple[Region, ...] | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row of docs.
 
-    Law `key`: doc_id and the tree decide the shard. A null doc_id is a key of its own; rows that share a doc_id
+    Texts of any length stay where they are; only their size and crc travel. Law `key`: doc_id and the tree decide the shard. A null doc_id is a key of its own; rows that share a doc_id
     share a shard and get different slots; a null text counts as empty (size 1, crc 0); an empty table gives no
     rows; other columns are ignored. Slots number the rows of a shard from 0 without gaps: equal rows are counted
     before the shuffle, and what is left is numbered in SLOT_BUCKETS hash buckets a shard, each shifted by the rows

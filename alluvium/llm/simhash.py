@@ -180,7 +180,7 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = LINKS) -> DataFrame:
 
     A null or empty text has fingerprint zero and links like any other; a null doc_id gets the least doc_id of its
     component and is never one; repeated rows share a component; an empty table gives no rows; other columns are
-    ignored.
+    ignored. A text of any length is read whole, in one task.
     """
     prints = fingerprints(docs, scheme)
     classes = _classes(prints, linked(prints, scheme), F.col("doc_id"))
@@ -385,7 +385,10 @@ def similar(prints: DataFrame, docs: DataFrame, scheme: Scheme = SIMILAR) -> Dat
 
 def keep_one(docs: DataFrame, scheme: Scheme = SIMILAR) -> DataFrame:
     """docs with one document of each group linked by Jaccard 0.8 or more: that with the smallest doc_id (nulls last),
-    the same row repeated once.
+    the same row repeated once. Null and empty texts and those of white space have the same empty set and form one
+    group; a text of fewer than five words is one shingle; ties of doc_id go by the text's hash; an empty table gives
+    no rows; columns of any other name pass. A text is read whole by one task, and its set, 8 bytes a distinct shingle,
+    goes to a task at most once for each part of its candidate group.
 
     The rows to take out, and the few keys whose row is repeated, are found on (doc_id, text) keys and joined with
     the documents once; the rest pass unchanged.

@@ -347,7 +347,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     Earlier means a smaller doc_id (null: before all), or the same document at an earlier start; documents that
     share a doc_id but not the text stand in the order of their text's hash; rows repeated in full are one document
     and get the same result each. A null or short text loses nothing; an empty table gives no rows; other columns
-    are ignored. Both joins take the texts from the same exchange, so they are shuffled once.
+    are ignored. A text of any length is read whole by one task, in pieces of a million windows. Both joins take the texts from the same exchange, so they are shuffled once.
     """
     rows = _rows(docs)
     found = _repeats(rows).groupBy(F.col("doc_id").alias("r_id"), F.col("text_key").alias("r_key")).agg(F.collect_list(F.struct("lo", "n")).alias("r"))

@@ -113,7 +113,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
     """Encode every text and write the shards; returns the folder and the manifest [(shard, name, n_docs, n_ids)].
 
     A null or empty text gives the end id alone; null doc_ids come first; equal doc_ids stand next to each other, by
-    their ids; an empty table writes no shard; other columns are ignored. The manifest is one short row per shard of
+    their ids; an empty table writes no shard; other columns are ignored; a text of any length is encoded whole. The manifest is one short row per shard of
     up to 64 MB of text, and the cut points between shards are quantiles of doc_id, at most MOST_SHARDS.
     """
     spark = docs.sparkSession

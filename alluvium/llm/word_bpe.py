@@ -131,7 +131,8 @@ def encode_decode(docs: DataFrame, tokenizer: str | None = None, outputs: bool =
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for every row of docs; with `outputs` also ids and decoded.
 
     A null or empty text has no tokens and decodes to the empty string; null and repeated doc_ids are rows like any
-    other; an empty table gives no rows; other columns are ignored. Special tokens' strings in a text are special
+    other; an empty table gives no rows; other columns are ignored. A text of any length is split whole, in one task,
+    which holds the texts of its block. Special tokens' strings in a text are special
     tokens, as in the library. The number of blocks and buckets follows spark.sql.shuffle.partitions.
     """
     spark = docs.sparkSession
