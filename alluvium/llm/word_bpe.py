@@ -94,7 +94,7 @@ def _wide(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<u4", offset=1) if len(data) % 2 else np.frombuffer(data, "<u2").astype("<u4")
 
 
-def _assemble(path: str, buckets: int, texts_out: bool):
+def _assemble(path: str, buckets: int, texts_out: bool, kept: list[str]):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         tok = CaselessWords(path)
         pieces = tok.pieces()
@@ -119,7 +119,7 @@ def _assemble(path: str, buckets: int, texts_out: bool):
             if texts_out:
                 id_out.append(np.frombuffer(raw, "<u4").astype(np.int32))
                 text_out.append(decoded)
-        out = {"doc_id": docs.column("doc_id"), "copies": docs.column("copies"), "n_tokens": pa.array(n_tokens, pa.int64()), "ids_sha256": pa.array(id_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
+        out = {c: docs.column(c) for c in kept} | {"n_tokens": pa.array(n_tokens, pa.int64()), "ids_sha256": pa.array(id_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
         if texts_out:
             out |= {"ids": pa.array(id_out, pa.list_(pa.int32())), "decoded": pa.array(text_out, pa.string())}
         return pa.table(out)
@@ -139,23 +139,24 @@ def encode_decode(docs: DataFrame, tokenizer: str | None = None, outputs: bool =
     path = tokenizer or default_path("word_bpe_49k.json")
     parts = shuffle_partitions(spark)
     rows = _counted(docs)
+    kept = [c for c in rows.columns if c != "text"]
     block = F.pmod(F.xxhash64(F.lit("block"), F.col("doc_id"), F.xxhash64("text")), F.lit(parts * BLOCKS)).cast("int")
-    dealt = rows.select(block.alias("block"), "doc_id", "text", "copies").repartition(parts, "block")
+    dealt = rows.select(block.alias("block"), "doc_id", "text", *kept[1:]).repartition(parts, "block")
     words = dealt.mapInArrow(_distinct(path, parts), "bucket int, block int, words binary")
     answers = words.repartitionById(parts, F.col("bucket")).mapInArrow(_encode(path), "block int, bucket int, counts binary, ids binary")
-    schema = "doc_id long, copies long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * outputs
-    done = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_assemble(path, parts, outputs), schema)
-    return each_copy(done, "copies", "copy").drop("copies", "copy")
+    schema = ", ".join([*[f"{c} long" for c in kept], "n_tokens long, ids_sha256 string, decoded_sha256 string"]) + ", ids array<int>, decoded string" * outputs
+    done = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_assemble(path, parts, outputs, kept), schema)
+    return each_copy(done, "copies", "copy").drop("copies", "copy") if len(kept) > 1 else done
 
 
 def _counted(docs: DataFrame) -> DataFrame:
-    """doc_id, text, copies: rows as they are with copies 1, but one of each MANY or more equal ones with their number."""
+    """doc_id and text of every row, or where MANY or more rows are equal, one of them with their number in copies."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     counts = rows.groupBy(F.col("doc_id").alias("m_id"), F.xxhash64("text").alias("m_key")).agg(F.count("*").alias("copies"))
     many = materialize(counts.where(F.col("copies") >= MANY), "bpe-many")
     n = many.count()
     if not n:
-        return rows.withColumn("copies", F.lit(1).cast("long"))
+        return rows
     same = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.xxhash64("text") == F.col("m_key"))
     joined = rows.join(broadcast_if_small(many, n), same, "left")
     once = joined.where("copies IS NOT NULL").groupBy("m_id", "m_key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.first("copies").alias("copies"))
