@@ -8,6 +8,7 @@ never all its pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,12 +24,16 @@ BUFFER, BUFFER_BYTES = 1 << 16, 1 << 25
 SMALL = 48
 
 
-def marked(rows: DataFrame, counted: DataFrame | None = None, weight: str | None = None, most: int = CELL) -> DataFrame:
+def marked(rows: DataFrame, counted: DataFrame | None = None, weight: str | None = None, most: int = CELL, fine: int | None = None) -> DataFrame:
     """rows (cell, node, ...) with k, how many chunks their cell is cut into, and chunk. A chunk holds about `most`
-    rows, or rows of `most` weight. counted: the same rows with fewer columns, where that is cheaper to group."""
+    rows, or rows of `most` weight; with `fine`, down to this size as long as a cell's parts don't outnumber the
+    shuffle's, so that one large cell keeps all of them busy. counted: the same rows with fewer columns, where that is
+    cheaper to group."""
     load = F.sum(weight) if weight else F.count("*")
-    counts = (rows if counted is None else counted).groupBy("cell").agg(load.alias("load")).where(F.col("load") > most)
-    counts = counts.select(apart("cell").alias("h_cell"), F.ceil(F.col("load") / most).cast("int").alias("h_k"))
+    wide = math.ceil(math.sqrt(2 * shuffle_partitions(rows.sparkSession)))
+    counts = (rows if counted is None else counted).groupBy("cell").agg(load.alias("load")).where(F.col("load") > (fine or most))
+    k = F.greatest(F.ceil(F.col("load") / most), F.least(F.ceil(F.col("load") / (fine or most)), F.lit(wide if fine else 1)))
+    counts = counts.select(apart("cell").alias("h_cell"), k.cast("int").alias("h_k"))
     out = rows.join(counts, F.col("cell") == F.col("h_cell"), "left").withColumn("k", F.coalesce("h_k", F.lit(1))).drop("h_cell", "h_k")
     return out.withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "node"), F.col("k")).cast("int"))
 

@@ -50,8 +50,8 @@ SIMILAR = Scheme(shingle=5, width=4, distance=64)
 #: Distinct texts that the sample of frequent shingles aims at, and the most shingles it names.
 SAMPLE = 4000
 FREQUENT = 200_000
-#: Shingles in a chunk of a candidate group; a part holds two chunks.
-CHUNK = 1 << 20
+#: The most shingles in a chunk of a candidate group, and the fewest that one is cut down to; a part holds two chunks.
+CHUNK, FINE = 1 << 20, 1 << 14
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -373,7 +373,7 @@ def similar(prints: DataFrame, docs: DataFrame, scheme: Scheme = SIMILAR) -> Dat
 
     groups = materialize(groups.unionByName(groups.select(F.col("root").alias("g_node"), "root").distinct()), "simhash-groups")
     named = points.join(groups, F.col("node") == F.col("g_node")).select(F.col("root").alias("cell"), "node", "size", *_bits(scheme), F.col("of.doc_id").alias("n_id"), F.col("of.text_key").alias("n_key"))
-    named = materialize(marked(named, weight="size", most=CHUNK), "simhash-named")
+    named = materialize(marked(named, weight="size", most=CHUNK, fine=FINE), "simhash-named")
     few = broadcast_if_small(named, named.count())
     texts = keyed(docs).join(few, F.col("doc_id").eqNullSafe(F.col("n_id")) & (F.col("text_key") == F.col("n_key")))
     others = ["cell", "k", "chunk", "size", *_bits(scheme)]

@@ -95,5 +95,6 @@ def test_large_group_in_parts(spark, monkeypatch):
     """A group beyond a chunk is compared part by part, with the same result."""
     rows = near_rows()
     monkeypatch.setattr(simhash, "CHUNK", 300)
+    monkeypatch.setattr(simhash, "FINE", 100)
     kept = simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((r["doc_id"], r["text"] or "") for r in kept) == brute_kept(rows)
