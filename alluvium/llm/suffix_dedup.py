@@ -158,10 +158,17 @@ def _new_documents(batch: pa.RecordBatch, seen: set) -> list[int]:
     return out
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Parts of batches, so that few texts are held as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _found_samples(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """The runs of each batch of new documents: name, sample, doc_id, text_key, lo, n."""
     seen: set = set()
-    for batch in batches:
+    for batch in _slices(batches):
         take = _new_documents(batch, seen)
         if len(take) < batch.num_rows:
             batch = batch.take(pa.array(take, pa.int64()))
@@ -203,9 +210,8 @@ def _names_of_samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 def hot_samples(rows: DataFrame) -> np.ndarray:
     """Samples with HOT names or more in some of the documents, in rising order."""
-    long = rows.where(F.octet_length("text") >= LENGTH)
-    share = max(1, min(long.count() // LOOK, LOOK_SHARE))
-    some = long.where(F.pmod(F.xxhash64(F.lit("look"), "text_key"), F.lit(share)) == 0)
+    share = max(1, min(rows.count() // LOOK, LOOK_SHARE))
+    some = rows.where(F.octet_length("text") >= LENGTH).where(F.pmod(F.xxhash64(F.lit("look"), "text_key"), F.lit(share)) == 0)
     names = some.mapInArrow(_names_of_samples, "sample long, name long").distinct().groupBy("sample").agg(F.count("*").alias("n"))
     hot = names.where(F.col("n") >= HOT).orderBy(F.desc("n"), "sample").limit(MOST_HOT).collect()
     return np.sort(np.array([r["sample"] for r in hot], np.uint32))
@@ -259,7 +265,7 @@ def _windows(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, seen = _Found(), set()
-        for batch in batches:
+        for batch in _slices(batches):
             rows = set(_new_documents(batch, seen))
             cuts, sizes, place = [], [], []
             total = 0
@@ -312,7 +318,7 @@ def cut(text: str, los: list[int], ns: list[int]) -> tuple[bytes, int, int]:
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _slices(batches):
         out = []
         for text, los, ns in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
             left, removed, runs = cut(text, los or [], ns or [])
