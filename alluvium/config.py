@@ -10,6 +10,8 @@ from pathlib import Path
 from .errors import ConfigError
 
 STORE_VARIABLE = "ALLUVIUM_STORE"
+# Fixed value: what a request says of itself where the configuration names no headers.
+USER_AGENT = "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/120.0.0.0 Safari/537.36"
 
 
 @dataclass(frozen=True)
@@ -20,7 +22,7 @@ class Extract:
     base_url: str
     partitions: int = 5
     timeout_seconds: float = 30.0
-    headers: dict[str, str] = field(default_factory=dict)
+    headers: dict[str, str] = field(default_factory=lambda: {"User-Agent": USER_AGENT})
     follow_redirects: bool = True
     concurrency: int = 5
     allowed_domains: tuple[str, ...] = ()

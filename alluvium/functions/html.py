@@ -1,102 +1,6 @@
-"""One Arrow-batched function that parses a page once and returns everything the sources read from it."""
-
-from __future__ import annotations
-
-import re
-from html.parser import HTMLParser
-
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+"""What the HTML reader must know of tags."""
 
 # Fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 HIDDEN = frozenset(("script", "style", "noscript"))
-
-_STRINGS = T.ArrayType(T.StringType())
-PAGE = T.StructType(
-    [T.StructField(n, T.StringType()) for n in ("title", "h1", "text", "clean")]
-    + [T.StructField("links", _STRINGS), T.StructField("metas", T.MapType(T.StringType(), T.StringType()))]
-    + [T.StructField(n, _STRINGS) for n in ("ld_json", "paragraphs", "images")]
-)
-
-
-class _Page(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.stack, self.texts, self.clean, self.links, self.next_links = [], [], [], [], []
-        self.metas, self.ld_json, self.images, self.blocks = {}, [], [], {"title": [], "h1": [], "p": []}
-        self.open: dict[str, list] = {}
-        self.raw = None
-
-    def handle_starttag(self, tag, attrs):
-        a = {k: v or "" for k, v in attrs}
-        while self.stack and self.stack[-1] in CLOSES.get(tag, ()):
-            self.handle_endtag(self.stack[-1])
-        if tag == "a" and a.get("href", "").strip():
-            self.links.append(a["href"].strip())
-        elif tag == "link" and a.get("rel", "").lower() == "next" and a.get("href", "").strip():
-            self.next_links.append(a["href"].strip())
-        elif tag == "meta" and "content" in a:
-            for kind in ("property", "name"):
-                if a.get(kind):
-                    self.metas.setdefault(f"{kind}:{a[kind]}", a["content"])
-        elif tag == "img" and a.get("src"):
-            self.images.append(a["src"].strip())
-        if tag == "script" and a.get("type", "").lower() == "application/ld+json":
-            self.raw = []
-        if tag not in HIDDEN and not any(t in HIDDEN for t in self.stack):
-            self.clean.append(self.get_starttag_text() or "")
-        if tag not in VOID:
-            self.stack.append(tag)
-            if tag in self.blocks and tag not in self.open:
-                self.open[tag] = []
-
-    def handle_endtag(self, tag):
-        if tag not in self.stack:
-            return
-        while self.stack:
-            top = self.stack.pop()
-            if top == "script" and self.raw is not None:
-                self.ld_json.append("".join(self.raw))
-                self.raw = None
-            if top in self.open and top not in self.stack:
-                self.blocks[top].append(self.open.pop(top))
-            if top not in HIDDEN and not any(t in HIDDEN for t in self.stack):
-                self.clean.append(f"</{top}>")
-            if top == tag:
-                break
-
-    def handle_data(self, data):
-        if self.raw is not None:
-            self.raw.append(data)
-        if any(t in HIDDEN for t in self.stack):
-            return
-        self.clean.append(data)
-        if data.strip():
-            if "title" not in self.stack:
-                self.texts.append(data.strip())
-            for parts in self.open.values():
-                parts.append(data.strip())
-
-
-def read_page(html: str | None) -> dict:
-    page = _Page()
-    try:
-        page.feed(html or "")
-        page.close()
-        while page.stack:
-            page.handle_endtag(page.stack[-1])
-    except (AssertionError, ValueError):
-        pass  # what was read so far counts
-    first = lambda k: re.sub(r"\s+", " ", " ".join(page.blocks[k][0])) if page.blocks[k] else None
-    return {
-        "title": first("title"), "h1": first("h1"), "text": " ".join(page.texts), "clean": "".join(page.clean), "links": page.links + page.next_links,
-        "metas": page.metas, "ld_json": page.ld_json, "paragraphs": [t for t in ("".join(p) for p in page.blocks["p"]) if t], "images": page.images,
-    }
-
-
-@F.pandas_udf(PAGE)
-def page(html: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([read_page(h) for h in html], columns=["title", "h1", "text", "clean", "links", "metas", "ld_json", "paragraphs", "images"])

@@ -46,7 +46,8 @@ def canonical(url: Column) -> Column:
     pairs = F.filter(F.split(part(url, 4), "&"), lambda p: (p != "") & ~F.coalesce(F.try_url_decode(F.substring_index(p, "=", 1)), F.substring_index(p, "=", 1)).isin(*TRACKING))
     kept = F.transform(pairs, lambda p: F.concat(_encoded(F.substring_index(p, "=", 1)), F.lit("="), _encoded(F.when(F.instr(p, "=") > 0, F.regexp_replace(p, "^[^=]*=", "")).otherwise(F.lit("")))))
     query = F.array_join(kept, "&")
-    head = F.when(part(url, 1) != "", F.concat(F.lower(part(url, 1)), F.lit("://"), netloc(url))).otherwise(F.lit(""))
+    scheme = F.when(part(url, 1) != "", F.concat(F.lower(part(url, 1)), F.lit(":"))).otherwise(F.lit(""))
+    head = F.concat(scheme, F.when(netloc(url) != "", F.concat(F.lit("//"), netloc(url))).otherwise(F.lit("")))
     return F.concat(head, path(url), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
 
 
@@ -55,7 +56,10 @@ def segments(url: Column) -> Column:
 
 
 def extension(url: Column) -> Column:
-    return F.lower(F.regexp_extract(path(url), r"(\.[^./]+)$", 1))
+    """The suffix of the last segment, trailing slashes off; a name's first character starts none."""
+    plain = F.regexp_replace(path(url), ";[^/]*$", "")  # parameters of the last segment don't belong to its name
+    names = F.filter(F.split(plain, "/"), lambda s: ~s.isin("", "."))
+    return F.lower(F.regexp_extract(F.coalesce(F.try_element_at(names, F.lit(-1)), F.lit("")), r"(?s)^.+(\.[^.]+)$", 1))
 
 
 def repeats_segment(url: Column) -> Column:
@@ -63,6 +67,7 @@ def repeats_segment(url: Column) -> Column:
 
 
 def should_enqueue(url: Column, domains: tuple[str, ...], ignore: tuple[str, ...] = ()) -> Column:
+    """For canonical addresses: a known host, no file, no path that repeats a segment, no ignored pattern."""
     ok = netloc(url).isin(*domains) & ~extension(url).isin(*SKIP_EXTENSIONS) & ~repeats_segment(url)
     return reduce(lambda a, p: a & ~url.rlike(p), ignore, ok)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,6 +47,13 @@ def currency(c: Column) -> Column:
 # Forms beside ISO, tried in turn once the weekday is cut off; day/month is read only where month/day is no date.
 DAYS = ("MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "M/d/yyyy", "d/M/yyyy", "yyyy/M/d", "yyyyMMdd")
 CLOCKS = ("[ H:mm[:ss]][ z][ Z]", "[ h:mm[:ss] a]")
+# What a text looks like that one of these forms may read: others aren't tried, since a failed try is slow.
+_SHAPES = {"MMMM": "[A-Za-z]{4,}", "MMM": "[A-Za-z]{3}", "yyyyMMdd": r"\d{8,}", "yyyy": r"\d{4,}", "d": r"\d+", "M": r"\d+"}
+_CLOCK_SHAPES = (r"(?! .*(?i: [ap]m)$)(?: \d+:\d+(?::\d+)?)?(?: \S+){0,2}", r"(?: \d+:\d+(?::\d+)? (?i:[ap]m))?")
+
+
+def _shape(form: str) -> str:
+    return re.sub("yyyyMMdd|yyyy|MMMM|MMM|M|d", lambda m: _SHAPES[m[0]], form)
 
 
 def iso_timestamp(c: Column) -> Column:
@@ -52,7 +61,8 @@ def iso_timestamp(c: Column) -> Column:
     plain = F.regexp_replace(F.trim(c), r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
     plain = F.regexp_replace(plain, r"(?i)\b([ap])\.m\.$", "$1m")
     # Bound by a lambda, so the text is made once and only for what isn't ISO.
-    other = F.transform(F.array(plain), lambda t: F.coalesce(*[F.try_to_timestamp(t, F.lit(d + k)) for d in DAYS for k in CLOCKS]))
+    read = lambda t: [F.when(t.rlike(f"^{_shape(d)}{s}$"), F.try_to_timestamp(t, F.lit(d + k))) for d in DAYS for k, s in zip(CLOCKS, _CLOCK_SHAPES)]
+    other = F.transform(F.array(plain), lambda t: F.when(t.rlike("[0-9]{4}"), F.coalesce(*read(t))))
     return F.coalesce(F.try_to_timestamp(c), F.get(other, F.lit(0))).cast("timestamp_ntz")
 
 

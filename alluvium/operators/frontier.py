@@ -6,21 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def reachable(edges: DataFrame, seeds: DataFrame, write, max_pages: int = -1, max_levels: int = 1000) -> DataFrame:
+def reachable(edges: DataFrame, seeds: DataFrame, write, max_pages: int = -1, max_levels: int | None = None) -> DataFrame:
     """(node, level) of all nodes reached from the seeds over (src, dst); `write(df, level)` stores a level and returns
-    it read again. With max_pages, the first nodes by (level, node). Cyclic links end because seen nodes drop out."""
-    now = write(seeds.select("node").distinct().select("node", F.lit(0).alias("level")), 0)
-    seen = now
+    all levels so far, read again. With max_pages, the first nodes by (level, node); with max_levels, none beyond.
+    Cyclic links end because seen nodes drop out."""
+    seen = write(seeds.select("node").distinct().select("node", F.lit(0).alias("level")), 0)
     budget, level = max_pages, 0
-    while level < max_levels:
+    while max_levels is None or level < max_levels:
+        now = seen.where(F.col("level") == level)
         n = now.count()
         if n == 0 or (budget >= 0 and n >= budget):
             break
         budget -= n if budget >= 0 else 0
         level += 1
         new = now.join(edges, now["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()
-        now = write(new.join(seen.select("node"), "node", "left_anti").select("node", F.lit(level).alias("level")), level)
-        seen = seen.unionByName(now)
+        seen = write(new.join(seen.select("node"), "node", "left_anti").select("node", F.lit(level).alias("level")), level)
     return seen.orderBy("level", "node").limit(max_pages) if max_pages >= 0 else seen
 
 

@@ -29,8 +29,8 @@ def fact_price(silver: DataFrame) -> DataFrame:
     return changes.withColumn("nth", F.row_number().over(w)).where("nth = 1").drop("nth").withColumnRenamed("created_at", "observed_at")
 
 
-def with_product_keys(dim: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Keys of known products stay; new ones are numbered after the largest.
+def with_product_keys(dim: DataFrame, existing: DataFrame | None = None, start: int = 0) -> DataFrame:
+    """Keys of known products stay; new ones are numbered after the largest, or after `start` where there is none.
 
     New products are numbered within hash buckets, each shifted by the products of the buckets before it, so no task
     holds them all.
@@ -39,7 +39,7 @@ def with_product_keys(dim: DataFrame, existing: DataFrame | None = None) -> Data
         existing = dim.limit(0).select("source", "sku", F.lit(0).cast("long").alias("product_key"))
     new = dim.join(existing.select("source", "sku"), ["source", "sku"], "left_anti").withColumn("bucket", F.pmod(F.xxhash64("source", "sku"), F.lit(256)))
     sizes = new.groupBy("bucket").count().selectExpr("bucket", "coalesce(sum(count) OVER (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before")
-    top = existing.agg(F.coalesce(F.max("product_key"), F.lit(0)).alias("top"))
+    top = existing.agg(F.coalesce(F.max("product_key"), F.lit(start)).alias("top"))
     numbered = new.selectExpr("*", "row_number() OVER (PARTITION BY bucket ORDER BY source, sku) AS nth").join(F.broadcast(sizes), "bucket").join(F.broadcast(top))
     fresh = numbered.withColumn("product_key", (F.col("top") + F.col("before") + F.col("nth")).cast("long")).drop("bucket", "nth", "before", "top")
     return dim.join(existing.select("source", "sku", "product_key"), ["source", "sku"]).unionByName(fresh)

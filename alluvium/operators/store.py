@@ -16,18 +16,41 @@ def fetch(table: DataFrame, **filters) -> DataFrame:
 
 
 def with_defaults(rows: DataFrame, defaults: dict[str, Column]) -> DataFrame:
-    return rows.withColumns({c: F.coalesce(F.col(c), d) if c in rows.columns else d for c, d in defaults.items()})
+    """Defaults fill the columns that no row of the batch sets; where some row does, the nulls of the others stay."""
+    there = [c for c in defaults if c in rows.columns]
+    unset = {c for c in defaults if c not in there}
+    if there:
+        held = rows.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(there)]).first()
+        unset |= {c for i, c in enumerate(there) if held[i] == 0}
+    return rows.withColumns({c: defaults[c] for c in defaults if c in unset})
 
 
-def append(rows: DataFrame, path: str, defaults: dict[str, Column] | None = None, partition_by: tuple[str, ...] = ()) -> None:
-    with_defaults(rows, defaults or {}).write.mode("append").partitionBy(*partition_by).option("compression", "zstd").parquet(path)
+# Fixed value: the characters that stand escaped in the name of a partition's folder.
+_ESCAPED = frozenset("\"#%'*/:=?\\{[]^" + "".join(map(chr, range(1, 32))) + "\x7f")
+
+
+def append(rows: DataFrame, path: str, defaults: dict[str, Column] | None = None, source: str | None = None) -> None:
+    """Adds rows to a table. Those of one source go to the source's own folder, so sources may be written at once."""
+    rows = with_defaults(rows, defaults or {})
+    if source is not None:
+        name = "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in source)
+        rows, path = rows.drop("source"), f"{path}/source={name}"
+    rows.write.mode("append").option("compression", "zstd").parquet(path)
 
 
 def upsert_update(table: DataFrame, rows: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
-    """The table after DO UPDATE: `update` columns from rows, the others of existing rows kept, new rows added."""
-    t, r = table.alias("t"), rows.alias("r")
+    """The table after DO UPDATE: `update` columns from rows, the others of existing rows kept, new rows added.
+
+    A key on several of the rows is an error when the result is made, as one statement can't change a row twice. A key
+    with a null never meets another and is added."""
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    one = rows.where(whole).groupBy(*keys).agg(F.count("*").alias("_n"), F.first(F.struct(*rows.columns)).alias("_row"))
+    twice = F.raise_error(F.concat(F.lit("upsert: several rows with key "), F.to_json(F.struct(*keys))))
+    once = one.select(F.when(F.col("_n") > 1, twice.cast(one.schema["_row"].dataType)).otherwise(F.col("_row")).alias("_row")).select("_row.*")
+    t = table.withColumn("_known", F.lit(True)).alias("t")
+    r = once.unionByName(rows.where(~whole)).withColumn("_fresh", F.lit(True)).alias("r")
     both = t.join(r, reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"r.{k}") for k in keys]), "full_outer")
-    fresh, known = F.col(f"r.{keys[0]}").isNotNull(), F.col(f"t.{keys[0]}").isNotNull()
+    fresh, known = F.col("r._fresh").isNotNull(), F.col("t._known").isNotNull()
     out = []
     for c in table.columns:
         if c in keys:
@@ -60,5 +83,11 @@ def visited(bronze: DataFrame, source: str, cutoff: Column) -> DataFrame:
 
 
 def route(status: Column, persistable: Column, model: str) -> Column:
-    """Where a response goes: its table, the dead letters, or nowhere (null)."""
-    return F.when(~status.between(200, 299), F.lit("failed")).when(persistable, F.lit(model))
+    """Where a response goes: nowhere (null) if it isn't worth keeping, whatever its status; else its table or, if it
+    failed, the dead letters."""
+    return F.when(~persistable, F.lit(None)).when(status.between(200, 299), F.lit(model)).otherwise(F.lit("failed"))
+
+
+def backfilled(headers: Column, name: str) -> Column:
+    """A column filled from a stored header; empty where there is none."""
+    return F.coalesce(F.try_element_at(headers, F.lit(name)), F.lit(""))

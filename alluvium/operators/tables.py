@@ -1,10 +1,17 @@
-"""Parquet tables of a store: appended, or replaced as a whole by a new version."""
+"""Parquet tables of a store: appended, replaced as a whole by a new version, or grown by versions."""
 
 from __future__ import annotations
 
+import time
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..errors import LoadError
+
+STALE_MS = 24 * 3600 * 1000
+
 
 def _folder(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -34,6 +41,36 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
+def space(spark: SparkSession, store: str, source: str) -> int:
+    """The number of the source's own space of ids in this store, claimed at its first use.
+
+    A number is a file that is created exclusively and holds the source's name, so two sources never get the same one."""
+    fs, folder = _folder(spark, f"{store}/spaces")
+    fs.mkdirs(folder)
+    jvm = spark._jvm
+    while True:
+        taken = sorted(int(s.getPath().getName()) for s in fs.listStatus(folder) if s.getPath().getName().isdigit())
+        for n in taken:
+            stream = fs.open(jvm.org.apache.hadoop.fs.Path(folder, str(n)))
+            try:
+                name = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            if name == source:
+                return n
+        n = taken[-1] + 1 if taken else 0
+        try:
+            out = fs.create(jvm.org.apache.hadoop.fs.Path(folder, str(n)), False)
+        except Py4JJavaError:
+            if not exists(spark, f"{store}/spaces/{n}"):
+                raise
+            continue  # another source was faster
+        try:
+            out.write(bytearray(source.encode()))
+        finally:
+            out.close()
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     fs, p = _folder(spark, path)
     if not fs.exists(p):
@@ -43,22 +80,60 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n[1:]) for n in whole)
 
 
+def version(spark: SparkSession, path: str) -> int:
+    """The number of the table's last whole version, 0 if it has none."""
+    return max(_versions(spark, path), default=0)
+
+
 def current(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The last whole version of a replaced table."""
     found = _versions(spark, path)
     return spark.read.schema(schema.replace(" NOT NULL", "")).parquet(f"{path}/v{found[-1]}") if found else empty(spark, schema)
 
 
-def replace(rows: DataFrame, path: str, keep: int = 2) -> None:
+def all_versions(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All rows of a table that grows by versions."""
+    found = _versions(spark, path)
+    return spark.read.schema(schema.replace(" NOT NULL", "")).parquet(*[f"{path}/v{n}" for n in found]) if found else empty(spark, schema)
+
+
+def add_version(rows: DataFrame, path: str, base: int) -> None:
+    """Writes rows as the version after `base`, the one that the caller has read. Whoever comes second, having read the
+    same one, fails and changes nothing: the version's claim is a file that is created exclusively. A claim that a dead
+    writer left counts for STALE_MS."""
+    spark = rows.sparkSession
+    fs, folder = _folder(spark, path)
+    fs.mkdirs(folder)
+    claim = spark._jvm.org.apache.hadoop.fs.Path(folder, f"_claim-v{base + 1}")
+    if version(spark, path) != base:
+        raise LoadError(f"{path}: another run has written since version {base} was read")
+    if fs.exists(claim) and fs.getFileStatus(claim).getModificationTime() < time.time() * 1000 - STALE_MS:
+        fs.delete(claim, False)
+    if not fs.createNewFile(claim):
+        raise LoadError(f"{path}: another run is writing version {base + 1}")
+    try:
+        if version(spark, path) != base:
+            raise LoadError(f"{path}: another run has written since version {base} was read")
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/v{base + 1}")
+    finally:
+        fs.delete(claim, False)
+
+
+def replace(rows: DataFrame, path: str, base: int, keep: int = 2) -> None:
     """Writes the next version beside the others, so rows may come from the current one; old versions go."""
     spark = rows.sparkSession
-    found = _versions(spark, path)
-    rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/v{(found[-1] if found else 0) + 1}")
+    add_version(rows, path, base)
     fs, _ = _folder(spark, path)
-    for old in found[: max(0, len(found) + 1 - keep)]:
+    for old in _versions(spark, path)[:-keep]:
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v{old}"), True)
 
 
+def parts(spark: SparkSession, path: str) -> list[str]:
+    """The folders of a table that is kept by source."""
+    fs, p = _folder(spark, path)
+    return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
 def numbered(rows: DataFrame, by: list[str], name: str, start: Column | None = None, buckets: int = 256) -> DataFrame:
     """Rows with numbers after `start`, gapless: numbered within hash buckets of `by`, each bucket after those before it,
     so no task holds all rows. `by` must name rows uniquely for reruns to agree."""

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import logging
+import urllib.parse
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
@@ -20,6 +22,8 @@ log = logging.getLogger(__name__)
 
 SILVER = {"articles": ARTICLE, "products": PRODUCT}
 Stage = tuple[str, Callable[[], dict[str, int]]]
+#: A source may have so many bits of products and of price facts.
+SPACE_BITS = 40
 UPDATED = (*gold.ATTRIBUTES, "last_seen_at")
 
 
@@ -33,28 +37,45 @@ def transform(spark: SparkSession, config: Config) -> dict[str, int]:
     open_rows = store.unparsed(bronze, silver, t.source)
     before = silver.where(F.col("source") == t.source).count()
     processed = open_rows.count()
-    store.append(parser.parse(open_rows), path, partition_by=("source",))
+    store.append(parser.parse(open_rows), path, source=t.source)
     after = tables.read(spark, path, SILVER[parser.silver]).where(F.col("source") == t.source).count()
     return {"processed": processed, "silver_rows": after - before}
 
 
+def _gold_path(store_folder: str, table: str, source: str) -> str:
+    return f"{store_folder}/gold/{table}/{urllib.parse.quote(source, safe='')}"
+
+
+def gold_table(spark: SparkSession, store_folder: str, table: str) -> DataFrame:
+    """The gold table of all sources: dim_product or fact_price."""
+    read, schema = (tables.current, DIM_PRODUCT) if table == "dim_product" else (tables.all_versions, FACT_PRICE)
+    found = [read(spark, p, schema) for p in tables.parts(spark, f"{store_folder}/gold/{table}")]
+    return functools.reduce(DataFrame.unionByName, found) if found else tables.empty(spark, schema)
+
+
 def load(spark: SparkSession, config: Config) -> dict[str, int]:
-    """Brings the dimension and the facts of the source up to date; other sources' rows stay as they are."""
+    """Brings the dimension and the facts of the source up to date.
+
+    Each source has folders and a space of ids of its own, so sources may be loaded at once. Of two loads of one source
+    at once the second to write fails and changes nothing. Facts are only added to."""
     source, folder = config.load.source, config.load.store
     silver = tables.read(spark, f"{folder}/silver/products", PRODUCT).where(F.col("source") == source)
-    dim_path, fact_path = f"{folder}/gold/dim_product", f"{folder}/gold/fact_price"
+    first = tables.space(spark, folder, source) << SPACE_BITS
+    dim_path, fact_path = (_gold_path(folder, t, source) for t in ("dim_product", "fact_price"))
+    dim_base, fact_base = tables.version(spark, dim_path), tables.version(spark, fact_path)
     dim = tables.current(spark, dim_path, DIM_PRODUCT)
-    keyed = gold.with_product_keys(gold.dim_product(silver), dim).select(*dim.columns)
-    tables.replace(store.upsert_update(dim, keyed, ["source", "sku"], list(UPDATED)), dim_path)
+    keyed = gold.with_product_keys(gold.dim_product(silver), dim, first).select(*dim.columns)
+    tables.replace(store.upsert_update(dim, keyed, ["source", "sku"], list(UPDATED)), dim_path, dim_base)
     dim = tables.current(spark, dim_path, DIM_PRODUCT)
-    facts = tables.current(spark, fact_path, FACT_PRICE)
+    facts = tables.all_versions(spark, fact_path, FACT_PRICE)
     changes = gold.facts_with_keys(gold.fact_price(silver), dim).select("id", "product_key", "price", "currency", "observed_at", "bronze_id")
     fresh = changes.join(facts.select("product_key", "observed_at"), ["product_key", "observed_at"], "left_anti").drop("id")
-    last = facts.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).first()["last"]
+    last = facts.agg(F.coalesce(F.max("id"), F.lit(first)).alias("last")).first()["last"]
     new = tables.numbered(fresh, ["product_key", "observed_at"], "id", F.lit(last)).select(*facts.columns)
-    tables.replace(store.upsert_nothing(facts, new, ["product_key", "observed_at"], ["id"]), fact_path)
+    if not new.isEmpty():
+        tables.add_version(new, fact_path, fact_base)
     nulls = silver.agg(F.count_if(F.col("sku").isNull()).alias("n")).first()["n"]
-    return {"products": dim.where(F.col("source") == source).count(), "null_skus": nulls, "facts": tables.current(spark, fact_path, FACT_PRICE).count()}
+    return {"products": dim.count(), "null_skus": nulls, "facts": tables.all_versions(spark, fact_path, FACT_PRICE).count()}
 
 
 def check_plugins(config: Config) -> None:

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions import url as U
 from ..functions import values as V
-from ..functions.html import page
+from ..functions import variant as J
 from ..functions.select import Pick, cleaned, pick
-from ..operators import frontier, gold, store
+from ..operators import frontier, gold, scratch, store
 from . import parsing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,10 +50,12 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_query(_S + """SELECT source, sku, arg_max(price, (created_at, id)) AS latest_price, min(created_at) AS first_seen_at,
-  max(created_at) AS last_seen_at FROM s WHERE sku IS NOT NULL GROUP BY source, sku""")
+@_query(_S + """SELECT source, sku, l.price AS latest_price, l.name AS name, l.brand AS brand, first_seen_at, last_seen_at FROM (
+  SELECT source, sku, arg_max(struct_pack(price := price, name := 'n' || CAST(id % 5 AS VARCHAR), brand := CASE WHEN id % 3 <> 0 THEN 'b' || CAST(id % 2 AS VARCHAR) END), (created_at, id)) AS l,
+  min(created_at) AS first_seen_at, max(created_at) AS last_seen_at FROM s WHERE sku IS NOT NULL GROUP BY source, sku)""")
 def gold_dim_product(spark, sf_dir):
-    return gold.dim_product(_silver(spark, sf_dir), ("price",)).withColumnRenamed("price", "latest_price")
+    silver = _silver(spark, sf_dir).withColumns({"name": F.concat(F.lit("n"), (F.col("id") % 5).cast("string")), "brand": F.when(F.col("id") % 3 != 0, F.concat(F.lit("b"), (F.col("id") % 2).cast("string")))})
+    return gold.dim_product(silver, ("price", "name", "brand")).withColumnRenamed("price", "latest_price")
 
 
 _CHANGES = """SELECT *, lag(price) OVER (PARTITION BY source, sku ORDER BY created_at, id) AS prev,
@@ -71,11 +73,23 @@ def gold_fact_price(spark, sf_dir):
     return gold.fact_price(_silver(spark, sf_dir)).select("source", "sku", "id", "price", "observed_at")
 
 
-@_query(_S + "SELECT source, count(*) AS facts FROM (SELECT DISTINCT source, sku FROM s WHERE sku IS NOT NULL) GROUP BY source")
+@_query(_S + """SELECT source, count(*) AS products, count(*) AS keys, count(*) FILTER (WHERE CAST(sku AS BIGINT) % 2 = 0) AS kept
+  FROM (SELECT DISTINCT source, sku FROM s WHERE sku IS NOT NULL) GROUP BY source""")
 def gold_keyed_dim(spark, sf_dir):
+    dim = gold.dim_product(_silver(spark, sf_dir), ("price",))
+    known = gold.with_product_keys(dim.where(F.col("sku").cast("long") % 2 == 0), start=1 << 40)
+    keyed = gold.with_product_keys(dim, known).join(known.select("source", "sku", F.col("product_key").alias("old")), ["source", "sku"], "left")
+    return keyed.groupBy("source").agg(F.count("*").alias("products"), F.countDistinct("product_key").alias("keys"), F.count_if(F.col("old") == F.col("product_key")).alias("kept"))
+
+
+@_query(_S + f"""SELECT source, sku, id, price, created_at AS observed_at FROM (SELECT *, row_number() OVER (PARTITION BY source, sku, created_at ORDER BY id) AS rn
+  FROM ({_CHANGES}) WHERE n = 1 OR price IS DISTINCT FROM prev) WHERE rn = 1""")
+def gold_fact_with_keys(spark, sf_dir):
+    """Facts joined with the dimension's keys, and the keys followed back to the products."""
     silver = _silver(spark, sf_dir)
     dim = gold.with_product_keys(gold.dim_product(silver, ("price",)))
-    return dim.groupBy("source").agg(F.countDistinct("product_key").alias("facts"))
+    facts = gold.facts_with_keys(gold.fact_price(silver), dim).select("product_key", "id", "price", "observed_at")
+    return facts.join(dim.select("product_key", "source", "sku"), "product_key").select("source", "sku", "id", "price", "observed_at")
 
 
 @_query(_S + "SELECT count(*) FILTER (WHERE sku IS NULL) AS null_skus FROM s")
@@ -114,7 +128,7 @@ def bronze_visited(spark, sf_dir):
     return store.visited(b, "click", F.lit("2024-01-01").cast("timestamp")).select("request_url", F.col("request_params")["page"].alias("page"))
 
 
-@_query("""SELECT event_id, CASE WHEN user_id % 4 = 0 THEN 'failed' WHEN event_type <> 'click' THEN 'html' END AS target FROM events""")
+@_query("""SELECT event_id, CASE WHEN event_type = 'click' THEN NULL WHEN user_id % 4 = 0 THEN 'failed' ELSE 'html' END AS target FROM events""")
 def bronze_route_snapshots(spark, sf_dir):
     status = F.when(F.col("user_id") % 4 == 0, 503).otherwise(200)
     return _t(spark, sf_dir, "events").select("event_id", store.route(status, F.col("event_type") != "click", "html").alias("target"))
@@ -130,10 +144,11 @@ def store_fetch_null(spark, sf_dir):
     return store.fetch(_silver(spark, sf_dir), sku=None).select("id", "source", "price")
 
 
-@_query("SELECT p_partkey, coalesce(CASE WHEN p_size > 25 THEN 'USD' END, 'PYG') AS currency FROM part")
+@_query("""SELECT p_partkey, CASE WHEN count(c) OVER () = 0 THEN 'PYG' ELSE c END AS currency, CASE WHEN count(u) OVER () = 0 THEN 'un' ELSE u END AS unit, 7 AS batch
+  FROM (SELECT p_partkey, CASE WHEN p_size > 25 THEN 'USD' END AS c, CAST(NULL AS VARCHAR) AS u FROM part)""")
 def store_append_defaults(spark, sf_dir):
-    rows = _t(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_size") > 25, "USD").alias("currency"))
-    return store.with_defaults(rows, {"currency": F.lit("PYG")})
+    rows = _t(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_size") > 25, "USD").alias("currency"), F.lit(None).cast("string").alias("unit"))
+    return store.with_defaults(rows, {"currency": F.lit("PYG"), "unit": F.lit("un"), "batch": F.lit(7)})
 
 
 @_query("""WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer),
@@ -157,17 +172,31 @@ def store_upsert_nothing(spark, sf_dir):
 @_query("SELECT event_id, coalesce(json_extract_string(props, '$.k'), '') AS content_type FROM events")
 def header_backfill(spark, sf_dir):
     headers = F.from_json("props", "map<string,string>")
-    return _t(spark, sf_dir, "events").select("event_id", F.coalesce(F.try_element_at(headers, F.lit("k")), F.lit("")).alias("content_type"))
+    return _t(spark, sf_dir, "events").select("event_id", store.backfilled(headers, "k").alias("content_type"))
+
 
+# Addresses of pages with some made worse: other suffixes, repeated segments, capitals, tracking parameters.
+_MADE = """SELECT page_id, CASE WHEN page_id % 3 = 0 THEN replace(head, 'http', 'HTTP') ELSE head END
+  || CASE page_id % 7 WHEN 1 THEN '/file.PDF/' WHEN 2 THEN '/x/y/x' WHEN 3 THEN '/.pdf' WHEN 4 THEN '/a.b.js;v=1' ELSE '' END
+  || CASE WHEN page_id % 2 = 0 THEN (CASE WHEN query = '' THEN '?' ELSE query || '&' END) || 'gclid=1&q=a%20b&empty=&utm_term' ELSE query END || fragment AS url FROM (
+  SELECT page_id, regexp_extract(url, '^[^?#]*', 0) AS head, regexp_extract(url, '[?][^#]*', 0) AS query, regexp_extract(url, '#.*$', 0) AS fragment FROM pages)"""
+_CANONICAL = f"""SELECT page_id, lower(regexp_extract(url, '^[^:]*://[^/?#]*', 0)) || path || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS canonical, path FROM (
+  SELECT page_id, url, regexp_extract(url, '^[^:]*://[^/?#]*([^?#]*)', 1) AS path, list_transform(list_filter(string_split(regexp_extract(url, '[?]([^#]*)', 1), '&'),
+    lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_(source|medium|campaign|content|term|id|name|reader)|fbclid|gclid|mc_eid|mc_cid|yclid|msclkid|_ga|_gl)(=|$)')),
+    lambda p: CASE WHEN contains(p, '=') THEN p ELSE p || '=' END) AS kept FROM ({_MADE}))"""
+_DOMAINS = ("blog.tionsh.example.net", "thther.example.org", "blog.ththan.example.net", "m.ththth.example.net", "www.ththhe.example.com")
+_IGNORED = ("utm_", "gclid", "/en/4", "[?]page=")
 
-_ENQ = "CASE WHEN regexp_matches(p, '(?i)\\.(pdf|jpg|jpeg|png|gif|svg|webp|css|js|zip|mp4|mp3|ico|woff|woff2|rss|xml|atom)$') THEN FALSE WHEN len(sg) <> len(list_distinct(sg)) THEN FALSE ELSE len(sg) > 0 END"
 
+def _made(spark, sf_dir):
+    return spark.sql(_MADE.replace("FROM pages", "FROM {pages}"), pages=_t(spark, sf_dir, "pages"))
 
-@_query(f"""SELECT page_id, {_ENQ} AS enqueue FROM (SELECT page_id, p, list_filter(string_split(p, '/'), lambda x: x <> '') AS sg
-  FROM (SELECT page_id, regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1) AS p FROM pages))""")
+
+@_query(f"""SELECT page_id, regexp_extract(canonical, '^[^:]*://([^/?#]*)', 1) IN {_DOMAINS} AND NOT regexp_matches(canonical, 'utm_|gclid|/en/4|[?]page=') AND len(sg) = len(list_distinct(sg))
+  AND NOT regexp_matches(coalesce(sg[-1], ''), '(?i)^.+\\.(pdf|jpg|jpeg|png|gif|svg|webp|css|js|zip|mp4|mp3|ico|woff|woff2|rss|xml|atom)(;.*)?$') AS enqueue
+  FROM (SELECT page_id, canonical, list_filter(string_split(path, '/'), lambda x: x <> '') AS sg FROM ({_CANONICAL}))""")
 def frontier_enqueue(spark, sf_dir):
-    u = F.col("url")
-    return _t(spark, sf_dir, "pages").select("page_id", (~U.extension(u).isin(*U.SKIP_EXTENSIONS) & ~U.repeats_segment(u) & (F.size(U.segments(u)) > 0)).alias("enqueue"))
+    return _made(spark, sf_dir).select("page_id", U.should_enqueue(U.canonical(F.col("url")), _DOMAINS, _IGNORED).alias("enqueue"))
 
 
 @_query("SELECT page_id, regexp_matches(url, '[13579]$') OR regexp_matches(url, 'utm_') AS persist FROM pages")
@@ -180,22 +209,40 @@ def frontier_persist(spark, sf_dir):
 def frontier_bfs(spark, sf_dir):
     c = _t(spark, sf_dir, "customer")
     edges = c.select(F.col("c_custkey").alias("src"), (F.col("c_custkey") * 2).alias("dst")).union(c.select("c_custkey", (F.col("c_custkey") * 3 % 101).alias("dst")))
-    return frontier.reachable(edges, spark.range(1, 2).withColumnRenamed("id", "node"), lambda df, level: df.checkpoint() if spark.sparkContext.getCheckpointDir() else df.cache()).select("node")
+    folder = scratch.path(spark, "frontier")
 
+    def write(df: DataFrame, level: int) -> DataFrame:
+        df.select("node").coalesce(1 if level == 0 else 8).write.parquet(f"{folder}/level={level}")
+        return spark.read.schema("node long, level int").parquet(folder)
 
-@_query()
+    return frontier.reachable(edges, spark.range(1, 2).withColumnRenamed("id", "node"), write).select("node")
+
+
+@_query(f"SELECT page_id, canonical FROM ({_CANONICAL})")
 def url_canonicalize(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", U.canonical(F.col("url")).alias("canonical"))
+    return _made(spark, sf_dir).select("page_id", U.canonical(F.col("url")).alias("canonical"))
 
 
-@_query()
+@_query("""SELECT page_id, CAST(nth - 1 AS INTEGER) AS nth, regexp_extract(url, '^[^:]*://[^/?#]*', 0) || href AS link FROM (
+  SELECT page_id, url, unnest(hrefs) AS href, generate_subscripts(hrefs, 1) AS nth FROM (SELECT page_id, url, regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1) AS hrefs FROM pages))""")
 def page_links(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", "url", F.posexplode(page("html")["links"]).alias("nth", "href")).select("page_id", "nth", U.join("url", "href").alias("link"))
+    found = _t(spark, sf_dir, "pages").select("page_id", "url", pick(F.col("html"), links=Pick("a[href]", attr="href"))["links"].alias("links"))
+    site = F.regexp_extract("url", "^[^:]*://[^/?#]*", 0)
+    return found.select("page_id", F.posexplode(U.join_site("url", site, "links")).alias("nth", "link"))
 
 
-@_query()
+_PLAIN = "replace(replace(replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#x27;', chr(39)), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&')"
+
+
+_TRIMMED = f"regexp_replace({_PLAIN}, '^\\s+|\\s+$', '', 'g')"
+_NO_SCRIPTS = "regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<(script|style|noscript)[ >].*?</(script|style|noscript)>', '<x>', 'gs')"
+
+
+@_query(f"""SELECT page_id, array_to_string(list_filter(list_transform(string_split_regex({_NO_SCRIPTS}, '<[^>]*>'), lambda x: {_TRIMMED.format(x='x')}), lambda x: x <> ''), ' ') AS text,
+  {_TRIMMED.format(x="regexp_extract(html, '<h1>([^<]*)</h1>', 1)")} AS h1 FROM pages""")
 def pages_text(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", page("html").alias("p")).select("page_id", "p.title", "p.h1", "p.text")
+    read = pick(F.col("html"), text=Pick(""), h1=Pick("h1", first=True))
+    return _t(spark, sf_dir, "pages").select("page_id", read.alias("p")).select("page_id", F.get("p.text", F.lit(0)).alias("text"), F.coalesce(F.get("p.h1", F.lit(0)), F.lit("")).alias("h1"))
 
 
 @_query()
@@ -221,6 +268,12 @@ def pagination_offsets(spark, sf_dir):
     return _t(spark, sf_dir, "region").select("r_regionkey", F.explode((frontier.offsets_by_count(count, F.lit(0), 50)).cast("array<bigint>")).alias("skip"))
 
 
+@_query("SELECT r_regionkey, CAST(300 + r_regionkey * 100 + 100 AS BIGINT) AS o FROM region WHERE r_regionkey * 40 >= 100")
+def pagination_full(spark, sf_dir):
+    at, got = (F.lit(300) + F.col("r_regionkey") * 100).cast("int"), F.col("r_regionkey") * 40
+    return _t(spark, sf_dir, "region").select("r_regionkey", F.explode((frontier.offset_if_full(at, got, 100)).cast("array<bigint>")).alias("o"))
+
+
 @_query("SELECT r_regionkey, o FROM (SELECT r_regionkey, unnest(list_transform(range(1, 6), lambda k: 9200 + r_regionkey * 100 + k * 100)) AS o FROM region) WHERE o + 100 <= 10000")
 def pagination_speculative(spark, sf_dir):
     at = (F.lit(9200) + F.col("r_regionkey") * 100).cast("int")
@@ -290,9 +343,7 @@ def json_items_explode(spark, sf_dir):
 def json_polymorphic_brand(spark, sf_dir):
     body = F.when(F.col("p_partkey") % 3 == 0, F.to_json(F.struct(F.struct(F.col("p_brand").alias("name")).alias("brand")))).when(F.col("p_partkey") % 3 == 1, F.to_json(F.struct(F.col("p_brand").alias("brand")))).otherwise('{"brand": [1]}')
     v = F.try_parse_json(body)
-    kind = F.schema_of_variant(F.try_variant_get(v, "$.brand", "variant"))
-    brand = F.when(kind == "STRING", F.try_variant_get(v, "$.brand", "string")).when(kind.startswith("OBJECT"), F.try_variant_get(v, "$.brand.name", "string"))
-    return _t(spark, sf_dir, "part").select("p_partkey", X.strip_or_null(brand).alias("brand"))
+    return _t(spark, sf_dir, "part").select("p_partkey", F.coalesce(J.name(v, "$.brand"), J.name(v, "$.brand.name")).alias("brand"))
 
 
 @_query("SELECT event_id, array_to_string(CASE WHEN user_id % 3 = event_id % 2 THEN ['http://i/' || (user_id % 3)] ELSE ['http://i/' || (user_id % 3), 'http://i/' || (event_id % 2)] END, ' ') AS images FROM events")

@@ -38,8 +38,9 @@ class Parser:
         made = self.fields()
         shape = ARTICLE_FIELDS if self.silver == "articles" else PRODUCT_FIELDS
         kept = [F.coalesce(made.get(n, F.lit(None)).cast(t), F.lit(None) if d is None else d).cast(t).alias(n) for n, t, d in shape()]
-        # Ids follow the order of snapshots and of items in them; a body holds fewer than 2^20 items.
-        number = (F.col("bronze_id") * ITEMS + F.col("pos")).cast("bigint").alias("id")
+        # Ids follow the order of snapshots and of items in them; a body with more items than that is an error.
+        beyond = F.raise_error(F.concat(F.lit(f"more than {ITEMS} items in snapshot "), F.col("bronze_id").cast("string"))).cast("bigint")
+        number = F.when(F.col("pos") >= ITEMS, beyond).otherwise((F.col("bronze_id") * ITEMS + F.col("pos")).cast("bigint")).alias("id")
         return rows.select(number, "bronze_id", "source", *kept, "created_at")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Extract
+from ..errors import ExtractError
 from ..functions import select
 from ..functions import url as U
 from ..operators import store, tables
@@ -20,6 +21,8 @@ from .scrapers import scraper
 log = logging.getLogger(__name__)
 
 TABLES = {"html": "bronze/html_snapshots", "api": "bronze/api_snapshots", "failed": "bronze/failed_snapshots"}
+#: A source may store so many bits of snapshots; with the items of a body (20 bits), 13 bits are left for sources.
+SPACE_BITS = 30
 _REQUEST = "url string, params map<string,string>"
 
 
@@ -37,17 +40,21 @@ def _with_keys(requests: DataFrame) -> DataFrame:
 
 
 def _store(answers: DataFrame, e: Extract, model: str) -> None:
-    """Appends answers to the tables their `target` names. Ids go on from the largest of the table."""
+    """Appends answers to the tables their `target` names. Ids go on from the source's largest, in the source's own
+    space of numbers, so sources that are crawled at once don't share any."""
     spark = answers.sparkSession
+    first = tables.space(spark, e.store, e.source) << SPACE_BITS
     page = select.cleaned(F.col("body"), e.blocklist_tags, e.blocklist_attributes) if model == "html" else F.col("body")
     for target in (model, "failed"):
         path = f"{e.store}/{TABLES[target]}"
-        last = snapshots(spark, e.store, target).agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).first()["last"]
+        last = snapshots(spark, e.store, target).where(F.col("source") == e.source).agg(F.coalesce(F.max("id"), F.lit(first)).alias("last")).first()["last"]
+        if last - first >= (1 << SPACE_BITS) * 9 // 10:
+            raise ExtractError(f"{e.source}: the source's space of snapshot ids is nearly used up")
         rows = tables.numbered(answers.where(F.col("target") == target), ["key"], "id", F.lit(last)).select(
-            "id", F.lit(e.source).alias("source"), F.col("url").alias("request_url"), "request_headers", F.col("params").alias("request_params"),
+            "id", F.col("url").alias("request_url"), "request_headers", F.col("params").alias("request_params"),
             "status_code", "response_headers", "content_type", (page if target == model else F.col("body")).alias("body"), F.col("fetched_at").cast("timestamp_ntz").alias("created_at"),
         )
-        store.append(rows, path, partition_by=("source",))
+        store.append(rows, path, source=e.source)
 
 
 def crawl(spark: SparkSession, e: Extract, fetcher: http.Fetcher | None = None, since: dt.datetime | None = None) -> dict[str, int]:
@@ -86,7 +93,7 @@ def crawl(spark: SparkSession, e: Extract, fetcher: http.Fetcher | None = None,
         counts["broken"] += found.where("next IS NULL").count()
         asked = found.select(F.explode("next").alias("n")).select("n.url", "n.params")
         if plan.model == "html":
-            asked = asked.where(U.should_enqueue(F.col("url"), e.allowed_domains, e.ignore_patterns)).withColumn("url", U.canonical(F.col("url")))
+            asked = asked.withColumn("url", U.canonical(F.col("url"))).where(U.should_enqueue(F.col("url"), e.allowed_domains, e.ignore_patterns))
         seen = seen.unionByName(now.select("key"))
         level += 1
     fs, path = tables._folder(spark, work)

@@ -6,7 +6,7 @@ import os
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from ..config import Config, from_mapping
+from ..config import USER_AGENT, Config, from_mapping
 from ..errors import ConfigError
 
 
@@ -77,7 +77,7 @@ def site_config(name: str, store: str, environ: Mapping[str, str] = os.environ)
     if name not in SITES:
         raise ConfigError(f"no source {name!r}; there are {', '.join(SITES)}")
     site = SITES[name]
-    headers = {}
+    headers = {"User-Agent": USER_AGENT}
     if site.key:
         header, variable = site.key
         if not environ.get(variable):

@@ -10,22 +10,25 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def _changes(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    last = state.get[0] if state.exists else None
-    rows = pd.concat(list(frames)).sort_values(["created_at", "id"])
-    out = []
-    for r in rows.itertuples():
-        if last is None or r.price != last:
-            out.append((key[0], key[1], r.id, r.price, r.created_at))
-            last = r.price
-    if last is not None:
-        state.update((last,))
-    yield pd.DataFrame(out, columns=["source", "sku", "id", "price", "created_at"])
+    rows = pd.concat(list(frames)).sort_values(["created_at", "id"], ignore_index=True)
+    if rows.empty:
+        return
+    before = rows["price"].shift(1)
+    changed = rows["price"] != before
+    changed.iloc[0] = not state.exists or rows["price"].iloc[0] != state.get[0]
+    state.update((rows["price"].iloc[-1],))
+    out = rows.loc[changed, ["id", "price", "created_at"]]
+    out.insert(0, "source", key[0])
+    out.insert(1, "sku", key[1])
+    yield out
 
 
 def streaming_price_changes(silver: DataFrame) -> DataFrame:
-    """Changes by order of arrival between batches; the batch operator stays the source of truth for late rows."""
+    """Changes by order of arrival between batches; the batch operator stays the source of truth for late rows. Prices
+    keep the type they have, so decimals are compared as decimals."""
+    price = silver.schema["price"].dataType.simpleString()
     return (
-        silver.where("sku IS NOT NULL AND price IS NOT NULL")
+        silver.where("sku IS NOT NULL AND price IS NOT NULL").select("source", "sku", "id", "price", "created_at")
         .groupBy("source", "sku")
-        .applyInPandasWithState(_changes, "source string, sku string, id long, price double, created_at timestamp", "price double", "append", GroupStateTimeout.NoTimeout)
-    )
+        .applyInPandasWithState(_changes, f"source string, sku string, id long, price {price}, created_at timestamp", f"price {price}", "append", GroupStateTimeout.NoTimeout)
+    )

@@ -2,6 +2,23 @@
 
 from alluvium.streaming.prices import streaming_price_changes
 
+def test_decimal_prices_stay_decimals(spark, tmp_path):
+    def arrive(rows):
+        spark.sql(f"SELECT CAST(id AS long) id, 's' AS source, 'a' AS sku, CAST(price AS DECIMAL(12,2)) price, CAST(at AS timestamp) created_at FROM VALUES {rows} AS t(id, price, at)").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        schema = "id long, source string, sku string, price decimal(12,2), created_at timestamp"
+        query = (
+            streaming_price_changes(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
+            .writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(str(tmp_path / "out"))
+        )
+        assert query.awaitTermination(120)
+        out = spark.read.parquet(str(tmp_path / "out"))
+        assert dict(out.dtypes)["price"] == "decimal(12,2)"
+        return sorted((r.id, str(r.price)) for r in out.collect())
+
+    assert arrive("(1, 10.10, '2024-01-01'), (2, 10.10, '2024-01-02')") == [(1, "10.10")]
+    assert arrive("(3, 10.10, '2024-01-03'), (4, 0.30, '2024-01-04')") == [(1, "10.10"), (4, "0.30")]
+
+
 SCHEMA = "id long, source string, sku string, price double, created_at timestamp"
 
 
