@@ -19,8 +19,10 @@ def reachable(edges: DataFrame, seeds: DataFrame, write, max_pages: int = -1, ma
             break
         budget -= n if budget >= 0 else 0
         level += 1
-        new = now.join(edges, now["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()
-        seen = write(new.join(seen.select("node"), "node", "left_anti").select("node", F.lit(level).alias("level")), level)
+        found = now.join(edges, now["node"] == edges["src"]).select(F.col("dst").alias("node"), F.lit(False).alias("known"))
+        # distinct and unseen in one exchange, with map-side combine
+        both = found.unionByName(seen.select("node", F.lit(True).alias("known"))).groupBy("node").agg(F.max("known").alias("known"))
+        seen = write(both.where("NOT known").select("node", F.lit(level).alias("level")), level)
     return seen.orderBy("level", "node").limit(max_pages) if max_pages >= 0 else seen
 
 

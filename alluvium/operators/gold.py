@@ -39,9 +39,9 @@ def with_product_keys(dim: DataFrame, existing: DataFrame | None = None, start:
         existing = dim.limit(0).select("source", "sku", F.lit(0).cast("long").alias("product_key"))
     new = dim.join(existing.select("source", "sku"), ["source", "sku"], "left_anti").withColumn("bucket", F.pmod(F.xxhash64("source", "sku"), F.lit(256)))
     sizes = new.groupBy("bucket").count().selectExpr("bucket", "coalesce(sum(count) OVER (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before")
-    top = existing.agg(F.coalesce(F.max("product_key"), F.lit(start)).alias("top"))
-    numbered = new.selectExpr("*", "row_number() OVER (PARTITION BY bucket ORDER BY source, sku) AS nth").join(F.broadcast(sizes), "bucket").join(F.broadcast(top))
-    fresh = numbered.withColumn("product_key", (F.col("top") + F.col("before") + F.col("nth")).cast("long")).drop("bucket", "nth", "before", "top")
+    top = existing.agg(F.coalesce(F.max("product_key"), F.lit(start)).alias("top")).first()["top"]
+    numbered = new.selectExpr("*", "row_number() OVER (PARTITION BY bucket ORDER BY source, sku) AS nth").join(F.broadcast(sizes), "bucket")  # 256 rows
+    fresh = numbered.withColumn("product_key", (F.lit(top) + F.col("before") + F.col("nth")).cast("long")).drop("bucket", "nth", "before")
     return dim.join(existing.select("source", "sku", "product_key"), ["source", "sku"]).unionByName(fresh)
 
 

@@ -212,7 +212,7 @@ def frontier_bfs(spark, sf_dir):
     folder = scratch.path(spark, "frontier")
 
     def write(df: DataFrame, level: int) -> DataFrame:
-        df.select("node").coalesce(1 if level == 0 else 8).write.parquet(f"{folder}/level={level}")
+        df.select("node").write.parquet(f"{folder}/level={level}")
         return spark.read.schema("node long, level int").parquet(folder)
 
     return frontier.reachable(edges, spark.range(1, 2).withColumnRenamed("id", "node"), write).select("node")
