@@ -122,13 +122,12 @@ def thresholds(feats: DataFrame) -> DataFrame:
     ends = {f"{f}_{p}": F.expr(f"IF(n > 0, kll_sketch_get_quantile_double({f}, 0.{p}D), NULL)") for f in FEATURES for p in (25, 75)}
     own = groups.select("lang", "source", n.alias("n"), *[q.alias(name) for name, q in ends.items()])
     by_lang = _evenly(own.withColumn("w", F.col("n") / (F.col("n") + SHRINK)), ends, "lang")
-    overall = _evenly(by_lang.withColumn("w", F.col("w") / (F.col("w") + 1)), ends)
+    overall = _evenly(by_lang.withColumn("w", F.col("w") / (F.col("w") + 1)), ends).first()  # one row of numbers
     by_lang = by_lang.select(F.col("lang").alias("l_lang"), F.struct("w", *ends).alias("l"))
-    overall = overall.select(F.struct("w", *ends).alias("a"))
-    chosen = own.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang"))).join(F.broadcast(overall))  # one row
+    chosen = own.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")))
     limits = []
     for f, (least, side) in FEATURES.items():
-        low, high = (_drawn(F.col("n"), F.col(name), SHRINK, _drawn(F.col("l.w"), F.col(f"l.{name}"), 1, F.col(f"a.{name}"))) for name in (f"{f}_25", f"{f}_75"))
+        low, high = (_drawn(F.col("n"), F.col(name), SHRINK, _drawn(F.col("l.w"), F.col(f"l.{name}"), 1, F.lit(overall[name]).cast("double"))) for name in (f"{f}_25", f"{f}_75"))
         spread = F.greatest(high - low, F.lit(least)) * FENCE
         limits.append(F.struct((low - spread if side == "both" else F.when(low.isNotNull(), F.lit(float("-inf")))).alias("low"), (high + spread).alias("high")).alias(f))
     return chosen.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), F.struct(*limits).alias("limits"))
