@@ -3,46 +3,34 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import scratch
+
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
-CHECKPOINT_KEY = "spark.checkpoint.dir"
 
-_own_base: dict[str, str] = {}
 _written: list[tuple[SparkSession, str]] = []
 
 
-def scratch_base(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; where it is unset (tests, local runs) a folder of our own."""
-    base = spark.conf.get(CHECKPOINT_KEY, None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder that the driver and all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_base:
-        _own_base[app] = "file://" + tempfile.mkdtemp(prefix="alluvium-scratch-")
-    return _own_base[app]
-
-
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh path in the shared folder; it goes when the driver's Python ends."""
-    path = f"{scratch_base(spark)}/alluvium/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    path = scratch.path(spark, tag)
     _written.append((spark, path))
     return path
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder as Parquet and read it back: cuts the lineage, and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = scratch_path(spark, tag)
+    return written(df, scratch_path(df.sparkSession, tag))
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """df written to a scratch path and read back."""
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import apart, materialize
+from .common import apart, delete_path, scratch_path, written
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -28,11 +28,13 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
     """(u, v), any order and repeats -> (node, root): every node that has an edge to another, and the least node of
     its component; the root itself is left out."""
     ends = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now = materialize(ends, tag)
-    mark = None
+    spark = edges.sparkSession
+    path, mark = scratch_path(spark, tag), None
+    now = written(ends, path)
     while True:
-        stars = _small(_large(now).distinct()).distinct()
-        now = materialize(stars, tag)
+        before, path = path, scratch_path(spark, tag)
+        now = written(_small(_large(now).distinct()).distinct(), path)
+        delete_path(spark, before)  # nothing reads the round before any more
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen[0] == 0 or tuple(seen) == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
