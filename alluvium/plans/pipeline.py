@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..errors import ConfigError, ExtractError, LoadError, PipelineError, TransformError
-from ..operators import gold, store, tables
-from ..schemas import ARTICLE, DIM_PRODUCT, FACT_PRICE, PRODUCT
+from ..operators import constraints, gold, store, tables
+from ..schemas import ARTICLE, DIM_PRODUCT, FACT_PRICE, PRODUCT, REFERENCES, UNIQUE
 from ..sources import crawl, http, parsers
 from ..sources.scrapers import scraper
 
@@ -78,6 +78,14 @@ def load(spark: SparkSession, config: Config) -> dict[str, int]:
     return {"products": dim.count(), "null_skus": nulls, "facts": tables.all_versions(spark, fact_path, FACT_PRICE).count()}
 
 
+def broken_constraints(spark: SparkSession, store_folder: str) -> dict[str, DataFrame]:
+    """For each gold table the rules (rule, rows) and how many rows break them."""
+    made = {t: gold_table(spark, store_folder, t) for t in ("dim_product", "fact_price")}
+    of = {"dim_product": DIM_PRODUCT, "fact_price": FACT_PRICE}
+    refer = {t: [(c, made[parent], key) for c, parent, key in REFERENCES.get(t, [])] for t in made}
+    return {t: constraints.broken(rows, constraints.required(of[t]), UNIQUE[t], refer[t]) for t, rows in made.items()}
+
+
 def check_plugins(config: Config) -> None:
     """Names of scraper, parser and builder must be known before anything runs."""
     known = parsers()

@@ -12,7 +12,7 @@ from ..functions import url as U
 from ..functions import values as V
 from ..functions import variant as J
 from ..functions.select import Pick, cleaned, pick
-from ..operators import frontier, gold, scratch, store
+from ..operators import constraints, frontier, gold, scratch, store
 from . import parsing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -280,6 +280,16 @@ def pagination_speculative(spark, sf_dir):
     return _t(spark, sf_dir, "region").select("r_regionkey", F.explode((frontier.speculative_offsets(at, F.lit(100), 100, 5, 10_000)).cast("array<bigint>")).alias("o"))
 
 
+@_query("""WITH o AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderpriority END AS pr FROM orders)
+  SELECT 'pr is not null' AS rule, count(*) FILTER (WHERE pr IS NULL) AS rows FROM o UNION ALL SELECT 'o_orderkey is not null', count(*) FILTER (WHERE o_orderkey IS NULL) FROM o
+  UNION ALL SELECT 'unique o_orderkey', count(*) - count(DISTINCT o_orderkey) FROM o UNION ALL SELECT 'unique o_custkey, pr', count(*) - count(DISTINCT (o_custkey, pr)) FROM o WHERE pr IS NOT NULL
+  UNION ALL SELECT 'o_custkey is known', count(*) FROM o WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 20)""")
+def schema_constraints(spark, sf_dir):
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 9 != 0, F.col("o_orderpriority")).alias("pr"))
+    customers = _t(spark, sf_dir, "customer").where("c_nationkey < 20")
+    return constraints.broken(orders, ["pr", "o_orderkey"], [["o_orderkey"], ["o_custkey", "pr"]], [("o_custkey", customers, "c_custkey")])
+
+
 _NAME = "p_name || ' ' || CAST(p_size AS VARCHAR) || CASE p_partkey % 7 WHEN 0 THEN ' KG' WHEN 1 THEN 'lt' WHEN 2 THEN ' ml' WHEN 3 THEN 'GRS' WHEN 4 THEN 'cc' WHEN 5 THEN 'UN' ELSE ' L' END"
 
 

@@ -14,8 +14,21 @@ PRODUCT = (
     "price DECIMAL(12,2), currency STRING, unit STRING, image_urls ARRAY<STRING>, created_at TIMESTAMP_NTZ"
 )
 DIM_PRODUCT = (
-    "product_key BIGINT, source STRING, sku STRING, name STRING, brand STRING, unit STRING, currency STRING, "
+    "product_key BIGINT NOT NULL, source STRING NOT NULL, sku STRING NOT NULL, name STRING, brand STRING, unit STRING, currency STRING, "
     "image_urls ARRAY<STRING>, first_seen_at TIMESTAMP_NTZ, last_seen_at TIMESTAMP_NTZ"
 )
-FACT_PRICE = ("id BIGINT, product_key BIGINT, price DECIMAL(12,2), currency STRING, observed_at TIMESTAMP_NTZ, bronze_id BIGINT")
+FACT_PRICE = (
+    "id BIGINT NOT NULL, product_key BIGINT NOT NULL, price DECIMAL(12,2) NOT NULL, currency STRING, "
+    "observed_at TIMESTAMP_NTZ NOT NULL, bronze_id BIGINT"
+)
 DEFAULT_CURRENCY = "PYG"
+
+#: What is unique in a table beside what is NOT NULL, and what refers to another table's column.
+UNIQUE = {
+    "snapshot": [["id"]],
+    "article": [["id"]],
+    "product": [["id"]],
+    "dim_product": [["product_key"], ["source", "sku"]],
+    "fact_price": [["id"], ["product_key", "observed_at"]],
+}
+REFERENCES = {"fact_price": [("product_key", "dim_product", "product_key")]}

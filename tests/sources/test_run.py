@@ -69,6 +69,8 @@ def test_two_sources_at_once(spark, tmp_path):
         assert rows.count() == n and rows.select(key).distinct().count() == n
     assert sorted(r.source for r in dim.collect()) == ["one", "two"]
     assert fact.join(dim, "product_key").select("source").distinct().count() == 2
+    for rules in pipeline.broken_constraints(spark, str(tmp_path)).values():
+        assert rules.count() >= 4 and rules.where("rows > 0").count() == 0
 
 
 def test_second_writer_of_a_version_fails(spark, tmp_path):

@@ -7,9 +7,10 @@ from urllib.parse import urlsplit
 import pytest
 from pyspark.sql import functions as F
 
+from alluvium import schemas
 from alluvium.functions import url as U
 from alluvium.functions.values import iso_timestamp
-from alluvium.operators import frontier, store
+from alluvium.operators import constraints, frontier, store
 from alluvium.schemas import SNAPSHOT
 from alluvium.sources import base, parsers
 
@@ -35,6 +36,12 @@ def test_route(spark):
     assert [r["to"] for r in got] == ["html", "failed", "failed", None, None]
 
 
+def test_required_columns():
+    assert constraints.required(schemas.FACT_PRICE) == ["id", "product_key", "price", "observed_at"]
+    assert constraints.required(schemas.SNAPSHOT)[:5] == ["id", "source", "request_url", "request_headers", "request_params"]
+    assert constraints.required("a BIGINT, b STRING") == []
+
+
 URLS = ["/file.pdf/", "/.pdf", "/a/..pdf", "/a/file.PDF", "/a/b.tar.gz", "/a/file.", "/", "", "/a/./", "/a.b/c", "/x.js/.", "/ñ.mp4"]
 
 
