@@ -39,11 +39,15 @@ def marked(rows: DataFrame, counted: DataFrame | None = None, weight: str | None
 
 
 def spread(rows: DataFrame, *payload: str) -> DataFrame:
-    """Rows of marked() -> (cell, part, chunk, node, payload...), sorted by cell and part within partitions."""
+    """Rows of marked() -> (cell, part, chunk, node, payload...), sorted by cell and part within partitions. A cell's
+    parts are numbered from 0 and go to partitions in turn."""
+    n = shuffle_partitions(rows.sparkSession)
     split = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    part = F.least("chunk", "other") * F.col("k") + F.greatest("chunk", "other")
+    high = F.greatest("chunk", "other").cast("long")
+    part = F.floor(high * (high + 1) / 2) + F.least("chunk", "other")
     out = split.select("cell", part.alias("part"), "chunk", "node", *payload)
-    return out.repartition(shuffle_partitions(rows.sparkSession), "cell", "part").sortWithinPartitions("cell", "part")
+    turn = F.pmod(F.pmod(F.xxhash64("cell"), F.lit(n)) + F.col("part"), F.lit(n)).cast("int")
+    return out.repartitionById(n, turn).sortWithinPartitions("cell", "part")
 
 
 def dealt(rows: DataFrame, *payload: str, counted: DataFrame | None = None) -> DataFrame:
@@ -78,7 +82,7 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarr
             yield table, number(table)
 
 
-def meeting(run: np.ndarray, chunk: np.ndarray, part: np.ndarray, block: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def meeting(run: np.ndarray, chunk: np.ndarray, part: np.ndarray, block: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs i < j of one run, in bounded blocks: in a part of two chunks only across them."""
     n = len(run)
     start = np.searchsorted(run, run, "left")

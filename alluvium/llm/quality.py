@@ -85,7 +85,7 @@ def features(text: str) -> tuple:
 def _with_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [*_COUNTS, *FEATURES]
     types = [pa.int64()] * len(_COUNTS) + [pa.float64()] * len(FEATURES)
-    for batch in batches:
+    for batch in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
         rows = [features(t or "") for t in batch.column(0).to_pylist()]
         extra = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
         yield pa.record_batch([*batch.columns[1:], *extra], [*batch.schema.names[1:], *names])

@@ -230,7 +230,7 @@ def prefix(found: np.ndarray, often: np.ndarray, times: np.ndarray) -> np.ndarra
 
 def _sketches(scheme: Scheme, often: np.ndarray, times: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
             nodes, sizes, fps, cells = [], [], [], []
             for text in batch.column(2).to_pylist():
                 found, name = _set_of(text, scheme)
