@@ -4,6 +4,10 @@ Features of each whole text; per language and source a mergeable quantile sketch
 from the sketches' quartiles; then every document is held against the thresholds of its group. At every size a
 group's quartiles are drawn toward its language's, and a language's toward those of all, by the same rule: n documents
 count against SHRINK. A source weighs n / (n + SHRINK) in its language, so no source has over one share of it.
+
+A mean over few words scatters more, so a document of fewer than MIN_WORDS words may lie farther out, by the square
+root of MIN_WORDS over its words. rate() gives the base rules' verdict beside this one; keep_good() goes by the
+adaptive thresholds alone, which stand in place of the fixed cutoffs.
 """
 
 from __future__ import annotations
@@ -22,7 +26,8 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 
 #: feature -> (least spread, side): a document fails where its feature lies more than FENCE times the spread of its
-#: group (quartile distance, or the least spread if that is larger) outside the quartiles, above or on both sides.
+#: group (quartile distance, or the least spread if that is larger) outside the quartiles, above or on both sides; more
+#: where it has few words, see room().
 FEATURES = {
     "mean_word": (0.5, "both"),
     "symbols": (0.05, "above"),
@@ -112,7 +117,8 @@ def _evenly(rows: DataFrame, names, *by: str) -> DataFrame:
 
 
 def thresholds(feats: DataFrame) -> DataFrame:
-    """t_lang, t_source, limits: one row a (lang, source), nulls a group of their own; limits: feature -> low, high.
+    """t_lang, t_source, limits: one row a (lang, source), nulls a group of their own; limits: feature -> low, high (the
+    quartiles), reach (how far outside them a document of MIN_WORDS words or more may lie).
 
     Documents that the base rules reject don't shape the thresholds.
     """
@@ -126,43 +132,54 @@ def thresholds(feats: DataFrame) -> DataFrame:
     by_lang = by_lang.select(F.col("lang").alias("l_lang"), F.struct("w", *ends).alias("l"))
     chosen = own.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")))
     limits = []
-    for f, (least, side) in FEATURES.items():
+    for f, (least, _) in FEATURES.items():
         low, high = (_drawn(F.col("n"), F.col(name), SHRINK, _drawn(F.col("l.w"), F.col(f"l.{name}"), 1, F.lit(overall[name]).cast("double"))) for name in (f"{f}_25", f"{f}_75"))
-        spread = F.greatest(high - low, F.lit(least)) * FENCE
-        limits.append(F.struct((low - spread if side == "both" else F.when(low.isNotNull(), F.lit(float("-inf")))).alias("low"), (high + spread).alias("high")).alias(f))
+        limits.append(F.struct(low.alias("low"), high.alias("high"), (F.greatest(high - low, F.lit(least)) * FENCE).alias("reach")).alias(f))
     return chosen.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), F.struct(*limits).alias("limits"))
 
 
+def room() -> Column:
+    """How many times the reach of its group a document has, by its number of words."""
+    return F.sqrt(F.greatest(F.lit(1.0), F.lit(float(MIN_WORDS)) / F.greatest(F.col("n_words"), F.lit(1))))
+
+
 def judged(feats: DataFrame, limits: DataFrame) -> DataFrame:
-    """feats with base_failed and kept. Without any document to learn from, the base rules decide alone."""
+    """feats with base_failed and fits, the adaptive verdict: true where there is no document to learn from."""
     fits = F.lit(True)
-    for f in FEATURES:
-        fits = fits & F.coalesce(F.col(f).between(F.col(f"limits.{f}.low"), F.col(f"limits.{f}.high")), F.lit(True))
+    for f, (_, side) in FEATURES.items():
+        low, high, reach = (F.col(f"limits.{f}.{x}") for x in ("low", "high", "reach"))
+        inside = F.col(f) <= high + reach * room()
+        if side == "both":
+            inside = inside & (F.col(f) >= low - reach * room())
+        fits = fits & F.coalesce(inside, F.lit(True))
     known = materialize(limits, "quality-limits")
     joined = feats.join(broadcast_if_small(known, known.count()), F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")), "left")
-    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & fits)
+    return joined.withColumn("base_failed", base_failed()).withColumn("fits", fits)
 
 
 def rate(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept for every row of docs.
 
-    A text of any length is read whole, in one task. A null or empty text has no words and fails; a null lang or source is a group of its own; repeated rows get the
-    same verdict each; an empty table gives no rows; other columns are ignored.
+    kept: the base rules and the adaptive thresholds both pass it. A text of any length is read whole, in one task. A
+    null or empty text has no words and fails; a null lang or source is a group of its own; repeated rows get the same
+    verdict each; an empty table gives no rows; other columns are ignored.
     """
     feats = materialize(document_features(docs), "quality-features")
-    return judged(feats, thresholds(feats)).select("doc_id", *_COUNTS, "base_failed", "kept")
+    kept = (~F.col("base_failed") & F.col("fits")).alias("kept")
+    return judged(feats, thresholds(feats)).select("doc_id", *_COUNTS, "base_failed", kept)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of docs that rate() keeps, with their columns.
+    """The rows of docs that have a word and that the adaptive thresholds pass, with their columns.
 
-    The rejected rows, by (doc_id, text), are the smaller side and are taken out by an anti join; rows repeated in
-    full go or stay together. A null or empty text has no words and goes; a null lang or source is a group of its own;
-    an empty table gives no rows; columns of any other name pass. A text is read whole by one task, which holds its
+    No fixed cutoff decides, so a short text stays if it looks like its group. Where no document passes the base rules
+    there is nothing to learn from, and all texts with a word stay. The rejected rows, by (doc_id, text), are the
+    smaller side and are taken out by an anti join; rows repeated in full go or stay together. A null or empty text
+    has no words and goes; a null lang or source is a group of its own; an empty table gives no rows; columns of any other name pass. A text is read whole by one task, which holds its
     words: about ten times its bytes.
     """
     feats = materialize(document_features(docs), "quality-features")
-    out = judged(feats, thresholds(feats)).where(~F.col("kept")).select(F.col("doc_id").alias("__q_id"), F.col("text_key").alias("__q_key")).distinct()
+    out = judged(feats, thresholds(feats)).where(~F.col("fits") | (F.col("n_words") == 0)).select(F.col("doc_id").alias("__q_id"), F.col("text_key").alias("__q_key")).distinct()
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     marked = docs.withColumn("__q_text", key)
     return marked.join(out, F.col("doc_id").cast("long").eqNullSafe(F.col("__q_id")) & (F.col("__q_text") == F.col("__q_key")), "left_anti").drop("__q_text")

@@ -41,8 +41,9 @@ def counts(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), repeat, len(lines)
 
 
-def kept_by_rules(rows, features, fence, shrink):
-    """One boolean a row. features: name -> (least spread, side), as the module documents them."""
+def kept_by_rules(rows, features, fence, shrink, base=True):
+    """One boolean a row. features: name -> (least spread, side), as the module documents them. Without `base` the base
+    rules only choose the documents to learn from."""
     own, verdict = {}, []
     for _, text, lang, source in rows:
         t = text or ""
@@ -52,7 +53,7 @@ def kept_by_rules(rows, features, fence, shrink):
             "capitals": len(re.findall("[A-Z]", t)) / max(chars, 1), "shouts": t.count("!") / max(n, 1),
         }
         failed = n < 50 or 100 * repeat > 50 * n
-        verdict.append((failed, value, (lang, source)))
+        verdict.append((failed if base else n == 0, value, (lang, source), math.sqrt(max(1, 50 / max(n, 1)))))
         own.setdefault((lang, source), [])
         if not failed:
             own[lang, source].append(value)
@@ -74,13 +75,13 @@ def kept_by_rules(rows, features, fence, shrink):
                 w, v = of_lang[lang]
                 limits[lang, source, f, p] = drawn(len(vs), at([x[f] for x in vs], p), shrink, drawn(w, v, 1, overall))
     out = []
-    for failed, value, group in verdict:
+    for failed, value, group, room in verdict:
         fits = True
         for f, (least, side) in features.items():
             low, high = limits[*group, f, 0.25], limits[*group, f, 0.75]
             if low is None:
                 continue
-            spread = max(high - low, least) * fence
+            spread = max(high - low, least) * fence * room
             fits &= value[f] <= high + spread and (side == "above" or value[f] >= low - spread)
         out.append(not failed and fits)
     return out

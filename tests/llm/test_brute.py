@@ -64,7 +64,9 @@ def test_quality_verdicts(docs):
     got = quality.rate(docs).collect()
     assert sorted(repr((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["kept"])) for r in got) == want
     assert any(k for k in kept) and sum(not r["base_failed"] and not r["kept"] for r in got) > 5
-    assert four(quality.keep_good(docs)) == sorted(repr(r) for r, k in zip(ROWS, kept) if k)
+    adaptive = brute.kept_by_rules(ROWS, quality.FEATURES, quality.FENCE, quality.SHRINK, base=False)
+    assert four(quality.keep_good(docs)) == sorted(repr(r) for r, k in zip(ROWS, adaptive) if k)
+    assert (5003, "few words", "en", "b") in [r for r, k in zip(ROWS, adaptive) if k] and sum(adaptive) > sum(kept)
 
 
 def test_near_copies(docs):
@@ -134,7 +136,7 @@ def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 
     docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
-    kept = [r for r, k in zip(ROWS, brute.kept_by_rules(ROWS, quality.FEATURES, quality.FENCE, quality.SHRINK)) if k]
+    kept = [r for r, k in zip(ROWS, brute.kept_by_rules(ROWS, quality.FEATURES, quality.FENCE, quality.SHRINK, base=False)) if k]
     kept = brute.one_of_each(kept)
     spans = brute.secret_spans(kept)
     kept = [(d, brute.redacted(t, spans.get((d, t), ())), lang, s) for d, t, lang, s in kept]

@@ -14,7 +14,7 @@ def feats(spark, sizes):
 
 
 def high(spark, sizes):
-    rows = quality.thresholds(feats(spark, sizes)).select("t_source", "limits.mean_word.high").collect()
+    rows = quality.thresholds(feats(spark, sizes)).selectExpr("t_source", "limits.mean_word.high + limits.mean_word.reach").collect()
     return [r[1] for r in sorted(rows)]
 
 
