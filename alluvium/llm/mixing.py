@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, broadcast_if_small, each_copy, materialize
+from .common import WORD, broadcast_if_small, each_copy, materialize, shuffle_partitions
 
 BUCKET_BITS = 12
 SEED = "mix-1"
@@ -21,27 +21,38 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def ranked(totals: DataFrame) -> DataFrame:
+    """totals with rn, the place of each source by code point, null last, from 0.
+
+    The sources are range-cut into parts and each part's places follow those of the parts before it, so no task sorts
+    all of them; the only unpartitioned window is over one row a part.
+    """
+    parts = materialize(totals.repartitionByRange(shuffle_partitions(totals.sparkSession), "src_null", "src").withColumn("part", F.spark_partition_id()), "mix-sources")
+    before = parts.groupBy("part").agg(F.count("*").alias("n")).selectExpr("part", "coalesce(sum(n) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before")
+    nth = parts.selectExpr("*", "row_number() OVER (PARTITION BY part ORDER BY src_null, src) - 1 AS nth")
+    return nth.join(F.broadcast(before), "part").withColumn("rn", F.col("before") + F.col("nth")).drop("part", "before", "nth")
+
+
 def source_targets(totals: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
     """src, src_null, source_size, target from (src, src_null, source_size), one row a source.
 
     Sources by code point, null last, weigh as `weights`, repeating, and share the sum of all sizes; none gets over
-    `most` times its size, and the excess is shared by weight among the rest until none is above. That is the level
-    L with sum(min(cap, weight * L)) equal to the sum of sizes; it is found by running sums over the sources in
-    order of cap / weight.
+    `most` times its size, and the excess is shared by weight among the rest until none is above. `level` is what a
+    weight of 1 gets of the rest; it only rises from round to round, a source once full stays full, and the rounds end
+    when no other becomes so. A round is one aggregate over the sources; one row of numbers comes to the driver.
     """
-    weight = f"element_at(array({', '.join(map(str, weights))}), cast(pmod(rn - 1, {len(weights)}) + 1 AS int))"
-    return (
-        totals.selectExpr("*", "row_number() OVER (ORDER BY src_null, src) AS rn")
-        .selectExpr("*", f"cast({weight} AS double) AS w", f"cast({most} * source_size AS double) AS cap")
-        .selectExpr("*", "cap / w AS full_at", "cast(sum(source_size) OVER () AS double) AS total")
-        .selectExpr(
-            "*",
-            """(total - coalesce(sum(cap) OVER (ORDER BY full_at, rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0D))
-               / sum(w) OVER (ORDER BY full_at, rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level""",
-        )
-        .selectExpr("*", "coalesce((min(CASE WHEN level <= full_at THEN struct(full_at, rn, level) END) OVER ()).level, max(full_at) OVER ()) AS best")
-        .selectExpr("src", "src_null", "source_size", "least(cap, w * best) AS target")
-    )
+    weight = f"element_at(array({', '.join(map(str, weights))}), cast(pmod(rn, {len(weights)}) + 1 AS int))"
+    shares = ranked(totals).selectExpr("src", "src_null", "source_size", f"cast({weight} AS double) AS w", f"cast({most} * source_size AS double) AS cap")
+    shares = materialize(shares, "mix-shares")
+    total, free = shares.selectExpr("coalesce(sum(source_size), 0)", "sum(w)").first()
+    level, full = (total / free if free else 0.0), 0
+    while True:
+        over = F.col("cap") < F.col("w") * F.lit(level)
+        n, spent, free = shares.agg(F.count_if(over), F.coalesce(F.sum(F.when(over, F.col("cap"))), F.lit(0.0)), F.sum(F.when(~over, F.col("w")))).first()
+        if n <= full or not free:
+            break
+        level, full = (total - spent) / free, n
+    return shares.select("src", "src_null", "source_size", F.least(F.col("cap"), F.col("w") * F.lit(level)).alias("target"))
 
 
 def _placed(docs: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
@@ -108,7 +119,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
     and the last key taken, so the texts are joined with one row a source and never shuffled. A null source is a
     source of its own; a null or empty text has size 0 and goes with its key, or with its source's whole epochs; rows
     repeated in full each count; an empty table gives no rows; columns of any other name pass. Texts of any length are
-    counted in place. The shares of the sources are told in one task from one short row a source.
+    counted in place.
     """
     cuts = materialize(
         _placed(docs, weights, most)

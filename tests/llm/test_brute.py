@@ -164,3 +164,17 @@ def test_stages_on_odd_tables(spark, tmp_path):
             out = spark.createDataFrame([], kind)
         for stage, n in ((corpus_pipeline.near_dedup, 1 if data else 0), (corpus_pipeline.secret_scan, len(data))):
             assert stage(spark, spark.createDataFrame(data, kind), "").count() == n
+
+
+def test_targets_of_many_sources(spark):
+    """Sizes over many scales fill up round by round; names by code point, the null one last."""
+    sums = {f"s{i * 7919 % 1000:03d}" if i % 2 else f"é{i}": 1 + int(1.06**i) for i in range(400)} | {None: 5, "": 40}
+    rows = spark.createDataFrame([(s or "", s is None, n) for s, n in sums.items()], "src string, src_null boolean, source_size long").repartition(7)
+    got = {None if r["src_null"] else r["src"]: (r["source_size"], r["target"]) for r in mixing.source_targets(rows).collect()}
+    want = brute.targets([(0, "w " * n if n < 1000 else None, None, s) for s, n in sums.items() if n < 1000])
+    small = {s: n for s, n in sums.items() if n < 1000}
+    rows = spark.createDataFrame([(s or "", s is None, n) for s, n in small.items()], "src string, src_null boolean, source_size long").repartition(7)
+    few = {None if r["src_null"] else r["src"]: (r["source_size"], r["target"]) for r in mixing.source_targets(rows).collect()}
+    assert {s: (n, round(t, 6)) for s, (n, t) in few.items()} == {s: (n, round(t, 6)) for s, (n, t) in want.items()}
+    assert len(got) == 402 and abs(sum(t for _, t in got.values()) - sum(sums.values())) < 1e-3 * sum(sums.values())
+    assert all(t <= 3 * n for n, t in got.values()) and sum(t == 3 * n for n, t in got.values()) > 200
