@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embed_dedup, langid, mixing, quality, secrets, sharding, simhash, suffix_dedup, token_files, word_bpe
+from . import embed_dedup, langid, merkle, mixing, quality, quality_fm, secrets, sharding, simhash, suffix_dedup, token_files, word_bpe
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_docs(spark, sf_dir))
 
 
+def op11_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_fm.classify(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(_docs(spark, sf_dir))
+
+
 def secret_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base counts of op 2, which SQL can tell."""
     return secrets.scan(_docs(spark, sf_dir)).select("doc_id", "n_assign", "n_access", "n_hex")
@@ -107,6 +115,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_rules,
         op9_embedding_dedup,
         op10_language_id,
+        op11_quality_fm,
+        op12_merkle_manifest,
         secret_counts,
         quality_counts,
         mix_targets,
