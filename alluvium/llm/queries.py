@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embed_dedup, langid, merkle, mixing, quality, quality_fm, secrets, sharding, simhash, suffix_dedup, token_files, word_bpe
+from . import embed_dedup, langid, lexical, merkle, mixing, quality, quality_fm, secrets, sharding, simhash, suffix_dedup, token_files, word_bpe
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(_docs(spark, sf_dir))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search_documents(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def secret_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base counts of op 2, which SQL can tell."""
     return secrets.scan(_docs(spark, sf_dir)).select("doc_id", "n_assign", "n_access", "n_hex")
@@ -117,6 +121,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_language_id,
         op11_quality_fm,
         op12_merkle_manifest,
+        op13_lexical_search,
         secret_counts,
         quality_counts,
         mix_targets,
