@@ -135,7 +135,7 @@ def secret_spans(rows):
                 repos.setdefault(v, set()).add(t)
     out = {}
     for key, spans in found.items():
-        rated = [(a, k, b, b - len(v), not (len(owners[v]) > 2 and len(repos[v]) > 2 or len(repos[v]) > 100)) for a, k, b, v in sorted(spans)]
+        rated = [(a, k, b, b - len(v), not (len(owners[v]) > 2 and len(repos[v]) > 2)) for a, k, b, v in sorted(spans)]
         base = [x for x in rated if x[1] < 3]
         out[key] = [x for x in rated if x[1] < 3 or x[4] and not any(b[0] < x[2] and x[0] < b[2] for b in base)]
     return out
