@@ -57,7 +57,8 @@ def kept_by_rules(rows, features, fence, shrink, base=True):
         own.setdefault((lang, source), [])
         if not failed:
             own[lang, source].append(value)
-    at = lambda v, p: sorted(v)[max(math.ceil(p * len(v)) - 1, 0)] if v else None
+    binned = lambda x: 2 ** (math.floor(math.log2(x) * 64 + 0.5) / 64) if x > 0 else 0.0
+    at = lambda v, p: binned(sorted(v)[max(math.ceil(p * len(v)) - 1, 0)]) if v else None
     mean = lambda pairs: sum(w * v for w, v in pairs if w > 0) / sum(w for w, _ in pairs if w > 0) if any(w > 0 for w, _ in pairs) else None
 
     def drawn(n, value, toward_n, toward):
