@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import quality
@@ -195,26 +195,45 @@ def _metadata(names: tuple[str, ...]) -> list[Column]:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", metadata: tuple[str, ...] = ("n_chars",), sample: int = SAMPLE) -> Machine:
-    """A machine from at most `sample` whole documents of each label, those of least hash of doc_id and text.
+    """A machine from at most `sample` whole documents of each label, those of least hash among the documents with the
+    `sample` doc_ids of least hash.
 
-    A label other than 0 or 1 teaches nothing; a doc_id with both labels teaches both; rows repeated in full count once."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), *_metadata(metadata), held_out_column().alias("held_out"))
-    marked = labels.select(F.col("doc_id").cast("long").alias("l_id"), F.col(label).cast("int").alias("label")).where("l_id IS NOT NULL AND label IN (0, 1)").distinct()
-    sizes = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
+    A label other than 0 or 1 teaches nothing; a doc_id with both labels teaches both; rows repeated in full count once. No
+    text is shuffled: the doc_ids of the sample, bounded as it is, go to the scan of the documents.
+    """
+    spark = docs.sparkSession
+    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where("doc_id IS NOT NULL AND label IN (0, 1)")
+    marked = marked.where(~held_out_column()).distinct().withColumn("draw", _draw("quality-fm ids", "doc_id"))
+    ids = _least(marked.where(_within(marked.groupBy("label").agg(F.count("*").alias("n")).collect(), sample)).collect(), sample, "doc_id")
+    if not ids:
         return fit([], [])
-    # half as many again as asked for pass by their doc_id before the texts are joined; the exact bound follows
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, 1.5 * sample / n))])
-    draw = F.pmod(F.xxhash64(F.lit("quality-fm"), "l_id"), F.lit(1 << 40)).cast("double") / float(1 << 40)
-    marked = marked.where(F.pmod(F.crc32(F.encode(F.col("l_id").cast("string"), "UTF-8")), F.lit(5)) != 0).withColumn("draw", draw).where(F.col("draw") < share[F.col("label")])
-    known = rows.where("NOT held_out").join(marked, F.col("doc_id") == F.col("l_id")).withColumn("key", F.xxhash64("doc_id", "text")).drop("doc_id", "l_id", "held_out")
-    chosen = known.dropDuplicates(["label", "key"]).withColumn("nth", F.row_number().over(Window.partitionBy("label").orderBy("draw", "key"))).where(F.col("nth") <= sample)
-    names = [f"m{i}" for i in range(len(metadata))]
-    made = chosen.select("text", *names, "label", "draw", "key").mapInArrow(_featured(metadata), "buckets binary, weights binary, label int, draw double, key long").collect()
-    picked = sorted(made, key=lambda r: (r["draw"], r["key"], r["label"]))
+    side = F.broadcast(spark.createDataFrame([(r["doc_id"], r["label"]) for r in ids], "l_id long, label int"))  # 2 * sample rows at most
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), *_metadata(metadata))
+    known = rows.join(side, F.col("doc_id") == F.col("l_id")).withColumn("key", F.xxhash64("doc_id", "text")).withColumn("draw", _draw("quality-fm", "key"))
+    counts = known.groupBy("label").agg(F.approx_count_distinct("key").alias("n")).collect()
+    chosen = known.where(_within(counts, sample)).select("text", *[f"m{i}" for i in range(len(metadata))], "label", "draw", "key")
+    made = chosen.mapInArrow(_featured(metadata), "buckets binary, weights binary, label int, draw double, key long").dropDuplicates(["label", "key"])
+    picked = _least(made.collect(), sample, "key")
     return fit([(np.frombuffer(r["buckets"], np.uint16), np.frombuffer(r["weights"], np.float32)) for r in picked], [r["label"] for r in picked])
 
 
+def _draw(salt: str, column: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit(salt), column), F.lit(1 << 40)).cast("double") / float(1 << 40)
+
+
+def _within(sizes: list, sample: int) -> Column:
+    """Whether a row of (label, draw) is among about half as many again as the sample takes, by the label's size n."""
+    if not sizes:
+        return F.lit(False)
+    return F.col("draw") < F.create_map(*[F.lit(x) for r in sizes for x in (r["label"], min(1.0, 1.5 * sample / max(r["n"], 1)))])[F.col("label")]
+
+
+def _least(rows: list, sample: int, key: str) -> list:
+    """The rows of least draw of each label, at most sample; in the order of their draws."""
+    ordered = sorted(rows, key=lambda r: (r["draw"], r[key], r["label"]))
+    return sorted((r for k in (0, 1) for r in [r for r in ordered if r["label"] == k][:sample]), key=lambda r: (r["draw"], r[key], r["label"]))
+
+
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", metadata: tuple[str, ...] = ("n_chars",), sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of docs; score: the calibrated chance of label 1.
 
