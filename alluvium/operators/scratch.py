@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _own: dict[str, str] = {}
@@ -22,3 +22,10 @@ def path(spark: SparkSession, tag: str) -> str:
             _own[app] = "file://" + tempfile.mkdtemp(prefix="alluvium-core-")
         base = _own[app]
     return f"{base.rstrip('/')}/alluvium/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """df written to a scratch table and read again: made once, however often it is used, and kept if an executor is lost."""
+    where = path(df.sparkSession, tag)
+    df.write.option("compression", "zstd").parquet(where)
+    return df.sparkSession.read.schema(df.schema).parquet(where)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.url import request_key
+from . import tables
 
 
 def fetch(table: DataFrame, **filters) -> DataFrame:
@@ -29,15 +30,28 @@ def with_defaults(rows: DataFrame, defaults: dict[str, Column]) -> DataFrame:
 _ESCAPED = frozenset("\"#%'*/:=?\\{[]^" + "".join(map(chr, range(1, 32))) + "\x7f")
 
 
+def source_folder(path: str, source: str) -> str:
+    """The folder of one source's rows, named as Spark names a partition's."""
+    return f"{path}/source=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in source)
+
+
 def append(rows: DataFrame, path: str, defaults: dict[str, Column] | None = None, source: str | None = None) -> None:
     """Adds rows to a table. Those of one source go to the source's own folder, so sources may be written at once."""
     rows = with_defaults(rows, defaults or {})
     if source is not None:
-        name = "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in source)
-        rows, path = rows.drop("source"), f"{path}/source={name}"
+        rows, path = rows.drop("source"), source_folder(path, source)
     rows.write.mode("append").option("compression", "zstd").parquet(path)
 
 
+def append_batch(rows: DataFrame, path: str, source: str) -> int:
+    """Adds rows of one source as a batch of their own, so that later work may read what is new by its folder; returns the
+    batch's number. A batch counts once it is whole."""
+    where = source_folder(path, source)
+    n = tables.new_batch(rows.sparkSession, where)
+    rows.drop("source").write.option("compression", "zstd").parquet(f"{where}/batch={n}")
+    return n
+
+
 def upsert_update(table: DataFrame, rows: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
     """The table after DO UPDATE: `update` columns from rows, the others of existing rows kept, new rows added.
 

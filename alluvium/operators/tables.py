@@ -1,8 +1,12 @@
-"""Parquet tables of a store: appended, replaced as a whole by a new version, or grown by versions."""
+"""Parquet tables of a store: appended, replaced as a whole by a new version, or grown by versions.
+
+Claims are files that must be created exclusively. HDFS and local file systems do that; on an object store whose creation
+isn't exclusive, two writers at once may both win, so loads of one source there must not overlap."""
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,9 +32,12 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
 
 
 def read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The appended table; without rows where it isn't there yet."""
+    """The appended table; without rows where it isn't there yet. A column that only says in which folder a row lies isn't
+    part of it."""
     plain = schema.replace(" NOT NULL", "")
-    return spark.read.schema(plain).parquet(path) if exists(spark, path) else empty(spark, plain)
+    if not exists(spark, path):
+        return empty(spark, plain)
+    return spark.read.schema(plain).parquet(path).select(*empty(spark, plain).columns)
 
 
 def spread(rows: DataFrame) -> DataFrame:
@@ -91,16 +98,23 @@ def current(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema.replace(" NOT NULL", "")).parquet(f"{path}/v{found[-1]}") if found else empty(spark, schema)
 
 
-def all_versions(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """All rows of a table that grows by versions."""
-    found = _versions(spark, path)
+def all_versions(spark: SparkSession, path: str, schema: str, after: int = 0) -> DataFrame:
+    """All rows of a table that grows by versions, or those of the versions after a number."""
+    found = [n for n in _versions(spark, path) if n > after]
     return spark.read.schema(schema.replace(" NOT NULL", "")).parquet(*[f"{path}/v{n}" for n in found]) if found else empty(spark, schema)
 
 
-def add_version(rows: DataFrame, path: str, base: int) -> None:
+#: Of a table that is about to be published: rule, rows, for each rule how many rows break it.
+Check = Callable[[DataFrame], DataFrame]
+
+
+def add_version(rows: DataFrame, path: str, base: int, check: Check | None = None) -> None:
     """Writes rows as the version after `base`, the one that the caller has read. Whoever comes second, having read the
     same one, fails and changes nothing: the version's claim is a file that is created exclusively. A claim that a dead
-    writer left counts for STALE_MS."""
+    writer left counts for STALE_MS.
+
+    With a check the rows are written aside, where no reader looks, and checked there; a version that breaks a rule is an
+    error that names the rules, and the version before stays the current one. A whole one takes its place by one rename."""
     spark = rows.sparkSession
     fs, folder = _folder(spark, path)
     fs.mkdirs(folder)
@@ -114,29 +128,69 @@ def add_version(rows: DataFrame, path: str, base: int) -> None:
     try:
         if version(spark, path) != base:
             raise LoadError(f"{path}: another run has written since version {base} was read")
-        rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/v{base + 1}")
+        if check is None:
+            rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/v{base + 1}")
+        else:
+            _checked(rows, path, base + 1, check)
     finally:
         fs.delete(claim, False)
 
 
-def replace(rows: DataFrame, path: str, base: int, keep: int = 2) -> None:
+def _checked(rows: DataFrame, path: str, number: int, check: Check) -> None:
+    spark, aside = rows.sparkSession, f"{path}/_aside-v{number}"
+    fs, at = _folder(spark, aside)
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(aside)
+    try:
+        broken = check(spark.read.schema(rows.schema).parquet(aside)).where("rows > 0").collect()  # a row a rule
+        if broken:
+            raise LoadError(f"{path}: version {number} isn't published: " + ", ".join(f"{r['rule']} ({r['rows']} rows)" for r in broken))
+        to = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v{number}")
+        fs.delete(to, True)  # what a dead writer left without its mark
+        if not fs.rename(at, to):
+            raise LoadError(f"{path}: version {number} can't be put in its place")
+    finally:
+        fs.delete(at, True)
+
+
+def replace(rows: DataFrame, path: str, base: int, keep: int = 2, check: Check | None = None) -> None:
     """Writes the next version beside the others, so rows may come from the current one; old versions go."""
     spark = rows.sparkSession
-    add_version(rows, path, base)
+    add_version(rows, path, base, check)
     fs, _ = _folder(spark, path)
     for old in _versions(spark, path)[:-keep]:
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v{old}"), True)
 
 
+def new_batch(spark: SparkSession, path: str) -> int:
+    """A number that no other writer of the table gets: a file that is created exclusively."""
+    fs, folder = _folder(spark, f"{path}/_batches")
+    fs.mkdirs(folder)
+    while True:
+        n = max([int(s.getPath().getName()) for s in fs.listStatus(folder) if s.getPath().getName().isdigit()], default=-1) + 1
+        if fs.createNewFile(spark._jvm.org.apache.hadoop.fs.Path(folder, str(n))):
+            return n
+
+
+def whole_batches(spark: SparkSession, path: str) -> list[int]:
+    """The batches of the table that were written to their end."""
+    fs, p = _folder(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n[6:]) for n in names if n.startswith("batch=") and n[6:].isdigit() and exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
 def parts(spark: SparkSession, path: str) -> list[str]:
     """The folders of a table that is kept by source."""
     fs, p = _folder(spark, path)
     return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
 
 
-def numbered(rows: DataFrame, by: list[str], name: str, start: Column | None = None, buckets: int = 256) -> DataFrame:
+def numbered(rows: DataFrame, by: list[str], name: str, start: Column | None = None, buckets: int | None = None) -> DataFrame:
     """Rows with numbers after `start`, gapless: numbered within hash buckets of `by`, each bucket after those before it,
-    so no task holds all rows. `by` must name rows uniquely for reruns to agree."""
+    so no task holds all rows. `by` must name rows uniquely for reruns to agree. rows are read twice, so costly ones should be
+    written before. Buckets follow the cluster's number of shuffle partitions, 256 at least."""
+    buckets = buckets or max(256, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(*by), F.lit(buckets)))
     sizes = dealt.groupBy("_bucket").count().selectExpr("_bucket", "coalesce(sum(count) OVER (ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before")
     nth = F.expr(f"row_number() OVER (PARTITION BY _bucket ORDER BY {', '.join(by)})")

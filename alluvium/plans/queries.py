@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..errors import LoadError
 from ..functions import text as X
 from ..functions import url as U
 from ..functions import values as V
 from ..functions import variant as J
 from ..functions.select import Pick, cleaned, pick
-from ..operators import constraints, frontier, gold, scratch, store
+from ..operators import constraints, evolution, frontier, gold, scratch, store, tables
 from . import parsing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +93,100 @@ def gold_fact_with_keys(spark, sf_dir):
     return facts.join(dim.select("product_key", "source", "sku"), "product_key").select("source", "sku", "id", "price", "observed_at")
 
 
+# Rows of the last days, and a few earlier ones that come late.
+_FRESH = "created_at >= TIMESTAMP '2024-01-29' OR id % 301 = 0"
+_FACTS = "SELECT source, sku, id, price, created_at AS observed_at FROM (SELECT *, row_number() OVER (PARTITION BY source, sku, created_at ORDER BY id) AS rn FROM ({changes}) WHERE n = 1 OR price IS DISTINCT FROM prev) WHERE rn = 1"
+
+
+@_query(_S + f""", o AS (SELECT * FROM s WHERE NOT ({_FRESH})), old AS ({_FACTS.format(changes=_CHANGES.replace("FROM s", "FROM o"))}), now AS ({_FACTS.format(changes=_CHANGES)})
+  SELECT * FROM old UNION ALL SELECT * FROM now WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.source = now.source AND old.sku = now.sku AND old.observed_at = now.observed_at)""")
+def gold_incremental_facts(spark, sf_dir):
+    """The facts after a first load and one of the fresh rows, late ones among them, as a load of everything gives them."""
+    silver = _silver(spark, sf_dir)
+    old, fresh = silver.where(f"NOT ({_FRESH})"), silver.where(_FRESH)
+    cols = ("source", "sku", "id", "price", "observed_at")
+    facts = scratch.written(gold.fact_price(old).select(*cols), "facts")
+    found = gold.incremental_facts(fresh, gold.product_state(old), silver).select(*cols)
+    known = facts.select("source", "sku", "observed_at")
+    return facts.unionByName(found.join(known, ["source", "sku", "observed_at"], "left_anti").select(*cols))
+
+
+@_query(_S + f"""SELECT source, sku, l.price AS price, l.id % 7 AS name, first_seen_at, last_seen_at FROM (SELECT source, sku, arg_max(struct_pack(price := price, id := id), (created_at, id)) AS l,
+  min(created_at) AS first_seen_at, max(created_at) AS last_seen_at FROM s WHERE sku IS NOT NULL GROUP BY source, sku HAVING bool_or({_FRESH}))""")
+def gold_incremental_dim(spark, sf_dir):
+    """What a load of the fresh rows makes of the products they touch, late rows included."""
+    silver = _silver(spark, sf_dir).withColumn("name", F.col("id") % 7)
+    old = silver.where(f"NOT ({_FRESH})")
+    return gold.incremental_dim(silver.where(_FRESH), gold.dim_product(old, ("price", "name")), gold.product_state(old), ("price", "name"))
+
+
+@_query(_S + f"SELECT *, lead(observed_at) OVER (PARTITION BY source, sku ORDER BY observed_at) AS valid_to FROM ({_FACTS.format(changes=_CHANGES)})")
+def gold_price_segments(spark, sf_dir):
+    facts = gold.fact_price(_silver(spark, sf_dir)).select("source", "sku", "id", "price", "observed_at")
+    return gold.price_segments(facts, ("source", "sku"))
+
+
+_AS_OF = _S + f""", f AS ({_FACTS.format(changes=_CHANGES)}), q AS (SELECT event_id, event_type AS source, CASE WHEN user_id % 10 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS sku, ts - INTERVAL 60 HOUR AS at FROM events)
+  SELECT q.event_id, q.at, f.price, f.observed_at FROM q ASOF LEFT JOIN f ON q.source = f.source AND q.sku = f.sku AND q.at >= f.observed_at"""
+
+
+def _asked(spark, sf_dir):
+    events = _t(spark, sf_dir, "events")
+    sku = F.when(F.col("user_id") % 10 != 0, F.col("user_id").cast("string"))
+    return events.select("event_id", F.col("event_type").alias("source"), sku.alias("sku"), (F.col("ts") - F.expr("INTERVAL 60 HOURS")).alias("at"))
+
+
+@_query(_AS_OF)
+def gold_price_as_of(spark, sf_dir):
+    facts = gold.fact_price(_silver(spark, sf_dir))
+    return gold.price_as_of(_asked(spark, sf_dir), facts, ("source", "sku")).select("event_id", "at", "price", "observed_at")
+
+
+@_query(_AS_OF)
+def gold_price_as_of_hot(spark, sf_dir):
+    """The same lookup with each product's time cut into weeks."""
+    facts = gold.fact_price(_silver(spark, sf_dir))
+    return gold.price_as_of_hot(_asked(spark, sf_dir), facts, "week", ("source", "sku")).select("event_id", "at", "price", "observed_at")
+
+
+# Three versions of a table of orders: the first with other names and prices as text, the second without an origin.
+_ORDERS = evolution.Chain(
+    "id BIGINT, source_url STRING, total STRING, is_diff BOOLEAN",
+    (
+        (evolution.Rename("source_url", "request_url"), evolution.Drop("is_diff"), evolution.Change("total", "DECIMAL(12,2)")),
+        (evolution.Add("origin", "STRING", lambda c: F.regexp_extract(c["request_url"], "^[a-z]*", 0)), evolution.Rename("id", "order_id")),
+    ),
+)
+
+
+@_query("""SELECT o_orderkey AS order_id, 'from' || CAST(o_custkey AS VARCHAR) AS request_url, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 5 = 0 THEN NULL ELSE CAST(round(o_totalprice, 2) AS DECIMAL(12,2)) END AS total,
+  CASE WHEN o_orderkey % 3 = 2 THEN 'own' ELSE 'from' END AS origin FROM orders""")
+def schema_versions_as_one(spark, sf_dir):
+    """Rows written with three versions of the schema, read with the columns of the last."""
+    path, third = scratch.path(spark, "evolved"), F.col("o_orderkey") % 3
+    price = F.round("o_totalprice", 2).cast("decimal(12,2)")
+    rows = _t(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("from"), F.col("o_custkey").cast("string")).alias("url"), price.alias("price"))
+    wrong = F.when(F.col("o_orderkey") % 5 == 0, "unknown").otherwise(F.col("price").cast("string"))
+    evolution.append(rows.where(third == 0).select(F.col("o_orderkey").alias("id"), F.col("url").alias("source_url"), wrong.alias("total"), F.lit(True).alias("is_diff")), path, evolution.Chain(_ORDERS.first))
+    evolution.append(rows.where(third == 1).select(F.col("o_orderkey").alias("id"), F.col("url").alias("request_url"), F.col("price").alias("total")), path, evolution.Chain(_ORDERS.first, _ORDERS.steps[:1]))
+    evolution.append(rows.where(third == 2).select(F.col("o_orderkey").alias("order_id"), F.col("url").alias("request_url"), F.col("price").alias("total"), F.lit("own").alias("origin")), path, _ORDERS)
+    return evolution.read(spark, path, _ORDERS)
+
+
+@_query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 4 = 0 AND o_custkey IN (SELECT c_custkey FROM customer)")
+def store_checked_publication(spark, sf_dir):
+    """A version that breaks a rule isn't published: the one before stays, and a third that keeps them takes its place."""
+    path, orders = scratch.path(spark, "published"), _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    customers = _t(spark, sf_dir, "customer")
+    check = lambda rows: constraints.broken(rows, ["o_orderkey"], [["o_orderkey"]], [("o_custkey", customers, "c_custkey")])
+    tables.replace(orders.where("o_orderkey % 2 = 0"), path, 0, check=check)
+    try:
+        tables.replace(orders.unionByName(orders), path, 1, check=check)
+    except LoadError:
+        tables.replace(orders.where("o_orderkey % 4 = 0"), path, tables.version(spark, path), check=check)
+    return tables.current(spark, path, "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE")
+
+
 @_query(_S + "SELECT count(*) FILTER (WHERE sku IS NULL) AS null_skus FROM s")
 def gold_null_sku_count(spark, sf_dir):
     return _silver(spark, sf_dir).agg(F.count_if(F.col("sku").isNull()).alias("null_skus"))
