@@ -1,4 +1,4 @@
-"""Streaming variant of the price changes: the last price of each product is kept as state."""
+"""Streaming variants of the price changes: by order of arrival, and as facts by order of time."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
@@ -32,3 +34,73 @@ def streaming_price_changes(silver: DataFrame) -> DataFrame:
         .groupBy("source", "sku")
         .applyInPandasWithState(_changes, f"source string, sku string, id long, price {price}, created_at timestamp", f"price {price}", "append", GroupStateTimeout.NoTimeout)
     )
+
+
+#: What the stream of facts gives.
+FACTS = "source string, sku string, id long, price decimal(12,2), us long"
+
+
+class PriceFacts(StatefulProcessor):
+    """Per product: rows that wait for their time, in `waiting`, and the last price, in `last`.
+
+    A row waits until the watermark reaches its time, when no earlier one can come any more; a timer at its time wakes the
+    product, whose due rows are then gone through in order. So arrival order doesn't matter within the bound on lateness.
+    After forget_ms of event time without a row a product's last price is dropped, by a timer too."""
+
+    def __init__(self, forget_ms: int | None):
+        self.forget_ms = forget_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "us long, id long, price decimal(12,2)")
+        self.last = handle.getValueState("last", "price decimal(12,2), us long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        upto = timerValues.getCurrentWatermarkInMs() * 1000
+        fresh = [(int(us), int(i), p) for f in rows for us, i, p in zip(f["us"], f["id"], f["price"]) if us > upto]
+        if fresh:
+            self.waiting.appendList(fresh)
+            for ms in {-(-us // 1000) for us, _, _ in fresh}:
+                self.handle.registerTimer(ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        upto = timerValues.getCurrentWatermarkInMs() * 1000
+        held = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        due = sorted((r for r in held if r[0] <= upto), key=lambda r: r[:2])
+        last = self.last.get() if self.last.exists() else None
+        if not due:
+            if last is not None and not held and self.forget_ms is not None and last[1] <= upto - self.forget_ms * 1000:
+                self.last.clear()
+            return
+        later = [r for r in held if r[0] > upto]
+        self.waiting.put(later) if later else self.waiting.clear()
+        price, out, told = (last[0] if last else None), [], None
+        for us, i, p in due:
+            if p != price and us != told:  # the first change at a time counts, a later one only moves the price
+                out.append((*key, i, p, us))
+                told = us
+            price = p
+        self.last.update((price, due[-1][0]))
+        if self.forget_ms is not None:
+            self.handle.registerTimer(-(-due[-1][0] // 1000) + self.forget_ms)
+        if out:
+            yield pd.DataFrame(out, columns=["source", "sku", "id", "price", "us"])
+
+    def close(self) -> None:
+        pass
+
+
+def price_fact_stream(silver: DataFrame, lateness: str, forget_ms: int | None = None) -> DataFrame:
+    """source, sku, id, price, observed_at: fact_price() over a stream, rows in any order within `lateness` of event time.
+
+    A fact comes once the watermark has passed its time. Rows later than the bound are dropped; one that Spark's watermark
+    lets pass is dropped here, so no fact depends on how rows were dealt to batches. A product without a row for forget_ms
+    loses its state, and its next row counts as a first one; without it the last price stays. The state's provider must be
+    RocksDB's (spark.sql.streaming.stateStore.providerClass), which spills, so the waiting rows of all products need not
+    fit memory; those of one product within the bound do. created_at without a zone is read in the session's.
+    """
+    rows = silver.where("sku IS NOT NULL AND price IS NOT NULL AND created_at IS NOT NULL").select("source", "sku", "id", F.col("price").cast("decimal(12,2)").alias("price"), F.col("created_at").cast("timestamp").alias("created_at"))
+    waiting = rows.withColumn("us", F.unix_micros("created_at")).withWatermark("created_at", lateness).groupBy("source", "sku")
+    facts = waiting.transformWithStateInPandas(PriceFacts(forget_ms), FACTS, "append", "EventTime")
+    return facts.select("source", "sku", "id", "price", F.timestamp_micros("us").alias("observed_at"))
