@@ -1,29 +1,82 @@
-"""The crawl frontier, level by level, and the generators of further pages."""
+"""The crawl frontier, level by level in the order of discovery, and the generators of further pages."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from . import scratch, tables
+
+
+class Seen:
+    """What a walk has met, by level, in a table that is bucketed by key: a level's keys are dealt to the buckets and met with
+    what lies there, so what was seen before is read where it is and isn't shuffled. drop() takes the table's name away;
+    its files go with the folder."""
+
+    def __init__(self, spark: SparkSession, key: str, folder: str | None = None):
+        self.spark, self.key, self.folder = spark, key, folder or scratch.path(spark, "seen")
+        self.table = f"alluvium_seen_{uuid.uuid4().hex}"
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+    def add(self, rows: DataFrame, level: int) -> int:
+        """Adds the rows, which have the key and further columns, as a level; returns their number, counted on the way."""
+        n = Observation()
+        dealt = rows.withColumn("level", F.lit(level)).repartition(self.buckets, self.key).observe(n, F.count("*").alias("n"))
+        dealt.write.format("parquet").partitionBy("level").bucketBy(self.buckets, self.key).option("path", self.folder).option("compression", "zstd").mode("append").saveAsTable(self.table)
+        return n.get["n"]
+
+    def rows(self, level: int | None = None) -> DataFrame:
+        found = self.spark.table(self.table)
+        return found if level is None else found.where(F.col("level") == level)
 
-def reachable(edges: DataFrame, seeds: DataFrame, write, max_pages: int = -1, max_levels: int | None = None) -> DataFrame:
-    """(node, level) of all nodes reached from the seeds over (src, dst); `write(df, level)` stores a level and returns
-    all levels so far, read again. With max_pages, the first nodes by (level, node); with max_levels, none beyond.
-    Cyclic links end because seen nodes drop out."""
-    seen = write(seeds.select("node").distinct().select("node", F.lit(0).alias("level")), 0)
-    budget, level = max_pages, 0
-    while max_levels is None or level < max_levels:
-        now = seen.where(F.col("level") == level)
-        n = now.count()
-        if n == 0 or (budget >= 0 and n >= budget):
+    def unseen(self, rows: DataFrame) -> DataFrame:
+        return rows.join(self.rows().select(self.key), self.key, "left_anti")
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
+
+def reachable(edges: DataFrame, seeds: DataFrame, max_pages: int = -1, max_levels: int | None = None, ordered: bool = False) -> DataFrame:
+    """(node, level) of all nodes reached from the seeds over (src, dst); with max_levels none beyond. Cyclic links end
+    because seen nodes drop out. The result is a scan of what was written level by level, so it needs no lineage.
+
+    With a cap, or ordered, also rank, from 1: the order of discovery, in which the first max_pages nodes stay. Seeds go by
+    `place`; a node goes by the first of its parents that was discovered, and by the place of its link in it, so edges
+    have a column `place` too. Of links to one node with equal places any counts.
+    """
+    spark, capped = edges.sparkSession, max_pages >= 0
+    ordered = ordered or capped
+    seen = Seen(spark, "node")
+    none = F.lit(0).cast("long")
+    first = seeds.select("node", none.alias("parent"), F.col("place").cast("long").alias("place")) if ordered else seeds.select("node")
+    level, done, more = 0, 0, _met(first, ordered)
+    while True:
+        if ordered:
+            more = tables.ranked(more, ["parent", "place"], "rank", start=done).select("node", "rank")
+            if capped:
+                more = more.where(F.col("rank") <= max_pages)
+        n = seen.add(more, level)
+        done += n
+        if n == 0 or (capped and done >= max_pages) or (max_levels is not None and level >= max_levels):
             break
-        budget -= n if budget >= 0 else 0
+        now = seen.rows(level)
+        links = now.join(edges, now["node"] == edges["src"])
+        cols = [F.col("rank").alias("parent"), F.col("place").cast("long").alias("place")] if ordered else []
+        more = seen.unseen(_met(links.select(F.col("dst").alias("node"), *cols), ordered))
         level += 1
-        found = now.join(edges, now["node"] == edges["src"]).select(F.col("dst").alias("node"), F.lit(False).alias("known"))
-        # distinct and unseen in one exchange, with map-side combine
-        both = found.unionByName(seen.select("node", F.lit(True).alias("known"))).groupBy("node").agg(F.max("known").alias("known"))
-        seen = write(both.where("NOT known").select("node", F.lit(level).alias("level")), level)
-    return seen.orderBy("level", "node").limit(max_pages) if max_pages >= 0 else seen
+    found = seen.rows()
+    seen.drop()
+    names = "node long, rank long, level int" if ordered else "node long, level int"
+    return spark.read.schema(names.replace("node long", f"node {found.schema['node'].dataType.simpleString()}")).parquet(seen.folder).select("node", "level", *(["rank"] if ordered else []))
+
+
+def _met(rows: DataFrame, ordered: bool) -> DataFrame:
+    """Each node once, with its first discovery."""
+    if not ordered:
+        return rows.distinct()
+    return rows.groupBy("node").agg(F.min(F.struct("parent", "place")).alias("by")).select("node", "by.*")
 
 
 def pages_after_first(total: Column, page: Column) -> Column:

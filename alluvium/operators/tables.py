@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import LoadError
+from . import scratch
 
 STALE_MS = 24 * 3600 * 1000
 
@@ -196,3 +197,21 @@ def numbered(rows: DataFrame, by: list[str], name: str, start: Column | None = N
     nth = F.expr(f"row_number() OVER (PARTITION BY _bucket ORDER BY {', '.join(by)})")
     number = F.col("_before") + F.col("_nth") + (start if start is not None else F.lit(0))
     return dealt.withColumn("_nth", nth).join(F.broadcast(sizes), "_bucket").withColumn(name, number.cast("bigint")).drop("_bucket", "_nth", "_before")
+
+
+def ranked(rows: DataFrame, by: list[str], name: str, start: int = 0) -> DataFrame:
+    """Rows numbered after `start`, gapless, in the order of `by`: range-sorted and written once, then each sorted part goes on
+    from the rows of the parts before it, of which the driver gets one number a part. `by` must name rows uniquely for
+    reruns to agree."""
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    dealt = rows.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    placed = scratch.written(dealt.withColumns({"_part": F.spark_partition_id(), "_nth": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}), "ranked")
+    before, found = start, {}
+    for r in sorted(placed.groupBy("_part").count().collect()):
+        found[r["_part"]] = before
+        before += r["count"]
+    if not found:
+        return placed.withColumn(name, F.lit(0).cast("bigint")).drop("_part", "_nth")
+    offset = F.create_map(*[F.lit(x) for k, v in found.items() for x in (k, v)])[F.col("_part")]
+    return placed.withColumn(name, (offset + F.col("_nth") + 1).cast("bigint")).drop("_part", "_nth")

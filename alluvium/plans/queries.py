@@ -304,13 +304,20 @@ def frontier_persist(spark, sf_dir):
 def frontier_bfs(spark, sf_dir):
     c = _t(spark, sf_dir, "customer")
     edges = c.select(F.col("c_custkey").alias("src"), (F.col("c_custkey") * 2).alias("dst")).union(c.select("c_custkey", (F.col("c_custkey") * 3 % 101).alias("dst")))
-    folder = scratch.path(spark, "frontier")
-
-    def write(df: DataFrame, level: int) -> DataFrame:
-        df.select("node").write.parquet(f"{folder}/level={level}")
-        return spark.read.schema("node long, level int").parquet(folder)
-
-    return frontier.reachable(edges, spark.range(1, 2).withColumnRenamed("id", "node"), write).select("node")
+    return frontier.reachable(edges, spark.range(1, 2).withColumnRenamed("id", "node")).select("node")
+
+
+@_query("""WITH RECURSIVE e AS (SELECT c_custkey AS src, c_custkey * 2 AS dst, 0 AS place FROM customer UNION ALL SELECT c_custkey, c_custkey * 7 % 113, 1 FROM customer UNION ALL SELECT c_custkey, c_custkey + 1, 2 FROM customer),
+  r(node, level, path) AS (SELECT CAST(1 AS BIGINT), 0, CAST([] AS INTEGER[]) UNION ALL SELECT e.dst, level + 1, list_append(path, e.place) FROM r JOIN e ON e.src = r.node WHERE level < 7),
+  met AS (SELECT node, min(level) AS level, arg_min(path, (level, path)) AS path FROM r GROUP BY node)
+  SELECT node, level, rank FROM (SELECT node, level, row_number() OVER (ORDER BY level, path) AS rank FROM met) WHERE rank <= 100""")
+def frontier_capped(spark, sf_dir):
+    """The first 100 nodes of a walk by the order of discovery: a node's path of places from the seed orders it in its level."""
+    key = F.col("c_custkey")
+    links = F.inline(F.array(*[F.struct(dst.alias("dst"), F.lit(i).alias("place")) for i, dst in enumerate((key * 2, key * 7 % 113, key + 1))]))
+    edges = _t(spark, sf_dir, "customer").select(key.alias("src"), links)
+    seeds = spark.range(1, 2).select(F.col("id").alias("node"), F.lit(0).alias("place"))
+    return frontier.reachable(edges, seeds, max_pages=100, max_levels=7)
 
 
 @_query(f"SELECT page_id, canonical FROM ({_CANONICAL})")

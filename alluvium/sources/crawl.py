@@ -13,7 +13,7 @@ from ..config import Extract
 from ..errors import ExtractError
 from ..functions import select
 from ..functions import url as U
-from ..operators import store, tables
+from ..operators import frontier, store, tables
 from ..schemas import SNAPSHOT
 from . import http
 from .scrapers import scraper
@@ -35,8 +35,11 @@ def _written(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def _with_keys(requests: DataFrame) -> DataFrame:
-    return requests.select("url", "params", U.request_key(F.col("url"), F.col("params")).alias("key")).dropDuplicates(["key"])
+def _first_met(requests: DataFrame) -> DataFrame:
+    """key, url, params, parent, place: each request once, by its first discovery."""
+    keyed = requests.withColumn("key", U.request_key(F.col("url"), F.col("params")))
+    by = F.struct("parent", "place")
+    return keyed.groupBy("key").agg(F.min_by(F.struct("url", "params"), by).alias("request"), F.min(by).alias("by")).select("key", "request.*", "by.*")
 
 
 def _store(answers: DataFrame, e: Extract, model: str) -> None:
@@ -60,25 +63,25 @@ def _store(answers: DataFrame, e: Extract, model: str) -> None:
 def crawl(spark: SparkSession, e: Extract, fetcher: http.Fetcher | None = None, since: dt.datetime | None = None) -> dict[str, int]:
     """Fetches what the source's scraper asks for, at most e.max_pages answers (-1: all); returns counts.
 
-    Requests that succeeded since `since` (midnight UTC) aren't made again, seeds included. Under a cap the first
-    requests by key of a level are made. Answers of a level are written before anything follows from them, so a lost
-    executor repeats at most its own requests. Answers other than 2xx go to the failed table and lead nowhere.
+    Requests that succeeded since `since` (midnight UTC) aren't made again, seeds included. Requests have the order of their
+    discovery (their first parent's, then the link's place in it), and under a cap the first ones are made. Answers of a
+    level are written before anything follows from them, so a lost executor repeats at most its own requests. What was seen
+    lies in buckets by key and isn't shuffled again. Answers other than 2xx go to the failed table and lead nowhere.
     """
     plan = scraper(e.scraper.rsplit(".", 1)[-1], e.base_url)
     fetcher = fetcher or http.getter(e.timeout_seconds, e.follow_redirects, plan.ciphers)
     since = since or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, hour=0, minute=0, second=0, microsecond=0)
     work = f"{e.store}/crawl/{e.source}-{uuid.uuid4().hex}"
     done = store.visited(snapshots(spark, e.store, plan.model), e.source, F.lit(since))
-    seen = _written(done.select(U.request_key(F.col("request_url"), F.col("request_params")).alias("key")), f"{work}/seen")
-    asked = spark.createDataFrame([(e.base_url, p) for p in plan.seeds()], _REQUEST)
+    seen = frontier.Seen(spark, "key", f"{work}/seen")
+    seen.add(done.select(U.request_key(F.col("request_url"), F.col("request_params")).alias("key")), -1)
+    asked = spark.createDataFrame([(e.base_url, p, 0, i) for i, p in enumerate(plan.seeds())], f"{_REQUEST}, parent long, place int")
     counts = {"fetched": 0, "stored": 0, "failed": 0, "broken": 0}
     level = 0
     while True:
-        new = _with_keys(asked).join(seen, "key", "left_anti")
-        if e.max_pages >= 0:
-            new = new.orderBy("key").limit(e.max_pages - counts["fetched"])
-        now = _written(new, f"{work}/asked-{level}")
-        if now.isEmpty():
+        new = tables.ranked(seen.unseen(_first_met(asked)), ["parent", "place", "key"], "rank", counts["fetched"])
+        now = _written(new.where(F.col("rank") <= e.max_pages) if e.max_pages >= 0 else new, f"{work}/asked-{level}")
+        if seen.add(now.select("key"), level) == 0:
             break
         answers = _written(http.fetch_all(now, fetcher, dict(e.headers), e.concurrency, e.request_delay), f"{work}/answers-{level}")
         good = F.col("status_code").between(200, 299)
@@ -91,11 +94,12 @@ def crawl(spark: SparkSession, e: Extract, fetcher: http.Fetcher | None = None,
         n = routed.agg(F.count("*").alias("fetched"), F.count_if(F.col("target") == plan.model).alias("stored"), F.count_if(F.col("target") == "failed").alias("failed")).first()
         counts = {k: v + (n[k] if k in n else 0) for k, v in counts.items()}
         counts["broken"] += found.where("next IS NULL").count()
-        asked = found.select(F.explode("next").alias("n")).select("n.url", "n.params")
+        linked = found.join(now.select("key", F.col("rank").alias("parent")), "key").select("parent", F.posexplode("next").alias("place", "n"))
+        asked = linked.select("n.url", "n.params", "parent", "place")
         if plan.model == "html":
             asked = asked.withColumn("url", U.canonical(F.col("url"))).where(U.should_enqueue(F.col("url"), e.allowed_domains, e.ignore_patterns))
-        seen = seen.unionByName(now.select("key"))
         level += 1
+    seen.drop()
     fs, path = tables._folder(spark, work)
     fs.delete(path, True)
     log.info("extract[%s]: %s", e.source, counts)

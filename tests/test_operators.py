@@ -2,6 +2,7 @@
 
 import datetime as dt
 import pathlib
+import random
 from urllib.parse import urlsplit
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from alluvium import schemas
 from alluvium.functions import url as U
 from alluvium.functions.values import iso_timestamp
-from alluvium.operators import constraints, frontier, store
+from alluvium.operators import constraints, frontier, store, tables
 from alluvium.schemas import SNAPSHOT
 from alluvium.sources import base, parsers
 
@@ -64,21 +65,57 @@ def test_ignored_patterns_see_the_canonical_address(spark):
     assert got == [False, True, False, False, False]
 
 
-def test_deep_crawls_go_on(spark, tmp_path):
-    """A chain longer than any fixed number of levels; and one cut by max_levels."""
-    chain = spark.range(40).selectExpr("id AS src", "id + 1 AS dst")
-
-    def write(where):
-        def run(df, level):
-            df.select("node").coalesce(1).write.parquet(f"{tmp_path}/{where}/level={level}")
-            return spark.read.schema("node long, level int").parquet(f"{tmp_path}/{where}")
-
-        return run
-
-    seeds = spark.range(1).withColumnRenamed("id", "node")
-    assert frontier.reachable(chain, seeds, write("a")).count() == 41
-    assert frontier.reachable(chain, seeds, write("b"), max_levels=3).count() == 4
-    assert sorted(r["node"] for r in frontier.reachable(chain, seeds, write("c"), max_pages=5).collect()) == [0, 1, 2, 3, 4]
+def test_deep_crawls_go_on(spark):
+    """A chain longer than any fixed number of levels; and one cut by max_levels, one by a cap."""
+    chain = spark.range(40).selectExpr("id AS src", "id + 1 AS dst", "0 AS place")
+    seeds = spark.range(1).selectExpr("id AS node", "0 AS place")
+    assert frontier.reachable(chain, seeds).count() == 41
+    assert frontier.reachable(chain, seeds, max_levels=3).count() == 4
+    capped = frontier.reachable(chain, seeds, max_pages=5).collect()
+    assert sorted((r["node"], r["level"], r["rank"]) for r in capped) == [(i, i, i + 1) for i in range(5)]
+    assert frontier.reachable(chain, seeds, max_pages=0).count() == 0
+
+
+def test_the_order_of_discovery(spark):
+    """Against a queue: several seeds, links that repeat, cycles, and caps that cut a level."""
+    rng = random.Random(4)
+    links = {n: [rng.randrange(60) for _ in range(rng.randrange(5))] for n in range(60)}
+    edges = spark.createDataFrame([(n, d, i) for n, ds in links.items() for i, d in enumerate(ds)], "src long, dst long, place int")
+    seeds = [7, 3, 44]
+    for cap in (2, 3, 11, 30, 1000):
+        queue, seen = list(seeds), set(seeds)
+        for n in queue:
+            for d in links[n]:
+                if d not in seen:
+                    seen.add(d)
+                    queue.append(d)
+        got = frontier.reachable(edges, spark.createDataFrame(list(zip(seeds, range(3))), "node long, place int"), max_pages=cap).collect()
+        assert [r["node"] for r in sorted(got, key=lambda r: r["rank"])] == queue[:cap]
+        assert sorted(r["rank"] for r in got) == list(range(1, len(got) + 1))
+
+
+def test_what_was_seen_is_not_shuffled(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        seen = frontier.Seen(spark, "node")
+        assert seen.add(spark.range(500).selectExpr("id AS node"), 0) == 500 and seen.add(spark.range(500, 700).selectExpr("id AS node"), 1) == 200
+        left = seen.unseen(spark.range(650, 800).selectExpr("id AS node").distinct())
+        assert left.count() == 100 and seen.rows(1).count() == 200
+        shown = left._jdf.queryExecution().executedPlan().toString()
+        scan = shown[: shown.index("alluvium_seen")]
+        assert shown.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in shown and scan.rindex("FileScan") > scan.rindex("Exchange")
+        seen.drop()
+        assert not spark.catalog.tableExists(seen.table)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_ranks_are_gapless_and_in_order(spark):
+    rows = spark.range(1000).selectExpr("(id * 7919) % 1000 AS x", "id").repartition(5)
+    got = tables.ranked(rows, ["x", "id"], "rank", start=10).collect()
+    assert [r["rank"] for r in sorted(got, key=lambda r: (r["x"], r["id"]))] == list(range(11, 1011))
+    assert tables.ranked(rows.limit(0), ["x"], "rank").count() == 0
 
 
 def test_too_many_items_are_an_error(spark, monkeypatch):
