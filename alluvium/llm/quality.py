@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, keyed, materialize
@@ -137,13 +137,12 @@ def thresholds(feats: DataFrame) -> DataFrame:
 
     Documents that the base rules reject don't shape the thresholds.
     """
-    bins = [_bin(F.col(f)).alias(f) for f in FEATURES]
-    sketches = feats.where(~base_failed()).select("lang", "source", F.posexplode(F.array(*bins)).alias("feature", "bin")).groupBy("lang", "source", "feature", "bin").agg(F.count("*").alias("n"))
-    along = Window.partitionBy("lang", "source", "feature")
-    upto = sketches.withColumn("upto", F.sum("n").over(along.orderBy("bin"))).withColumn("all", F.sum("n").over(along))
-    least = lambda i, p: F.min(F.when((F.col("feature") == i) & (100 * F.col("upto") >= p * F.col("all")), F.col("bin")))
     ends = [f"{f}_{p}" for f in FEATURES for p in (25, 75)]
-    quartiles = upto.groupBy(F.col("lang").alias("s_lang"), F.col("source").alias("s_source")).agg(F.max("all").alias("n"), *[_value(least(i, p)).alias(f"{f}_{p}") for i, f in enumerate(FEATURES) for p in (25, 75)])
+    # a group's buffer in this aggregate is the sketch: bin -> documents, merged by adding
+    binned = feats.where(~base_failed()).select(F.col("lang").alias("s_lang"), F.col("source").alias("s_source"), *[_bin(F.col(f)).alias(f) for f in FEATURES])
+    both = {f: F.expr(f"percentile_disc(array(0.25D, 0.75D)) WITHIN GROUP (ORDER BY {f})").alias(f) for f in FEATURES}
+    sketched = binned.groupBy("s_lang", "s_source").agg(F.count("*").alias("n"), *both.values())
+    quartiles = sketched.select("s_lang", "s_source", "n", *[_value(F.col(f)[i]).alias(f"{f}_{p}") for f in FEATURES for i, p in enumerate((25, 75))])
     groups = materialize(feats.select("lang", "source").distinct().join(quartiles, F.col("lang").eqNullSafe(F.col("s_lang")) & F.col("source").eqNullSafe(F.col("s_source")), "left").drop("s_lang", "s_source"), "quality-sketches")
     own = groups.select("lang", "source", F.coalesce("n", F.lit(0)).cast("double").alias("n"), *ends)
     by_lang = _evenly(own.withColumn("w", F.col("n") / (F.col("n") + SHRINK)), ends, "lang")
