@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,34 +42,92 @@ def currency(c: Column) -> Column:
     return F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(DEFAULT_CURRENCY))
 
 
-# Forms beside ISO, tried in turn once the weekday is cut off; day/month is read only where month/day is no date.
-DAYS = ("MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "M/d/yyyy", "d/M/yyyy", "yyyy/M/d", "yyyyMMdd")
-CLOCKS = ("[ H:mm[:ss]][ z][ Z]", "[ h:mm[:ss] a]")
-# What a text looks like that one of these forms may read: others aren't tried, since a failed try is slow.
-_SHAPES = {"MMMM": "[A-Za-z]{4,}", "MMM": "[A-Za-z]{3}", "yyyyMMdd": r"\d{8,}", "yyyy": r"\d{4,}", "d": r"\d+", "M": r"\d+"}
-_CLOCK_SHAPES = (r"(?! .*(?i: [ap]m)$)(?: \d+:\d+(?::\d+)?)?(?: \S+){0,2}", r"(?: \d+:\d+(?::\d+)? (?i:[ap]m))?")
-
-
-def _shape(form: str) -> str:
-    return re.sub("yyyyMMdd|yyyy|MMMM|MMM|M|d", lambda m: _SHAPES[m[0]], form)
+# English months by their first three letters, weekdays, words without a meaning, zones by their names.
+ENGLISH = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+_MONTH = "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
+_WEEKDAY = "mon(?:day)?|tue(?:s|sday)?|wed(?:nesday)?|thu(?:r|rs|rsday)?|fri(?:day)?|sat(?:urday)?|sun(?:day)?"
+_ZONE = r"(?:utc|gmt|z)?\s*([+-]\d{1,2}:?\d{2}|[+-]\d{1,2})|(?:utc|gmt|z)"
+_CLOCK = r"(?<!\d)(\d{1,2})(?::(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?\s*([ap])?\.?(?:(?<=[ap]\.|[ap])m\b\.?)?|\s*([ap])\.?m\b\.?)"
+#: A number of two digits is a year of this century up to here, and of the last one beyond.
+LAST_SHORT_YEAR = 68
+
+
+def _bound(value: Column, make) -> Column:
+    """make(value), with the value worked out once."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
+def free_timestamp(c: Column) -> Column:
+    """A time in UTC without zone, from English text of words and numbers in any usual order; null where it names no day.
+
+    Each token gets a role: the first `h:mm[:ss[.f]] [am|pm]` or `h am|pm` is the clock, what follows it may be a zone
+    (Z, UTC, GMT, +hh[:mm]), a month's name is the month, weekdays and `of`, `at`, `on`, `the` mean nothing. Of the
+    numbers left, one of three or four digits is the year; with a named month the other is the day, and of two short ones
+    the second is the year. Three numbers are year, month, day if the first is the year; else month, day, year, or day, month, year
+    where the first is over 12. Eight digits are year, month, day, followed by four or six more or not. A day, a month and
+    a year must be there, and a word without a role makes the text none; nothing is filled in from today.
+    """
+    text = F.lower(F.trim(c))
+    compact = F.regexp_extract(text, r"^(\d{8})(?:t?(\d{4}(?:\d{2})?))?(?=z|[+-]|\s|$)", 0)
+    # digits without marks are given some, so they take the same way as the others
+    spread = F.regexp_replace(compact, r"^(\d{4})(\d{2})(\d{2})t?(?:(\d{2})(\d{2}))?(\d{2})?$", "$1 $2 $3 $4:$5:$6")
+    spread = F.regexp_replace(F.regexp_replace(spread, " ::$", ""), ":$", "")
+    whole = F.when(F.length(compact) > 0, F.concat(spread, F.lit(" "), F.substring(text, F.length(compact) + 1, F.length(text)))).otherwise(text)
+    return _bound(F.when(F.length(text) <= 100, F.regexp_replace(whole, r"(?<=\d)t(?=\d)", " ")), _by_tokens).cast("timestamp_ntz")
+
+
+def _by_tokens(t: Column) -> Column:
+    clock = F.regexp_extract(t, _CLOCK, 0)
+    # a zone only after a clock: elsewhere a sign is a mark between numbers
+    after = F.when(F.length(clock) > 0, F.substring(t, F.instr(t, clock) + F.length(clock), F.length(t))).otherwise(F.lit(""))
+    zone = F.trim(F.regexp_extract(after, rf"^\s*(?:{_ZONE})(?![a-z0-9:])", 0))
+    rest = F.when(F.length(clock) > 0, F.concat_ws(" ", F.substring(t, F.lit(1), F.instr(t, clock) - 1), F.substring(F.ltrim(after), F.length(zone) + 1, F.length(after)))).otherwise(t)
+    words = F.regexp_replace(rest, rf"\b(?:{_WEEKDAY}|of|at|on|the)\b\.?|(?<=\d)(?:st|nd|rd|th)\b", " ")
+    return _bound(F.struct(clock.alias("clock"), zone.alias("zone"), F.regexp_extract_all(words, F.lit(r"[a-z]+|\d+|[^\s\w.,/;-]|_"), F.lit(0)).alias("tokens")), _by_roles)
+
+
+def _by_roles(x: Column) -> Column:
+    tokens = x["tokens"]
+    named = F.filter(tokens, lambda w: w.rlike(f"^(?:{_MONTH})$"))
+    numbers = F.filter(tokens, lambda w: w.rlike("^[0-9]{1,4}$"))
+    odd = F.size(tokens) - F.size(named) - F.size(numbers)
+    n = lambda i: F.get(numbers, F.lit(i))
+    value = lambda w: w.try_cast("int")
+    long = lambda w: F.length(w) >= 3
+    year_of = lambda w: F.when(long(w), value(w)).otherwise(value(w) + F.when(value(w) <= LAST_SHORT_YEAR, 2000).otherwise(1900))
+    ymd = lambda y, m, d: F.struct(year_of(y).alias("y"), m.alias("m"), value(d).alias("d"))
+    month = F.array_position(F.array(*[F.lit(m) for m in ENGLISH]), F.substring(F.get(named, F.lit(0)), 1, 3)).cast("int")
+    with_name = F.when(long(n(0)), ymd(n(0), month, n(1))).otherwise(ymd(n(1), month, n(0)))
+    three = F.when(long(n(0)), ymd(n(0), value(n(1)), n(2))).when(value(n(0)) > 12, ymd(n(2), value(n(1)), n(0))).otherwise(ymd(n(2), value(n(0)), n(1)))
+    day = F.when(odd != 0, F.lit(None)).when((F.size(named) == 1) & (F.size(numbers) == 2), with_name).when((F.size(named) == 0) & (F.size(numbers) == 3), three)
+    g = lambda i: F.regexp_extract(x["clock"], _CLOCK, i)
+    half = F.coalesce(F.nullif(g(5), F.lit("")), F.nullif(g(6), F.lit("")))
+    read = F.coalesce(value(g(1)), F.lit(0))
+    hour = F.when(half.isNull(), read).when(read.between(1, 12), F.pmod(read, F.lit(12)) + F.when(half == "p", 12).otherwise(0))
+    second = F.concat(F.coalesce(F.nullif(g(3), F.lit("")), F.lit("0")), F.lit("."), F.substring(F.rpad(g(4), 6, "0"), 1, 6)).try_cast("decimal(8,6)")
+    made = lambda d: F.try_make_timestamp_ntz(d["y"], d["m"], d["d"], hour, F.coalesce(value(g(2)), F.lit(0)), second)
+    signed = F.regexp_extract(x["zone"], r"([+-])(\d{1,2}):?(\d{2})?$", 1)
+    minutes = F.coalesce(value(F.regexp_extract(x["zone"], r"([+-])(\d{1,2}):?(\d{2})?$", 2)), F.lit(0)) * 60 + F.coalesce(value(F.regexp_extract(x["zone"], r"([+-])(\d{1,2}):?(\d{2})?$", 3)), F.lit(0))
+    offset = F.when(signed == "-", -minutes).otherwise(minutes)
+    return _bound(day, made) - F.make_dt_interval(mins=offset)
 
 
 def iso_timestamp(c: Column) -> Column:
-    """A time in UTC without zone, from ISO or one of the forms above in English; null where it can't be read."""
-    plain = F.regexp_replace(F.trim(c), r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
-    plain = F.regexp_replace(plain, r"(?i)\b([ap])\.m\.$", "$1m")
-    # Bound by a lambda, so the text is made once and only for what isn't ISO.
-    read = lambda t: [F.when(t.rlike(f"^{_shape(d)}{s}$"), F.try_to_timestamp(t, F.lit(d + k))) for d in DAYS for k, s in zip(CLOCKS, _CLOCK_SHAPES)]
-    other = F.transform(F.array(plain), lambda t: F.when(t.rlike("[0-9]{4}"), F.coalesce(*read(t))))
-    return F.coalesce(F.try_to_timestamp(c), F.get(other, F.lit(0))).cast("timestamp_ntz")
+    """A time in UTC without zone, from ISO text or else from any that free_timestamp() reads; null where none does. A time
+    without a day is none, though Spark would read it as today's."""
+    iso = F.when(c.rlike(r"^\s*[0-9]{4}"), F.try_to_timestamp(c))
+    return F.coalesce(iso.cast("timestamp_ntz"), F.when(iso.isNull() & c.rlike("[0-9]"), free_timestamp(c)))
 
 
 def spanish_date(c: Column) -> Column:
-    """`Mes d, yyyy [hh:mm [a. m.|p. m.]]`; null where it names no date."""
-    p = r"(?iU)\b(" + "|".join(MONTHS) + r")\s+(\d{1,2}),\s+(\d{4})(?:\s+(\d{1,2}):(\d{2})(?:\s*([ap])\.?\s*m\.?)?)?"
-    g = lambda n: F.regexp_extract(c, p, n)
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(g(1)))
-    hour, half = F.coalesce(g(4).try_cast("int"), F.lit(0)), F.lower(g(6))
+    """`Mes d, yyyy [hh:mm [a. m.|p. m.]]`; null where it names no date. The text is searched once, and what was found cut up."""
+    found = F.regexp_extract(c, r"(?iU)\b(" + "|".join(MONTHS) + r")\s+(\d{1,2}),\s+(\d{4})(?:\s+(\d{1,2}):(\d{2})(?:\s*([ap])\.?\s*m\.?)?)?", 0)
+    return _bound(F.split(found, r"(?U)[\s,:.]+|(?<=\d)(?=[apAP])"), _spanish)
+
+
+def _spanish(part: Column) -> Column:
+    n = lambda i: F.get(part, F.lit(i)).try_cast("int")
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.get(part, F.lit(0)))).cast("int")
+    hour, half = F.coalesce(n(3), F.lit(0)), F.lower(F.substring(F.get(part, F.lit(5)), 1, 1))
     hour = F.when((half == "p") & (hour < 12), hour + 12).when((half == "a") & (hour == 12), F.lit(0)).otherwise(hour)
-    made = F.try_make_timestamp_ntz(g(3).try_cast("int"), month.cast("int"), g(2).try_cast("int"), hour, F.coalesce(g(5).try_cast("int"), F.lit(0)), F.lit(0))
-    return F.when(month > 0, made)
+    return F.when(month > 0, F.try_make_timestamp_ntz(n(2), month, n(1), hour, F.coalesce(n(4), F.lit(0)), F.lit(0)))

@@ -12,6 +12,7 @@ from ..functions import text as X
 from ..functions import url as U
 from ..functions import values as V
 from ..functions import variant as J
+from ..functions.bodies import packed, unpacked
 from ..functions.select import Pick, cleaned, pick
 from ..operators import constraints, evolution, frontier, gold, scratch, store, tables
 from . import parsing
@@ -443,6 +444,36 @@ def date_coalesce(spark, sf_dir):
     return _t(spark, sf_dir, "orders").select("o_orderkey", F.coalesce(V.iso_timestamp(first), V.iso_timestamp(second)).alias("published_at"))
 
 
+@_query("""SELECT o_orderkey, date_trunc('day', o_orderdate) + CASE o_orderkey % 6 WHEN 0 THEN INTERVAL 904 MINUTE WHEN 1 THEN INTERVAL 0 MINUTE WHEN 2 THEN INTERVAL 540 MINUTE WHEN 3 THEN INTERVAL 1112 MINUTE WHEN 4 THEN INTERVAL 0 MINUTE ELSE INTERVAL 545 MINUTE END AS published_at FROM orders""")
+def date_free_form(spark, sf_dir):
+    """Days and times in six forms that no pattern of a list has: words, ordinals, other orders, zones."""
+    d = F.col("o_orderdate")
+    form = lambda f: F.date_format(d, f)
+    day = F.dayofmonth(d)
+    ordinal = F.concat(day.cast("string"), F.when(day.isin(1, 21, 31), "st").when(day.isin(2, 22), "nd").when(day.isin(3, 23), "rd").otherwise("th"))
+    forms = [
+        F.concat(F.lit("the "), ordinal, F.lit(" of "), form("MMMM yyyy"), F.lit(" at 3:04pm")), form("yyyy-MMM-dd"), F.concat(form("EEEE, MMM. "), ordinal, form(", yyyy"), F.lit(" 9 a.m.")),
+        F.concat(F.lit("15:32 UTC-3 "), form("d MMM yyyy")), form("dd-MMM-yyyy"), F.concat(form("yyyyMMdd"), F.lit("T0905")),
+    ]
+    shown = F.element_at(F.array(*forms), (F.col("o_orderkey") % 6 + 1).cast("int"))
+    return _t(spark, sf_dir, "orders").select("o_orderkey", V.free_timestamp(shown).alias("published_at"))
+
+
+@_query("SELECT page_id, html AS body FROM pages WHERE page_id % 5 = 0")
+def bronze_packed_bodies(spark, sf_dir):
+    """Bodies stored as zstd frames in a BINARY column; only those of the rows that are asked for are decoded."""
+    pages = _t(spark, sf_dir, "pages").select("page_id", packed(F.col("html")).alias("body"))
+    return scratch.written(pages, "packed").withColumn("body", unpacked(F.col("body"))).where("page_id % 5 = 0")
+
+
+@_query("""SELECT p_partkey, '<div class="k">' || p_name || ' &lt;b&gt;<p id="' || CAST(p_partkey AS VARCHAR) || '">' || CASE WHEN p_partkey % 2 = 0 THEN '<img src="i">' ELSE '' END || p_brand || '</p></div>' AS clean FROM part""")
+def pages_clean_made(spark, sf_dir):
+    """Made pages lose comments, scripts, blocked tags with all in them, and blocked attributes."""
+    page = F.concat(F.lit("<!-- c --><div onclick='x()' class='k'>"), "p_name", F.lit(" &lt;b&gt;<script>s()</script><nav><a href='/'>n</a></nav><p id='"), F.col("p_partkey").cast("string"), F.lit("' style=\"a\">"),
+        F.when(F.col("p_partkey") % 2 == 0, "<img src=i>").otherwise(""), "p_brand", F.lit("<!-- " + "x" * 9 + " --></p><noscript>y</noscript></div>"))
+    return _t(spark, sf_dir, "part").select("p_partkey", cleaned(page, ("nav",), ("onclick", "style")).alias("clean"))
+
+
 @_query("SELECT l_orderkey, l_partkey, l_quantity FROM lineitem")
 def json_items_explode(spark, sf_dir):
     item = F.struct("l_partkey", "l_quantity")

@@ -6,11 +6,13 @@ import random
 from urllib.parse import urlsplit
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from alluvium import schemas
 from alluvium.functions import url as U
-from alluvium.functions.values import iso_timestamp
+from alluvium.functions.bodies import packed, unpacked
+from alluvium.functions.values import iso_timestamp, spanish_date
 from alluvium.operators import constraints, frontier, store, tables
 from alluvium.schemas import SNAPSHOT
 from alluvium.sources import base, parsers
@@ -133,6 +135,32 @@ def test_dates_of_every_form(spark):
         "May 5, 2024": "2024-05-05 00:00:00", "September 5, 2024 3:04 PM": "2024-09-05 15:04:00", "Sep 5, 2024 15:04:05": "2024-09-05 15:04:05", "5 Sep 2024": "2024-09-05 00:00:00",
         "05 September 2024 03:04:05 +0300": "2024-09-05 00:04:05", "1/2/2024": "2024-01-02 00:00:00", "13/2/2024": "2024-02-13 00:00:00", "2024/2/3 4:05": "2024-02-03 04:05:00",
         "20240203": "2024-02-03 00:00:00", "Mon, 05 Feb 2024 10:00:00 GMT": "2024-02-05 10:00:00", "2024-02-03T04:05:06Z": "2024-02-03 04:05:06", "Feb 30, 2024": None, "not a date": None, "": None,
+        "5th of September 2024 at 3:04pm": "2024-09-05 15:04:00", "2024-Sep-05": "2024-09-05 00:00:00", "05-Sep-24": "2024-09-05 00:00:00", "Sept. 5th, 2024 12 a.m.": "2024-09-05 00:00:00",
+        "Thursday, September 5th, 2024 3pm": "2024-09-05 15:00:00", "5.9.2024": "2024-05-09 00:00:00", "20240905T030405": "2024-09-05 03:04:05", "20240905T0304Z": "2024-09-05 03:04:00",
+        "2024 September 5": "2024-09-05 00:00:00", "10:20 5 Sep 2024": "2024-09-05 10:20:00", "10:20:30.250 UTC+2 5 Sep 2024": "2024-09-05 08:20:30.25", "1/2/99": "1999-01-02 00:00:00",
+        "2024-09-05 10:20:30,5 -03:00": "2024-09-05 13:20:30.5", "2024-09-05 1:00 p.m.": "2024-09-05 13:00:00", "05/06/2024 11:22 AM": "2024-05-06 11:22:00", "September 05 2024 15:04 z": "2024-09-05 15:04:00",
+        "Sep 2024": None, "10:20": None, "5 Foo 2024": None, "Sep 5 2024 13 pm": None, "Sep 5, 2024 at 25:00": None, "5 Sep 2024 & more": None, "1 2 3 4": None, "12 de mayo 2024": None, "5 Sep 2024 " + "x" * 200: None,
     }
     rows = spark.createDataFrame([(t,) for t in cases], "t string")
     assert {r[0]: r[1] for r in rows.select("t", iso_timestamp(F.col("t")).cast("string")).collect()} == cases
+
+
+def test_spanish_dates(spark):
+    cases = {
+        "Mayo 14, 2026 11:20 a. m.": "2026-05-14 11:20:00", "x Mayo 14, 2026": "2026-05-14 00:00:00", "mayo 1, 2026 12:05am y": "2026-05-01 00:05:00", "Enero 2, 2024 3:05 P.M.": "2024-01-02 15:05:00",
+        "Enero 2, 2024 13:05": "2024-01-02 13:05:00", "Febrero 31, 2024": None, "hola": None, "ENERO 2,\u00a02024": "2024-01-02 00:00:00", "": None, "Enero 2, 2024 25:00": None,
+    }
+    rows = spark.createDataFrame([(t,) for t in [*cases, None]], "t string")
+    assert {r[0]: r[1] for r in rows.select("t", spanish_date(F.col("t")).cast("string")).collect()} == cases | {None: None}
+
+
+def test_packed_bodies(spark):
+    long = "ñ " * 100_000
+    rows = spark.createDataFrame([(1, "a", None), (2, "", None), (3, None, None), (4, long, None), (5, None, b"no frame"), (6, None, zstandard.ZstdCompressor().compress(b"\xff\xfe"))], "id int, t string, b binary")
+    made = rows.select("id", F.coalesce("b", packed(F.col("t"))).alias("b"))
+    assert {r["id"]: r["t"] for r in made.select("id", unpacked(F.col("b")).alias("t")).collect()} == {1: "a", 2: "", 3: None, 4: long, 5: None, 6: None}
+    other = zstandard.ZstdCompressor(level=1, write_content_size=False).compress(b"streamed")
+    assert spark.createDataFrame([(other,)], "b binary").select(unpacked(F.col("b")).alias("t")).first()["t"] == "streamed"
+    assert zstandard.ZstdDecompressor().decompress(bytes(made.where("id = 1").first()["b"])) == b"a"
+    seen = made.withColumn("t", unpacked(F.col("b"))).where("id > 4")._jdf.queryExecution().optimizedPlan().toString()
+    assert seen.index("ArrowEvalPython") < seen.rindex("Filter")  # the filter lies below the decoding
