@@ -53,8 +53,9 @@ def _fs(path: str):
     return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
 
 
-def _encode(path: str, end_id: int, dtype: str, cuts: np.ndarray):
-    """(doc_id, text) -> (shard, doc_id, ids). Equal doc_ids that fill several shards are dealt to them in turn."""
+def _encode(path: str, end_id: int, dtype: str, cuts: np.ndarray, leading: int):
+    """(doc_id, text) -> (shard, doc_id, ids). Null doc_ids are dealt to the `leading` first shards in turn, and so are equal
+    ones that fill several shards to these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, turn, end = byte_level_words(path, dtype), 0, np.array([end_id], dtype).tobytes()
@@ -64,7 +65,8 @@ def _encode(path: str, end_id: int, dtype: str, cuts: np.ndarray):
             known = doc.is_valid().to_numpy(zero_copy_only=False)
             value = np.where(known, doc.fill_null(0).to_numpy(zero_copy_only=False), -(2**63))
             lo, hi = np.searchsorted(cuts, value, "left"), np.searchsorted(cuts, value, "right")
-            shard = np.where(known, lo + (np.arange(len(value)) + turn) % (hi - lo + 1), 0)
+            nth = np.arange(len(value)) + turn
+            shard = np.where(known, leading + lo + nth % (hi - lo + 1), nth % max(leading, 1))
             turn += len(value)
             yield pa.record_batch([pa.array(shard.astype(np.int32)), doc, pa.array(ids, pa.binary())], ["shard", "doc_id", "ids"])
 
@@ -112,7 +114,7 @@ def _write(folder: str, dtype: str):
 def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | None = None, end_id: int = 0) -> tuple[str, list[tuple]]:
     """Encode every text and write the shards; returns the folder and the manifest [(shard, name, n_docs, n_ids)].
 
-    A null or empty text gives the end id alone; null doc_ids come first; equal doc_ids stand next to each other, by
+    A null or empty text gives the end id alone; null doc_ids come first, over as many shards as their texts fill; equal doc_ids stand next to each other, by
     their ids; an empty table writes no shard; other columns are ignored; a text of any length is encoded whole. The manifest is one short row per shard of
     up to 64 MB of text, and the cut points between shards are quantiles of doc_id, at most MOST_SHARDS.
     """
@@ -120,15 +122,21 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
     path = tokenizer or default_path("byte_bpe_50k.json")
     folder = qualified(spark, folder or scratch_path(spark, "tokens"))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    total = ids.agg(F.sum(F.octet_length("text")).alias("n"), F.count("*").alias("rows")).first()
+    size = F.octet_length("text") + 1
+    none = F.col("doc_id").isNull()
+    total = ids.agg(F.sum(size).alias("n"), F.count("*").alias("rows"), F.coalesce(F.sum(F.when(none, size)), F.lit(0)).alias("null_n"), F.count_if(none).alias("nulls")).first()
     if not total["rows"]:
         return folder, []
-    shards = min(MOST_SHARDS, max(shuffle_partitions(spark), -(-int(total["n"] or 0) // SHARD_TEXT)))
-    found = ids.agg(F.percentile_approx("doc_id", F.lit([i / shards for i in range(1, shards)]), max(10_000, 10 * shards))).first()[0] if shards > 1 else []
+    shards = min(MOST_SHARDS, max(shuffle_partitions(spark), -(-int(total["n"]) // SHARD_TEXT)))
+    # null doc_ids get their share of the shards, one at least; known ones the others
+    some = total["nulls"] < total["rows"]
+    leading = min(max(1, round(shards * total["null_n"] / total["n"])), max(1, shards - some)) if total["nulls"] else 0
+    known = max(1, shards - leading) if some else 0
+    found = ids.agg(F.percentile_approx("doc_id", F.lit([i / known for i in range(1, known)]), max(10_000, 10 * known))).first()[0] if known > 1 else []
     cuts = np.array(found or [], np.int64)
     dtype = "<u2" if max(load(path).get_vocab_size(True), end_id + 1) <= 65536 else "<u4"
-    encoded = ids.mapInArrow(_encode(path, end_id, dtype, cuts), "shard int, doc_id long, ids binary")
-    dealt = encoded.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "doc_id", "ids")
+    encoded = ids.mapInArrow(_encode(path, end_id, dtype, cuts, leading), "shard int, doc_id long, ids binary")
+    dealt = encoded.repartitionById(leading + known, F.col("shard")).sortWithinPartitions("shard", "doc_id", "ids")
     made = dealt.mapInArrow(_write(folder, dtype), "shard int, name string, n_docs long, n_ids long")
     return folder, sorted(tuple(r) for r in made.collect())
 

@@ -46,3 +46,20 @@ def test_blocks_of_documents(spark):
     got = sorted(token_files.read_tokens(spark, folder, manifest, block=7).collect(), key=lambda r: r["start"])
     assert [r["doc_id"] for r in got] == sorted((r[0] for r in rows), key=lambda d: (d is not None, d))
     assert [r["start"] for r in got] == [sum(x["n_tokens"] for x in got[:k]) for k in range(len(got))]
+
+
+@pytest.mark.parametrize("known", [0, 0.1, 0.5, 1])
+def test_null_ids_fill_several_shards(spark, tmp_path, known):
+    rows = [(i if i < 2000 * known else None, f"text number {i % 50} " * 20) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    try:
+        folder, manifest = token_files.write_tokens(docs, str(tmp_path / "t"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    sizes = sorted(n for _, _, n, _ in manifest)
+    assert sum(sizes) == 2000 and len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    out = sorted(token_files.read_tokens(spark, folder, manifest).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in out] == sorted((r[0] for r in rows), key=lambda d: (d is not None, d or 0))
+    assert [r["start"] for r in out] == [0, *np.cumsum([r["n_tokens"] for r in out])[:-1]]
