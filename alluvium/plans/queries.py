@@ -15,7 +15,7 @@ from ..functions import variant as J
 from ..functions.bodies import packed, unpacked
 from ..functions.select import Pick, cleaned, pick
 from ..operators import constraints, evolution, frontier, gold, scratch, store, tables
-from . import parsing
+from . import crawling, parsing
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -471,7 +471,7 @@ def pages_clean_made(spark, sf_dir):
     """Made pages lose comments, scripts, blocked tags with all in them, and blocked attributes."""
     page = F.concat(F.lit("<!-- c --><div onclick='x()' class='k'>"), "p_name", F.lit(" &lt;b&gt;<script>s()</script><nav><a href='/'>n</a></nav><p id='"), F.col("p_partkey").cast("string"), F.lit("' style=\"a\">"),
         F.when(F.col("p_partkey") % 2 == 0, "<img src=i>").otherwise(""), "p_brand", F.lit("<!-- " + "x" * 9 + " --></p><noscript>y</noscript></div>"))
-    return _t(spark, sf_dir, "part").select("p_partkey", cleaned(page, ("nav",), ("onclick", "style")).alias("clean"))
+    return _t(spark, sf_dir, "part").select("p_partkey", cleaned(page, ("nav", "script", "nav"), ("onclick", "style")).alias("clean"))
 
 
 @_query("SELECT l_orderkey, l_partkey, l_quantity FROM lineitem")
@@ -507,8 +507,8 @@ def run_counters(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    return _QUERIES | parsing.queries()
+    return _QUERIES | crawling.queries() | parsing.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return _SQL | parsing.oracle_sql()
+    return _SQL | crawling.oracle_sql(_SQL["gold_fact_price"]) | parsing.oracle_sql()
