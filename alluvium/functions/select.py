@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -29,6 +29,7 @@ class Node:
     attrs: dict[str, str] = field(default_factory=dict)
     parent: Node | None = None
     children: list = field(default_factory=list)  # nodes and strings
+    place: int = -1  # in document order
 
     def walk(self) -> Iterator[Node | str]:
         """All that is below, in document order; no recursion, so depth has no limit."""
@@ -117,36 +118,95 @@ def compile_selector(selector: str) -> list[list[list[tuple]]]:
     return chains
 
 
-def _fits(node: Node, tests: list[tuple]) -> bool:
-    for kind, name, *value in tests:
-        if kind == "tag":
-            ok = node.tag == name
-        elif kind == "class":
-            ok = name in node.attrs.get("class", "").split()
-        elif kind == "id":
-            ok = node.attrs.get("id") == name
-        else:
-            have, want = node.attrs.get(name), value[0]
-            ok = have is not None and (kind == "has" or (kind == "=" and have == want) or (bool(want) and ((kind == "*=" and want in have) or (kind == "$=" and have.endswith(want)))))
-        if not ok:
+Test = Callable[[Node], bool]
+
+
+def _test(kind: str, name: str, value: str | None = None) -> Test:
+    if kind == "tag":
+        return lambda n: n.tag == name
+    if kind == "class":
+        return lambda n: name in n.attrs.get("class", "").split()
+    if kind == "id":
+        return lambda n: n.attrs.get("id") == name
+    if kind == "has":
+        return lambda n: name in n.attrs
+    if kind == "=":
+        return lambda n: n.attrs.get(name) == value
+    if not value:
+        return lambda n: False
+    return (lambda n: value in n.attrs.get(name, "")) if kind == "*=" else (lambda n: n.attrs.get(name, "").endswith(value))
+
+
+def _compound(tests: list[tuple]) -> Test:
+    made = [_test(*t) for t in tests]
+    if not made:
+        return lambda n: True
+    if len(made) == 1:
+        return made[0]
+    if len(made) == 2:
+        one, two = made
+        return lambda n: one(n) and two(n)
+    return lambda n: all(t(n) for t in made)
+
+
+def _chain(compounds: list[list[tuple]], tag_known: bool) -> Test:
+    """Whether a node ends a chain of compounds, the outer ones met by some of what it lies in."""
+    last = [t for t in compounds[-1] if not (tag_known and t[0] == "tag")]
+    own, outer = _compound(last), [_compound(c) for c in compounds[-2::-1]]
+    if not outer:
+        return own
+
+    def fits(node: Node) -> bool:
+        if not own(node):
             return False
-    return True
+        left, up = 0, node.parent
+        while left < len(outer) and up is not None:
+            left += outer[left](up)
+            up = up.parent
+        return left == len(outer)
+
+    return fits
+
+
+class Page:
+    """A parsed page whose nodes are listed in document order once, in all and by tag."""
+
+    def __init__(self, html: str | None):
+        self.root = tree(html)
+        self.nodes = [n for n in self.root.walk() if isinstance(n, Node)]
+        self.by_tag: dict[str, list[Node]] = {}
+        for i, n in enumerate(self.nodes):
+            n.place = i
+            self.by_tag.setdefault(n.tag, []).append(n)
+
+    def select(self, selector: str, within: Node | None = None) -> Iterator[Node]:
+        """The nodes that match, in document order; those below `within` if it is given. Where a selector's last compounds
+        all name a tag, only nodes of these tags are looked at."""
+        tests, tags = _plan(selector)
+        if tags is None:
+            found: Iterable[Node] = self.nodes
+        elif len(tags) == 1:
+            found = self.by_tag.get(tags[0], ())
+        else:
+            found = sorted((n for t in tags for n in self.by_tag.get(t, ())), key=lambda n: n.place)
+        met = filter(tests[0], found) if len(tests) == 1 else (n for n in found if any(t(n) for t in tests))
+        return met if within is None else (n for n in met if _below(n, within))
 
 
-def _chain_fits(node: Node, chain: list[list[tuple]]) -> bool:
-    if not _fits(node, chain[-1]):
-        return False
-    left, up = len(chain) - 2, node.parent
-    while left >= 0 and up is not None:
-        if _fits(up, chain[left]):
-            left -= 1
+def _below(node: Node, top: Node) -> bool:
+    up = node.parent
+    while up is not None and up is not top:
         up = up.parent
-    return left < 0
+    return up is not None
 
 
-def select(nodes: Iterable[Node | str], chains: list[list[list[tuple]]]) -> Iterator[Node]:
-    """Those of the nodes that match, in their order."""
-    return (n for n in nodes if isinstance(n, Node) and any(_chain_fits(n, c) for c in chains))
+@functools.cache
+def _plan(selector: str) -> tuple[list[Test], tuple[str, ...] | None]:
+    """A test for each alternative, and the tags that matches can have; None if they may have any. Of a single tag the test
+    doesn't ask again."""
+    chains = compile_selector(selector)
+    tags = list(dict.fromkeys(next((t[1] for t in chain[-1] if t[0] == "tag"), None) for chain in chains))
+    return [_chain(c, tags != [None] and len(tags) == 1) for c in chains], None if None in tags else tuple(tags)
 
 
 @dataclass(frozen=True)
@@ -165,13 +225,16 @@ class Pick:
 
 
 def read(html: str | None, picks: dict[str, Pick]) -> dict[str, list[str]]:
-    root = tree(html)
-    below = [n for n in root.walk() if isinstance(n, Node)]  # walked once, not once a pick
+    page = Page(html)
     out = {}
     for name, p in picks.items():
-        start = next(select(below, compile_selector(p.within)), None) if p.within else root
-        inside = below if start is root else () if start is None else start.walk()
-        nodes = iter(()) if start is None else select(inside, compile_selector(p.selector)) if p.selector else iter((start,))
+        start = next(page.select(p.within), None) if p.within else page.root
+        if start is None:
+            nodes: Iterator[Node] = iter(())
+        elif p.selector:
+            nodes = page.select(p.selector, None if start is page.root else start)
+        else:
+            nodes = iter((start,))
         if p.first:
             nodes = iter([n for n in [next(nodes, None)] if n is not None])
         if p.attr:
