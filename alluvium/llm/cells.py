@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import apart, shuffle_partitions
 
 CELL = 1024
-BUFFER, BUFFER_BYTES = 1 << 16, 1 << 25
+BUFFER, BUFFER_BYTES = 1 << 15, 1 << 24
 #: Runs of more rows are searched from point to point, smaller ones pair by pair.
 SMALL = 48
 
@@ -80,6 +80,8 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarr
         table = pa.Table.from_batches(held).combine_chunks()
         if table.num_rows:
             yield table, number(table)
+    # a worker that waits for its next task keeps no buffers of this one
+    pa.default_memory_pool().release_unused()
 
 
 def meeting(run: np.ndarray, chunk: np.ndarray, part: np.ndarray, block: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:

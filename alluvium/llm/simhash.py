@@ -53,6 +53,8 @@ SAMPLE = 4000
 FREQUENT = 200_000
 #: The most shingles in a chunk of a candidate group, and the fewest that one is cut down to; a part holds two chunks.
 CHUNK, FINE = 1 << 20, 1 << 14
+#: Shingles that are held against one set at a time.
+MEMBERS = 1 << 17
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -242,6 +244,7 @@ def _sketches(scheme: Scheme, often: np.ndarray, times: np.ndarray):
             parts = [pa.array(np.ascontiguousarray(longs[:, k])) for k in range(scheme.width)]
             columns = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), *parts, pa.array(cells, pa.binary())]
             yield pa.record_batch(columns, ["doc_id", "text_key", "node", "size", *_bits(scheme), "cells"])
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -313,6 +316,7 @@ def _sets(scheme: Scheme, *others: str):
                 ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 members = pa.ListArray.from_arrays(pa.array(ends), _signed(np.concatenate([np.zeros(0, np.uint64), *sets])))
                 yield pa.record_batch([*part.columns[2:], part.column(1), members], [*others, "node", "members"])
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -327,13 +331,19 @@ def _alike(size: np.ndarray, longs: np.ndarray, members: pa.ListArray, distance:
     def alike(i: int, rest: np.ndarray) -> np.ndarray:
         out = near(np.full(len(rest), i), rest)
         at = np.flatnonzero(out)
-        if len(at):
-            j, own = rest[at], ids[first[i] : end[i]]
+        held[ids[first[i] : end[i]]] = True
+        # so many sets at a time as hold MEMBERS shingles, one at least
+        upto = np.cumsum(size[rest[at]])
+        begin = 0
+        while begin < len(at):
+            stop = max(begin + 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + MEMBERS, "right")))
+            j = rest[at[begin:stop]]
             starts = np.cumsum(size[j]) - size[j]
-            held[own] = True
-            common = np.add.reduceat(held[ids[np.arange(size[j].sum()) + np.repeat(first[j] - starts, size[j])]].astype(np.int64), starts)
-            held[own] = False
-            out[at] = 5 * common >= 4 * (size[i] + size[j] - common)
+            where = np.arange(size[j].sum()) + np.repeat(first[j] - starts, size[j])
+            common = np.add.reduceat(held[ids[where]], starts, dtype=np.int64)
+            out[at[begin:stop]] = 5 * common >= 4 * (size[i] + size[j] - common)
+            begin = stop
+        held[ids[first[i] : end[i]]] = False
         return out
 
     return alike
