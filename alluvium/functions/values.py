@@ -67,56 +67,74 @@ def free_timestamp(c: Column) -> Column:
     where the first is over 12. Eight digits are year, month, day, followed by four or six more or not. A day, a month and
     a year must be there, and a word without a role makes the text none; nothing is filled in from today.
     """
-    text = F.lower(F.trim(c))
-    compact = F.regexp_extract(text, r"^(\d{8})(?:t?(\d{4}(?:\d{2})?))?(?=z|[+-]|\s|$)", 0)
-    # digits without marks are given some, so they take the same way as the others
-    spread = F.regexp_replace(compact, r"^(\d{4})(\d{2})(\d{2})t?(?:(\d{2})(\d{2}))?(\d{2})?$", "$1 $2 $3 $4:$5:$6")
-    spread = F.regexp_replace(F.regexp_replace(spread, " ::$", ""), ":$", "")
-    whole = F.when(F.length(compact) > 0, F.concat(spread, F.lit(" "), F.substring(text, F.length(compact) + 1, F.length(text)))).otherwise(text)
-    return _bound(F.when(F.length(text) <= 100, F.regexp_replace(whole, r"(?<=\d)t(?=\d)", " ")), _by_tokens).cast("timestamp_ntz")
-
-
-def _by_tokens(t: Column) -> Column:
-    clock = F.regexp_extract(t, _CLOCK, 0)
-    # a zone only after a clock: elsewhere a sign is a mark between numbers
-    after = F.when(F.length(clock) > 0, F.substring(t, F.instr(t, clock) + F.length(clock), F.length(t))).otherwise(F.lit(""))
-    zone = F.trim(F.regexp_extract(after, rf"^\s*(?:{_ZONE})(?![a-z0-9:])", 0))
-    rest = F.when(F.length(clock) > 0, F.concat_ws(" ", F.substring(t, F.lit(1), F.instr(t, clock) - 1), F.substring(F.ltrim(after), F.length(zone) + 1, F.length(after)))).otherwise(t)
-    words = F.regexp_replace(rest, rf"\b(?:{_WEEKDAY}|of|at|on|the)\b\.?|(?<=\d)(?:st|nd|rd|th)\b", " ")
-    return _bound(F.struct(clock.alias("clock"), zone.alias("zone"), F.regexp_extract_all(words, F.lit(r"[a-z]+|\d+|[^\s\w.,/;-]|_"), F.lit(0)).alias("tokens")), _by_roles)
-
-
-def _by_roles(x: Column) -> Column:
-    tokens = x["tokens"]
-    named = F.filter(tokens, lambda w: w.rlike(f"^(?:{_MONTH})$"))
-    numbers = F.filter(tokens, lambda w: w.rlike("^[0-9]{1,4}$"))
-    odd = F.size(tokens) - F.size(named) - F.size(numbers)
+    return _bound(F.lower(F.trim(c)), lambda t: F.when(F.length(t) <= 100, _bound(_spread(t), _with_clock))).cast("timestamp_ntz")
+
+
+def _spread(t: Column) -> Column:
+    """Digits without marks are given some, so they take the same way as the others."""
+    compact = F.regexp_replace(t, r"^(\d{4})(\d{2})(\d{2})(?:t?(\d{2})(\d{2})(\d{2})?)?(?=z|[+-]|\s|$)", "$1 $2 $3 $4:$5:$6 ")
+    tidy = F.regexp_replace(F.regexp_replace(compact, "^(\\d{4} \\d\\d \\d\\d) :: ", "$1 "), "^(\\d{4} \\d\\d \\d\\d \\d\\d:\\d\\d): ", "$1 ")
+    return F.regexp_replace(tidy, r"(?<=\d)t(?=\d)", " ")
+
+
+def _with_clock(t: Column) -> Column:
+    def zoned(clock: Column) -> Column:
+        # a zone only after a clock: elsewhere a sign is a mark between numbers
+        after = F.when(F.length(clock) > 0, F.ltrim(F.substring(t, F.instr(t, clock) + F.length(clock), F.length(t)))).otherwise(F.lit(""))
+        return _bound(after, lambda rest: _bound(F.regexp_extract(rest, rf"^(?:{_ZONE})(?![a-z0-9:])", 0), lambda zone: tokens(clock, rest, zone)))
+
+    def tokens(clock: Column, after: Column, zone: Column) -> Column:
+        rest = F.when(F.length(clock) > 0, F.concat_ws(" ", F.substring(t, F.lit(1), F.instr(t, clock) - 1), F.substring(after, F.length(zone) + 1, F.length(after)))).otherwise(t)
+        words = F.regexp_replace(rest, rf"\b(?:{_WEEKDAY}|of|at|on|the)\b\.?|(?<=\d)(?:st|nd|rd|th)\b", " ")
+        found = F.regexp_extract_all(words, F.lit(r"[a-z]+|\d+|[^\s\w.,/;-]|_"), F.lit(0))
+        return _bound(found, lambda all_of: _bound(F.filter(all_of, lambda w: w.rlike("^[0-9]{1,4}$")), lambda numbers: roles(clock, zone, all_of, numbers)))
+
+    def roles(clock: Column, zone: Column, all_of: Column, numbers: Column) -> Column:
+        names = F.filter(all_of, lambda w: w.rlike(f"^(?:{_MONTH})$"))
+        return _bound(names, lambda named: _day(all_of, named, numbers) + _time(clock, zone))
+
+    return _bound(F.regexp_extract(t, _CLOCK, 0), zoned)
+
+
+def _int(w: Column) -> Column:
+    return w.try_cast("int")
+
+
+def _day(tokens: Column, named: Column, numbers: Column) -> Column:
+    """The day that a month's names and the numbers give, null unless every token has a role."""
     n = lambda i: F.get(numbers, F.lit(i))
-    value = lambda w: w.try_cast("int")
     long = lambda w: F.length(w) >= 3
-    year_of = lambda w: F.when(long(w), value(w)).otherwise(value(w) + F.when(value(w) <= LAST_SHORT_YEAR, 2000).otherwise(1900))
-    ymd = lambda y, m, d: F.struct(year_of(y).alias("y"), m.alias("m"), value(d).alias("d"))
+    year = lambda w: F.when(long(w), _int(w)).otherwise(_int(w) + F.when(_int(w) <= LAST_SHORT_YEAR, 2000).otherwise(1900))
+    day = lambda y, m, d: F.try_make_timestamp_ntz(year(y), m, _int(d), F.lit(0), F.lit(0), F.lit(0))
     month = F.array_position(F.array(*[F.lit(m) for m in ENGLISH]), F.substring(F.get(named, F.lit(0)), 1, 3)).cast("int")
-    with_name = F.when(long(n(0)), ymd(n(0), month, n(1))).otherwise(ymd(n(1), month, n(0)))
-    three = F.when(long(n(0)), ymd(n(0), value(n(1)), n(2))).when(value(n(0)) > 12, ymd(n(2), value(n(1)), n(0))).otherwise(ymd(n(2), value(n(0)), n(1)))
-    day = F.when(odd != 0, F.lit(None)).when((F.size(named) == 1) & (F.size(numbers) == 2), with_name).when((F.size(named) == 0) & (F.size(numbers) == 3), three)
-    g = lambda i: F.regexp_extract(x["clock"], _CLOCK, i)
-    half = F.coalesce(F.nullif(g(5), F.lit("")), F.nullif(g(6), F.lit("")))
-    read = F.coalesce(value(g(1)), F.lit(0))
-    hour = F.when(half.isNull(), read).when(read.between(1, 12), F.pmod(read, F.lit(12)) + F.when(half == "p", 12).otherwise(0))
+    with_name = F.when(long(n(0)), day(n(0), month, n(1))).otherwise(day(n(1), month, n(0)))
+    three = F.when(long(n(0)), day(n(0), _int(n(1)), n(2))).when(_int(n(0)) > 12, day(n(2), _int(n(1)), n(0))).otherwise(day(n(2), _int(n(0)), n(1)))
+    whole = F.size(tokens) == F.size(named) + F.size(numbers)
+    return F.when(whole & (F.size(named) == 1) & (F.size(numbers) == 2), with_name).when(whole & (F.size(named) == 0) & (F.size(numbers) == 3), three)
+
+
+def _time(clock: Column, zone: Column) -> Column:
+    """The clock as time since midnight in UTC; null where it is none."""
+    g = lambda i: F.regexp_extract(clock, _CLOCK, i)
+    half = F.concat(g(5), g(6))
+    read, minute = F.coalesce(_int(g(1)), F.lit(0)), F.coalesce(_int(g(2)), F.lit(0))
+    hour = F.when(half == "", F.when(read < 24, read)).when(read.between(1, 12), F.pmod(read, F.lit(12)) + F.when(half == "p", 12).otherwise(0))
     second = F.concat(F.coalesce(F.nullif(g(3), F.lit("")), F.lit("0")), F.lit("."), F.substring(F.rpad(g(4), 6, "0"), 1, 6)).try_cast("decimal(8,6)")
-    made = lambda d: F.try_make_timestamp_ntz(d["y"], d["m"], d["d"], hour, F.coalesce(value(g(2)), F.lit(0)), second)
-    signed = F.regexp_extract(x["zone"], r"([+-])(\d{1,2}):?(\d{2})?$", 1)
-    minutes = F.coalesce(value(F.regexp_extract(x["zone"], r"([+-])(\d{1,2}):?(\d{2})?$", 2)), F.lit(0)) * 60 + F.coalesce(value(F.regexp_extract(x["zone"], r"([+-])(\d{1,2}):?(\d{2})?$", 3)), F.lit(0))
-    offset = F.when(signed == "-", -minutes).otherwise(minutes)
-    return _bound(day, made) - F.make_dt_interval(mins=offset)
+    z = lambda i: F.regexp_extract(zone, r"([+-])(\d{1,2}):?(\d{2})?$", i)
+    offset = F.coalesce(_int(z(2)), F.lit(0)) * 60 + F.coalesce(_int(z(3)), F.lit(0))
+    own = F.make_dt_interval(hours=hour, mins=F.when(minute < 60, minute), secs=F.when(second < 60, second))
+    return F.when(F.length(clock) == 0, F.make_dt_interval()).otherwise(own - F.make_dt_interval(mins=F.when(z(1) == "-", -offset).otherwise(offset)))
 
 
 def iso_timestamp(c: Column) -> Column:
     """A time in UTC without zone, from ISO text or else from any that free_timestamp() reads; null where none does. A time
     without a day is none, though Spark would read it as today's."""
-    iso = F.when(c.rlike(r"^\s*[0-9]{4}"), F.try_to_timestamp(c))
-    return F.coalesce(iso.cast("timestamp_ntz"), F.when(iso.isNull() & c.rlike("[0-9]"), free_timestamp(c)))
+
+    def read(t: Column) -> Column:
+        iso = F.when(t.rlike(r"^\s*[0-9]{4}"), F.try_to_timestamp(t)).cast("timestamp_ntz")
+        return F.coalesce(iso, F.when(t.rlike("[0-9]"), free_timestamp(t)))
+
+    return _bound(c, read)
 
 
 def spanish_date(c: Column) -> Column:

@@ -43,8 +43,8 @@ FACTS = "source string, sku string, id long, price decimal(12,2), us long"
 class PriceFacts(StatefulProcessor):
     """Per product: rows that wait for their time, in `waiting`, and the last price, in `last`.
 
-    A row waits until the watermark reaches its time, when no earlier one can come any more; a timer at its time wakes the
-    product, whose due rows are then gone through in order. So arrival order doesn't matter within the bound on lateness.
+    A row waits until the watermark reaches its time, when no earlier one can come any more; a timer at the first one's time
+    wakes the product, whose due rows are then gone through in order. So arrival order doesn't matter within the bound on lateness.
     After forget_ms of event time without a row a product's last price is dropped, by a timer too."""
 
     def __init__(self, forget_ms: int | None):
@@ -60,8 +60,7 @@ class PriceFacts(StatefulProcessor):
         fresh = [(int(us), int(i), p) for f in rows for us, i, p in zip(f["us"], f["id"], f["price"]) if us > upto]
         if fresh:
             self.waiting.appendList(fresh)
-            for ms in {-(-us // 1000) for us, _, _ in fresh}:
-                self.handle.registerTimer(ms)
+            self._wake_at(fresh)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -74,7 +73,11 @@ class PriceFacts(StatefulProcessor):
                 self.last.clear()
             return
         later = [r for r in held if r[0] > upto]
-        self.waiting.put(later) if later else self.waiting.clear()
+        if later:
+            self.waiting.put(later)
+            self._wake_at(later)
+        else:
+            self.waiting.clear()
         price, out, told = (last[0] if last else None), [], None
         for us, i, p in due:
             if p != price and us != told:  # the first change at a time counts, a later one only moves the price
@@ -87,6 +90,10 @@ class PriceFacts(StatefulProcessor):
         if out:
             yield pd.DataFrame(out, columns=["source", "sku", "id", "price", "us"])
 
+    def _wake_at(self, rows: list[tuple]) -> None:
+        """One timer, at the first of the rows' times: what else is due by then goes with it, and the rest gets the next."""
+        self.handle.registerTimer(-(-min(us for us, _, _ in rows) // 1000))
+
     def close(self) -> None:
         pass
 
