@@ -102,15 +102,20 @@ def _int(w: Column) -> Column:
 
 def _day(tokens: Column, named: Column, numbers: Column) -> Column:
     """The day that a month's names and the numbers give, null unless every token has a role."""
-    n = lambda i: F.get(numbers, F.lit(i))
-    long = lambda w: F.length(w) >= 3
-    year = lambda w: F.when(long(w), _int(w)).otherwise(_int(w) + F.when(_int(w) <= LAST_SHORT_YEAR, 2000).otherwise(1900))
-    day = lambda y, m, d: F.try_make_timestamp_ntz(year(y), m, _int(d), F.lit(0), F.lit(0), F.lit(0))
-    month = F.array_position(F.array(*[F.lit(m) for m in ENGLISH]), F.substring(F.get(named, F.lit(0)), 1, 3)).cast("int")
-    with_name = F.when(long(n(0)), day(n(0), month, n(1))).otherwise(day(n(1), month, n(0)))
-    three = F.when(long(n(0)), day(n(0), _int(n(1)), n(2))).when(_int(n(0)) > 12, day(n(2), _int(n(1)), n(0))).otherwise(day(n(2), _int(n(0)), n(1)))
+    n = [F.get(numbers, F.lit(i)) for i in range(3)]
+    month = F.array_position(F.array(*[F.lit(m) for m in ENGLISH]), F.substring(F.get(named, F.lit(0)), 1, 3)).cast("string")
+    year_first = F.length(n[0]) >= 3
+    with_name = F.when(year_first, F.array(n[0], month, n[1])).otherwise(F.array(n[1], month, n[0]))
+    three = F.when(year_first, numbers).when(_int(n[0]) > 12, F.array(n[2], n[1], n[0])).otherwise(F.array(n[2], n[0], n[1]))
     whole = F.size(tokens) == F.size(named) + F.size(numbers)
-    return F.when(whole & (F.size(named) == 1) & (F.size(numbers) == 2), with_name).when(whole & (F.size(named) == 0) & (F.size(numbers) == 3), three)
+    parts = F.when(whole & (F.size(named) == 1) & (F.size(numbers) == 2), with_name).when(whole & (F.size(named) == 0) & (F.size(numbers) == 3), three)
+
+    def day(p: Column) -> Column:
+        y, m, d = (F.get(p, F.lit(i)) for i in range(3))
+        short = F.when(F.length(y) < 3, F.when(_int(y) <= LAST_SHORT_YEAR, 2000).otherwise(1900)).otherwise(0)
+        return F.try_make_timestamp_ntz(_int(y) + short, _int(m), _int(d), F.lit(0), F.lit(0), F.lit(0))
+
+    return _bound(parts, day)
 
 
 def _time(clock: Column, zone: Column) -> Column:

@@ -20,11 +20,13 @@ class Seen:
         self.table = f"alluvium_seen_{uuid.uuid4().hex}"
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
-    def add(self, rows: DataFrame, level: int) -> int:
-        """Adds the rows, which have the key and further columns, as a level; returns their number, counted on the way."""
+    def add(self, rows: DataFrame, level: int, dealt: bool = False) -> int:
+        """Adds the rows, which have the key and further columns, as a level; returns their number, counted on the way. Rows
+        that were just grouped by the key are dealt to the buckets already, so a task writes its own ones."""
         n = Observation()
-        dealt = rows.withColumn("level", F.lit(level)).repartition(self.buckets, self.key).observe(n, F.count("*").alias("n"))
-        dealt.write.format("parquet").partitionBy("level").bucketBy(self.buckets, self.key).option("path", self.folder).option("compression", "zstd").mode("append").saveAsTable(self.table)
+        rows = rows.withColumn("level", F.lit(level))
+        rows = (rows if dealt else rows.repartition(self.buckets, self.key)).observe(n, F.count("*").alias("n"))
+        rows.write.format("parquet").partitionBy("level").bucketBy(self.buckets, self.key).option("path", self.folder).option("compression", "zstd").mode("append").saveAsTable(self.table)
         return n.get["n"]
 
     def rows(self, level: int | None = None) -> DataFrame:
@@ -57,7 +59,7 @@ def reachable(edges: DataFrame, seeds: DataFrame, max_pages: int = -1, max_level
             more = tables.ranked(more, ["parent", "place"], "rank", start=done).select("node", "rank")
             if capped:
                 more = more.where(F.col("rank") <= max_pages)
-        n = seen.add(more, level)
+        n = seen.add(more, level, dealt=not ordered)
         done += n
         if n == 0 or (capped and done >= max_pages) or (max_levels is not None and level >= max_levels):
             break
