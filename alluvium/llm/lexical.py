@@ -29,6 +29,12 @@ from .common import scratch_path
 TOP = 20
 #: A shard's documents at most, and the bytes of text with which it is full.
 SHARD_DOCS, SHARD_BYTES = 4096, 8 << 20
+#: A row is a shard and may have some 10 MB, and Spark reads a row group at a time: one ends once it has so many bytes, looked
+#: at after each row (Parquet looks after 100), so a task holds a shard or two however many its file has.
+_WRITE = {
+    "compression": "zstd", "parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 1,
+    "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1, "parquet.enable.dictionary": "false",
+}
 #: Items that are searched for at a time at most, and the bytes of their texts with which a block is full.
 BLOCK_ITEMS, BLOCK_BYTES = 2_000, 4 << 20
 #: The tasks' lists of an item are merged in so many parts first.
@@ -155,7 +161,7 @@ def build(docs: DataFrame, path: str | None = None) -> Index:
     path = path or scratch_path(spark, "lexical-index")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
     n = rows.select("text").mapInArrow(_lengths, "documents long, terms long").agg(F.coalesce(F.sum("documents"), F.lit(0)).alias("documents"), F.coalesce(F.sum("terms"), F.lit(0)).alias("terms")).first()
-    rows.mapInArrow(_indexed(n["documents"], n["terms"]), INDEX).write.option("compression", "zstd").parquet(path)
+    rows.mapInArrow(_indexed(n["documents"], n["terms"]), INDEX).write.options(**_WRITE).parquet(path)
     return Index(path, n["documents"], n["terms"])
 
 

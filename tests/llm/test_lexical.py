@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from alluvium.llm import lexical, queries
 
@@ -89,3 +90,16 @@ def test_the_test_table(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
     assert got(queries.queries()["op13_lexical_search"](spark, folder)) == brute(docs, items)
+
+
+def test_a_row_group_holds_few_shards(spark, tmp_path):
+    """One task's shards of 8 MB of text each must not lie in one row group, which Spark reads at a time."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    docs = spark.range(3, numPartitions=1).select("id", F.expr("array_join(transform(sequence(1, 260000), i -> hex(xxhash64(i, id)) || hex(xxhash64(id, i))), ' ')").alias("text"))
+    index = lexical.build(docs.withColumnRenamed("id", "doc_id"), f"{tmp_path}/index")
+    assert index.terms == 3 * 260_000
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{tmp_path}/index/*.parquet")]
+    assert [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)] == [1, 1, 1]
