@@ -164,3 +164,12 @@ def test_packed_bodies(spark):
     assert zstandard.ZstdDecompressor().decompress(bytes(made.where("id = 1").first()["b"])) == b"a"
     seen = made.withColumn("t", unpacked(F.col("b"))).where("id > 4")._jdf.queryExecution().optimizedPlan().toString()
     assert seen.index("ArrowEvalPython") < seen.rindex("Filter")  # the filter lies below the decoding
+
+
+def test_references_end_in_a_semicolon():
+    """A title cut within a reference keeps what is left of it, as its SQL does; scripts are not read for references."""
+    from alluvium.functions.select import Pick, read
+
+    page = "<title>a &lt;&amp; b&amp</title><h1>x &amp;amp; &#x27;&#39; &copy=1 &nope;&eacute;</h1><script>1 &amp; 2</script><p>R&D & S<p>end &amp"
+    got = read(page, {"t": Pick("title"), "h": Pick("h1"), "s": Pick("script", raw=True), "p": Pick("p")})
+    assert got == {"t": ["a <& b&amp"], "h": ["x &amp; '' &copy=1 &nope;é"], "s": ["1 &amp; 2"], "p": ["R&D & S", "end &amp"]}
