@@ -27,3 +27,13 @@ def test_query(spark, name):
     assert sorted(rel.columns) == cols
     order = [rel.columns.index(c) for c in cols]
     assert norm(rows) == norm(tuple(r[i] for i in order) for r in rel.fetchall())
+
+
+def test_pages_cut_within_a_reference(spark, tmp_path):
+    rows = [(1, "u", "<title>a&amp</title><h1>b &lt;c&amp</h1><p>R&D &quot;x&quot; &#x27;y&#x27; &am"), (2, "u", "<h1>&amp;amp;</h1>&")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    for name in ("pages_text", "page_titles"):
+        rel = con.sql(Q.oracle_sql()[name])
+        assert norm(Q.queries()[name](spark, str(tmp_path)).select(*rel.columns).collect()) == norm(rel.fetchall())
