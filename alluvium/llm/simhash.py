@@ -7,8 +7,8 @@ cells of each choice of g - 4 groups, joined, hold every pair that can link. In
 (of byte segments) go first, then the bits are compared. Equal fingerprints are one point; links become components, never pairs of rows.
 
 keep_one links by the Jaccard similarity of distinct five-word shingles, 0.8 or more, and the fingerprint only sorts out
-candidates. Segment popcounts can't retrieve at its distance (80 of 256 bits: any cover by equal groups has cells that
-most points share), so points meet by prefixes instead: put in one order, the first n // 5 + 1 of n shingles of two such
+candidates. Sets whose first 64 bits differ in 4 or fewer are retrieved by segment popcounts, as above. A cover by equal
+groups at 80 of 256 bits has cells that most points share, so what lies farther apart is met by prefixes: put in one order, the first n // 5 + 1 of n shingles of two such
 sets have one in common, whatever the order. Shingles that a sample finds often come last, so cells stay small.
 Candidates are held together as groups, never as pairs, and each group's sets are compared exactly.
 """
@@ -367,11 +367,20 @@ def _verified(scheme: Scheme):
     return run
 
 
+def _met_by_popcounts(points: DataFrame) -> DataFrame:
+    """u, v of the sets whose fingerprints' first 64 bits link, each with the least of its component."""
+    held = points.select("node", F.unhex(F.lpad(F.hex("f0"), 16, "0")).alias("bits"))
+    found = linked(held.select(F.col("bits").alias("node"))).select(F.col("node").alias("l_node"), "root")
+    tied = materialize(held.join(found, F.col("bits") == F.col("l_node"), "left").select("node", F.coalesce("root", "bits").alias("root")), "simhash-tied")
+    least = tied.groupBy("root").agg(F.min("node").alias("v"), F.count("*").alias("n")).where("n > 1").select(apart("root").alias("b_root"), "v")
+    return tied.join(least, F.col("root") == F.col("b_root")).select(F.col("node").alias("u"), "v").where("u <> v")
+
+
 def similar(prints: DataFrame, docs: DataFrame, scheme: Scheme = SIMILAR) -> DataFrame:
     """node, root of every set that has Jaccard 0.8 or more with another, through any chain; roots are left out.
 
-    Sets that share a cell and pass by size and fingerprint hang together in candidate groups, found without listing a
-    pair. A set's members then go once to its group (to each part of a group beyond CHUNK shingles) and are compared
+    Sets that link by popcounts, and for the rest those that share a prefix's cell and pass by size and fingerprint, hang
+    together in candidate groups, found without listing a pair. A set's members then go once to its group (to each part of a group beyond CHUNK shingles) and are compared
     exactly there; what leaves the task is one row a set.
     """
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key")
@@ -384,7 +393,7 @@ def similar(prints: DataFrame, docs: DataFrame, scheme: Scheme = SIMILAR) -> Dat
     info = points.select(F.col("node").alias("i_node"), "size", *_bits(scheme))
     rows = shared.join(info, F.col("node") == F.col("i_node"))
     met = dealt(rows, "size", *_bits(scheme), counted=shared).mapInArrow(_met(scheme), "u long, v long")
-    groups = components(met, "simhash-met").select(F.col("node").alias("g_node"), "root")
+    groups = components(met.unionByName(_met_by_popcounts(points)), "simhash-met").select(F.col("node").alias("g_node"), "root")
 
     groups = materialize(groups.unionByName(groups.select(F.col("root").alias("g_node"), "root").distinct()), "simhash-groups")
     named = points.join(groups, F.col("node") == F.col("g_node")).select(F.col("root").alias("cell"), "node", "size", *_bits(scheme), F.col("of.doc_id").alias("n_id"), F.col("of.text_key").alias("n_key"))

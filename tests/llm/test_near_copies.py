@@ -98,3 +98,25 @@ def test_large_group_in_parts(spark, monkeypatch):
     monkeypatch.setattr(simhash, "FINE", 100)
     kept = simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((r["doc_id"], r["text"] or "") for r in kept) == brute_kept(rows)
+
+
+def test_popcounts_retrieve_without_prefixes(spark, monkeypatch):
+    """Pairs within 4 of 64 bits meet by segment popcounts, also where no prefix brings them together."""
+
+    def nothing(batches):
+        yield from ()
+
+    rng = np.random.default_rng(5)
+    vocab = np.array(["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(5000)])
+    bits = lambda t: np.frombuffer(simhash._majority(np.unique(simhash.shingles(t, 5)), 1), np.uint64)
+    rows, near = [], 0
+    for k in range(40):
+        words = list(rng.choice(vocab, 600))
+        one, two = " ".join(words), " ".join([*words[:-1], "x"])
+        apart = int(np.bitwise_count(bits(one) ^ bits(two))[0])
+        near += apart <= simhash.LINKS.distance
+        rows += [(2 * k, one), (2 * k + 1, two)]
+    assert near > 20
+    monkeypatch.setattr(simhash, "_prefixes", nothing)
+    kept = simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(kept) == len(rows) - near
