@@ -26,7 +26,7 @@ def scalar(v: Column, path: str = "$") -> Column:
 
 def string(v: Column, path: str = "$") -> Column:
     """Text of a string only."""
-    return F.when(kind(at(v, path)) == "STRING", F.try_variant_get(v, path, "string"))
+    return F.when(F.schema_of_variant(at(v, path)) == "STRING", F.try_variant_get(v, path, "string"))
 
 
 def name(v: Column, path: str = "$") -> Column:
@@ -42,11 +42,21 @@ def text(v: Column, path: str = "$") -> Column:
 def members(v: Column, path: str = "$") -> Column:
     """Elements of an array as variants; none for any other value."""
     none = F.array().cast("array<variant>")
-    return F.coalesce(F.when(kind(at(v, path)) == "ARRAY", F.try_variant_get(v, path, "array<variant>")), none)
+    return F.coalesce(F.try_variant_get(v, path, "array<variant>"), none)
+
+
+def is_object(v: Column) -> Column:
+    """Asked by a cast that only objects stand, since kind() works out the schema of all that is below."""
+    return F.try_variant_get(v, "$", "struct<_:variant>").isNotNull()
+
+
+def parsed(text: Column, read: Callable[[Column], Column]) -> Column:
+    """read(the JSON text as a variant), the text parsed once."""
+    return F.get(F.transform(F.array(F.try_parse_json(text)), lambda v: read(v)), F.lit(0))
 
 
 def objects(v: Column, path: str = "$") -> Column:
-    return F.filter(members(v, path), lambda x: kind(x) == "OBJECT")
+    return F.filter(members(v, path), is_object)
 
 
 def plucked(items: Column, read: Callable[[Column], Column]) -> Column:
@@ -57,12 +67,11 @@ def plucked(items: Column, read: Callable[[Column], Column]) -> Column:
 def linked_all(scripts: Column, types: tuple[str, ...]) -> Column:
     """Objects of the types in JSON-LD scripts: an object itself, members of its @graph or of a list."""
 
-    def candidates(s: Column) -> Column:
-        v = F.try_parse_json(s)
-        one = F.when(kind(v) == "OBJECT", F.concat(F.array(v), members(v, "$['@graph']"))).otherwise(members(v))
-        return F.filter(one, lambda x: (kind(x) == "OBJECT") & F.coalesce(string(x, "$['@type']").isin(*types), F.lit(False)))
+    def candidates(v: Column) -> Column:
+        one = F.when(is_object(v), F.concat(F.array(v), members(v, "$['@graph']"))).otherwise(members(v))
+        return F.filter(one, lambda x: is_object(x) & F.coalesce(string(x, "$['@type']").isin(*types), F.lit(False)))
 
-    return F.flatten(F.transform(scripts, candidates))
+    return F.flatten(F.transform(F.transform(scripts, lambda s: F.try_parse_json(s)), candidates))
 
 
 def linked_data(scripts: Column, types: tuple[str, ...]) -> Column:

@@ -62,7 +62,7 @@ def json_items(path: str) -> Callable[[DataFrame], DataFrame]:
     """A row for each object in the array at `path` of the JSON body."""
 
     def items(bronze: DataFrame) -> DataFrame:
-        found = J.objects(F.try_parse_json("body"), path)
+        found = J.parsed(F.col("body"), lambda v: J.objects(v, path))
         return bronze.drop("pos").select("*", F.posexplode(found).alias("pos", "item"))
 
     return items

@@ -183,3 +183,15 @@ def test_free_form_dates(spark):
     cases = {t: "2026-01-02 10:30:00" for t in same} | {"31/12/2026": "2026-12-31 00:00:00", "20260102": "2026-01-02 00:00:00", "": None, "2026-02-31": None, "soon": None}
     rows = spark.createDataFrame([(t,) for t in [*cases, None]], "t string")
     assert {r.t: r.d for r in rows.select("t", iso_timestamp(rows["t"]).cast("string").alias("d")).collect()} == cases | {None: None}
+
+
+def test_a_feed_s_json_is_parsed_once(spark):
+    """Also where the array is asked for its kind; objects among odd members are told without the schema of what they hold."""
+    from pyspark.sql import functions as F
+
+    from alluvium.sources.base import json_items
+
+    rows = spark.createDataFrame([(1, '{"a": [7, null, [1], {"x": {"y": 1}}, "s", {}]}'), (2, '{"a": {"x": 1}}'), (3, "broken"), (4, None)], "id long, body string").withColumn("pos", F.lit(0))
+    found = json_items("$.a")(rows)
+    assert found._jdf.queryExecution().analyzed().toString().count("parse_json") == 1
+    assert sorted((r["id"], r["pos"], r["j"]) for r in found.select("id", "pos", F.to_json("item").alias("j")).collect()) == [(1, 0, '{"x":{"y":1}}'), (1, 1, "{}")]
