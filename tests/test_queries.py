@@ -37,3 +37,13 @@ def test_pages_cut_within_a_reference(spark, tmp_path):
     for name in ("pages_text", "page_titles"):
         rel = con.sql(Q.oracle_sql()[name])
         assert norm(Q.queries()[name](spark, str(tmp_path)).select(*rel.columns).collect()) == norm(rel.fetchall())
+
+
+def test_pages_with_stray_end_tags_and_declarations(spark, tmp_path):
+    """Strings on both sides of an end tag without a start, or of a declaration, are two; a comment doesn't part one."""
+    rows = [(1, "u", "<p>a</i>b<!-- c -->d</p><?x y>e<!DOCTYPE z>f"), (2, "u", "<!DOCTYPE html><h1>a</h1>b</h1>c")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    rel = con.sql(Q.oracle_sql()["pages_text"])
+    assert norm(Q.queries()["pages_text"](spark, str(tmp_path)).select(*rel.columns).collect()) == norm(rel.fetchall())
