@@ -41,12 +41,18 @@ def read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(plain).parquet(path).select(*empty(spark, plain).columns)
 
 
+#: Rows to a task of costly work on each row: a task's length follows from it and not from the table.
+SPREAD_ROWS = 200_000
+
+
 def spread(rows: DataFrame) -> DataFrame:
-    """A scan of fewer splits than cores, dealt to all cores before costly work on each row; any other scan as it is.
+    """A scan of fewer splits than cores, or of larger ones than SPREAD_ROWS, dealt anew before costly work on each row; any other as it is.
 
-    For scans and what has no shuffle in it. Spark can't split a file within a row group, so a small file is one task."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    For scans and what has no shuffle in it, whose rows are counted by the files' footers. Spark can't split a file within a row
+    group, and rows that lie small in a file may be long in the work."""
+    cores, splits = rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()
+    tasks = max(cores, -(-rows.count() // SPREAD_ROWS))
+    return rows.repartition(tasks) if splits < tasks else rows
 
 
 def space(spark: SparkSession, store: str, source: str) -> int:

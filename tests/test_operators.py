@@ -173,3 +173,25 @@ def test_references_end_in_a_semicolon():
     page = "<title>a &lt;&amp; b&amp</title><h1>x &amp;amp; &#x27;&#39; &copy=1 &nope;&eacute;</h1><script>1 &amp; 2</script><p>R&D & S<p>end &amp"
     got = read(page, {"t": Pick("title"), "h": Pick("h1"), "s": Pick("script", raw=True), "p": Pick("p")})
     assert got == {"t": ["a <& b&amp"], "h": ["x &amp; '' &copy=1 &nope;é"], "s": ["1 &amp; 2"], "p": ["R&D & S", "end &amp"]}
+
+
+def test_tasks_of_costly_work_grow_with_the_rows(spark, monkeypatch):
+    rows = spark.range(0, 1000, 1, 10)
+    assert tables.spread(rows).rdd.getNumPartitions() == 10
+    monkeypatch.setattr(tables, "SPREAD_ROWS", 30)
+    dealt = tables.spread(rows)
+    assert dealt.rdd.getNumPartitions() == 34 and max(dealt.rdd.glom().map(len).collect()) <= 60
+    assert tables.spread(spark.range(0, 8, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_plain_markup_gives_the_same_tree_as_the_parser(monkeypatch):
+    from alluvium.functions import select
+
+    pieces = ["<p>", "</p>", "<P class='a b'>", '<a href="/x?a=1&amp;b">', "<br/>", "<b a='1' a='2'>", "a &amp; b", "<", "<script>1<2</script>", "<!-- c -->", "</i x>", "<a href=x>", "\n"]
+    pages = ["".join(pieces[(i * k + k) % len(pieces)] for k in range(i % 9 + 1)) for i in range(200)]
+    shape = lambda n: [c if isinstance(c, str) else (c.tag, c.attrs, shape(c)) for c in n.children]
+    quick = [shape(select.tree(h)) for h in pages]
+    at = select._plain("<p>a<b c='d'>e</b><!-- f -->", select._Builder())
+    assert at == len("<p>a<b c='d'>e</b>")
+    monkeypatch.setattr(select, "_plain", lambda html, builder: 0)
+    assert quick == [shape(select.tree(h)) for h in pages]
