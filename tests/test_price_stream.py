@@ -83,3 +83,15 @@ def test_state_ends(spark, tmp_path):
     out, states = arrive(spark, tmp_path, batches, "1 hour", 10 * 3600 * 1000)
     assert [i for s, _, i, _ in out if s == "p3"] == [3, 103]  # forgotten, so it is first again
     assert max(states) >= 20 and states[-1] < 10
+
+
+def test_products_of_one_bucket_stay_apart(spark, tmp_path, monkeypatch):
+    """A state holds many products, null sources among them; each has its own changes, and the states are few."""
+    from alluvium.streaming import prices
+
+    monkeypatch.setattr(prices, "BUCKETS", 2)
+    made = [(i, None if sku == "c" else s, sku, p, at) for i, s, sku, p, at in rows_of(3, 240)]
+    out, states = arrive(spark, tmp_path, [made[:120], made[120:], FLUSH[:1], FLUSH[1:]], "1 hour")
+    facts = gold.fact_price(spark.createDataFrame(made, SCHEMA)).collect()
+    assert out[: len(facts)] == sorted((r["sku"], r["observed_at"], r["id"], r["price"]) for r in facts)
+    assert len(facts) > 60 and max(states) <= 4
