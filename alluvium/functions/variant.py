@@ -16,7 +16,8 @@ def kind(v: Column) -> Column:
 
 
 def at(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, path, "variant")
+    """What is there, as a variant. Each costs a copy of it, so the value itself is taken as it is."""
+    return v if path == "$" else F.try_variant_get(v, path, "variant")
 
 
 def scalar(v: Column, path: str = "$") -> Column:
@@ -59,6 +60,11 @@ def objects(v: Column, path: str = "$") -> Column:
     return F.filter(members(v, path), is_object)
 
 
+def shaped(v: Column, shape: str, path: str = "$") -> Column:
+    """The objects of an array as structs of this shape, by one cast; fields that are absent or have another type are null."""
+    return F.filter(F.try_variant_get(v, path, f"array<{shape}>"), lambda x: x.isNotNull())
+
+
 def plucked(items: Column, read: Callable[[Column], Column]) -> Column:
     """What `read` gives for each item, without nulls and empty strings."""
     return F.filter(F.transform(items, lambda x: read(x)), lambda x: x.isNotNull() & (x != ""))

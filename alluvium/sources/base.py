@@ -58,11 +58,11 @@ def PRODUCT_FIELDS() -> list[tuple[str, str, Column | None]]:
     ]
 
 
-def json_items(path: str) -> Callable[[DataFrame], DataFrame]:
-    """A row for each object in the array at `path` of the JSON body."""
+def json_items(path: str, shape: str | None = None) -> Callable[[DataFrame], DataFrame]:
+    """A row for each object in the array at `path` of the JSON body: a variant, or a struct of the shape if one is given."""
 
     def items(bronze: DataFrame) -> DataFrame:
-        found = J.parsed(F.col("body"), lambda v: J.objects(v, path))
+        found = J.parsed(F.col("body"), lambda v: J.objects(v, path)) if shape is None else J.shaped(F.try_parse_json("body"), shape, path)
         return bronze.drop("pos").select("*", F.posexplode(found).alias("pos", "item"))
 
     return items

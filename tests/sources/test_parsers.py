@@ -195,3 +195,32 @@ def test_a_feed_s_json_is_parsed_once(spark):
     found = json_items("$.a")(rows)
     assert found._jdf.queryExecution().analyzed().toString().count("parse_json") == 1
     assert sorted((r["id"], r["pos"], r["j"]) for r in found.select("id", "pos", F.to_json("item").alias("j")).collect()) == [(1, 0, '{"x":{"y":1}}'), (1, 1, "{}")]
+
+
+@pytest.mark.parametrize("source", ["hoy", "megacadena"])
+def test_a_post_is_cast_once(spark, source):
+    """Its parts are fields of one cast, none is looked up in the variant again; odd shapes are absent, as before."""
+    odd = [
+        {"link": 5, "title": "t", "content": {"rendered": 1}, "date_gmt": 20240101, "date": "2024-01-01T09:00:00", "_embedded": [1]},
+        {"link": "", "title": {"rendered": {"a": 1}}, "content": None, "date_gmt": "", "_embedded": {"author": {"name": "x"}, "wp:featuredmedia": [None, {"source_url": 1}, {"source_url": " u "}], "wp:term": {"a": 1}}},
+        {"_embedded": {"author": ["x", {"name": None}, {"name": True}, {"name": " Y "}], "wp:term": [5, {"taxonomy": "category"}, [6, None, {"taxonomy": 7, "name": "n"}, {"taxonomy": ["category"], "name": "n"},
+            {"name": "n"}, {"taxonomy": "category", "name": 2024}, {"taxonomy": "post_tag", "name": "2024"}, {"taxonomy": "category", "name": "true"}]]}},
+    ]
+    a, b, c = parse(spark, source, [None, *odd, [odd[0]], "x"], "[{} ", {"0": odd[0]}, 3)
+    assert (a.source_url, a.title, a.body, a.authors, a.section, a.tags, a.image_urls) == ("", "", None, [], None, [], []) and a.published_at == dt.datetime(2024, 1, 1, 9)
+    assert (b.source_url, b.title, b.body, b.authors, b.section, b.tags, b.image_urls, b.published_at) == ("", "", None, [], None, [], ["u"], None)
+    assert (c.authors, c.section, c.tags) == (["Y"], "true", ["2024"]) and [r.id for r in (a, b, c)] == [0, 1, 2]
+
+    plan = parsers()[source].parse(spark.createDataFrame([], SNAPSHOT))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("parse_json") == 1 and "try_variant_get" in plan and ", $." not in plan
+
+
+def test_plain_fragments_need_no_tree(monkeypatch):
+    from alluvium.functions import select
+
+    made, tree = [], select.tree
+    monkeypatch.setattr(select, "tree", lambda h: made.append(h) or tree(h))
+    plain = {"<p>a &amp; <b>b</b></p> c": "a &|b|c", "<p> <br>x</i>y": "x|y", "1 > 0 &amp": "1 > 0 &amp", "<a href='/'>l</a>": "l", "": "", " \xa0": ""}
+    assert {h: select._text(h, "|") for h in plain} == plain and not made
+    odd = ["a<!-- x -->b", "<noscript>n</noscript>m", "<script>x<b>y</script>z", "<style>s", "<p a=b>c</p>", "a</p x='y'>b", "a <3", "<!DOCTYPE x>a", "<br/>a"]
+    assert [select._text(h, "|") for h in odd] == [tree(h).text("|") for h in odd] and made == odd
