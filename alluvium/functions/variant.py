@@ -26,8 +26,8 @@ def scalar(v: Column, path: str = "$") -> Column:
 
 
 def string(v: Column, path: str = "$") -> Column:
-    """Text of a string only."""
-    return F.when(F.schema_of_variant(at(v, path)) == "STRING", F.try_variant_get(v, path, "string"))
+    """Text of a string only, by one lookup: of what JSON has nothing but a string casts to binary."""
+    return F.try_variant_get(v, path, "binary").cast("string")
 
 
 def name(v: Column, path: str = "$") -> Column:
@@ -70,6 +70,11 @@ def plucked(items: Column, read: Callable[[Column], Column]) -> Column:
     return F.filter(F.transform(items, lambda x: read(x)), lambda x: x.isNotNull() & (x != ""))
 
 
+def names(strings: Column) -> Column:
+    """An array of strings, or of binaries as shaped() gives them: stripped, without nulls and empty ones."""
+    return plucked(strings.cast("array<string>"), strip)
+
+
 def linked_all(scripts: Column, types: tuple[str, ...]) -> Column:
     """Objects of the types in JSON-LD scripts: an object itself, members of its @graph or of a list."""
 

@@ -60,29 +60,29 @@ def story_feed(base: str, promo_first: bool) -> Parser:
 # Post feeds: [post, ...] with authors, terms and media embedded.
 
 
-#: What is read of a post. Texts stay variants, since a cast to string would take numbers and objects too; of a term's
+#: What is read of a post. Texts are binary, since a cast to string would take numbers and objects too; of a term's
 #: taxonomy it may, for it is only held against words that none of these is written as.
 POST = (
-    "struct<link: variant, date: variant, date_gmt: variant, title: struct<rendered: variant>, content: struct<rendered: variant>, _embedded: struct<"
-    "author: array<struct<name: variant>>, `wp:featuredmedia`: array<struct<source_url: variant>>, `wp:term`: array<array<struct<taxonomy: string, name: variant>>>>>"
+    "struct<link: binary, date: binary, date_gmt: binary, title: struct<rendered: binary>, content: struct<rendered: binary>, _embedded: struct<"
+    "author: array<struct<name: binary>>, `wp:featuredmedia`: array<struct<source_url: binary>>, `wp:term`: array<array<struct<taxonomy: string, name: binary>>>>>"
 )
 
 
 def _post(drop_nul: bool) -> dict[str, Column]:
     tidy = X.without_nul if drop_nul else (lambda c: c)
-    rendered = lambda f: F.coalesce(J.string(F.col(f"item.{f}.rendered")), F.lit(""))
+    text = lambda f: F.col(f"item.{f}").cast("string")
+    rendered = lambda f: F.coalesce(text(f"{f}.rendered"), F.lit(""))
     terms = F.flatten(F.filter("item._embedded.`wp:term`", lambda group: group.isNotNull()))
-    of = lambda taxonomy: J.plucked(F.filter(terms, lambda t: t["taxonomy"] == taxonomy), lambda t: J.name(t["name"]))
-    media = J.plucked(F.col("item._embedded.`wp:featuredmedia`"), lambda m: J.name(m["source_url"]))
+    of = lambda taxonomy: J.names(F.filter(terms, lambda t: t["taxonomy"] == taxonomy)["name"])
     return {
-        "source_url": J.string(F.col("item.link")),
+        "source_url": text("link"),
         "title": tidy(fragment_text(rendered("title"))),
         "body": F.nullif(tidy(fragment_text(rendered("content"), "\n\n")), F.lit("")),
-        "authors": J.plucked(F.col("item._embedded.author"), lambda a: J.name(a["name"])),
-        "published_at": V.iso_timestamp(X.first_truthy(J.string(F.col("item.date_gmt")), J.string(F.col("item.date")))),
+        "authors": J.names(F.col("item._embedded.author.name")),
+        "published_at": V.iso_timestamp(X.first_truthy(text("date_gmt"), text("date"))),
         "section": F.get(of("category"), F.lit(0)),
         "tags": of("post_tag"),
-        "image_urls": U.ordered_distinct(F.coalesce(media, no_strings())),
+        "image_urls": F.array_distinct(J.names(F.col("item._embedded.`wp:featuredmedia`.source_url"))),
     }
 
 

@@ -224,3 +224,42 @@ def test_plain_fragments_need_no_tree(monkeypatch):
     assert {h: select._text(h, "|") for h in plain} == plain and not made
     odd = ["a<!-- x -->b", "<noscript>n</noscript>m", "<script>x<b>y</script>z", "<style>s", "<p a=b>c</p>", "a</p x='y'>b", "a <3", "<!DOCTYPE x>a", "<br/>a"]
     assert [select._text(h, "|") for h in odd] == [tree(h).text("|") for h in odd] and made == odd
+
+
+@pytest.mark.parametrize("source", ["hoy", "megacadena"])
+def test_a_post_s_texts_are_read_by_its_cast_alone(spark, source):
+    """Strings come out of the one cast as they are: none is asked for its type and looked up again, and none is stripped twice."""
+    plan = parsers()[source].parse(spark.createDataFrame([], SNAPSHOT))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get") == 1 and "SchemaOfVariant" not in plan
+    assert plan.count(r"(?U)^\s+|\s+$") == 4  # authors, section, tags, images
+
+
+def test_only_strings_are_strings(spark):
+    """By one lookup, without asking for the type."""
+    from pyspark.sql import functions as F
+
+    from alluvium.functions import variant as J
+
+    kinds = ["7", "-1", "3000000000", "99999999999999999999", "1.5", "1e300", "true", "false", "null", "{}", '{"b": "x"}', "[]", '["x"]']
+    texts = {'"7"': "7", '""': "", '" x "': " x ", '"\\u00e9\\ud83d\\ude00"': "é😀", '"2024-01-01"': "2024-01-01", '"\\u0000a"': "\0a"}
+    rows = spark.createDataFrame([(j,) for j in (*kinds, *texts)], "j string")
+    here, below = J.string(F.try_parse_json("j")), J.string(F.try_parse_json(F.concat(F.lit('{"a": '), "j", F.lit("}"))), "$.a")
+    found = rows.select("j", here.alias("here"), below.alias("below"))
+    assert [(r.here, r.below) for r in found.collect()] == [(texts.get(j),) * 2 for j in (*kinds, *texts)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get") == 2 and "SchemaOfVariant" not in plan
+
+    listed = spark.createDataFrame([([" a ", None, "", " ", "b\xa0", "a"],), (None,)], "s array<string>")
+    assert [r[0] for r in listed.select(J.names(F.col("s"))).collect()] == [["a", "b", "a"], None]
+    assert [r[0] for r in listed.select(J.names(F.col("s").cast("array<binary>"))).collect()] == [["a", "b", "a"], None]
+
+
+def test_plain_fragments_are_cut_at_their_tags(monkeypatch):
+    """As the tree's strings; a tag that was met before isn't read again."""
+    from alluvium.functions import select
+
+    plain = ["a > <b>b</b>>", "<p id='x'>a</p><p id='x'> b &lt; </p>", "<P\n>a</ p", "a<br>b", "\0<i>\0</i>"]
+    odd = ["a < b", "<p id='<'>x", "<p id='>'>x", "<>x", "</>x", "<<p>x", "<p>x<", "<SCRIPT>a<b>c</script>d", "<title>a<b></title>"]
+    assert [select._text(h, "|") for h in (*plain, *odd)] == [select.tree(h).text("|") for h in (*plain, *odd)]
+    seen = select._parting.cache_info().misses
+    assert select._text("<p id='x'>c</p>", "|") == "c" and select._parting.cache_info().misses == seen
